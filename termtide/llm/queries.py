@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from termtide.llm import secrets, sharding, urls
+from termtide.llm import bpe, language, secrets, sharding, urls
 from termtide.llm.common import table
 
 
@@ -16,9 +17,17 @@ def op3_histogram_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.histogram_shards(table(spark, sf_dir, "documents"))
 
 
+def op6_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language.identify(table(spark, sf_dir, "documents"))
+
+
 def op7_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return urls.filter_urls(table(spark, sf_dir, "pages"))
 
 
-QUERIES = {f.__name__: f for f in (op1_secret_scan, op3_histogram_shards, op7_url_filter)}
+def op9_bpe_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bpe.digests(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
+
+
+QUERIES = {f.__name__: f for f in (op1_secret_scan, op3_histogram_shards, op6_language_id, op7_url_filter, op9_bpe_round_trip)}
 ORACLE_SQL: dict[str, str] = {}
