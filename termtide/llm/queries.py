@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from termtide.llm import bpe, language, secrets, sharding, urls
+from termtide.llm import bpe, decontaminate, language, neardup, secrets, sharding, urls, vectors
 from termtide.llm.common import table
 
 
@@ -17,6 +17,10 @@ def op3_histogram_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.histogram_shards(table(spark, sf_dir, "documents"))
 
 
+def op4_minmax_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return neardup.near_duplicates(table(spark, sf_dir, "documents"))
+
+
 def op6_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language.identify(table(spark, sf_dir, "documents"))
 
@@ -25,9 +29,20 @@ def op7_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return urls.filter_urls(table(spark, sf_dir, "pages"))
 
 
+def op8_winnowing_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.find_hits(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")).drop("mark")
+
+
 def op9_bpe_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.digests(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
 
 
-QUERIES = {f.__name__: f for f in (op1_secret_scan, op3_histogram_shards, op6_language_id, op7_url_filter, op9_bpe_round_trip)}
+def op10_vector_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return vectors.near_vectors(table(spark, sf_dir, "embeddings"))
+
+
+QUERIES = {f.__name__: f for f in (
+    op1_secret_scan, op3_histogram_shards, op4_minmax_near_duplicates, op6_language_id, op7_url_filter,
+    op8_winnowing_decontamination, op9_bpe_round_trip, op10_vector_near_duplicates,
+)}
 ORACLE_SQL: dict[str, str] = {}
