@@ -13,6 +13,7 @@ passed through by `encode` and ignored by `digests`.
 
 from __future__ import annotations
 
+import gc
 import hashlib
 import heapq
 import json
@@ -20,6 +21,7 @@ from collections import Counter
 from collections.abc import Iterator
 from itertools import chain
 
+import numpy as np
 import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
@@ -62,6 +64,76 @@ class Merges:
         for rank, pair in enumerate(spec["model"]["merges"]):
             a, b = pair.split(" ") if isinstance(pair, str) else pair
             self.ranks.setdefault(vocab[a] << 20 | vocab[b], (rank, vocab[a + b]))
+        self._table()
+
+    def _table(self) -> None:
+        """The ranks as an open hash table in arrays, for many lookups at once; the last rank stands for none."""
+        self.bits = max(4, (4 * len(self.ranks) + 1).bit_length())
+        self.keys = np.full(1 << self.bits, -1, np.int64)
+        self.found = np.full(1 << self.bits, len(self.ranks), np.int32)
+        self.made = np.zeros(len(self.ranks) + 1, np.int32)
+        for number, (key, (_, new)) in enumerate(sorted(self.ranks.items(), key=lambda x: x[1])):
+            at = (key * 0x9E3779B97F4A7C15 & (1 << 64) - 1) >> (64 - self.bits)
+            while self.keys[at] >= 0:
+                at = (at + 1) & ((1 << self.bits) - 1)
+            self.keys[at], self.found[at], self.made[number] = key, number, new
+
+    def _rank(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+        key = a.astype(np.int64) << 20 | b
+        at = ((key.view(np.uint64) * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(64 - self.bits)).astype(np.int64)
+        out = np.full(len(key), len(self.made) - 1, np.int32)
+        open_ = np.arange(len(key))
+        while len(open_):
+            seen = self.keys[at]
+            hit = seen == key[open_]
+            out[open_[hit]] = self.found[at[hit]]
+            on = ~hit & (seen >= 0)
+            open_, at = open_[on], (at[on] + 1) & ((1 << self.bits) - 1)
+        return out
+
+    def merge_many(self, words: list[bytes]) -> list[tuple[int, ...]]:
+        """Exact ids of many words: all words of about one length take a step at a time."""
+        out: list[tuple[int, ...]] = [()] * len(words)
+        sizes = np.fromiter(map(len, words), np.int64, len(words))
+        for low, high in ((1, 6), (7, 10), (11, 16), (17, 28), (29, LONG_WORD)):
+            chosen = np.flatnonzero((sizes >= low) & (sizes <= high))
+            for at in range(0, len(chosen), 20_000):
+                part = chosen[at : at + 20_000]
+                for w, ids in zip(part.tolist(), self._merge_rows([words[i] for i in part.tolist()], sizes[part], high), strict=True):
+                    out[w] = ids
+        for w in np.flatnonzero(sizes > LONG_WORD).tolist():
+            out[w] = self.merge(words[w])
+        return out
+
+    def _merge_rows(self, words: list[bytes], sizes: np.ndarray, width: int) -> list[tuple[int, ...]]:
+        none, n = len(self.made) - 1, len(words)
+        column = np.arange(width)
+        ids = np.zeros((n, width), np.int32)
+        ids[column < sizes[:, None]] = np.asarray(self.byte_ids, np.int32)[np.frombuffer(b"".join(words), np.uint8)]
+        ranks = np.full((n, width), none, np.int32)
+        pair = column[:-1] + 1 < sizes[:, None]
+        ranks[:, :-1][pair] = self._rank(ids[:, :-1][pair], ids[:, 1:][pair])
+        size, result, live = sizes.copy(), [()] * n, np.arange(n)
+        while True:
+            best = ranks.argmin(axis=1)
+            rank = ranks[np.arange(len(ranks)), best]
+            done = rank == none
+            for w, row, k in zip(live[done].tolist(), ids[done].tolist(), size[done].tolist(), strict=True):
+                result[w] = tuple(row[:k])
+            on = ~done
+            if not on.any():
+                return result
+            ids, ranks, size, live, best, rank = ids[on], ranks[on], size[on] - 1, live[on], best[on], rank[on]
+            row = np.arange(len(live))
+            source = np.minimum(column + (column > best[:, None]), width - 1)
+            ids = np.take_along_axis(ids, source, 1)
+            ids[row, best] = self.made[rank]
+            ranks = np.take_along_axis(ranks, np.minimum(column + (column >= best[:, None]), width - 1), 1)
+            for place in (best, best - 1):
+                ok = (place >= 0) & (place + 1 < size)
+                ranks[row[ok], place[ok]] = self._rank(ids[row[ok], place[ok]], ids[row[ok], place[ok] + 1])
+                last = (place >= 0) & ~ok
+                ranks[row[last], place[last]] = none
 
     def merge(self, word: bytes) -> tuple[int, ...]:
         """Exact ids of one word."""
@@ -135,8 +207,9 @@ class Codec:
         new = [*words.difference(self.words)]
         raw = [w.encode() for w in new]
         numbers = self.lexicon.find([r if len(r) <= LONG_WORD else b"" for r in raw]).tolist()
-        for word, r, number in zip(new, raw, numbers, strict=True):
-            self.words[word] = self.lexicon.output(number) if number >= 0 else self.merges.merge(r)
+        unseen = iter(self.merges.merge_many([r for r, number in zip(raw, numbers, strict=True) if number < 0]))
+        for word, number in zip(new, numbers, strict=True):
+            self.words[word] = self.lexicon.output(number) if number >= 0 else next(unseen)
 
     def _plain(self, text: str) -> list[int]:
         """Ids of a text without special tokens."""
@@ -154,11 +227,15 @@ class Codec:
 
     def encode(self, batch: list[str]) -> Iterator[list[int]]:
         pieces: set[str] = set()
+        heads: set[str] = set()
         for text in batch:
-            pieces.update(text.split(" ")[1:])
+            first, *parts = text.split(" ")
+            heads.update(WORD.findall(first))
+            pieces.update(parts)
             if len(pieces) > MEMORY:
                 break
         self.learn(pieces)
+        self.learn_words(heads)
         for text in batch:
             if self.split and self.split.search(text):
                 out: list[int] = []
@@ -189,6 +266,7 @@ def word_counts(docs: DataFrame, text_col: str = "text") -> DataFrame:
     """(word, n): how often each word of the splitting pattern occurs in all texts; tasks count before the shuffle."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        gc.disable()
         pieces: Counter[str] = Counter()
 
         def handed() -> pa.RecordBatch:
@@ -226,6 +304,7 @@ def digests(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str =
     schema = T.StructType([T.StructField(id_col, docs.schema[id_col].dataType), T.StructField("n_tokens", T.LongType()), T.StructField("ids_sha256", T.StringType()), T.StructField("decoded_sha256", T.StringType())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        gc.disable()  # its rounds over the remembered pieces cost more than the encoding
         codec = Codec(*sent.value)
         names = [str(i) for i in range(len(codec.merges.token_bytes))]
         for batch in batches:

@@ -54,7 +54,7 @@ def _windows(df: DataFrame, spans: list[int]) -> DataFrame:
     each = [F.struct(F.lit(0).alias("span"), F.array(F.lit(0).cast("long")).alias("fps"))]
     each += [F.struct(F.lit(s).alias("span"), fingerprints(n, F.col("hashes"), F.col("grams"), s).alias("fps")) for s in spans]
     df = df.withColumn("each", F.array(*each)).drop("hashes", "grams")
-    df = df.select("*", F.explode("each").alias("one")).drop("each")
+    df = df.select("*", F.explode_outer("each").alias("one")).drop("each")  # outer: no filter on `each` is pushed below its parts
     return df.select("*", F.posexplode("one.fps").alias("at", "fp")).withColumn("span", F.col("one.span")).drop("one")
 
 

@@ -24,6 +24,11 @@ def test_codec_equals_library(codec):
         assert codec.decode(ids) == lib.decode(want, skip_special_tokens=False)
 
 
+def test_many_words_merge_as_one_by_one(codec):
+    words = sorted({w.encode() for t in ODD for w in bpe.WORD.findall(t)} | {b"x" * n for n in range(1, 60)} | {(b"ab cd the" * 9)[i : i + n] for i in range(9) for n in range(1, 40)})
+    assert codec.merges.merge_many(words) == [codec.merges.merge(w) for w in words]
+
+
 def test_lexicon_shares_suffixes_and_rejects_others():
     entries = {b"tops": [1], b"top": [2, 3], b"taps": [4], b"tap": [], b"x": [9]}
     lex = Lexicon(compile_lexicon(entries))
