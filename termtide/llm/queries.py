@@ -4,8 +4,9 @@ from __future__ import annotations
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from termtide.llm import bpe, decontaminate, language, neardup, secrets, sharding, urls, vectors
+from termtide.llm import bpe, decontaminate, language, neardup, pii, secrets, sharding, toolcalls, urls, vectors
 from termtide.llm.common import table
 
 
@@ -13,6 +14,10 @@ def op1_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.scan(table(spark, sf_dir, "documents"))
 
 
+def op2_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.find(table(spark, sf_dir, "documents"))
+
+
 def op3_histogram_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.histogram_shards(table(spark, sf_dir, "documents"))
 
@@ -21,6 +26,13 @@ def op4_minmax_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return neardup.near_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op5_tool_call_links(spark: SparkSession, sf_dir: str) -> DataFrame:
+    calls, results = toolcalls.chat_trace(table(spark, sf_dir, "conversations"))
+    schemas = spark.sql("SELECT * FROM VALUES ('reply', 'n_chars', 'integer', true), ('reply', 'after', 'string', false) AS t(name, argument, type, required)")
+    linked = toolcalls.link_calls(calls, results, schemas)
+    return linked.select("conv_id", "call_id", "turn", "level", "status", "problems", "result_turn", F.sha2(F.col("canonical").cast("binary"), 256).alias("canonical_sha256"))
+
+
 def op6_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language.identify(table(spark, sf_dir, "documents"))
 
@@ -42,7 +54,7 @@ def op10_vector_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {f.__name__: f for f in (
-    op1_secret_scan, op3_histogram_shards, op4_minmax_near_duplicates, op6_language_id, op7_url_filter,
+    op1_secret_scan, op2_personal_data, op3_histogram_shards, op4_minmax_near_duplicates, op5_tool_call_links, op6_language_id, op7_url_filter,
     op8_winnowing_decontamination, op9_bpe_round_trip, op10_vector_near_duplicates,
 )}
 ORACLE_SQL: dict[str, str] = {}
