@@ -113,6 +113,24 @@ def train(labelled: DataFrame, id_col: str, text_col: str, lang_col: str, per_la
     return fit(flags, [r[1] for r in rows], landmarks, ridge)
 
 
+def score(batch: list[str], model: Model | None, unpacked: tuple[np.ndarray, np.ndarray] | None) -> tuple[list[str], list[float]]:
+    """Language and score of each text."""
+    langs, scores = [], []
+    for i in range(0, len(batch), BATCH):
+        part = batch[i : i + BATCH]
+        if model is None:
+            langs += [UNKNOWN] * len(part)
+            scores += [0.0] * len(part)
+            continue
+        out = kernel(presence(part), *unpacked) @ model.weights + model.constants
+        best = out.argmax(axis=1)
+        for text, b, s in zip(part, best.tolist(), out[np.arange(len(part)), best].tolist(), strict=True):
+            known = LETTER.search(text) is not None
+            langs.append(model.languages[b] if known else UNKNOWN)
+            scores.append(min(1.0, max(0.0, s)) if known else 0.0)
+    return langs, scores
+
+
 def predict(docs: DataFrame, model: Model | None, text_col: str = "text") -> DataFrame:
     """The table with `lang_pred` and `score` (which replace columns of those names)."""
     kept = docs.drop("lang_pred", "score")
@@ -121,30 +139,44 @@ def predict(docs: DataFrame, model: Model | None, text_col: str = "text") -> Dat
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = sent.value
-        other, norms = model.unpacked() if model else (None, None)
+        unpacked = model.unpacked() if model else None
         for batch in batches:
-            langs, scores = [], []
-            column = texts(batch, text_col)
-            for i in range(0, len(column), BATCH):
-                part = column[i : i + BATCH]
-                if model is None:
-                    langs += [UNKNOWN] * len(part)
-                    scores += [0.0] * len(part)
-                    continue
-                out = kernel(presence(part), other, norms) @ model.weights + model.constants
-                best = out.argmax(axis=1)
-                for text, b, s in zip(part, best.tolist(), out[np.arange(len(part)), best].tolist(), strict=True):
-                    known = LETTER.search(text) is not None
-                    langs.append(model.languages[b] if known else UNKNOWN)
-                    scores.append(min(1.0, max(0.0, s)) if known else 0.0)
+            langs, scores = score(texts(batch, text_col), model, unpacked)
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(langs, pa.string()), pa.array(scores, pa.float64())], schema.names)
 
     return kept.mapInArrow(run, schema)
 
 
+def keep_known(docs: DataFrame, model: Model | None, text_col: str = "text", least: float = 0.2) -> DataFrame:
+    """The rows whose text has a language with a score of `least` or more, all columns; without a model, all rows with a letter."""
+    sent = docs.sparkSession.sparkContext.broadcast(model)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        model = sent.value
+        unpacked = model.unpacked() if model else None
+        for batch in batches:
+            column = texts(batch, text_col)
+            if model is None:
+                mask = [LETTER.search(t) is not None for t in column]
+            else:
+                langs, scores = score(column, model, unpacked)
+                mask = [x != UNKNOWN and s >= least for x, s in zip(langs, scores, strict=True)]
+            yield batch.filter(pa.array(mask, pa.bool_()))
+
+    return docs.mapInArrow(run, docs.schema)
+
+
+def learn(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", **fitting) -> Model | None:
+    """A model from the rows that are not held out."""
+    return train(docs.where(~held_out(id_col)), id_col, text_col, lang_col, **fitting)
+
+
+def held_out(id_col: str):
+    """Rows never learned from: crc32 of the id as text has remainder 1 by 3."""
+    return F.coalesce(F.crc32(F.col(id_col).cast("string").cast("binary")) % 3 == 1, F.lit(False))
+
+
 def identify(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", **fitting) -> DataFrame:
-    """(id, held_out, lang_pred, score): rows whose crc32 of the id has remainder 1 by 3 are never learned from."""
-    held_out = F.coalesce(F.crc32(F.col(id_col).cast("string").cast("binary")) % 3 == 1, F.lit(False))
-    split = docs.withColumn("held_out", held_out)
-    model = train(split.where("not held_out"), id_col, text_col, lang_col, **fitting)
-    return predict(split.select(id_col, text_col, "held_out"), model, text_col).select(id_col, "held_out", "lang_pred", "score")
+    """(id, held_out, lang_pred, score) of each row."""
+    model = learn(docs, id_col, text_col, lang_col, **fitting)
+    return predict(docs.select(id_col, text_col, held_out(id_col).alias("held_out")), model, text_col).select(id_col, "held_out", "lang_pred", "score")

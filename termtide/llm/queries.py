@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from termtide.llm import bpe, decontaminate, language, neardup, pii, secrets, sharding, toolcalls, urls, vectors
+from termtide.llm import bpe, decontaminate, language, neardup, pii, secrets, sharding, sql, toolcalls, urls, vectors
 from termtide.llm.common import table
 
 
@@ -57,4 +57,9 @@ QUERIES = {f.__name__: f for f in (
     op1_secret_scan, op2_personal_data, op3_histogram_shards, op4_minmax_near_duplicates, op5_tool_call_links, op6_language_id, op7_url_filter,
     op8_winnowing_decontamination, op9_bpe_round_trip, op10_vector_near_duplicates,
 )}
-ORACLE_SQL: dict[str, str] = {}
+ORACLE_SQL = {
+    "op4_minmax_near_duplicates": sql.NEAR_DUPLICATES,
+    "op5_tool_call_links": sql.TOOL_CALLS,
+    "op8_winnowing_decontamination": sql.DECONTAMINATION,
+    "op10_vector_near_duplicates": sql.VECTORS,
+}
