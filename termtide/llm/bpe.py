@@ -33,7 +33,7 @@ from termtide.llm.lexicon import Lexicon, compile_lexicon
 
 WORD = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+")
 #: Most pieces and words that a task remembers, and most distinct pieces it counts before handing them on.
-MEMORY, LONG_WORD = 250_000, 48
+MEMORY, LONG_WORD = 500_000, 48
 
 
 def _byte_letters() -> dict[str, int]:
@@ -249,6 +249,17 @@ class Codec:
         return b"".join(map(self.merges.token_bytes.__getitem__, ids)).decode("utf-8", "replace")
 
 
+_LAST: list[tuple[bytes, Codec]] = []
+
+
+def _codec(merges: Merges, lexicon: bytes) -> Codec:
+    """The worker's codec: later tasks of the same worker go on with what earlier ones have remembered."""
+    mark = hashlib.sha256(lexicon).digest()
+    if not _LAST or _LAST[0][0] != mark or _LAST[0][1].merges.token_bytes != merges.token_bytes:
+        _LAST[:] = [(mark, Codec(merges, lexicon))]
+    return _LAST[0][1]
+
+
 def _chunks(batch: list[str], limit: int = 4_000_000) -> Iterator[list[str]]:
     """Runs of texts of about so many characters."""
     own, size = [], 0
@@ -305,7 +316,7 @@ def digests(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str =
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         gc.disable()  # its rounds over the remembered pieces cost more than the encoding
-        codec = Codec(*sent.value)
+        codec = _codec(*sent.value)
         names = [str(i) for i in range(len(codec.merges.token_bytes))]
         for batch in batches:
             n, hashed, decoded = [], [], []
@@ -326,7 +337,7 @@ def encode(docs: DataFrame, path: str, text_col: str = "text", ids_col: str = "t
     schema = T.StructType([*kept.schema.fields, T.StructField(ids_col, T.ArrayType(T.IntegerType()))])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        codec = Codec(*sent.value)
+        codec = _codec(*sent.value)
         for batch in batches:
             ids = [i for chunk in _chunks(texts(batch, text_col)) for i in codec.encode(chunk)]
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(ids, pa.list_(pa.int32()))], schema.names)
