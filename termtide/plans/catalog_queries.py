@@ -13,8 +13,8 @@ from termtide.sources import tables
 
 def class_search(spark: SparkSession, d: str) -> DataFrame:
     c = classes(spark, d)
-    word = {"name": "EN", "professor": "supplier"}
-    return catalog.search(c, slots(spark, d), equal={"year": 1996}, contains=word, any_of=[["R", "A"]], within={"grading": ["R", "A", "N"]}, meets=(2, 3)).select("class_id", "name")
+    word = {"name": "RED", "professor": "supplier#0000000"}
+    return catalog.search(c, slots(spark, d), equal={"year": 1996}, contains=word, any_of=[["R", "A", "N"]], within={"grading": ["R", "A", "N"]}, meets=(2, 3)).select("class_id", "name")
 
 
 def class_page(spark: SparkSession, d: str) -> DataFrame:
@@ -194,7 +194,7 @@ _NESTED = CLASSES_SQL + """, one AS (
   SELECT class_id, day_index, start_time, end_time, period, string_agg(DISTINCT room, '/' ORDER BY room) AS room FROM slots GROUP BY ALL
 )"""
 ORACLE_SQL = {
-    "class_search": f"WITH {CLASSES_SQL} SELECT class_id, name FROM classes WHERE year = 1996 AND lower(name) LIKE '%en%' AND lower(professor) LIKE '%supplier%' AND list_has_any(classification, ['R', 'A']) AND grading IN ('R', 'A', 'N') AND class_id IN (SELECT class_id FROM slots WHERE day_index = 2 AND period = 3)",
+    "class_search": f"WITH {CLASSES_SQL} SELECT class_id, name FROM classes WHERE year = 1996 AND lower(name) LIKE '%red%' AND lower(professor) LIKE '%supplier#0000000%' AND list_has_any(classification, ['R', 'A', 'N']) AND grading IN ('R', 'A', 'N') AND class_id IN (SELECT class_id FROM slots WHERE day_index = 2 AND period = 3)",
     "class_page": f"WITH {CLASSES_SQL} SELECT class_id, name, lt_no FROM classes WHERE year = 1997 AND term = 'Q2' ORDER BY name, lt_no, sbjt_cd, subh_cd, class_id LIMIT 50 OFFSET 100",
     "class_count": f"WITH {CLASSES_SQL} SELECT count(*) AS n FROM classes WHERE list_contains(classification, 'R') AND class_id IN (SELECT class_id FROM slots WHERE day_index = 4 AND period = 5)",
     "window_orders": "WITH o AS (SELECT o_orderkey, CAST(o_orderdate AS DATE) AS dt FROM orders), f AS (SELECT o_orderkey, (dt BETWEEN '1996-01-05' AND '1996-02-03') OR dt = '1997-07-07' OR (dt BETWEEN '1998-03-01' AND '1998-03-04') AS listed, dt >= '1998-01-01' AS single FROM o) SELECT * FROM f WHERE listed OR single",
