@@ -77,7 +77,7 @@ def truncated_int(col: Column | str) -> Column:
 
 def split_names(col: Column | str) -> Column:
     """Professor names of a field in order, each once; a blank field gives one blank name."""
-    parts = F.array_distinct(F.filter(F.transform(F.split(_text(col), NAME_PARTS), F.trim), lambda p: p != ""))
+    parts = F.array_distinct(F.filter(F.transform(F.split(_text(col), NAME_PARTS), lambda p: F.trim(p)), lambda p: p != ""))
     return F.when(F.size(parts) > 0, parts).otherwise(F.array(F.lit("")))
 
 
