@@ -3,8 +3,9 @@
 Messages carry calls `{"id", "name", "arguments"}` (arguments: a JSON object as text) or results
 `{"id", "content"}`. Calls and results meet in a hash join on (conversation, id); the first result of a
 call (smallest turn) counts. An argument that is `$other_id` makes the call depend on that call of the
-same conversation: calls are ordered by dependency level, then turn, then id. Levels are found by relaxing
-dependency edges round by round; calls on a cycle, or behind one, get a null level and come last.
+same conversation: calls are ordered by dependency level, then turn, then id. Levels are found by pointer
+doubling along chains and by rounds over the rest; calls on a cycle, or behind one, get a null level and
+come last.
 Arguments are checked against a schema table (tool, argument, type, required), and each linked call is
 written as canonical JSON: keys in order, no spaces.
 
@@ -29,21 +30,49 @@ def _quoted(text: Column) -> Column:
     return F.regexp_extract(F.to_json(F.struct(text.alias("v"))), r'(?s)^\{"v":(.*)\}$', 1)
 
 
+def _shortcut(single: DataFrame) -> DataFrame:
+    """(conv, id, to, dist): from each call with one dependency, the first call behind it that has none or several.
+
+    Pointers double their reach each round, so a chain takes the logarithm of its length; calls on cycles of
+    such chains never arrive and are left out.
+    """
+    jumps = cut(single.select("conv", "id", F.col("on").alias("to"), F.lit(1).cast("long").alias("dist")))
+    for _ in range(max(1, jumps.count()).bit_length() + 1):
+        onward = jumps.select("conv", F.col("id").alias("to"), F.col("to").alias("next"), F.col("dist").alias("more"))
+        joined = cut(jumps.join(onward, ["conv", "to"], "left"))
+        jumps = joined.select("conv", "id", F.coalesce("next", "to").alias("to"), (F.col("dist") + F.coalesce("more", F.lit(0))).alias("dist"), F.col("next").isNull().alias("arrived"))
+        if jumps.where("not arrived").isEmpty():
+            break
+    return jumps.where("arrived").drop("arrived")
+
+
 def _levels(calls: DataFrame, needs: DataFrame, most_rounds: int) -> DataFrame:
-    """(conv, id, level): 0 for calls without dependencies, else one more than the highest of them."""
-    done = cut(calls.join(needs.select("conv", "id").distinct(), ["conv", "id"], "left_anti").select("conv", "id", F.lit(0).alias("level")))
-    left = cut(needs)
-    for depth in range(1, most_rounds + 1):
+    """(conv, id, level): 0 for calls without dependencies, else one more than the highest of them.
+
+    Chains of single dependencies are cut short first; only calls with several dependencies take rounds.
+    """
+    degree = needs.groupBy("conv", "id").agg(F.count(F.lit(1)).alias("n"))
+    needs = cut(needs.join(degree, ["conv", "id"]))
+    done = cut(calls.join(degree, ["conv", "id"], "left_anti").select("conv", "id", F.lit(0).cast("long").alias("level")))
+    if needs.isEmpty():
+        return done.withColumn("level", F.col("level").cast("int"))
+    chains = cut(_shortcut(needs.where("n = 1")))
+    way = chains.select("conv", F.col("id").alias("on"), "to", "dist")
+    alone = needs.where("n = 1").select("conv", F.col("id").alias("on"))  # on a cycle unless `way` has it
+    left = needs.where("n > 1").join(way, ["conv", "on"], "left").join(alone.withColumn("single", F.lit(True)), ["conv", "on"], "left")
+    left = cut(left.select("conv", "id", F.coalesce("to", F.when(F.col("single").isNull(), F.col("on"))).alias("to"), F.coalesce("dist", F.lit(0)).alias("dist")))
+    for _ in range(most_rounds):
         if left.isEmpty():
             break
-        state = left.join(done.select("conv", F.col("id").alias("on"), "level"), ["conv", "on"], "left")
-        ready = state.groupBy("conv", "id").agg(F.count(F.when(F.col("level").isNull(), 1)).alias("open")).where("open = 0")
-        fresh = cut(ready.select("conv", "id", F.lit(depth).alias("level")))
+        state = left.join(done.select("conv", F.col("id").alias("to"), "level"), ["conv", "to"], "left")
+        ready = state.groupBy("conv", "id").agg(F.count(F.when(F.col("level").isNull(), 1)).alias("open"), F.max(F.col("level") + F.col("dist") + 1).alias("level")).where("open = 0")
+        fresh = cut(ready.select("conv", "id", "level"))
         if fresh.isEmpty():
             break
         done = cut(done.unionByName(fresh))
         left = cut(left.join(fresh.select("conv", "id"), ["conv", "id"], "left_anti"))
-    return done
+    behind = chains.join(done.select("conv", F.col("id").alias("to"), "level"), ["conv", "to"]).select("conv", "id", (F.col("level") + F.col("dist")).alias("level"))
+    return done.unionByName(behind).withColumn("level", F.col("level").cast("int"))
 
 
 def link_calls(calls: DataFrame, results: DataFrame, schemas: DataFrame, most_rounds: int = 1000) -> DataFrame:

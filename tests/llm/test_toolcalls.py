@@ -28,3 +28,13 @@ def test_links_orders_validates_and_writes(spark):
     assert got[None, "a", 1]["status"] == "invalid" and got[None, "a", 1]["result_turn"] is None
     empty = toolcalls.link_calls(make([], CALL), make([], RESULT), make([], SCHEMA))
     assert empty.count() == 0
+
+
+def test_levels_of_chains_joints_and_cycles(spark):
+    edges = {0: [], 1: [0], 2: [1], 3: [2, 0], 4: [3], 5: [4, 2], 6: [5], 7: [8], 8: [7], 9: [7, 1], 10: [9], **{i: [i - 1] for i in range(12, 60)}, 11: []}
+    calls = [(1, i, str(i), "f", "{" + ",".join(f'"k{j}":"${d}"' for j, d in enumerate(on)) + "}") for i, on in edges.items()]
+    want = {}
+    while len(want) < len(edges) and (new := {i: 1 + max((want[d] for d in on), default=-1) for i, on in edges.items() if i not in want and all(d in want for d in on)}):
+        want |= new
+    got = toolcalls.link_calls(spark.createDataFrame(calls, CALL), spark.createDataFrame([], RESULT), spark.createDataFrame([], SCHEMA)).collect()
+    assert {int(r["call_id"]): r["level"] for r in got} == {i: want.get(i) for i in edges}
