@@ -33,7 +33,7 @@ from termtide.llm.lexicon import Lexicon, compile_lexicon
 
 WORD = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+")
 #: Most pieces and words that a task remembers, and most distinct pieces it counts before handing them on.
-MEMORY, LONG_WORD = 500_000, 48
+MEMORY, LONG_WORD = 350_000, 48
 
 
 def _byte_letters() -> dict[str, int]:
@@ -337,10 +337,16 @@ def encode(docs: DataFrame, path: str, text_col: str = "text", ids_col: str = "t
     schema = T.StructType([*kept.schema.fields, T.StructField(ids_col, T.ArrayType(T.IntegerType()))])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        gc.disable()
         codec = _codec(*sent.value)
         for batch in batches:
-            ids = [i for chunk in _chunks(texts(batch, text_col)) for i in codec.encode(chunk)]
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(ids, pa.list_(pa.int32()))], schema.names)
+            at = 0
+            for chunk in _chunks(texts(batch, text_col), 1_000_000):
+                ids = [np.array(i, np.int32) for i in codec.encode(chunk)]
+                ends = np.cumsum([0, *map(len, ids)]).astype(np.int32)
+                column = pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate(ids)))
+                yield pa.RecordBatch.from_arrays([*batch.slice(at, len(chunk)).columns, column], schema.names)
+                at += len(chunk)
 
     return kept.mapInArrow(run, schema)
 
@@ -353,8 +359,10 @@ def decode(table: DataFrame, path: str, ids_col: str = "token_ids", text_col: st
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         token_bytes = sent.value.token_bytes
-        for batch in batches:
-            out = [None if ids is None else b"".join(map(token_bytes.__getitem__, ids)).decode("utf-8", "replace") for ids in batch.column(ids_col).to_pylist()]
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(out, pa.string())], schema.names)
+        for whole in batches:
+            for at in range(0, len(whole), 256):
+                batch = whole.slice(at, 256)
+                out = [None if ids is None else b"".join(map(token_bytes.__getitem__, ids)).decode("utf-8", "replace") for ids in (x.as_py() for x in batch.column(ids_col))]
+                yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(out, pa.string())], schema.names)
 
     return kept.mapInArrow(run, schema)
