@@ -121,8 +121,9 @@ def _courses(spark: SparkSession, d: str) -> DataFrame:
 def _transcripts(spark: SparkSession, d: str) -> DataFrame:
     o = table(spark, d, "orders")
     semester = F.concat_ws("-", F.year("o_orderdate"), F.quarter("o_orderdate"))
+    sheets = _courses(spark, d).groupBy("student", "sheet", "code", "lt_no").agg(*(F.min(c).alias(c) for c in ("dept", "college", "cls", "credits")))
     picks = o.groupBy(F.col("o_custkey").alias("student"), semester.alias("semester")).agg(F.max("o_orderkey").alias("sheet"))
-    return requirements.transcript(picks, _courses(spark, d).dropDuplicates(["student", "sheet", "code", "lt_no"]), ["code", "lt_no"])
+    return requirements.transcript(picks, sheets, ["code", "lt_no"])
 
 
 def transcripts(spark: SparkSession, d: str) -> DataFrame:
@@ -186,6 +187,14 @@ idx AS (SELECT campus, building, norm.name AS name, max(year || '-' || term) AS
 _TAKEN = """picks AS (SELECT o_custkey AS student, year(o_orderdate) || '-' || quarter(o_orderdate) AS semester, max(o_orderkey) AS sheet FROM orders GROUP BY ALL),
 taken AS (SELECT p.student, p.semester, p.sheet, 'P' || l_partkey AS code, lpad(l_linenumber::VARCHAR, 3, '0') AS lt_no FROM picks p JOIN lineitem ON l_orderkey = p.sheet
   QUALIFY row_number() OVER (PARTITION BY p.student, l_partkey, l_linenumber ORDER BY p.semester, p.sheet) = 1)"""
+_RECOGNISED = _TAKEN + """, dd AS (SELECT o_custkey AS student, l_orderkey AS sheet, 'P' || l_partkey AS code, lpad(l_linenumber::VARCHAR, 3, '0') AS lt_no, p_brand AS dept, p_type AS college, p_size AS credits,
+  CASE l_returnflag WHEN 'R' THEN '전선' WHEN 'A' THEN '전필' ELSE '교양' END AS cls FROM lineitem JOIN orders ON l_orderkey = o_orderkey JOIN part ON l_partkey = p_partkey),
+one_ AS (SELECT student, sheet, code, lt_no, min(dept) AS dept, min(college) AS college, min(credits) AS credits, min(cls) AS cls FROM dd GROUP BY ALL),
+aud AS (SELECT student, code, min(dept) AS dept, min(college) AS college, min(cls) AS cls, min(credits) AS credits, (student % 3)::INTEGER AS spec_id FROM taken JOIN one_ USING (student, sheet, code, lt_no) GROUP BY student, code),
+specs AS (SELECT * FROM (VALUES (0, 'Brand#3', ['P17', 'P170'], ['P19'], false, ['ECONOMY'], ['Brand#1']), (1, 'Brand#1', ['P5'], ['P2'], false, ['SMALL', 'LARGE'], ['Brand#22']),
+  (2, 'Brand#7', []::VARCHAR[], []::VARCHAR[], true, []::VARCHAR[], []::VARCHAR[])) t(spec_id, own, courses, prefixes, any_dept, colleges, depts)),
+rec AS (SELECT aud.* FROM aud JOIN specs USING (spec_id) WHERE NOT contains(dept, own) AND (list_contains(courses, code) OR len(list_filter(prefixes, lambda p: starts_with(code, p))) > 0
+  OR (cls IN ('전선', '전필') AND (any_dept OR list_contains(colleges, college) OR len(list_filter(depts, lambda x: contains(dept, x))) > 0))))"""
 ORACLE_SQL = {
     "professor_ids": f"WITH {_IDS} SELECT prof, department, prof_id, count(*) AS n, min(year) AS first_year FROM res GROUP BY ALL",
     "professor_offerings": f"WITH {_IDS}, g AS (SELECT prof_id, idx, sbjt_cd, lt_no, department FROM res JOIN terms USING (year, term)) SELECT prof_id, count(DISTINCT (idx, sbjt_cd, lt_no))::INTEGER AS n, arg_min(sbjt_cd, (idx, sbjt_cd, lt_no)) AS first_code, min(idx)::INTEGER AS newest, string_agg(DISTINCT department, ',' ORDER BY department) AS departments FROM g GROUP BY prof_id",
@@ -206,4 +215,9 @@ FROM pool p JOIN q ON q.campus = p.campus AND (q.b IS NULL OR (q.query_id = 2 AN
 WHERE NOT EXISTS (SELECT 1 FROM meet m WHERE m.campus = p.campus AND m.name = p.name AND m.day_index = q.d AND m.start_time < q.e AND m.end_time > q.s)""",
     "room_clashes": f"WITH {_ROOMS}, m AS (SELECT DISTINCT campus, name, day_index, class_id, start_time, end_time FROM meet) SELECT a.campus, a.name, a.day_index, count(*) AS n, min(a.class_id) AS first_class FROM m a JOIN m b ON a.campus = b.campus AND a.name = b.name AND a.day_index = b.day_index AND a.class_id < b.class_id AND a.start_time < b.end_time AND a.end_time > b.start_time GROUP BY ALL",
     "transcripts": f"WITH {_TAKEN} SELECT * FROM taken",
+    "recognised_courses": f"WITH {_RECOGNISED} SELECT student, spec_id, code, credits FROM rec",
+    "elective_credits": f"""WITH {_RECOGNISED}, tracks AS (SELECT * FROM (VALUES (0, 'single', 40), (0, 'multi', NULL), (1, 'single', 25), (2, 'single', 60)) t(spec_id, track, recog_max)),
+own_ AS (SELECT student, spec_id, sum(credits) AS s FROM aud JOIN specs USING (spec_id) WHERE contains(dept, own) AND cls = '전선' GROUP BY ALL),
+oth AS (SELECT student, spec_id, sum(credits) AS s FROM rec GROUP BY ALL), both_ AS (SELECT coalesce(a.student, b.student) AS student, coalesce(a.spec_id, b.spec_id) AS spec_id, coalesce(a.s, 0) AS o, coalesce(b.s, 0) AS r FROM own_ a FULL JOIN oth b ON a.student = b.student AND a.spec_id = b.spec_id)
+SELECT student, spec_id, track, (o + least(r, coalesce(recog_max, r)))::BIGINT AS credits FROM both_ JOIN tracks USING (spec_id)""",
 }
