@@ -34,6 +34,8 @@ from termtide.llm.lexicon import Lexicon, compile_lexicon
 WORD = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+")
 #: Most pieces and words that a task remembers, and most distinct pieces it counts before handing them on.
 MEMORY, LONG_WORD = 350_000, 48
+#: What a task remembers where it also holds ids to hand on.
+SMALL_MEMORY = 100_000
 
 
 def _byte_letters() -> dict[str, int]:
@@ -185,15 +187,16 @@ class Merges:
 class Codec:
     """Encoder and decoder of one task."""
 
-    def __init__(self, merges: Merges, lexicon: bytes):
-        self.merges, self.lexicon = merges, Lexicon(lexicon)
+    def __init__(self, merges: Merges, lexicon: bytes, memory: int = MEMORY):
+        self.merges, self.lexicon, self.memory = merges, Lexicon(lexicon), memory
+        self.numbers = [*range(len(merges.token_bytes))]  # one object for each id
         self.pieces: dict[str, tuple[int, ...]] = {}
         self.words: dict[str, tuple[int, ...]] = {}
         self.split = regex.compile("(" + "|".join(regex.escape(s) for s in sorted(merges.special, key=len, reverse=True)) + ")") if merges.special else None
 
     def learn(self, pieces: set[str]) -> None:
         """Remember the ids of new pieces (each with the space before it)."""
-        if len(self.pieces) > MEMORY:
+        if len(self.pieces) > self.memory:
             self.pieces.clear()
         new = {p: WORD.findall(" " + p) for p in pieces.difference(self.pieces) if p and not p[0].isspace()}
         self.learn_words(set(chain.from_iterable(new.values())))
@@ -202,14 +205,14 @@ class Codec:
             self.pieces[p] = words[found[0]] if len(found) == 1 else tuple(chain.from_iterable(map(words.__getitem__, found)))
 
     def learn_words(self, words: set[str]) -> None:
-        if len(self.words) > MEMORY:
+        if len(self.words) > self.memory:
             self.words.clear()
         new = [*words.difference(self.words)]
         raw = [w.encode() for w in new]
         numbers = self.lexicon.find([r if len(r) <= LONG_WORD else b"" for r in raw]).tolist()
         unseen = iter(self.merges.merge_many([r for r, number in zip(raw, numbers, strict=True) if number < 0]))
         for word, number in zip(new, numbers, strict=True):
-            self.words[word] = self.lexicon.output(number) if number >= 0 else next(unseen)
+            self.words[word] = tuple(map(self.numbers.__getitem__, self.lexicon.output(number) if number >= 0 else next(unseen)))
 
     def _plain(self, text: str) -> list[int]:
         """Ids of a text without special tokens."""
@@ -232,7 +235,7 @@ class Codec:
             first, *parts = text.split(" ")
             heads.update(WORD.findall(first))
             pieces.update(parts)
-            if len(pieces) > MEMORY:
+            if len(pieces) > self.memory:
                 break
         self.learn(pieces)
         self.learn_words(heads)
@@ -260,6 +263,19 @@ def _codec(merges: Merges, lexicon: bytes) -> Codec:
     return _LAST[0][1]
 
 
+def _without_collector(run):
+    """The same batches with the cyclic collector off meanwhile: its rounds over remembered pieces cost more than the encoding."""
+
+    def quiet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        gc.disable()
+        try:
+            yield from run(batches)
+        finally:
+            gc.enable()
+
+    return quiet
+
+
 def _chunks(batch: list[str], limit: int = 4_000_000) -> Iterator[list[str]]:
     """Runs of texts of about so many characters."""
     own, size = [], 0
@@ -276,8 +292,8 @@ def _chunks(batch: list[str], limit: int = 4_000_000) -> Iterator[list[str]]:
 def word_counts(docs: DataFrame, text_col: str = "text") -> DataFrame:
     """(word, n): how often each word of the splitting pattern occurs in all texts; tasks count before the shuffle."""
 
+    @_without_collector
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        gc.disable()
         pieces: Counter[str] = Counter()
 
         def handed() -> pa.RecordBatch:
@@ -314,8 +330,8 @@ def digests(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str =
     sent = _codecs(docs, path, text_col, lexicon_words)
     schema = T.StructType([T.StructField(id_col, docs.schema[id_col].dataType), T.StructField("n_tokens", T.LongType()), T.StructField("ids_sha256", T.StringType()), T.StructField("decoded_sha256", T.StringType())])
 
+    @_without_collector
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        gc.disable()  # its rounds over the remembered pieces cost more than the encoding
         codec = _codec(*sent.value)
         names = [str(i) for i in range(len(codec.merges.token_bytes))]
         for batch in batches:
@@ -336,9 +352,9 @@ def encode(docs: DataFrame, path: str, text_col: str = "text", ids_col: str = "t
     kept = docs.drop(ids_col)
     schema = T.StructType([*kept.schema.fields, T.StructField(ids_col, T.ArrayType(T.IntegerType()))])
 
+    @_without_collector
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        gc.disable()
-        codec = _codec(*sent.value)
+        codec = Codec(*sent.value, memory=SMALL_MEMORY)
         for batch in batches:
             at = 0
             for chunk in _chunks(texts(batch, text_col), 1_000_000):
