@@ -39,7 +39,7 @@ TOKEN = re.compile(r"[A-Za-z0-9+/_-]{20,}={0,2}")
 ENCODINGS = (
     ("hex", "0123456789abcdef", 0.6),
     ("base32", "ABCDEFGHIJKLMNOPQRSTUVWXYZ234567", 1.1),
-    ("base64", "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/", 1.5),
+    ("base64", "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/", 2.5),
 )
 #: Lower ends of the length classes.
 LENGTHS = (20, 28, 40, 64, 128)
@@ -173,7 +173,7 @@ def thresholds(raw: DataFrame, q: float) -> dict[int, int]:
     """For each length class the first bin that is declared not random, by Benjamini-Hochberg at level q.
 
     Spark counts all candidates by class and bin; at most classes x bins rows, however large the corpus,
-    come to the driver. A class in which nothing is rejected falls back to Bonferroni's bound.
+    come to the driver. With k of m candidates rejected the bound is q * k / m, or q / m where none is.
     """
     counted = (
         raw.select(F.explode("found").alias("f")).where("f.rank = 3")
@@ -182,12 +182,12 @@ def thresholds(raw: DataFrame, q: float) -> dict[int, int]:
     out = {}
     for stratum in {r["stratum"] for r in counted}:
         bins = {r["bin"]: r["count"] for r in counted if r["stratum"] == stratum}
-        total, below, first = sum(bins.values()), 0, None
+        total, below, rejected = sum(bins.values()), 0, 1
         for b in sorted(bins, reverse=True):
             below += bins[b]
             if 10 ** (-b / BINS_PER_DECADE) <= q * below / total:
-                first = b
-        out[stratum] = first if first is not None else p_bin(q / total) + 1
+                rejected = below
+        out[stratum] = p_bin(q * rejected / total) + 1
     return out
 
 
