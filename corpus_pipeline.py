@@ -37,10 +37,8 @@ def without_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 
 def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    path = public_tokenizers.path("byte_bpe_50k.json")
-    out = bpe.decode(bpe.encode(docs, path), path, text_col="decoded")
-    same = F.col("decoded") == F.coalesce("text", F.lit(""))
-    return out.withColumn("n_tokens", F.size("token_ids").cast("long")).withColumn("round_trip", same).drop("decoded")
+    out = bpe.encode(docs, public_tokenizers.path("byte_bpe_50k.json"), check_col="round_trip")
+    return out.withColumn("n_tokens", F.size("token_ids").cast("long"))
 
 
 STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = [

@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from termtide.llm.common import texts
+from termtide.llm.common import lean, texts
 from termtide.llm.lexicon import Lexicon, compile_lexicon
 
 WORD = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+")
@@ -311,7 +311,7 @@ def word_counts(docs: DataFrame, text_col: str = "text") -> DataFrame:
                     yield handed()
         yield handed()
 
-    return docs.select(text_col).mapInArrow(count, "word string, n long").groupBy("word").agg(F.sum("n").alias("n"))
+    return docs.select(text_col).mapInArrow(lean(count, 10_000), "word string, n long").groupBy("word").agg(F.sum("n").alias("n"))
 
 
 def build_lexicon(docs: DataFrame, merges: Merges, text_col: str = "text", lexicon_words: int = 32_768) -> bytes:
@@ -343,14 +343,18 @@ def digests(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str =
                     decoded.append(hashlib.sha256(codec.decode(ids).encode()).hexdigest())
             yield pa.RecordBatch.from_arrays([batch.column(id_col), pa.array(n, pa.int64()), pa.array(hashed, pa.string()), pa.array(decoded, pa.string())], schema.names)
 
-    return docs.select(id_col, text_col).mapInArrow(run, schema)
+    return docs.select(id_col, text_col).mapInArrow(lean(run, 10_000), schema)
 
 
-def encode(docs: DataFrame, path: str, text_col: str = "text", ids_col: str = "token_ids", lexicon_words: int = 32_768) -> DataFrame:
-    """The table with the ids of each text as an array in `ids_col`, which replaces a column of that name."""
+def encode(docs: DataFrame, path: str, text_col: str = "text", ids_col: str = "token_ids", check_col: str | None = None, lexicon_words: int = 32_768) -> DataFrame:
+    """The table with the ids of each text as an array in `ids_col`, which replaces a column of that name.
+
+    With `check_col` the ids are decoded at once, and the column says whether that gives the text again.
+    """
     sent = _codecs(docs, path, text_col, lexicon_words)
-    kept = docs.drop(ids_col)
-    schema = T.StructType([*kept.schema.fields, T.StructField(ids_col, T.ArrayType(T.IntegerType()))])
+    kept = docs.drop(ids_col, *([check_col] if check_col else []))
+    more = [T.StructField(check_col, T.BooleanType())] if check_col else []
+    schema = T.StructType([*kept.schema.fields, T.StructField(ids_col, T.ArrayType(T.IntegerType())), *more])
 
     @_without_collector
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -358,13 +362,17 @@ def encode(docs: DataFrame, path: str, text_col: str = "text", ids_col: str = "t
         for batch in batches:
             at = 0
             for chunk in _chunks(texts(batch, text_col), 1_000_000):
-                ids = [np.array(i, np.int32) for i in codec.encode(chunk)]
+                ids, same = [], []
+                for text, own in zip(chunk, codec.encode(chunk), strict=True):
+                    ids.append(np.array(own, np.int32))
+                    same.append(codec.decode(own) == text if check_col else True)
                 ends = np.cumsum([0, *map(len, ids)]).astype(np.int32)
                 column = pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate(ids)))
-                yield pa.RecordBatch.from_arrays([*batch.slice(at, len(chunk)).columns, column], schema.names)
+                extra = [pa.array(same)] if check_col else []
+                yield pa.RecordBatch.from_arrays([*batch.slice(at, len(chunk)).columns, column, *extra], schema.names)
                 at += len(chunk)
 
-    return kept.mapInArrow(run, schema)
+    return kept.mapInArrow(lean(run), schema)
 
 
 def decode(table: DataFrame, path: str, ids_col: str = "token_ids", text_col: str = "decoded") -> DataFrame:
@@ -381,4 +389,4 @@ def decode(table: DataFrame, path: str, ids_col: str = "token_ids", text_col: st
                 out = [None if ids is None else b"".join(map(token_bytes.__getitem__, ids)).decode("utf-8", "replace") for ids in (x.as_py() for x in batch.column(ids_col))]
                 yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(out, pa.string())], schema.names)
 
-    return kept.mapInArrow(run, schema)
+    return kept.mapInArrow(lean(run), schema)

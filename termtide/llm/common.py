@@ -2,8 +2,12 @@
 
 from __future__ import annotations
 
+import ctypes
+import gc
 import tempfile
+from collections.abc import Callable, Iterator
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 
 
@@ -34,3 +38,24 @@ def cut(df: DataFrame) -> DataFrame:
 def texts(batch, name: str = "text") -> list[str]:
     """A text column of an Arrow batch, null as empty."""
     return [t or "" for t in batch.column(name).to_pylist()]
+
+
+def lean(run: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]], rows: int = 2000):
+    """The same work on slices of at most `rows` rows; at its end the worker, which Spark keeps, hands its free memory back."""
+
+    def sliced(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for at in range(0, len(batch), rows):
+                yield batch.slice(at, rows)
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        try:
+            yield from run(sliced(batches))
+        finally:
+            gc.collect()
+            pa.default_memory_pool().release_unused()
+            trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # glibc only
+            if trim:
+                trim(0)
+
+    return work

@@ -9,7 +9,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from termtide.llm.common import cut
+from termtide.llm.common import cut, lean
 
 
 def components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
@@ -85,7 +85,7 @@ def by_group(df: DataFrame, keys: list[str], work: Callable[[dict[str, np.ndarra
         for i, j in zip(cuts, cuts[1:], strict=False):
             yield from work({n: c[i:j] for n, c in cols.items()})
 
-    return df.repartition(*keys).sortWithinPartitions(*keys).mapInArrow(run, schema)
+    return df.repartition(*keys).sortWithinPartitions(*keys).mapInArrow(lean(run, 1_000_000), schema)
 
 
 def block_pairs(df: DataFrame, keys: list[str], blocks: str, block: str) -> DataFrame:

@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
-from termtide.llm.common import texts
+from termtide.llm.common import lean, texts
 
 BITS, ORDERS, BATCH = 14, 4, 256
 MULTIPLIER = np.uint32(2654435761)
@@ -106,7 +106,7 @@ def train(labelled: DataFrame, id_col: str, text_col: str, lang_col: str, per_la
                 rows.append(np.packbits(flags).tobytes())
             yield pa.RecordBatch.from_arrays([batch.column("turn"), batch.column(lang_col), pa.array(rows, pa.binary())], ["turn", "lang", "flags"])
 
-    rows = sorted(tuple(r) for r in sample.mapInArrow(pack, "turn int, lang string, flags binary").collect())
+    rows = sorted(tuple(r) for r in sample.mapInArrow(lean(pack), "turn int, lang string, flags binary").collect())
     if not rows:
         return None
     flags = np.unpackbits(np.frombuffer(b"".join(r[2] for r in rows), np.uint8).reshape(len(rows), -1), axis=1).astype(np.float32)
@@ -144,7 +144,7 @@ def predict(docs: DataFrame, model: Model | None, text_col: str = "text") -> Dat
             langs, scores = score(texts(batch, text_col), model, unpacked)
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(langs, pa.string()), pa.array(scores, pa.float64())], schema.names)
 
-    return kept.mapInArrow(run, schema)
+    return kept.mapInArrow(lean(run), schema)
 
 
 def keep_known(docs: DataFrame, model: Model | None, text_col: str = "text", least: float = 0.2) -> DataFrame:
@@ -163,7 +163,7 @@ def keep_known(docs: DataFrame, model: Model | None, text_col: str = "text", lea
                 mask = [x != UNKNOWN and s >= least for x, s in zip(langs, scores, strict=True)]
             yield batch.filter(pa.array(mask, pa.bool_()))
 
-    return docs.mapInArrow(run, docs.schema)
+    return docs.mapInArrow(lean(run), docs.schema)
 
 
 def learn(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", **fitting) -> Model | None:

@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from termtide.llm.common import cut, texts
+from termtide.llm.common import cut, lean, texts
 from termtide.llm.graph import block_pairs, by_group, components, forest
 from termtide.llm.shingles import U, mix, shingle_sets
 
@@ -149,7 +149,7 @@ def _families(classes: DataFrame) -> DataFrame:
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(id, n_shingles, component_id, kept) of each row."""
     plain = docs.select(F.col(id_col).cast("long").alias("doc"), F.col(text_col).alias("text"))
-    sketched = cut(plain.mapInArrow(_sketch("doc", "text"), "doc long, n_shingles long, f1 long, f2 long, bands array<long>, sketch binary"))
+    sketched = cut(plain.mapInArrow(lean(_sketch("doc", "text")), "doc long, n_shingles long, f1 long, f2 long, bands array<long>, sketch binary"))
     shape = ["n_shingles", "f1", "f2"]
     classes = cut(
         sketched.where("n_shingles > 0 and doc is not null").groupBy(*shape)
@@ -163,7 +163,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     )
     members = cut(members.join(classes.select("doc", *shape), "doc").withColumn("block", F.pmod(F.xxhash64("doc"), F.col("blocks")).cast("int")))
     wanted = F.broadcast(members) if members.count() <= BROADCAST_IDS else members
-    sets = plain.join(wanted, "doc").mapInArrow(_with_sets("text"), "doc long, family long, blocks int, n_shingles long, f1 long, f2 long, block int, shingles binary")
+    sets = plain.join(wanted, "doc").mapInArrow(lean(_with_sets("text")), "doc long, family long, blocks int, n_shingles long, f1 long, f2 long, block int, shingles binary")
     sets = block_pairs(sets.where(F.length("shingles") == F.col("n_shingles") * 8), ["family"], "blocks", "block").select("family", "block_a", "block_b", "block", "doc", "shingles")
     linked = components(by_group(sets, ["family", "block_a", "block_b"], _confirm, "a long, b long"))
     final = classes.select(*shape, "doc").join(linked.withColumnRenamed("node", "doc"), "doc", "left").select(*shape, F.coalesce("component", "doc").alias("component_id"))

@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from termtide.llm.common import cut, texts
+from termtide.llm.common import cut, lean, texts
 
 KINDS = ("email", "ip", "card", "phone")
 DOMAIN = re.compile(r"@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+")
@@ -204,7 +204,7 @@ def find(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", least:
         T.StructField(id_col, docs.schema[id_col].dataType), *(T.StructField(f"n_{k}", T.LongType()) for k in KINDS),
         T.StructField("base_sha256", T.StringType()), T.StructField("found", T.ArrayType(SPAN)),
     ])
-    raw = cut(docs.select(id_col, text_col).mapInArrow(_scan(id_col, text_col), schema))
+    raw = cut(docs.select(id_col, text_col).mapInArrow(lean(_scan(id_col, text_col)), schema))
     counted = raw.select(F.explode("found").alias("f")).groupBy("f.kind", "f.shape").count().collect()
     good = train([tuple(r) for r in counted], least)
     number = lambda f: f["kind"] * 3**VOTES * 16 + f["shape"]

@@ -25,7 +25,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from termtide.llm.common import cut, texts
+from termtide.llm.common import cut, lean, texts
 
 KINDS = ("assign", "access", "hex", "random")
 ASSIGN = re.compile(r"(password|passwd|secret|token|api_?key)[\"']?\x20*[:=]\x20*[\"']?([A-Za-z0-9+/_.=-]+)", re.I | re.A)
@@ -166,7 +166,7 @@ def scan_raw(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
         T.StructField(id_col, id_type), T.StructField("n_assign", T.LongType()), T.StructField("n_access", T.LongType()),
         T.StructField("n_hex", T.LongType()), T.StructField("base_sha256", T.StringType()), T.StructField("found", FOUND),
     ])
-    return docs.select(id_col, text_col).mapInArrow(_scan(id_col, text_col), schema)
+    return docs.select(id_col, text_col).mapInArrow(lean(_scan(id_col, text_col)), schema)
 
 
 def thresholds(raw: DataFrame, q: float) -> dict[int, int]:
@@ -232,4 +232,4 @@ def redact(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", q: f
             arrays = [pa.array(out, pa.string()) if n == text_col else batch.column(n) for n in batch.schema.names]
             yield pa.RecordBatch.from_arrays(arrays, batch.schema.names)
 
-    return docs.mapInArrow(cut_batches, schema)
+    return docs.mapInArrow(lean(cut_batches), schema)

@@ -17,7 +17,7 @@ IS_SPACE = np.isin(np.arange(256), [0x20, *range(0x09, 0x0E)])
 LOWER = np.array([b + 32 if 65 <= b <= 90 else b for b in range(256)], np.uint8)
 WORD_WEIGHT = _RANDOM.integers(1, 2**63, 64, dtype=np.uint64) | U(1)
 #: Bytes of text that are hashed at a time.
-BATCH_BYTES = 2_000_000
+BATCH_BYTES = 1_000_000
 
 
 def mix(x: np.ndarray) -> np.ndarray:
