@@ -31,6 +31,8 @@ UNKNOWN = "und"
 LETTER = re.compile(r"[^\W\d_]")
 #: Characters of a text whose n-grams are hashed at a time.
 SLICE = 1_000_000
+#: Most languages that are learned (the most frequent ones).
+MOST_LANGUAGES = 100
 
 
 def mark(text: str, row: np.ndarray) -> None:
@@ -90,11 +92,19 @@ def fit(flags: np.ndarray, langs: list[str], landmarks: int, ridge: float) -> Mo
 
 
 def train(labelled: DataFrame, id_col: str, text_col: str, lang_col: str, per_language: int = 800, landmarks: int = 160, ridge: float = 1e-4) -> Model | None:
-    """Fit on at most `per_language` rows of each language, chosen by a hash of the id; tasks send flags, not texts."""
-    order = Window.partitionBy(lang_col).orderBy(F.xxhash64(F.col(id_col)), id_col, F.xxhash64(text_col))
+    """Fit on at most `per_language` rows of each language, those with the smallest hashes of their ids; tasks send flags, not texts."""
+    lang, hashed = F.col(lang_col), F.xxhash64(F.col(id_col))
+    known = labelled.where(lang.isNotNull())
+    counts = known.groupBy(lang.alias("lang")).count().orderBy(F.desc("count"), "lang").limit(MOST_LANGUAGES).collect()
+    # hashes are uniform: a slice of them holds about four times the rows wanted, so few rows leave their tasks
+    chosen = F.lit(False)
+    for r in counts:
+        share = min(1.0, 4 * per_language / r["count"])
+        chosen = chosen | ((lang == r["lang"]) & (hashed <= F.lit(int(-(2**63) + share * (2**64 - 1) - 1)).cast("long") if share < 1 else lang == r["lang"]))
+    order = Window.partitionBy(lang_col).orderBy(hashed, id_col, F.xxhash64(text_col))
     sample = (
-        labelled.where(F.col(lang_col).isNotNull() & F.col(text_col).rlike(r"\p{L}"))
-        .select(id_col, text_col, lang_col).withColumn("turn", F.row_number().over(order)).where(F.col("turn") <= per_language)
+        known.where(chosen & F.col(text_col).rlike(r"\p{L}")).select(id_col, text_col, lang_col)
+        .withColumn("turn", F.row_number().over(order)).where(F.col("turn") <= per_language)
     )
 
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

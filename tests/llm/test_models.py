@@ -18,6 +18,8 @@ def test_language_on_held_out_rows(spark):
     assert len(held) > 50 and np.mean([r["lang_pred"] == want[r["doc_id"]] for r in held]) > 0.97
     assert all(r["lang_pred"] == "und" and r["score"] == 0 for r in got if (r["doc_id"] or 0) >= 1000)
     assert all(0 <= r["score"] <= 1 for r in got)
+    few = [r for r in language.identify(docs, per_language=10, landmarks=24).collect() if (r["doc_id"] or 0) < 1000]
+    assert np.mean([r["lang_pred"] == want[r["doc_id"]] for r in few]) > 0.9
     assert [r["lang_pred"] for r in language.identify(docs.withColumn("lang", F.lit(None).cast("string"))).collect()] == ["und"] * len(rows)
     assert language.identify(docs.limit(0)).count() == 0
 
