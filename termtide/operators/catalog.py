@@ -168,8 +168,8 @@ def apply_latest(catalog: DataFrame, latest: DataFrame, key: Sequence[str], metr
 
 def freshness(latest: DataFrame, passes: DataFrame) -> DataFrame:
     """One row: the newer of the newest latest-time and the newest pass; null without latest rows."""
-    joined = latest.agg(F.max("ts").alias("a")).crossJoin(passes.agg(F.max("ts").alias("b")))
-    return joined.select(F.when(F.col("a").isNotNull(), F.greatest("a", "b")).alias("fresh_at"))
+    both = latest.select("ts", F.lit(1).alias("is_latest")).unionByName(passes.select("ts", F.lit(0).alias("is_latest")))
+    return both.agg(F.max("ts").alias("ts"), F.max("is_latest").alias("any")).select(F.when(F.col("any") == 1, F.col("ts")).alias("fresh_at"))
 
 
 def restore_metric(rebuilt: DataFrame, old: DataFrame, key: Sequence[str], col: str) -> DataFrame:
