@@ -46,3 +46,11 @@ def test_query_round_trip_on_nulls_and_repeats(spark):
     back = bpe.decode(bpe.encode(docs, PATH), PATH).select("text", "decoded").collect()
     assert all((r["text"] or "") == r["decoded"] for r in back)
     assert bpe.digests(docs.limit(0), PATH).count() == 0
+
+
+def test_frequent_words_are_the_top_by_count(spark):
+    rows = [(f"w{i}", 1 + i * i % 97) for i in range(500)]
+    want = [r[0] for r in sorted((r for r in rows if r[1] > 1), key=lambda r: (-r[1], r[0]))]
+    for most in (1, 50, 480, 2000):
+        got = bpe.frequent_words(spark.createDataFrame(rows, "word string, n long"), most).collect()
+        assert [r["word"] for r in got] == want[:most]
