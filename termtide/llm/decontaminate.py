@@ -19,6 +19,8 @@ import string
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from termtide.llm.common import cut
+
 WINDOW, K = 10, 5
 MOST_IDS = 1_000_000
 PARTS = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
@@ -104,6 +106,6 @@ def find_hits(
 
 def remove_hits(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: str = "text", **names) -> DataFrame:
     """The rows of texts that share no window with an item, all columns."""
-    bad = find_hits(docs, items, id_col, text_col, **names).where("contaminated").select("mark").distinct()
+    bad = cut(find_hits(docs, items, id_col, text_col, **names).where("contaminated").select("mark").distinct())
     bad = F.broadcast(bad) if bad.count() <= MOST_IDS else bad
     return docs.join(bad, F.xxhash64(text_col) == F.col("mark"), "left_anti")
