@@ -19,13 +19,16 @@ from pyspark.sql import functions as F
 from termtide.llm import bpe, decontaminate, language, neardup, secrets
 from termtide.llm.common import shared_dir, table
 
+#: Least similarity of near copies, in percent.
+NEAR_PERCENT = 80
+
 
 def known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return language.keep_known(docs, language.learn(docs))
 
 
 def one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return neardup.deduplicate(docs)
+    return neardup.deduplicate(docs, percent=NEAR_PERCENT)
 
 
 def without_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

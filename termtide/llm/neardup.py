@@ -3,10 +3,11 @@
 1. Each text becomes its set of five-word shingles. Under each of `VALUES / 2` permutations both the
    smallest and the largest hash are kept, so one evaluation gives two signature values. Sets that are
    equal (size and 128 bits of fingerprint) form one class with one representative.
-2. Bands of `ROWS` values bring representatives together. A pair at similarity 0.85 shares no band with
-   probability (1 - 0.85 ** 5) ** 24 < 1e-6. Within a bucket one byte of each signature value is compared;
-   pairs that agree too rarely for 0.85 (5.5 standard deviations below) part. What remains connected is a
-   family. Large buckets are compared block against block.
+2. Bands of `ROWS` values bring representatives together. Their number follows from the bar (a similarity
+   in percent): a pair at the bar shares no band with probability (1 - bar ** 5) ** bands < 1e-6, which
+   takes 24 bands at 0.85 and 36 at 0.80. Within a bucket one byte of each signature value is compared;
+   pairs that agree too rarely for the bar (5.5 standard deviations below) part. What remains connected is
+   a family. Large buckets are compared block against block.
 3. Within families full sets are compared exactly, block against block, by sparse-to-dense matrix
    products. Tasks give only links that join parts; connected components of those are the result.
 
@@ -17,7 +18,9 @@ empty table gives no rows; other columns are ignored (`near_duplicates`) or pass
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
@@ -28,13 +31,9 @@ from termtide.llm.common import cut, lean, texts
 from termtide.llm.graph import block_pairs, by_group, components, forest
 from termtide.llm.shingles import U, mix, shingle_sets
 
-ROWS, BANDS = 5, 24
-VALUES = ROWS * BANDS
-_SEEDS = np.random.default_rng(41)
-FACTOR = _SEEDS.integers(1, 2**63, VALUES // 2, dtype=np.uint64) | U(1)
-OFFSET = _SEEDS.integers(0, 2**63, VALUES // 2, dtype=np.uint64)
-#: Signature values of a pair at 0.85 agree less often than this with probability < 1e-7.
-AGREE = int(VALUES * (0.85 - 5.5 * (0.85 * 0.15 / VALUES) ** 0.5))
+ROWS = 5
+#: Greatest chance of a pair at the bar to meet in no band.
+MISSED = 1e-6
 #: Documents of a block, and shingles of a block of full sets.
 BLOCK, BLOCK_SHINGLES = 512, 2_000_000
 #: Ids that may be broadcast to fetch the texts of families; beyond it the texts are joined by a shuffle.
@@ -42,39 +41,68 @@ BROADCAST_IDS = 1_000_000
 PERCENT = 85
 
 
-def signatures(sizes: np.ndarray, flat: np.ndarray) -> np.ndarray:
+@dataclass(frozen=True)
+class Bar:
+    """What follows from the least similarity of a link: bands, the permutations, and the agreement of sketches."""
+
+    percent: int
+    bands: int
+    agree: int
+    factor: np.ndarray
+    offset: np.ndarray
+
+    @property
+    def values(self) -> int:
+        return ROWS * self.bands
+
+
+def bar_at(percent: int) -> Bar:
+    if not 50 <= percent < 100:
+        raise ValueError(f"a bar from 50 to 99 percent is asked for, not {percent}")
+    t = percent / 100
+    bands = math.ceil(math.log(MISSED) / math.log(1 - t**ROWS))
+    bands += bands % 2  # each permutation gives two values
+    values = ROWS * bands
+    seeds = np.random.default_rng(41)
+    factor = seeds.integers(1, 2**63, values // 2, dtype=np.uint64) | U(1)
+    offset = seeds.integers(0, 2**63, values // 2, dtype=np.uint64)
+    # signature values of a pair at the bar agree less often than this with probability < 1e-7
+    return Bar(percent, bands, int(values * (t - 5.5 * (t * (1 - t) / values) ** 0.5)), factor, offset)
+
+
+def signatures(sizes: np.ndarray, flat: np.ndarray, bar: Bar) -> np.ndarray:
     """Smallest and largest permuted hash of each set that is not empty, side by side."""
     starts = (np.cumsum(sizes) - sizes)[sizes > 0]
-    out = np.empty((len(starts), VALUES), np.uint32)
-    for p in range(VALUES // 2):
-        h = ((flat * FACTOR[p] + OFFSET[p]) >> U(32)).astype(np.uint32)
+    out = np.empty((len(starts), bar.values), np.uint32)
+    for p in range(bar.values // 2):
+        h = ((flat * bar.factor[p] + bar.offset[p]) >> U(32)).astype(np.uint32)
         out[:, 2 * p] = np.minimum.reduceat(h, starts)
         out[:, 2 * p + 1] = np.maximum.reduceat(h, starts)
     return out
 
 
-def _sketch(id_col: str, text_col: str):
+def _sketch(text_col: str, bar: Bar):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             ids = batch.column(0)
             for first, sizes, flat in shingle_sets(texts(batch, text_col)):
                 full = sizes > 0
-                sums, xors, bands = np.zeros(len(sizes), np.uint64), np.zeros(len(sizes), np.uint64), np.zeros((len(sizes), BANDS), np.uint64)
+                sums, xors, bands = np.zeros(len(sizes), np.uint64), np.zeros(len(sizes), np.uint64), np.zeros((len(sizes), bar.bands), np.uint64)
                 bytes_ = [b""] * len(sizes)
                 if full.any():
                     starts = (np.cumsum(sizes) - sizes)[full]
                     sums[full] = np.add.reduceat(mix(flat ^ U(0x5BD1E995)), starts)
                     xors[full] = np.bitwise_xor.reduceat(mix(flat + U(0x2545F4914F6CDD1D)), starts)
-                    sig = signatures(sizes, flat)
-                    key = np.zeros((len(sig), BANDS), np.uint64)
+                    sig = signatures(sizes, flat, bar)
+                    key = np.zeros((len(sig), bar.bands), np.uint64)
                     for r in range(ROWS):
                         key = mix(key + sig[:, r::ROWS].astype(np.uint64) + U(r))
-                    bands[full] = mix(key + np.arange(BANDS, dtype=np.uint64))
+                    bands[full] = mix(key + np.arange(bar.bands, dtype=np.uint64))
                     small = mix(sig.astype(np.uint64)).astype(np.uint8)
                     for at, row in zip(np.flatnonzero(full), small, strict=True):
                         bytes_[at] = row.tobytes()
                 n = len(sizes)
-                lists = pa.ListArray.from_arrays(pa.array(np.arange(n + 1) * BANDS, pa.int32()), pa.array(bands.ravel().view(np.int64)))
+                lists = pa.ListArray.from_arrays(pa.array(np.arange(n + 1) * bar.bands, pa.int32()), pa.array(bands.ravel().view(np.int64)))
                 yield pa.RecordBatch.from_arrays(
                     [ids.slice(first, n), pa.array(sizes), pa.array(sums.view(np.int64)), pa.array(xors.view(np.int64)), lists, pa.array(bytes_, pa.binary())],
                     ["doc", "n_shingles", "f1", "f2", "bands", "sketch"],
@@ -83,16 +111,20 @@ def _sketch(id_col: str, text_col: str):
     return run
 
 
-def _compare(group: dict) -> list[pa.RecordBatch]:
-    """Links of representatives of one bucket (or of two of its blocks) whose sketches may reach the threshold."""
-    side = group["block"] == group["block_a"][0]
-    other = group["block"] == group["block_b"][0]
-    rows = np.frombuffer(b"".join(group["sketch"]), np.uint8).reshape(-1, VALUES)
-    a, b = rows[side], rows[other]
-    links = np.empty((len(a), len(b)), bool)
-    for i, row in enumerate(a):
-        links[i] = (b == row).sum(axis=1) >= AGREE
-    return _edges(links, group["doc"][side], group["doc"][other])
+def _compare(bar: Bar):
+    """Links of representatives of one bucket (or of two of its blocks) whose sketches may reach the bar."""
+
+    def compare(group: dict) -> list[pa.RecordBatch]:
+        side = group["block"] == group["block_a"][0]
+        other = group["block"] == group["block_b"][0]
+        rows = np.frombuffer(b"".join(group["sketch"]), np.uint8).reshape(-1, bar.values)
+        a, b = rows[side], rows[other]
+        links = np.empty((len(a), len(b)), bool)
+        for i, row in enumerate(a):
+            links[i] = (b == row).sum(axis=1) >= bar.agree
+        return _edges(links, group["doc"][side], group["doc"][other])
+
+    return compare
 
 
 def _edges(links: np.ndarray, left: np.ndarray, right: np.ndarray) -> list[pa.RecordBatch]:
@@ -100,28 +132,32 @@ def _edges(links: np.ndarray, left: np.ndarray, right: np.ndarray) -> list[pa.Re
     return [pa.RecordBatch.from_arrays([pa.array(a), pa.array(b)], ["a", "b"])] if len(a) else []
 
 
-def _confirm(group: dict) -> list[pa.RecordBatch]:
+def _confirm(bar: Bar):
     """Exact links of one family (or of two of its blocks) on full sets."""
-    sets = [np.frombuffer(s, np.uint64) for s in group["shingles"]]
-    sizes = np.fromiter(map(len, sets), np.int64, len(sets))
-    values, column, count = np.unique(np.concatenate(sets), return_inverse=True, return_counts=True)
-    row = np.repeat(np.arange(len(sets)), sizes)
-    shared = count > 1
-    column = (np.cumsum(shared) - 1)[column][shared[column]]
-    row = row[shared[np.searchsorted(values, np.concatenate(sets))]]
-    order = np.argsort(column, kind="stable")
-    row, column = row[order], column[order]
-    side = np.flatnonzero(group["block"] == group["block_a"][0])
-    other = np.flatnonzero(group["block"] == group["block_b"][0])
-    both = np.zeros((len(side), len(other)), np.float32)
-    step = 8192
-    for low in range(0, int(shared.sum()), step):
-        i, j = np.searchsorted(column, [low, low + step])
-        part = np.zeros((len(sets), step), np.float32)
-        part[row[i:j], column[i:j] - low] = 1
-        both += part[side] @ part[other].T
-    union = sizes[side][:, None] + sizes[other][None, :] - both
-    return _edges(100 * both.astype(np.float64) >= PERCENT * union.astype(np.float64), group["doc"][side], group["doc"][other])
+
+    def confirm(group: dict) -> list[pa.RecordBatch]:
+        sets = [np.frombuffer(s, np.uint64) for s in group["shingles"]]
+        sizes = np.fromiter(map(len, sets), np.int64, len(sets))
+        values, column, count = np.unique(np.concatenate(sets), return_inverse=True, return_counts=True)
+        row = np.repeat(np.arange(len(sets)), sizes)
+        shared = count > 1
+        column = (np.cumsum(shared) - 1)[column][shared[column]]
+        row = row[shared[np.searchsorted(values, np.concatenate(sets))]]
+        order = np.argsort(column, kind="stable")
+        row, column = row[order], column[order]
+        side = np.flatnonzero(group["block"] == group["block_a"][0])
+        other = np.flatnonzero(group["block"] == group["block_b"][0])
+        both = np.zeros((len(side), len(other)), np.float32)
+        step = 8192
+        for low in range(0, int(shared.sum()), step):
+            i, j = np.searchsorted(column, [low, low + step])
+            part = np.zeros((len(sets), step), np.float32)
+            part[row[i:j], column[i:j] - low] = 1
+            both += part[side] @ part[other].T
+        union = sizes[side][:, None] + sizes[other][None, :] - both
+        return _edges(100 * both.astype(np.float64) >= bar.percent * union.astype(np.float64), group["doc"][side], group["doc"][other])
+
+    return confirm
 
 
 def _with_sets(text_col: str):
@@ -137,25 +173,26 @@ def _with_sets(text_col: str):
     return run
 
 
-def _families(classes: DataFrame) -> DataFrame:
+def _families(classes: DataFrame, bar: Bar) -> DataFrame:
     """(node, component): representatives that sketches connect."""
     rows = classes.select("doc", F.explode("bands").alias("bucket"))
     full = rows.groupBy("bucket").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
     met = rows.join(full, "bucket").withColumn("blocks", F.ceil(F.col("n") / BLOCK).cast("int")).withColumn("block", F.pmod(F.xxhash64("doc"), F.col("blocks")).cast("int"))
     met = block_pairs(met.join(classes.select("doc", "sketch"), "doc"), ["bucket"], "blocks", "block").select("bucket", "block_a", "block_b", "block", "doc", "sketch")
-    return components(by_group(met, ["bucket", "block_a", "block_b"], _compare, "a long, b long"))
+    return components(by_group(met, ["bucket", "block_a", "block_b"], _compare(bar), "a long, b long"))
 
 
-def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(id, n_shingles, component_id, kept) of each row."""
+def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", percent: int = PERCENT) -> DataFrame:
+    """(id, n_shingles, component_id, kept) of each row; texts whose similarity is `percent` or more are linked."""
+    bar = bar_at(percent)
     plain = docs.select(F.col(id_col).cast("long").alias("doc"), F.col(text_col).alias("text"))
-    sketched = cut(plain.mapInArrow(lean(_sketch("doc", "text")), "doc long, n_shingles long, f1 long, f2 long, bands array<long>, sketch binary"))
+    sketched = cut(plain.mapInArrow(lean(_sketch("text", bar)), "doc long, n_shingles long, f1 long, f2 long, bands array<long>, sketch binary"))
     shape = ["n_shingles", "f1", "f2"]
     classes = cut(
         sketched.where("n_shingles > 0 and doc is not null").groupBy(*shape)
         .agg(F.min("doc").alias("doc"), F.first("bands").alias("bands"), F.first("sketch").alias("sketch"))
     )
-    family = cut(_families(classes))
+    family = cut(_families(classes, bar))
     totals = family.join(classes.select("doc", "n_shingles"), F.col("node") == F.col("doc")).groupBy("component").agg(F.count(F.lit(1)).alias("n"), F.sum("n_shingles").alias("s"))
     members = family.join(totals, "component").select(
         F.col("node").alias("doc"), F.col("component").alias("family"),
@@ -165,7 +202,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     wanted = F.broadcast(members) if members.count() <= BROADCAST_IDS else members
     sets = plain.join(wanted, "doc").mapInArrow(lean(_with_sets("text")), "doc long, family long, blocks int, n_shingles long, f1 long, f2 long, block int, shingles binary")
     sets = block_pairs(sets.where(F.length("shingles") == F.col("n_shingles") * 8), ["family"], "blocks", "block").select("family", "block_a", "block_b", "block", "doc", "shingles")
-    linked = components(by_group(sets, ["family", "block_a", "block_b"], _confirm, "a long, b long"))
+    linked = components(by_group(sets, ["family", "block_a", "block_b"], _confirm(bar), "a long, b long"))
     final = classes.select(*shape, "doc").join(linked.withColumnRenamed("node", "doc"), "doc", "left").select(*shape, F.coalesce("component", "doc").alias("component_id"))
     own = sketched.select("doc", *shape).join(final, shape, "left")
     component = F.when(F.col("n_shingles") == 0, F.col("doc")).otherwise(F.col("component_id"))
@@ -173,7 +210,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     return out.withColumn("kept", F.coalesce(F.col(id_col) == F.col("component_id"), F.lit(False)))
 
 
-def deduplicate(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def deduplicate(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", percent: int = PERCENT) -> DataFrame:
     """The rows whose id is the smallest of its component (rows without id go), all columns."""
-    kept = near_duplicates(docs, id_col, text_col).where("kept").select(F.col(id_col).alias("_kept_id")).distinct()
+    kept = near_duplicates(docs, id_col, text_col, percent).where("kept").select(F.col(id_col).alias("_kept_id")).distinct()
     return docs.join(kept, F.col(id_col) == F.col("_kept_id"), "left_semi")

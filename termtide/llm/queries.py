@@ -23,7 +23,7 @@ def op3_histogram_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op4_minmax_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return neardup.near_duplicates(table(spark, sf_dir, "documents"))
+    return neardup.near_duplicates(table(spark, sf_dir, "documents"), percent=85)
 
 
 def op5_tool_call_links(spark: SparkSession, sf_dir: str) -> DataFrame:
