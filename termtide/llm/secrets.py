@@ -4,9 +4,10 @@ Three fixed kinds (assign, access, hex) are always reported. Every other long to
 and digits is a candidate: its encoding is inferred, and a chi-squared test of alphabet uniformity, a
 runs test and a lag-one serial correlation test ask whether it looks like uniform random symbols. The
 three p-values join by Fisher's method. Benjamini-Hochberg control within each length class decides
-which candidates are *not* random. A candidate that stays is reported (kind `random`) only if ordinary
-text of that length and alphabet would have been rejected at the same threshold in 99 of 100 cases, so
-short tokens, on which the tests have no power, are never reported on the strength of a non-rejection.
+which candidates are *not* random. A candidate that stays is reported (kind `random`) only if its own
+symbols speak against text: the ratio of its uniform to its text probability (`textlike`) gives a p-value
+of "is text", controlled in the same way, so that a non-rejection alone never reports a token and neither
+its length nor the share of secrets in the corpus rules one out.
 
 Null texts count as empty; empty texts give a row without spans; repeated rows give repeated results;
 an empty table gives an empty result; columns other than id and text are ignored (`scan`) or passed
@@ -26,6 +27,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from termtide.llm.common import cut, lean, texts
+from termtide.llm.textlike import evidence
 
 KINDS = ("assign", "access", "hex", "random")
 ASSIGN = re.compile(r"(password|passwd|secret|token|api_?key)[\"']?\x20*[:=]\x20*[\"']?([A-Za-z0-9+/_.=-]+)", re.I | re.A)
@@ -34,12 +36,10 @@ ACCESS = re.compile(r"AKIA[A-Z0-9]+")
 HEX = re.compile(r"[0-9a-f]{24,}")
 TOKEN = re.compile(r"[A-Za-z0-9+/_-]{20,}={0,2}")
 
-#: (name, alphabet, excess): excess is k * sum(p^2) - 1 for ordinary text in that alphabet, the growth of
-#: its chi-squared statistic per symbol.
 ENCODINGS = (
-    ("hex", "0123456789abcdef", 0.6),
-    ("base32", "ABCDEFGHIJKLMNOPQRSTUVWXYZ234567", 1.1),
-    ("base64", "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/", 2.5),
+    ("hex", "0123456789abcdef"),
+    ("base32", "ABCDEFGHIJKLMNOPQRSTUVWXYZ234567"),
+    ("base64", "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/"),
 )
 #: Lower ends of the length classes.
 LENGTHS = (20, 28, 40, 64, 128)
@@ -71,17 +71,17 @@ def p_bin(p: float) -> int:
     return min(LAST_BIN, int(-math.log10(max(p, 1e-300)) * BINS_PER_DECADE))
 
 
-def infer(token: str) -> tuple[list[int], int, float]:
-    """Symbol numbers of the token, size of the smallest alphabet that holds it, excess of text in it."""
+def infer(token: str) -> tuple[list[int], int]:
+    """Symbol numbers of the token, and size of the smallest alphabet that holds it."""
     body = token.rstrip("=")
     bare = body.replace("-", "").replace("_", "")
-    for name, alphabet, excess in ENCODINGS[:2]:
+    for name, alphabet in ENCODINGS[:2]:
         for form in (bare, bare.lower()) if name == "hex" else (bare,):
             at = [alphabet.find(c) for c in form]
             if at and min(at) >= 0:
-                return at, len(alphabet), excess
-    _, alphabet, excess = ENCODINGS[2]
-    return [alphabet.find({"-": "+", "_": "/"}.get(c, c)) for c in body], len(alphabet), excess
+                return at, len(alphabet)
+    _, alphabet = ENCODINGS[2]
+    return [alphabet.find({"-": "+", "_": "/"}.get(c, c)) for c in body], len(alphabet)
 
 
 def battery(at: list[int], k: int) -> float:
@@ -106,10 +106,9 @@ def battery(at: list[int], k: int) -> float:
     return fisher((uniform, runs_p, two_sided((serial + 1 / n) * math.sqrt(n))))
 
 
-def text_bin(n: int, k: int, excess: float) -> int:
-    """The bin that ordinary text of n symbols reaches in 99 of 100 cases (only its chi-squared test counted)."""
-    mean, sd = k - 1 + n * excess, math.sqrt(2 * (k - 1) + 4 * n * excess)
-    return p_bin(fisher((chi2_tail(mean - 2.33 * sd, k - 1), 0.5, 0.5)))
+def text_bin(token: str, at: list[int], k: int) -> int:
+    """The bin of the p-value of the hypothesis that the token is text."""
+    return min(LAST_BIN, max(0, int(evidence(token, at, k) / math.log(10) * BINS_PER_DECADE)))
 
 
 def base_spans(text: str) -> list[tuple[int, int, int]]:
@@ -130,9 +129,9 @@ def candidates(text: str, base: list[tuple[int, int, int]]) -> Iterator[tuple[in
         token, start, end = m[0], m.start(), m.end()
         if not any("0" <= c <= "9" for c in token) or not any(c.isalpha() for c in token) or any(s < end and start < e for s, _, e in base):
             continue
-        at, k, excess = infer(token)
+        at, k = infer(token)
         if len(at) >= LENGTHS[0]:
-            yield start, end, sum(len(at) >= x for x in LENGTHS) - 1, p_bin(battery(at, k)), text_bin(len(at), k, excess)
+            yield start, end, sum(len(at) >= x for x in LENGTHS) - 1, p_bin(battery(at, k)), text_bin(token, at, k)
 
 
 def _label(spans: list[tuple[int, int, int]]) -> str:
@@ -169,33 +168,42 @@ def scan_raw(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
     return docs.select(id_col, text_col).mapInArrow(lean(_scan(id_col, text_col)), schema)
 
 
-def thresholds(raw: DataFrame, q: float) -> dict[int, int]:
-    """For each length class the first bin that is declared not random, by Benjamini-Hochberg at level q.
+def first_rejected(bins: dict[int, int], q: float) -> int:
+    """The first bin that Benjamini-Hochberg rejects at level q, from counts by bin.
 
-    Spark counts all candidates by class and bin; at most classes x bins rows, however large the corpus,
-    come to the driver. With k of m candidates rejected the bound is q * k / m, or q / m where none is.
+    With k of m candidates rejected the bound is q * k / m, or q / m where none is.
     """
+    total, below, rejected = sum(bins.values()), 0, 1
+    for b in sorted(bins, reverse=True):
+        below += bins[b]
+        if 10 ** (-b / BINS_PER_DECADE) <= q * below / total:
+            rejected = below
+    return math.ceil(-math.log10(q * rejected / total) * BINS_PER_DECADE - 1e-9)
+
+
+def thresholds(raw: DataFrame, q: float) -> dict[int, tuple[int, int]]:
+    """For each length class the first bins that are declared not random and not text.
+
+    Spark counts all candidates by class and bin of either kind; at most two times classes x bins rows,
+    however large the corpus, come to the driver.
+    """
+    tests = F.array(F.struct(F.lit(0).alias("test"), F.col("f.bin").alias("bin")), F.struct(F.lit(1).alias("test"), F.col("f.text_bin").alias("bin")))
     counted = (
-        raw.select(F.explode("found").alias("f")).where("f.rank = 3")
-        .groupBy(F.col("f.stratum").alias("stratum"), F.col("f.bin").alias("bin")).count().collect()
+        raw.select(F.explode("found").alias("f")).where("f.rank = 3").select(F.col("f.stratum").alias("stratum"), F.explode(tests).alias("t"))
+        .groupBy("stratum", F.col("t.test").alias("test"), F.col("t.bin").alias("bin")).count().collect()
     )
     out = {}
     for stratum in {r["stratum"] for r in counted}:
-        bins = {r["bin"]: r["count"] for r in counted if r["stratum"] == stratum}
-        total, below, rejected = sum(bins.values()), 0, 1
-        for b in sorted(bins, reverse=True):
-            below += bins[b]
-            if 10 ** (-b / BINS_PER_DECADE) <= q * below / total:
-                rejected = below
-        out[stratum] = p_bin(q * rejected / total) + 1
+        random, text = ({r["bin"]: r["count"] for r in counted if (r["stratum"], r["test"]) == (stratum, test)} for test in (0, 1))
+        out[stratum] = first_rejected(random, q), min(first_rejected(text, q), LAST_BIN)
     return out
 
 
-def _kept(found: Column, limits: dict[int, int]) -> Column:
+def _kept(found: Column, limits: dict[int, tuple[int, int]]) -> Column:
     def decide(f: Column) -> Column:
         ok = f["rank"] < 3
-        for stratum, limit in sorted(limits.items()):
-            ok = ok | ((f["stratum"] == stratum) & (f["bin"] < limit) & (f["text_bin"] >= limit))
+        for stratum, (limit, least) in sorted(limits.items()):
+            ok = ok | ((f["stratum"] == stratum) & (f["bin"] < limit) & (f["text_bin"] >= least))
         return ok
 
     return F.filter(found, decide)
@@ -222,7 +230,7 @@ def redact(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", q: f
             out = []
             for text in batch.column(text_col).to_pylist():
                 base = base_spans(text) if text else []
-                more = [(s, 3, e) for s, e, c, b, t in candidates(text, base) if c in limits and b < limits[c] <= t] if text else []
+                more = [(s, 3, e) for s, e, c, b, t in candidates(text, base) if c in limits and b < limits[c][0] and t >= limits[c][1]] if text else []
                 done, pieces = 0, []
                 for s, k, e in sorted(base + more):
                     if s >= done:

@@ -47,6 +47,33 @@ def test_redaction_keeps_rows_and_clean_texts(spark):
     assert got[6] == "héé <hex>" and "<assign>" in got[3] and "<access>" in got[4]
 
 
+def test_random_keys_of_any_length_and_share(spark):
+    own = random.Random(9)
+    alphabets = {"HEX": "0123456789ABCDEF", "base32": "ABCDEFGHIJKLMNOPQRSTUVWXYZ234567", "base64": B64}
+    keys = {(name, n): ["".join(own.choices(a, k=n)) for _ in range(40)] for name, a in alphabets.items() for n in (20, 32, 40, 64)}
+    keys["uuid", 36] = [f"{h[:8]}-{h[8:12]}-{h[12:16]}-{h[16:20]}-{h[20:]}" for h in ("%032x" % own.getrandbits(128) for _ in range(40))]
+    want = {key: [(t, k) for t in own_keys if any(c.isdigit() for c in t) and any(c.isalpha() for c in t)] for k, (key, own_keys) in enumerate(keys.items())}
+    for text in ([], WORDY):  # keys alone, and keys beside text
+        rows = [(t, k) for part in want.values() for t, k in part] + [(t, -1) for t in text]
+        docs = spark.createDataFrame([(i, f"see {t} ok") for i, (t, _) in enumerate(rows)], "doc_id long, text string")
+        spans = {r["doc_id"]: r["spans"] for r in secrets.scan(docs).collect()}
+        for k, key in enumerate(want):
+            hit = [spans[i] == f"random:4:{4 + len(t)}" for i, (t, kind) in enumerate(rows) if kind == k]
+            assert len(hit) > 30 and sum(hit) >= 0.9 * len(hit), (key, sum(hit), len(hit))
+        assert all(spans[i] == "" for i, (_, kind) in enumerate(rows) if kind == -1)
+
+
+def test_text_in_any_encoding_is_no_secret(spark):
+    import base64
+
+    words = "this is a plain sentence of ordinary prose about the house and the garden".split()
+    plain = [" ".join(words[i:] + words[:i])[:40] for i in range(12)]
+    tokens = [base64.b64encode(p.encode()).decode().rstrip("=") for p in plain] + [base64.b32encode(p.encode()).decode().rstrip("=") for p in plain] + [p.encode().hex().upper() for p in plain]
+    docs = spark.createDataFrame([(i, f"see {t} ok") for i, t in enumerate(tokens + RANDOM)], "doc_id long, text string")
+    spans = {r["doc_id"]: r["spans"] for r in secrets.scan(docs).collect()}
+    assert not any("random" in spans[i] for i in range(len(tokens)))
+
+
 PERSONAL = [
     None, "", "mail a.b+c@x-y.co.uk, d@e f@g.h.i@j.k", "ip 10.0.0.255 256.1.1.1 1.2.3.4.5 01.02.03.004", "card 4111 1111 1111 1111, 4111-1111-1111-1112 1234567890123456789012",
     "tel +49 (30) 1234-5678 +1 2 +44.20.7946.0958.1234.99", "phone: 212-555-0123 or (415) 555 0100 code 123-456-78901", "write to jane [at] example [dot] org", "1" * 5000 + " @" + "a" * 5000,
