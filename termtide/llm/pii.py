@@ -75,7 +75,7 @@ def emails(text: str) -> Iterator[tuple[int, int]]:
 def base_spans(text: str) -> list[tuple[int, int, int]]:
     """(kind number, start, end) of the fixed kinds, by kind and start."""
     out = [(0, s, e) for s, e in emails(text)] if "@" in text else []
-    out += [(1, m.start(), m.end()) for m in IP.finditer(text) if all(len(p.lstrip("0")) <= 3 and int(p) <= 255 for p in m[0].split("."))]
+    out += [(1, m.start(), m.end()) for m in IP.finditer(text) if all(len(p.lstrip("0")) <= 3 and int(p.lstrip("0") or "0") <= 255 for p in m[0].split("."))]
     for m in CARD.finditer(text):
         if m.end() - m.start() >= 13 and 13 <= len(d := _digits(m[0])) <= 19 and luhn(d):
             out.append((2, m.start(), m.end()))

@@ -102,6 +102,13 @@ def test_personal_data_base_spans_and_more(spark):
     assert by[0]["spans"] == "" and pii.find(docs.limit(0)).count() == 0
 
 
+def test_addresses_with_long_runs_of_zeros(spark):
+    texts = ["0" * 5000 + ".1.2.3", "at 1." + "0" * 4301 + "255.2.3 and 1.2.3." + "0" * 6000, "0" * 5000 + "256.1.2.3"]
+    rows = {r["doc_id"]: r for r in pii.find(spark.createDataFrame([*enumerate(texts)], "doc_id long, text string")).collect()}
+    assert [rows[i]["n_ip"] for i in range(3)] == [1, 2, 0]
+    assert rows[0]["spans"] == f"ip:0:{len(texts[0])}"
+
+
 def test_em_finds_the_reliable_labelers():
     import numpy as np
 
