@@ -2,9 +2,13 @@
 
 The kernel of two texts is the number of n-grams (1 to 4 bytes of the lower-cased UTF-8 text, any number
 of times) that both contain, over the geometric mean of their numbers of n-grams: a blended-spectrum
-presence kernel. N-grams are told apart by a hash of `2 ** BITS` values. A bounded sample of labelled
-rows per language is the training set (`per_language`, at most 1000); its first rows are the landmarks.
-The ridge systems are solved once on the driver; tasks score whole texts in batches of matrix products.
+presence kernel. N-grams are told apart by a hash of `2 ** BITS` values. A text of more than `PIECE`
+characters is cut into even pieces, so that flags stay sparse however long it is; its scores are the mean
+of its pieces' scores by length (pieces without a letter do not count), and a training row gives one piece,
+chosen by a hash. All languages are learned: a bounded sample of labelled rows of each is the training set
+(`per_language`, less where there are many languages: `MOST_ROWS` in all, `LEAST_ROWS` of each at least);
+its first rows are the landmarks. The ridge systems are solved once on the driver; tasks score whole texts
+in batches of matrix products.
 
 Texts that are null or hold no letter get `und` and score 0. Without labelled rows every text gets `und`.
 Repeated rows get equal results; an empty table gives none; other columns are ignored.
@@ -13,6 +17,7 @@ Repeated rows get equal results; an empty table gives none; other columns are ig
 from __future__ import annotations
 
 import re
+import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -31,8 +36,12 @@ UNKNOWN = "und"
 LETTER = re.compile(r"[^\W\d_]")
 #: Characters of a text whose n-grams are hashed at a time.
 SLICE = 1_000_000
-#: Most languages that are learned (the most frequent ones).
-MOST_LANGUAGES = 100
+#: Most characters of a piece of a text that is scored on its own.
+PIECE = 8192
+#: Training rows of all languages together, and of each language at least, as far as it has them.
+MOST_ROWS, LEAST_ROWS = 20_000, 8
+#: Landmarks of each language at least, and most landmarks so gained.
+LANDMARKS_EACH, MOST_LANDMARKS = 2, 1024
 
 
 def mark(text: str, row: np.ndarray) -> None:
@@ -47,6 +56,16 @@ def mark(text: str, row: np.ndarray) -> None:
             row[((code ^ np.uint32(n * 0x9E3779B1 & 0xFFFFFFFF)) * MULTIPLIER) >> np.uint32(32 - BITS)] = 1
 
 
+def pieces(text: str) -> list[str]:
+    """The text in even pieces of at most PIECE characters, those without a letter left out unless all are."""
+    n = -(-len(text) // PIECE)
+    if n <= 1:
+        return [text]
+    cuts = [len(text) * i // n for i in range(n + 1)]
+    out = [text[i:j] for i, j in zip(cuts, cuts[1:], strict=False)]
+    return [p for p in out if LETTER.search(p)] or out[:1]
+
+
 def presence(batch: list[str]) -> np.ndarray:
     out = np.zeros((len(batch), 1 << BITS), np.float32)
     for text, row in zip(batch, out, strict=True):
@@ -74,36 +93,44 @@ def kernel(flags: np.ndarray, other: np.ndarray, norms: np.ndarray) -> np.ndarra
     return (flags @ other) / (own[:, None] * np.maximum(norms, 1))
 
 
-def fit(flags: np.ndarray, langs: list[str], landmarks: int, ridge: float) -> Model:
-    """Kernel ridge regression in the space that the landmarks span."""
+def fit(packed: np.ndarray, langs: list[str], landmarks: int, ridge: float) -> Model:
+    """Kernel ridge regression in the space that the landmarks span, from packed flags of the training rows."""
     languages = sorted(set(langs))
-    y = np.array([[x == lang for lang in languages] for x in langs], np.float64)
-    chosen = flags[:landmarks]
+    number = {lang: i for i, lang in enumerate(languages)}
+    own = np.array([number[lang] for lang in langs])
+    chosen = np.unpackbits(packed[:landmarks], axis=1).astype(np.float32)
     norms = np.sqrt(chosen.sum(axis=1))
     among = kernel(chosen, chosen.T, norms).astype(np.float64)
     values, vectors = np.linalg.eigh((among + among.T) / 2)
     good = values > 1e-6 * values[-1]
     root = vectors[:, good] / np.sqrt(values[good])
-    phi = kernel(flags, chosen.T, norms).astype(np.float64) @ root
-    mean, ymean = phi.mean(axis=0), y.mean(axis=0)
-    centred = phi - mean
-    beta = np.linalg.solve(centred.T @ centred + ridge * len(phi) * np.eye(phi.shape[1]), centred.T @ (y - ymean))
-    return Model(languages, np.packbits(chosen.astype(np.uint8), axis=1), (root @ beta).astype(np.float32), (ymean - mean @ beta).astype(np.float32))
+    parts = (np.unpackbits(packed[i : i + BATCH], axis=1).astype(np.float32) for i in range(0, len(packed), BATCH))
+    phi = np.concatenate([kernel(part, chosen.T, norms).astype(np.float64) @ root for part in parts])
+    mean, ymean = phi.mean(axis=0), np.bincount(own, minlength=len(languages)) / len(own)
+    phi -= mean
+    sums = np.zeros((len(languages), phi.shape[1]))
+    np.add.at(sums, own, phi)
+    beta = np.linalg.solve(phi.T @ phi + ridge * len(phi) * np.eye(phi.shape[1]), sums.T)
+    return Model(languages, packed[:landmarks].copy(), (root @ beta).astype(np.float32), (ymean - mean @ beta).astype(np.float32))
 
 
 def train(labelled: DataFrame, id_col: str, text_col: str, lang_col: str, per_language: int = 800, landmarks: int = 160, ridge: float = 1e-4) -> Model | None:
-    """Fit on at most `per_language` rows of each language, those with the smallest hashes of their ids; tasks send flags, not texts."""
+    """Fit on a bounded number of rows of each language, those with the smallest hashes of their ids; tasks send flags, not texts."""
     lang, hashed = F.col(lang_col), F.xxhash64(F.col(id_col))
     known = labelled.where(lang.isNotNull())
-    counts = known.groupBy(lang.alias("lang")).count().orderBy(F.desc("count"), "lang").limit(MOST_LANGUAGES).collect()
-    # hashes are uniform: a slice of them holds about four times the rows wanted, so few rows leave their tasks
-    chosen = F.lit(False)
-    for r in counts:
-        share = min(1.0, 4 * per_language / r["count"])
-        chosen = chosen | ((lang == r["lang"]) & (hashed <= F.lit(int(-(2**63) + share * (2**64 - 1) - 1)).cast("long") if share < 1 else lang == r["lang"]))
+    counts = known.groupBy(lang.alias("_lang")).count().collect()
+    if not counts:
+        return None
+    per_language = min(per_language, max(LEAST_ROWS, MOST_ROWS // len(counts)))
+    landmarks = max(landmarks, min(LANDMARKS_EACH * len(counts), MOST_LANDMARKS))
+    # hashes are uniform: a slice of them holds about four times the rows wanted (and 64 more, for few are wanted of
+    # many languages), so few rows leave their tasks
+    shares = [(r["_lang"], min(1.0, (4 * per_language + 64) / r["count"])) for r in counts]
+    highest = [(name, int(-(2**63) + share * (2**64 - 1) - 1) if share < 1 else 2**63 - 1) for name, share in shares]
+    bounds = F.broadcast(labelled.sparkSession.createDataFrame(highest, "_lang string, _highest long"))
     order = Window.partitionBy(lang_col).orderBy(hashed, id_col, F.xxhash64(text_col))
     sample = (
-        known.where(chosen & F.col(text_col).rlike(r"\p{L}")).select(id_col, text_col, lang_col)
+        known.where(F.col(text_col).rlike(r"\p{L}")).join(bounds, lang == F.col("_lang")).where(hashed <= F.col("_highest")).select(id_col, text_col, lang_col)
         .withColumn("turn", F.row_number().over(order)).where(F.col("turn") <= per_language)
     )
 
@@ -111,34 +138,45 @@ def train(labelled: DataFrame, id_col: str, text_col: str, lang_col: str, per_la
         for batch in batches:
             rows = []
             for text in texts(batch, text_col):
-                flags = np.zeros(1 << BITS, np.uint8)
-                mark(text, flags)
+                flags, parts = np.zeros(1 << BITS, np.uint8), pieces(text)
+                mark(parts[zlib.crc32(text.encode()) % len(parts)], flags)
                 rows.append(np.packbits(flags).tobytes())
             yield pa.RecordBatch.from_arrays([batch.column("turn"), batch.column(lang_col), pa.array(rows, pa.binary())], ["turn", "lang", "flags"])
 
     rows = sorted(tuple(r) for r in sample.mapInArrow(lean(pack), "turn int, lang string, flags binary").collect())
     if not rows:
         return None
-    flags = np.unpackbits(np.frombuffer(b"".join(r[2] for r in rows), np.uint8).reshape(len(rows), -1), axis=1).astype(np.float32)
-    return fit(flags, [r[1] for r in rows], landmarks, ridge)
+    packed = np.frombuffer(b"".join(r[2] for r in rows), np.uint8).reshape(len(rows), -1)
+    return fit(packed, [r[1] for r in rows], landmarks, ridge)
 
 
 def score(batch: list[str], model: Model | None, unpacked: tuple[np.ndarray, np.ndarray] | None) -> tuple[list[str], list[float]]:
     """Language and score of each text."""
-    langs, scores = [], []
-    for i in range(0, len(batch), BATCH):
-        part = batch[i : i + BATCH]
-        if model is None:
-            langs += [UNKNOWN] * len(part)
-            scores += [0.0] * len(part)
-            continue
-        out = kernel(presence(part), *unpacked) @ model.weights + model.constants
-        best = out.argmax(axis=1)
-        for text, b, s in zip(part, best.tolist(), out[np.arange(len(part)), best].tolist(), strict=True):
-            known = LETTER.search(text) is not None
-            langs.append(model.languages[b] if known else UNKNOWN)
-            scores.append(min(1.0, max(0.0, s)) if known else 0.0)
-    return langs, scores
+    if model is None:
+        return [UNKNOWN] * len(batch), [0.0] * len(batch)
+    total = np.zeros((len(batch), len(model.languages)))
+    weight = np.zeros(len(batch))
+    waiting: list[tuple[int, str]] = []
+
+    def flush() -> None:
+        out = kernel(presence([p for _, p in waiting]), *unpacked) @ model.weights + model.constants
+        rows, sizes = [i for i, _ in waiting], np.array([max(1, len(p)) for _, p in waiting])
+        np.add.at(total, rows, out * sizes[:, None])
+        np.add.at(weight, rows, sizes)
+        waiting.clear()
+
+    for i, text in enumerate(batch):
+        for part in pieces(text):
+            waiting.append((i, part))
+            if len(waiting) == BATCH:
+                flush()
+    if waiting:
+        flush()
+    total /= np.maximum(weight, 1)[:, None]
+    best = total.argmax(axis=1)
+    known = [LETTER.search(text) is not None for text in batch]
+    langs = [model.languages[b] if k else UNKNOWN for b, k in zip(best.tolist(), known, strict=True)]
+    return langs, [min(1.0, max(0.0, s)) if k else 0.0 for s, k in zip(total[np.arange(len(batch)), best].tolist(), known, strict=True)]
 
 
 def predict(docs: DataFrame, model: Model | None, text_col: str = "text") -> DataFrame:

@@ -24,6 +24,40 @@ def test_language_on_held_out_rows(spark):
     assert language.identify(docs.limit(0)).count() == 0
 
 
+def invented(n, words, seed):
+    """n vocabularies of their own syllables each."""
+    rnd = np.random.default_rng(seed)
+    letters = np.array(list("abcdefghijklmnopqrstuvwxyz"))
+    out = []
+    for _ in range(n):
+        syllables = ["".join(rnd.choice(letters, rnd.integers(2, 4))) for _ in range(60)]
+        out.append(["".join(rnd.choice(syllables, rnd.integers(1, 4))) for _ in range(words)])
+    return out
+
+
+def test_rare_languages_are_learned(spark):
+    rnd = np.random.default_rng(10)
+    rows = []
+    for k, vocabulary in enumerate(invented(120, 200, 11)):
+        rows += [(len(rows) + i, " ".join(rnd.choice(vocabulary, 40)), f"l{k:03}") for i in range(40 if k < 100 else 30)]
+    got = language.identify(spark.createDataFrame(rows, "doc_id long, text string, lang string")).where("held_out").collect()
+    right = {k: np.mean([r["lang_pred"] == rows[r["doc_id"]][2] for r in got if (rows[r["doc_id"]][2] >= "l100") == k]) for k in (False, True)}
+    assert right[False] > 0.95 and right[True] > 0.95, right
+
+
+def test_long_texts_keep_their_language(spark):
+    rnd = np.random.default_rng(12)
+    vocabularies = invented(3, 20_000, 13)
+    rows = [(i, " ".join(rnd.choice(vocabularies[i % 3], 60)), f"l{i % 3}") for i in range(300)]
+    # three tenths of the words come from all vocabularies, so that together all n-grams occur
+    long = [" ".join(np.where(rnd.random(200_000) < 0.7, rnd.choice(v, 200_000), rnd.choice(sum(vocabularies, []), 200_000)))[:1_000_000] for v in vocabularies]
+    rows += [(1000 + k, text, None) for k, text in enumerate(long)]
+    got = {r["doc_id"]: r for r in language.identify(spark.createDataFrame(rows, "doc_id long, text string, lang string")).collect()}
+    assert all(len(t) > 900_000 for t in long)
+    assert [got[1000 + k]["lang_pred"] for k in range(3)] == ["l0", "l1", "l2"]
+    assert min(got[1000 + k]["score"] for k in range(3)) >= 0.2, [got[1000 + k]["score"] for k in range(3)]  # the least that the pipeline keeps
+
+
 def shards_of(rows, spark, **kw):
     return sharding.histogram_shards(spark.createDataFrame(rows, "doc_id long, text string"), **kw).collect()
 
