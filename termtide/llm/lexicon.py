@@ -7,7 +7,6 @@ different ids. Lookups walk all words of a batch at once, one byte a step.
 
 from __future__ import annotations
 
-import hashlib
 import mmap
 import os
 import tempfile
@@ -90,34 +89,28 @@ def compile_lexicon(entries: dict[bytes, list[int]]) -> bytes:
 
 
 class Lexicon:
-    """A compiled lexicon, mapped from a file in the executor's own temporary folder.
+    """A compiled lexicon, mapped from a file in the task's own temporary folder.
 
-    The file is named by its content and written once per executor; a new executor writes it anew.
+    The file has no name once it is mapped, so that nothing stays behind; another task writes its own.
     """
 
     def __init__(self, blob: bytes):
-        path = os.path.join(tempfile.gettempdir(), f"lexicon-{hashlib.sha256(blob).hexdigest()[:24]}.bin")
-        if not os.path.exists(path):
-            with tempfile.NamedTemporaryFile(dir=tempfile.gettempdir(), delete=False) as out:
-                out.write(blob)
-            os.replace(out.name, path)
-        with open(path, "rb") as file:
+        with tempfile.TemporaryFile() as file:
+            file.write(blob)
+            file.flush()
             view = mmap.mmap(file.fileno(), 0, access=mmap.ACCESS_READ)
         at = 8 * len(PARTS)
         for (name, kind), n in zip(PARTS, np.frombuffer(view, np.int64, len(PARTS)), strict=True):
             setattr(self, name, np.frombuffer(view, kind, int(n), at))
             at += int(n) * np.dtype(kind).itemsize
 
-    def find(self, words: list[bytes]) -> np.ndarray:
-        """The number of each word, -1 where the lexicon lacks it."""
-        sizes = np.fromiter(map(len, words), np.int64, len(words))
-        at = np.cumsum(sizes) - sizes
-        buf = np.frombuffer(b"".join(words), np.uint8)
-        state, number = np.zeros(len(words), np.int64), np.zeros(len(words), np.int64)
-        live = np.arange(len(words))
-        for depth in range(int(sizes.max(initial=0))):
+    def find(self, buf: np.ndarray, at: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+        """The number of each word of a buffer of bytes, -1 where the lexicon lacks it."""
+        state, number = np.zeros(len(at), np.int64), np.zeros(len(at), np.int64)
+        live, depth = np.arange(len(at)), 0
+        while len(self.edges):
             live = live[sizes[live] > depth]
-            if not len(live) or not len(self.edges):
+            if not len(live):
                 break
             key = state[live] * 256 + buf[at[live] + depth]
             edge = np.minimum(np.searchsorted(self.edges, key), len(self.edges) - 1)
@@ -126,6 +119,7 @@ class Lexicon:
             live, edge = live[ok], edge[ok]
             number[live] += self.skips[edge]
             state[live] = self.targets[edge]
+            depth += 1
         found = (state >= 0) & (sizes > 0)
         found[found] = self.accepts[state[found]] == 1
         return np.where(found, number, -1)
