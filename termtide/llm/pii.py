@@ -4,13 +4,15 @@ Four fixed kinds (email, ip, card, phone) are always reported. Wider patterns pr
 same kinds (bracketed or spaced addresses, card numbers that fail the checksum, national phone numbers).
 Regex, gazetteer and context labelers vote for, against, or abstain on every span, fixed or proposed.
 Spark counts the vote patterns of all spans; expectation-maximisation over that table (at most 3 ** 5
-patterns a kind, whatever the corpus) estimates each labeler's reliability and each pattern's chance of
+patterns a kind, whatever the corpus) estimates both error rates of each labeler and each pattern's chance of
 being personal. A logistic model on votes and span shapes, trained on those chances over all counted
 patterns, decides which proposed spans are reported (probability `least` or more, and at least two votes
 for).
 
-Null texts count as empty; texts without spans give a row with counts of 0; repeated rows give repeated
-results; an empty table gives none; other columns are ignored.
+Null texts count as empty; texts without spans give a row with counts of 0; texts of any length are scanned
+whole, in time that grows with their length and the logarithm of their spans; spans of equal votes and shape share
+one decision; of proposed spans that overlap the leftmost stays, of those the longest, then the first kind; repeated
+rows give repeated results; an empty table gives none; columns besides id and text are ignored, whatever their names.
 """
 
 from __future__ import annotations
@@ -25,7 +27,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from termtide.llm.common import cut, lean, texts
+from termtide.llm.common import Cover, cut, lean, texts
 
 KINDS = ("email", "ip", "card", "phone")
 DOMAIN = re.compile(r"@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+")
@@ -37,13 +39,19 @@ WIDE = (
     (0, re.compile(r"[A-Za-z0-9._%+-]{1,64}\x20?(?:\(at\)|\[at\]|\{at\})\x20?[A-Za-z0-9-]{1,63}(?:\x20?(?:\.|\(dot\)|\[dot\]|\{dot\})\x20?[A-Za-z0-9-]{2,63})+", re.I)),
     (3, re.compile(r"(?<![\w+.-])(?:\([0-9]{3}\)\x20?|[0-9]{3}[\x20.-])[0-9]{3}[\x20.-][0-9]{4}(?![\w-])", re.A)),
 )
-#: Gazetteers (fixed values): ends of mail domains, first digits of card issuers, calling codes, and words
-#: that stand before such data, or before numbers of another sort.
-MAIL_ENDS = ("com", "org", "net", "edu", "gov", "io", "co", "de", "fr", "es", "uk", "info")
-ISSUERS = ("4", "51", "52", "53", "54", "55", "34", "37", "6011", "65", "35")
-CALLING = ("1", "20", "27", "30", "31", "32", "33", "34", "36", "39", "40", "41", "43", "44", "45", "46", "47", "48", "49", "52", "55", "61", "7", "81", "82", "86", "91")
-BEFORE = (("mail", "contact", "write"), ("ip", "host", "server", "address"), ("card", "visa", "credit", "payment"), ("phone", "tel", "call", "mobile", "fax"))
-OTHER = ("order", "version", "isbn", "sku", "item", "page", "line", "invoice")
+#: Gazetteers (fixed values): generic ends of mail domains (besides the two letters of any country), ranges of
+#: card issuers' first four digits, first two digits of all calling codes (1 and 7 stand alone), and words in
+#: English, German, French and Spanish that stand before such data, or before numbers of another sort.
+MAIL_ENDS = frozenset(("com", "org", "net", "edu", "gov", "int", "mil", "info", "biz", "name", "pro", "app", "dev", "cloud", "email", "online", "tech", "eu"))
+ISSUERS = ((2221, 2720), (3000, 3059), (3095, 3095), (3400, 3499), (3528, 3589), (3600, 3999), (4000, 4999), (5000, 5099), (5100, 5599), (5600, 5899), (6011, 6011), (6200, 6299), (6440, 6599))
+CALLING = frozenset("20 21 22 23 24 25 26 27 29 30 31 32 33 34 35 36 37 38 39 40 41 42 43 44 45 46 47 48 49 50 51 52 53 54 55 56 57 58 59 60 61 62 63 64 65 66 67 68 69 80 81 82 84 85 86 87 88 90 91 92 93 94 95 96 97 98 99".split())
+BEFORE = (
+    ("mail", "contact", "write", "reach", "address", "kontakt", "schreib", "adresse", "anschrift", "courriel", "écri", "contacte", "correo", "escrib", "direcci"),
+    ("ip", "host", "server", "address", "client", "adresse", "serveur", "hôte", "servidor", "direcci", "rechner"),
+    ("card", "visa", "credit", "payment", "pay ", "karte", "kredit", "zahl", "carte", "paiement", "tarjeta", "pago", "crédit", "crédito"),
+    ("phone", "tel", "call", "mobile", "fax", "cell", "ruf", "handy", "mobil", "appel", "portable", "llam", "móvil"),
+)
+OTHER = ("order", "version", "isbn", "sku", "item", "page", "line", "invoice", "bestell", "rechnung", "seite", "zeile", "artikel", "commande", "facture", "pedido", "factura", "página", "línea", "ligne")
 VOTES = 5
 SPAN = T.StructType([T.StructField(n, T.IntegerType()) for n in ("kind", "start", "end", "base", "shape")])
 
@@ -85,12 +93,16 @@ def base_spans(text: str) -> list[tuple[int, int, int]]:
 
 
 def proposed(text: str, base: list[tuple[int, int, int]]) -> list[tuple[int, int, int]]:
-    """Spans of the wider patterns that no fixed span overlaps."""
+    """Spans of the wider patterns that overlap neither a fixed span nor one another."""
     found = [(2, m.start(), m.end()) for m in CARD.finditer(text) if m.end() - m.start() >= 15 and 15 <= len(d := _digits(m[0])) <= 16 and not luhn(d)]
     for kind, pattern in WIDE:
         if kind or "at" in text or "AT" in text:
             found += [(kind, m.start(), m.end()) for m in pattern.finditer(text)]
-    return [f for f in found if not any(s < f[2] and f[1] < e for _, s, e in base)]
+    taken, out = Cover((s, e) for _, s, e in base), []
+    for kind, start, end in sorted(found, key=lambda f: (f[1], -f[2], f[0])):  # leftmost, then longest, then by kind
+        if not taken.meets(start, end) and (not out or start >= out[-1][2]):
+            out.append((kind, start, end))
+    return out
 
 
 def votes(text: str, kind: int, start: int, end: int) -> tuple[int, ...]:
@@ -101,18 +113,19 @@ def votes(text: str, kind: int, start: int, end: int) -> tuple[int, ...]:
     form = gazetteer = check = 1
     if kind == 0:
         form = 2 if "@" in span and ".." not in span else 1
-        gazetteer = 2 if re.split(r"\W+", span.rstrip(")]}"))[-1].lower() in MAIL_ENDS else 1
+        ending = re.split(r"\W+", span.rstrip(")]}"))[-1].lower()
+        gazetteer = 2 if ending in MAIL_ENDS or len(ending) == 2 and ending.isalpha() else 0
         check = 2 if span[0].isalnum() else 0
     elif kind == 1:
         form = 2 if all(str(int(p)) == p for p in span.split(".") if len(p) < 9) else 0
         gazetteer = 0 if span.split(".")[0] in ("0", "255") or span in ("1.2.3.4", "1.0.0.0", "127.0.0.1") else 2
     elif kind == 2:
         form = 2 if re.fullmatch(r"[0-9]{4}([ -])[0-9]{4}\1[0-9]{4}\1[0-9]{3,4}", span) else 1
-        gazetteer = 2 if digits.startswith(ISSUERS) else 0
+        gazetteer = 2 if any(low <= int(digits[:4]) <= high for low, high in ISSUERS) else 0
         check = 2 if luhn(digits) else 0
     else:
         form = 2 if len(digits) in (10, 11, 12) else 1
-        gazetteer = (2 if digits.startswith(CALLING) else 0) if span[0] == "+" else 1
+        gazetteer = (2 if digits[0] in "17" or digits[:2] in CALLING else 0) if span[0] == "+" else 1
         check = 2 if "555" not in span or span[0] == "+" else 1
     context = 2 if any(w in before for w in BEFORE[kind]) else 0 if any(w in before for w in OTHER) else 1
     around = 0 if edge[0].isalnum() or edge[1].isalnum() else 2 if edge[0].isspace() and not edge[1].isalnum() else 1
@@ -137,17 +150,22 @@ def unpack(shapes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 
 
 def em(v: np.ndarray, n: np.ndarray, rounds: int = 50) -> tuple[np.ndarray, np.ndarray]:
-    """(chance of each vote pattern to be personal, reliability of each labeler), from counted patterns."""
-    right, prior = np.full(VOTES, 0.8), 0.5
-    yes, no = v == 2, v == 0
+    """(chance of each vote pattern to be personal, two rates of each labeler), from counted patterns.
+
+    The rates are the share of votes for among a labeler's votes on personal spans, and of votes against among its
+    votes on others, so that a labeler that always votes for counts for nothing. Who abstains says nothing.
+    """
+    yes, no = (v == 2).astype(float), (v == 0).astype(float)
+    right, prior = np.full((2, VOTES), 0.8), 0.5
     p = np.full(len(v), 0.5)
     for _ in range(rounds):
-        a = np.log(prior) + yes @ np.log(right) + no @ np.log(1 - right)
-        b = np.log(1 - prior) + yes @ np.log(1 - right) + no @ np.log(right)
+        a = np.log(prior) + yes @ np.log(right[0]) + no @ np.log(1 - right[0])
+        b = np.log(1 - prior) + yes @ np.log(1 - right[1]) + no @ np.log(right[1])
         p = 1 / (1 + np.exp(np.clip(b - a, -50, 50)))
         prior = np.clip((p @ n + 1) / (n.sum() + 2), 0.05, 0.95)
-        good = (n * p) @ yes + (n * (1 - p)) @ no
-        right = np.clip((good + 4) / (n @ (yes | no) + 5), 0.55, 0.99)
+        good, bad = n * p, n * (1 - p)
+        right = np.stack([(good @ yes + 4) / (good @ (yes + no) + 5), (bad @ no + 4) / (bad @ (yes + no) + 5)])
+        right = np.clip(right, 0.01, 0.99)
     return p, right
 
 

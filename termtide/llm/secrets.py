@@ -3,15 +3,20 @@
 Three fixed kinds (assign, access, hex) are always reported. Every other long token that mixes letters
 and digits is a candidate: its encoding is inferred, and a chi-squared test of alphabet uniformity, a
 runs test and a lag-one serial correlation test ask whether it looks like uniform random symbols. The
-three p-values join by Fisher's method. Benjamini-Hochberg control within each length class decides
-which candidates are *not* random. A candidate that stays is reported (kind `random`) only if its own
-symbols speak against text: the ratio of its uniform to its text probability (`textlike`) gives a p-value
-of "is text", controlled in the same way, so that a non-rejection alone never reports a token and neither
-its length nor the share of secrets in the corpus rules one out.
-
-Null texts count as empty; empty texts give a row without spans; repeated rows give repeated results;
-an empty table gives an empty result; columns other than id and text are ignored (`scan`) or passed
-through (`redact`).
+three p-values join by Fisher's method.
+
+What is reported (kind `random`) is what is rejected as text: the ratio of a token's uniform to its text
+probability (`textlike`) is x or more with probability 1 / x at most where the token is text, so 1 / ratio is
+its p-value under text. Within each length class Benjamini-Hochberg control of those p-values at level `q`
+bounds the share of text among the reported tokens. Of the rejected ones only those are left out that the
+battery in turn rejects as random at level `q`, so that a constructed token which is neither is no secret.
+Strong evidence is far below any bound that other tokens of a corpus can set: a class of m candidates asks for
+q / m at the least, and 40 random base64 symbols give about 1e-17.
+
+Null texts count as empty; empty texts give a row without spans; texts of any length are scanned whole, in time
+that grows with their length and the logarithm of their spans; tokens of equal evidence share one decision;
+repeated rows give repeated results; an empty table gives an empty result; columns other than id and text are
+ignored (`scan`) or passed through (`redact`).
 """
 
 from __future__ import annotations
@@ -26,7 +31,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from termtide.llm.common import cut, lean, texts
+from termtide.llm.common import Cover, cut, lean, texts
 from termtide.llm.textlike import evidence
 
 KINDS = ("assign", "access", "hex", "random")
@@ -125,9 +130,10 @@ def base_spans(text: str) -> list[tuple[int, int, int]]:
 
 def candidates(text: str, base: list[tuple[int, int, int]]) -> Iterator[tuple[int, int, int, int, int]]:
     """(start, end, length class, bin, text bin) of tokens that no fixed pattern explains."""
+    taken = Cover((s, e) for s, _, e in base)
     for m in TOKEN.finditer(text):
         token, start, end = m[0], m.start(), m.end()
-        if not any("0" <= c <= "9" for c in token) or not any(c.isalpha() for c in token) or any(s < end and start < e for s, _, e in base):
+        if not any("0" <= c <= "9" for c in token) or not any(c.isalpha() for c in token) or taken.meets(start, end):
             continue
         at, k = infer(token)
         if len(at) >= LENGTHS[0]:
