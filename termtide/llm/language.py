@@ -6,23 +6,26 @@ presence kernel. N-grams are told apart by a hash of `2 ** BITS` values. A text
 characters is cut into even pieces, so that flags stay sparse however long it is; its scores are the mean
 of its pieces' scores by length (pieces without a letter do not count), and a training row gives one piece,
 chosen by a hash. All languages are learned: a bounded sample of labelled rows of each is the training set
-(`per_language`, less where there are many languages: `MOST_ROWS` in all, `LEAST_ROWS` of each at least);
-its first rows are the landmarks. The ridge systems are solved once on the driver; tasks score whole texts
+(`per_language`, less where there are many languages: `MOST_ROWS` in all, `LEAST_ROWS` of each at least):
+the distinct rows with the smallest hashes of id and text, so that null or repeated ids are as good as any.
+Its first rows are the landmarks. The ridge systems are solved once on the driver; tasks score whole texts
 in batches of matrix products.
 
-Texts that are null or hold no letter get `und` and score 0. Without labelled rows every text gets `und`.
-Repeated rows get equal results; an empty table gives none; other columns are ignored.
+Texts that are null or hold no letter (Unicode category L, here and in training) get `und` and score 0. Without
+labelled rows every text gets `und`. Of languages with equal scores the first by name is taken. Repeated rows get
+equal results and train once; texts of any length are scored whole; an empty table gives none; columns named like
+the added ones are replaced, others ignored.
 """
 
 from __future__ import annotations
 
-import re
 import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -33,7 +36,7 @@ from termtide.llm.common import lean, texts
 BITS, ORDERS, BATCH = 14, 4, 256
 MULTIPLIER = np.uint32(2654435761)
 UNKNOWN = "und"
-LETTER = re.compile(r"[^\W\d_]")
+LETTER = regex.compile(r"\p{L}")
 #: Characters of a text whose n-grams are hashed at a time.
 SLICE = 1_000_000
 #: Most characters of a piece of a text that is scored on its own.
@@ -115,33 +118,33 @@ def fit(packed: np.ndarray, langs: list[str], landmarks: int, ridge: float) -> M
 
 
 def train(labelled: DataFrame, id_col: str, text_col: str, lang_col: str, per_language: int = 800, landmarks: int = 160, ridge: float = 1e-4) -> Model | None:
-    """Fit on a bounded number of rows of each language, those with the smallest hashes of their ids; tasks send flags, not texts."""
-    lang, hashed = F.col(lang_col), F.xxhash64(F.col(id_col))
-    known = labelled.where(lang.isNotNull())
-    counts = known.groupBy(lang.alias("_lang")).count().collect()
+    """Fit on a bounded number of distinct rows of each language; tasks send flags, not texts."""
+    known = labelled.where(F.col(lang_col).isNotNull() & F.col(text_col).rlike(r"\p{L}"))
+    known = known.select(F.col(lang_col).alias("lang"), F.xxhash64(id_col, text_col).alias("hash"), F.col(text_col).alias("text"))
+    counts = known.groupBy("lang").agg(F.approx_count_distinct("hash", 0.02).alias("n")).collect()
     if not counts:
         return None
     per_language = min(per_language, max(LEAST_ROWS, MOST_ROWS // len(counts)))
     landmarks = max(landmarks, min(LANDMARKS_EACH * len(counts), MOST_LANDMARKS))
-    # hashes are uniform: a slice of them holds about four times the rows wanted (and 64 more, for few are wanted of
-    # many languages), so few rows leave their tasks
-    shares = [(r["_lang"], min(1.0, (4 * per_language + 64) / r["count"])) for r in counts]
+    # hashes are uniform: a slice of them holds about four times the distinct rows wanted (and 64 more, for few are
+    # wanted of many languages), so the smallest are in it and few rows leave their tasks
+    shares = [(r["lang"], min(1.0, (4 * per_language + 64) / r["n"])) for r in counts]
     highest = [(name, int(-(2**63) + share * (2**64 - 1) - 1) if share < 1 else 2**63 - 1) for name, share in shares]
-    bounds = F.broadcast(labelled.sparkSession.createDataFrame(highest, "_lang string, _highest long"))
-    order = Window.partitionBy(lang_col).orderBy(hashed, id_col, F.xxhash64(text_col))
+    bounds = F.broadcast(labelled.sparkSession.createDataFrame(highest, "lang string, highest long"))
+    order = Window.partitionBy("lang").orderBy("hash")
     sample = (
-        known.where(F.col(text_col).rlike(r"\p{L}")).join(bounds, lang == F.col("_lang")).where(hashed <= F.col("_highest")).select(id_col, text_col, lang_col)
-        .withColumn("turn", F.row_number().over(order)).where(F.col("turn") <= per_language)
+        known.join(bounds, "lang").where(F.col("hash") <= F.col("highest")).groupBy("lang", "hash").agg(F.first("text").alias("text"))
+        .withColumn("turn", F.row_number().over(order)).where(F.col("turn") <= per_language).select("turn", "lang", "text")
     )
 
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             rows = []
-            for text in texts(batch, text_col):
+            for text in texts(batch):
                 flags, parts = np.zeros(1 << BITS, np.uint8), pieces(text)
                 mark(parts[zlib.crc32(text.encode()) % len(parts)], flags)
                 rows.append(np.packbits(flags).tobytes())
-            yield pa.RecordBatch.from_arrays([batch.column("turn"), batch.column(lang_col), pa.array(rows, pa.binary())], ["turn", "lang", "flags"])
+            yield pa.RecordBatch.from_arrays([batch.column("turn"), batch.column("lang"), pa.array(rows, pa.binary())], ["turn", "lang", "flags"])
 
     rows = sorted(tuple(r) for r in sample.mapInArrow(lean(pack), "turn int, lang string, flags binary").collect())
     if not rows:
