@@ -58,6 +58,42 @@ def test_long_texts_keep_their_language(spark):
     assert min(got[1000 + k]["score"] for k in range(3)) >= 0.2, [got[1000 + k]["score"] for k in range(3)]  # the least that the pipeline keeps
 
 
+def test_null_and_repeated_ids_are_learned_at_any_size(spark):
+    """More rows than a slice holds, all with null ids or with one id, and a row repeated thousands of times."""
+    rnd = np.random.default_rng(14)
+    for ids in (lambda i: None, lambda i: 7):
+        rows = [(ids(i), " ".join(rnd.choice(TEXTS[lang].split(), 12)), lang) for lang in ("en", "de") for i in range(7000)]
+        rows += [(None, "la casa y el jardín con esta cosa", "es")] * 7000
+        got = language.predict(spark.createDataFrame(rows, "doc_id long, text string, lang string"), language.train(spark.createDataFrame(rows, "doc_id long, text string, lang string"), "doc_id", "text", "lang"))
+        assert got.where("lang = lang_pred").count() > 0.97 * len(rows)
+
+
+def test_only_letters_count_as_letters(spark):
+    rows = [(i, TEXTS[lang], lang) for i, lang in enumerate(("en", "de", "es") * 4)] + [(100, "½ ²", "de"), (101, "Ⅷ ①", None), (102, "12 ٣ _", None), (103, "中", None), (104, "ª", None)]
+    got = {r["doc_id"]: r["lang_pred"] for r in language.identify(spark.createDataFrame(rows, "doc_id long, text string, lang string")).collect()}
+    assert [got[i] for i in (100, 101, 102)] == ["und"] * 3 and got[103] != "und" and got[104] != "und"
+
+
+def test_prediction_equals_plain_kernel_ridge_regression(spark):
+    """The tasks' scores against the same regression written out with n-gram sets."""
+    rnd = np.random.default_rng(15)
+    rows = [(i, " ".join(rnd.choice(TEXTS[lang].split(), 10)), lang) for i, lang in enumerate(("en", "de", "es") * 20)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    model = language.train(docs, "doc_id", "text", "lang", landmarks=60)
+    grams = [{t.lower().encode()[i : i + n] for n in range(1, 5) for i in range(len(t.encode()) - n + 1)} for _, t, _ in rows]
+    kernel = np.array([[len(a & b) / np.sqrt(len(a) * len(b)) for b in grams] for a in grams])
+    values, vectors = np.linalg.eigh(kernel)
+    good = values > 1e-6 * values[-1]
+    phi = kernel @ (vectors[:, good] / np.sqrt(values[good]))
+    y = np.array([[lang == k for k in model.languages] for _, _, lang in rows], float)
+    centred = phi - phi.mean(0)
+    beta = np.linalg.solve(centred.T @ centred + 1e-4 * len(rows) * np.eye(phi.shape[1]), centred.T @ y)
+    want = centred @ beta + y.mean(0)
+    got = {r["doc_id"]: r for r in language.predict(docs, model).collect()}
+    assert [got[i]["lang_pred"] for i in range(60)] == [model.languages[w] for w in want.argmax(1)]
+    assert np.abs(np.clip(want.max(1), 0, 1) - [got[i]["score"] for i in range(60)]).max() < 0.03
+
+
 def shards_of(rows, spark, **kw):
     return sharding.histogram_shards(spark.createDataFrame(rows, "doc_id long, text string"), **kw).collect()
 
@@ -149,6 +185,40 @@ def test_decontamination_equals_brute_force(spark):
     assert decontaminate.find_hits(made.limit(0), bench).count() == 0 and decontaminate.remove_hits(made, bench.limit(0)).count() == len(docs)
 
 
+def test_decontamination_by_shuffle_sends_no_texts(spark):
+    """Ten thousand texts and one of 20,000 words, beyond the bound of the broadcast: brute force, and what is shuffled."""
+    rnd = np.random.default_rng(24)
+    vocab = np.array([f"word{i}" for i in range(3000)])
+    items = [(i, " ".join(rnd.choice(vocab, 25))) for i in range(40)] + [(90, "short item"), (91, "word1 word2 word3 word4 word5 word6 word7")]
+    docs = [(i, " ".join(rnd.choice(vocab, 60))) for i in range(10_000)]
+    docs += [(20_000 + i, f"{docs[i][1]} {items[i % 40][1]} {docs[i + 1][1]}") for i in range(200)]
+    long = rnd.choice(vocab, 20_000)
+    long[9000:9025] = items[7][1].split()
+    docs += [(30_000, " ".join(long)), (30_001, "a Short, item! of word1 word2 word3 word4 word5 word6 word7"), (None, items[3][1]), (None, items[3][1])]
+    made = spark.createDataFrame(docs, "doc_id long, text string").repartition(4)
+    bench = spark.createDataFrame(items, "item_id long, text string")
+    sent = {}
+    for most in (200_000, 0):
+        before = _shuffled(spark)
+        got = decontaminate.find_hits(made, bench, most_windows=most).collect()
+        sent[most] = _shuffled(spark) - before
+        few = {i: t for i, t in docs if i is not None and (i % 50 == 0 or i >= 20_000)}
+        want = {r[0]: r for r in windows_brute(few.items(), items)}
+        assert len(got) == len(docs)
+        for r in got:
+            if r["doc_id"] in want:
+                assert (r["doc_id"], r["n_words"], r["n_hit"], r["n_items"], r["contaminated"]) == want[r["doc_id"]]
+        assert [(r["n_hit"], r["n_items"]) for r in got if r["doc_id"] is None] == [(25, 1)] * 2
+    size = sum(len(t) for _, t in docs)
+    assert sent[0] < sent[200_000] + 2 * size, (sent, size)
+
+
+def _shuffled(spark) -> int:
+    """Bytes of shuffle written so far."""
+    executors = spark.sparkContext._jsc.sc().statusStore().executorList(False)
+    return sum(executors.apply(i).totalShuffleWrite() for i in range(executors.size()))
+
+
 def test_vector_recall_and_components(spark, monkeypatch):
     rnd = np.random.default_rng(6)
     base = rnd.normal(size=(400, 32))
