@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -9,25 +10,35 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from termtide.llm.common import cut, lean
+from termtide.llm.common import cut, lean, shared_dir
 
 
 def components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
     """(node, component): the smallest node that each node of the links reaches, itself included.
 
     Alternating large and small stars: each round points every neighbour of a node at the smallest one,
-    until nothing moves. A round is a pre-aggregated minimum and a join, and is checkpointed.
+    until nothing moves. The smallest neighbours are a checkpointed table with one row a node, so that its join
+    with the links has an exchange of its own and Spark may split the links of a hub among tasks. A round's links are
+    written as a table (in two folders in turn), so that Spark plans each round by their real size: the size that it
+    expects of a join is a product, which would grow without bound from round to round.
     """
+    spark, folder = edges.sparkSession, f"{shared_dir(edges.sparkSession).rstrip('/')}/components-{uuid.uuid4().hex}"
+
+    def written(links: DataFrame, turn: int) -> DataFrame:
+        links.distinct().write.mode("overwrite").parquet(f"{folder}/{turn % 2}")
+        return spark.read.schema("u long, v long").parquet(f"{folder}/{turn % 2}")
+
     low, high = F.least(a, b), F.greatest(a, b)
-    edges = cut(edges.select(high.alias("u"), low.alias("v")).where("u > v").distinct())
-    seen = None
+    edges, seen, turn = written(edges.select(high.alias("u"), low.alias("v")).where("u > v"), 0), None, 0
     while True:
         both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        large = both.join(both.groupBy("u").agg(F.min("v").alias("m")), "u").where("v > u")
-        large = large.select(F.col("v").alias("u"), F.least("m", "u").alias("v")).where("u > v").distinct()
-        least = large.groupBy("u").agg(F.min("v").alias("m"))
+        near = cut(both.groupBy("u").agg(F.min("v").alias("m")))
+        large = both.where("v > u").join(near, "u").select(F.col("v").alias("u"), F.least("m", "u").alias("v"))
+        large = cut(large.where("u > v").distinct())
+        least = cut(large.groupBy("u").agg(F.min("v").alias("m")))
         small = large.join(least, "u").where("v > m").select(F.col("v").alias("u"), F.col("m").alias("v"))
-        edges = cut(small.unionByName(least.select("u", F.col("m").alias("v"))).distinct())
+        turn += 1
+        edges = written(small.unionByName(least.select("u", F.col("m").alias("v"))), turn)
         now = tuple(edges.agg(F.count(F.lit(1)), F.sum(F.xxhash64("u", "v") % 1_000_003)).first())
         if now == seen:
             break
@@ -88,8 +99,68 @@ def by_group(df: DataFrame, keys: list[str], work: Callable[[dict[str, np.ndarra
     return df.repartition(*keys).sortWithinPartitions(*keys).mapInArrow(lean(run, 1_000_000), schema)
 
 
-def block_pairs(df: DataFrame, keys: list[str], blocks: str, block: str) -> DataFrame:
-    """Each row once for every pair of blocks of its group that its own block is in: (block_a, block_b) with a <= b."""
-    other = F.explode(F.sequence(F.lit(0), F.col(blocks) - 1))
-    out = df.withColumn("_other", other)
-    return out.withColumn("block_a", F.least("_other", block)).withColumn("block_b", F.greatest("_other", block)).drop("_other")
+Match = Callable[[dict[str, np.ndarray | list], np.ndarray, np.ndarray], np.ndarray]
+
+
+def group_links(small: DataFrame, large: DataFrame | None, key: str, match: Match, size: int) -> DataFrame:
+    """(a, b): links that join what matching members of a group join; members: key, node, blocks and what `match` reads.
+
+    `match` gets the columns of a group and the places of two sets of its rows, and gives a matrix of matches. `small`
+    has the groups of one block, which are compared whole. Every block of a group in `large` (None: there is none) is
+    compared with the group's smallest node first; members that match it are joined already, so only those that
+    don't (the rest) go on, against all blocks of the group. Rows go out once for each block of the other side.
+    """
+    if large is None:
+        return by_group(small.withColumn("is_head", F.lit(False)), [key], _first(key, match), "a long, b long, rest long").select("a", "b")
+    large = cut(large.withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int")))
+    heads = large.groupBy(key).agg(F.min("node").alias("head"))
+    head = large.join(heads, key).where(F.col("node") == F.col("head")).select(*large.columns)
+    spread = head.withColumn("block", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).withColumn("is_head", F.lit(True))
+    members = small.withColumn("block", F.lit(0)).unionByName(large).withColumn("is_head", F.lit(False)).unionByName(spread)
+    first = cut(by_group(members, [key, "block"], _first(key, match), "a long, b long, rest long"))
+    links = first.where("b is not null").select("a", "b")
+    rest = first.where("rest is not null").select(F.col("rest").alias(key), F.col("a").alias("node")).distinct()
+    counts = rest.groupBy(key).agg(F.ceil(F.count(F.lit(1)) / size).cast("int").alias("rest_blocks"))
+    open_ = large.join(counts, key).join(rest.withColumn("is_rest", F.lit(True)), [key, "node"], "left").withColumn("is_rest", F.coalesce("is_rest", F.lit(False)))
+    upto = lambda n: F.sequence(F.lit(0), F.col(n) - 1)
+    own = F.pmod(F.xxhash64("node", F.lit(1)), F.col("rest_blocks")).cast("int")
+    asking = open_.where("is_rest").withColumn("rest_block", own).withColumn("block", F.explode(upto("blocks"))).withColumn("asks", F.lit(True))
+    asked = open_.withColumn("rest_block", F.explode(upto("rest_blocks"))).withColumn("asks", F.lit(False))
+    return links.unionByName(by_group(asking.unionByName(asked), [key, "block", "rest_block"], _second(match), "a long, b long"))
+
+
+def _links(found: np.ndarray, left: np.ndarray, right: np.ndarray) -> tuple[pa.Array, pa.Array]:
+    return tuple(map(pa.array, forest(found, left, right)))
+
+
+def _first(key: str, match: Match):
+    """A whole small group, or one block of a large group against its head."""
+
+    def work(group: dict) -> list[pa.RecordBatch]:
+        node, head = np.asarray(group["node"]), np.flatnonzero(group["is_head"])
+        rows = np.flatnonzero(~np.asarray(group["is_head"]))
+        rows = rows[np.unique(node[rows], return_index=True)[1]]
+        other = head[:1] if len(head) else rows
+        found = match(group, rows, other)
+        a, b = _links(found, node[rows], node[other])
+        out = [pa.RecordBatch.from_arrays([a, b, pa.nulls(len(a), pa.int64())], ["a", "b", "rest"])] if len(a) else []
+        if len(head):
+            left = node[rows][~found[:, 0] & (node[rows] != node[head[0]])]
+            out += [pa.RecordBatch.from_arrays([pa.array(left), pa.nulls(len(left), pa.int64()), pa.array(np.full(len(left), group[key][0]))], ["a", "b", "rest"])] if len(left) else []
+        return out
+
+    return work
+
+
+def _second(match: Match):
+    """Members that do not match the head against a block of the group."""
+
+    def work(group: dict) -> list[pa.RecordBatch]:
+        node, asks = np.asarray(group["node"]), np.asarray(group["asks"])
+        sides = [rows[np.unique(node[rows], return_index=True)[1]] for rows in (np.flatnonzero(asks), np.flatnonzero(~asks))]
+        if not len(sides[0]) or not len(sides[1]):
+            return []
+        a, b = _links(match(group, *sides), *(node[s] for s in sides))
+        return [pa.RecordBatch.from_arrays([a, b], ["a", "b"])] if len(a) else []
+
+    return work

@@ -7,13 +7,19 @@
    in percent): a pair at the bar shares no band with probability (1 - bar ** 5) ** bands < 1e-6, which
    takes 24 bands at 0.85 and 36 at 0.80. Within a bucket one byte of each signature value is compared;
    pairs that agree too rarely for the bar (5.5 standard deviations below) part. What remains connected is
-   a family. Large buckets are compared block against block.
-3. Within families full sets are compared exactly, block against block, by sparse-to-dense matrix
-   products. Tasks give only links that join parts; connected components of those are the result.
-
-Null and empty texts have empty sets and link with nothing. Repeated rows are copies. Rows without id
-join the class of their text and get its component (null if the class has no id) and are never kept. An
-empty table gives no rows; other columns are ignored (`near_duplicates`) or passed through (`deduplicate`).
+   a family.
+3. Within families full sets are compared exactly by sparse-to-dense matrix products. Tasks give only links
+   that join parts; connected components of those are the result.
+
+A large bucket or family is cut into blocks. Each block meets the group's smallest member first, and only what does not
+match it goes on against the other blocks (`graph.group_links`), so copies of one page cost one comparison each.
+
+Null and empty texts, and texts without words, have empty sets and link with nothing. Texts of any length give their
+whole set. Repeated rows are copies. Of equally small ids in a component `deduplicate` keeps the row whose text
+has the smaller hash. Rows without id join the class of their text and get its component (null if no row of it has an
+id); `near_duplicates` never marks them as kept, `deduplicate` keeps one where the component has no id. An empty
+table gives no rows; other columns, whatever their names, are ignored (`near_duplicates`) or passed through
+(`deduplicate`).
 """
 
 from __future__ import annotations
@@ -28,7 +34,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from termtide.llm.common import cut, lean, texts
-from termtide.llm.graph import block_pairs, by_group, components, forest
+from termtide.llm.graph import components, group_links
 from termtide.llm.shingles import U, mix, shingle_sets
 
 ROWS = 5
@@ -36,8 +42,8 @@ ROWS = 5
 MISSED = 1e-6
 #: Documents of a block, and shingles of a block of full sets.
 BLOCK, BLOCK_SHINGLES = 512, 2_000_000
-#: Ids that may be broadcast to fetch the texts of families; beyond it the texts are joined by a shuffle.
-BROADCAST_IDS = 1_000_000
+#: Rows of a few numbers (under 100 bytes each) that may be broadcast; beyond it both sides shuffle.
+BROADCAST_ROWS = 250_000
 PERCENT = 85
 
 
@@ -84,7 +90,7 @@ def signatures(sizes: np.ndarray, flat: np.ndarray, bar: Bar) -> np.ndarray:
 def _sketch(text_col: str, bar: Bar):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            ids = batch.column(0)
+            ids, marks = batch.column("doc"), batch.column("mark")
             for first, sizes, flat in shingle_sets(texts(batch, text_col)):
                 full = sizes > 0
                 sums, xors, bands = np.zeros(len(sizes), np.uint64), np.zeros(len(sizes), np.uint64), np.zeros((len(sizes), bar.bands), np.uint64)
@@ -104,65 +110,67 @@ def _sketch(text_col: str, bar: Bar):
                 n = len(sizes)
                 lists = pa.ListArray.from_arrays(pa.array(np.arange(n + 1) * bar.bands, pa.int32()), pa.array(bands.ravel().view(np.int64)))
                 yield pa.RecordBatch.from_arrays(
-                    [ids.slice(first, n), pa.array(sizes), pa.array(sums.view(np.int64)), pa.array(xors.view(np.int64)), lists, pa.array(bytes_, pa.binary())],
-                    ["doc", "n_shingles", "f1", "f2", "bands", "sketch"],
+                    [ids.slice(first, n), marks.slice(first, n), pa.array(sizes), pa.array(sums.view(np.int64)), pa.array(xors.view(np.int64)), lists, pa.array(bytes_, pa.binary())],
+                    ["doc", "mark", "n_shingles", "f1", "f2", "bands", "sketch"],
                 )
 
     return run
 
 
-def _compare(bar: Bar):
-    """Links of representatives of one bucket (or of two of its blocks) whose sketches may reach the bar."""
+def _may_match(bar: Bar):
+    """Which representatives of a bucket have sketches that may reach the bar."""
 
-    def compare(group: dict) -> list[pa.RecordBatch]:
-        side = group["block"] == group["block_a"][0]
-        other = group["block"] == group["block_b"][0]
+    def match(group: dict, left: np.ndarray, right: np.ndarray) -> np.ndarray:
         rows = np.frombuffer(b"".join(group["sketch"]), np.uint8).reshape(-1, bar.values)
-        a, b = rows[side], rows[other]
-        links = np.empty((len(a), len(b)), bool)
+        a, b = rows[left], rows[right]
+        out = np.empty((len(a), len(b)), bool)
         for i, row in enumerate(a):
-            links[i] = (b == row).sum(axis=1) >= bar.agree
-        return _edges(links, group["doc"][side], group["doc"][other])
-
-    return compare
+            out[i] = (b == row).sum(axis=1) >= bar.agree
+        return out
 
+    return match
 
-def _edges(links: np.ndarray, left: np.ndarray, right: np.ndarray) -> list[pa.RecordBatch]:
-    a, b = forest(links, left, right)
-    return [pa.RecordBatch.from_arrays([pa.array(a), pa.array(b)], ["a", "b"])] if len(a) else []
 
+def _match(bar: Bar):
+    """Which members of a family reach the bar on full sets."""
 
-def _confirm(bar: Bar):
-    """Exact links of one family (or of two of its blocks) on full sets."""
-
-    def confirm(group: dict) -> list[pa.RecordBatch]:
-        sets = [np.frombuffer(s, np.uint64) for s in group["shingles"]]
+    def match(group: dict, left: np.ndarray, right: np.ndarray) -> np.ndarray:
+        used = np.union1d(left, right)
+        left, right = np.searchsorted(used, left), np.searchsorted(used, right)
+        sets = [np.frombuffer(group["shingles"][i], np.uint64) for i in used.tolist()]
         sizes = np.fromiter(map(len, sets), np.int64, len(sets))
-        values, column, count = np.unique(np.concatenate(sets), return_inverse=True, return_counts=True)
-        row = np.repeat(np.arange(len(sets)), sizes)
+        flat = np.concatenate(sets) if sets else np.zeros(0, np.uint64)
+        _, column, count = np.unique(flat, return_inverse=True, return_counts=True)
         shared = count > 1
-        column = (np.cumsum(shared) - 1)[column][shared[column]]
-        row = row[shared[np.searchsorted(values, np.concatenate(sets))]]
+        keep = shared[column]
+        row, column = np.repeat(np.arange(len(sets)), sizes)[keep], (np.cumsum(shared) - 1)[column[keep]]
         order = np.argsort(column, kind="stable")
         row, column = row[order], column[order]
-        side = np.flatnonzero(group["block"] == group["block_a"][0])
-        other = np.flatnonzero(group["block"] == group["block_b"][0])
-        both = np.zeros((len(side), len(other)), np.float32)
+        both = np.zeros((len(left), len(right)), np.float32)
         step = 8192
         for low in range(0, int(shared.sum()), step):
             i, j = np.searchsorted(column, [low, low + step])
             part = np.zeros((len(sets), step), np.float32)
             part[row[i:j], column[i:j] - low] = 1
-            both += part[side] @ part[other].T
-        union = sizes[side][:, None] + sizes[other][None, :] - both
-        return _edges(100 * both.astype(np.float64) >= bar.percent * union.astype(np.float64), group["doc"][side], group["doc"][other])
+            both += part[left] @ part[right].T
+        union = sizes[left][:, None] + sizes[right][None, :] - both
+        return 100 * both.astype(np.float64) >= bar.percent * union.astype(np.float64)
 
-    return confirm
+    return match
 
 
 def _with_sets(text_col: str):
+    """Each node's row once a task, with its set in place of the text."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen: set[int] = set()
         for batch in batches:
+            fresh = []
+            for i, node in enumerate(batch.column("node").to_pylist()):
+                if node not in seen:
+                    seen.add(node)
+                    fresh.append(i)
+            batch = batch.take(pa.array(fresh, pa.int64()))
             kept = batch.select([n for n in batch.schema.names if n != text_col])
             for first, sizes, flat in shingle_sets(texts(batch, text_col)):
                 ends = np.cumsum(sizes)
@@ -173,44 +181,75 @@ def _with_sets(text_col: str):
     return run
 
 
-def _families(classes: DataFrame, bar: Bar) -> DataFrame:
-    """(node, component): representatives that sketches connect."""
-    rows = classes.select("doc", F.explode("bands").alias("bucket"))
-    full = rows.groupBy("bucket").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
-    met = rows.join(full, "bucket").withColumn("blocks", F.ceil(F.col("n") / BLOCK).cast("int")).withColumn("block", F.pmod(F.xxhash64("doc"), F.col("blocks")).cast("int"))
-    met = block_pairs(met.join(classes.select("doc", "sketch"), "doc"), ["bucket"], "blocks", "block").select("bucket", "block_a", "block_b", "block", "doc", "sketch")
-    return components(by_group(met, ["bucket", "block_a", "block_b"], _compare(bar), "a long, b long"))
+def _few(df: DataFrame) -> DataFrame:
+    """A checkpointed table of a few numbers a row, broadcast up to BROADCAST_ROWS."""
+    return F.broadcast(df) if df.count() <= BROADCAST_ROWS else df
 
 
-def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", percent: int = PERCENT) -> DataFrame:
-    """(id, n_shingles, component_id, kept) of each row; texts whose similarity is `percent` or more are linked."""
+def _families(classes: DataFrame, bar: Bar) -> DataFrame:
+    """(node, component): representatives that sketches connect."""
+    rows = classes.select("node", F.explode("bands").alias("bucket"))
+    full = cut(rows.groupBy("bucket").agg(F.count(F.lit(1)).alias("n")).where("n > 1"))
+    blocks = F.ceil(F.col("n") / BLOCK).cast("int").alias("blocks")
+    sketches = classes.select("node", "sketch")
+    small = rows.join(full.where(F.col("n") <= BLOCK).select("bucket", blocks), "bucket").join(sketches, "node")
+    large = cut(full.where(F.col("n") > BLOCK).select("bucket", blocks))
+    large = None if large.isEmpty() else rows.join(_few(large), "bucket").join(sketches, "node")
+    return components(group_links(small, large, "bucket", _may_match(bar), BLOCK))
+
+
+def _linked_rows(docs: DataFrame, id_col: str, text_col: str, percent: int) -> DataFrame:
+    """(doc, mark, n_shingles, first) of each row: the hash of its text, and the first row (unnamed, doc, mark) of its component, null for an empty set."""
     bar = bar_at(percent)
-    plain = docs.select(F.col(id_col).cast("long").alias("doc"), F.col(text_col).alias("text"))
-    sketched = cut(plain.mapInArrow(lean(_sketch("text", bar)), "doc long, n_shingles long, f1 long, f2 long, bands array<long>, sketch binary"))
+    plain = docs.select(F.col(id_col).cast("long").alias("doc"), F.xxhash64(text_col).alias("mark"), F.col(text_col).alias("text"))
+    sketched = cut(plain.mapInArrow(lean(_sketch("text", bar)), "doc long, mark long, n_shingles long, f1 long, f2 long, bands array<long>, sketch binary"))
     shape = ["n_shingles", "f1", "f2"]
+    some = F.min(F.struct(F.col("doc").isNull(), "doc", "mark"))
     classes = cut(
-        sketched.where("n_shingles > 0 and doc is not null").groupBy(*shape)
-        .agg(F.min("doc").alias("doc"), F.first("bands").alias("bands"), F.first("sketch").alias("sketch"))
+        sketched.where("n_shingles > 0").groupBy(*shape).agg(some.alias("some"), F.first("bands").alias("bands"), F.first("sketch").alias("sketch"))
+        .select(*shape, "some.doc", "some.mark", "bands", "sketch", F.monotonically_increasing_id().alias("node"))
     )
-    family = cut(_families(classes, bar))
-    totals = family.join(classes.select("doc", "n_shingles"), F.col("node") == F.col("doc")).groupBy("component").agg(F.count(F.lit(1)).alias("n"), F.sum("n_shingles").alias("s"))
-    members = family.join(totals, "component").select(
-        F.col("node").alias("doc"), F.col("component").alias("family"),
-        F.greatest(F.ceil(F.col("n") / BLOCK), F.ceil(F.col("s") / BLOCK_SHINGLES)).cast("int").alias("blocks"),
-    )
-    members = cut(members.join(classes.select("doc", *shape), "doc").withColumn("block", F.pmod(F.xxhash64("doc"), F.col("blocks")).cast("int")))
-    wanted = F.broadcast(members) if members.count() <= BROADCAST_IDS else members
-    sets = plain.join(wanted, "doc").mapInArrow(lean(_with_sets("text")), "doc long, family long, blocks int, n_shingles long, f1 long, f2 long, block int, shingles binary")
-    sets = block_pairs(sets.where(F.length("shingles") == F.col("n_shingles") * 8), ["family"], "blocks", "block").select("family", "block_a", "block_b", "block", "doc", "shingles")
-    linked = components(by_group(sets, ["family", "block_a", "block_b"], _confirm(bar), "a long, b long"))
-    final = classes.select(*shape, "doc").join(linked.withColumnRenamed("node", "doc"), "doc", "left").select(*shape, F.coalesce("component", "doc").alias("component_id"))
-    own = sketched.select("doc", *shape).join(final, shape, "left")
-    component = F.when(F.col("n_shingles") == 0, F.col("doc")).otherwise(F.col("component_id"))
-    out = own.select(F.col("doc").alias(id_col), "n_shingles", component.alias("component_id"))
+    family = cut(_families(classes, bar)).join(classes.select("node", "n_shingles", "doc", "mark"), "node")
+    totals = family.groupBy("component").agg(F.count(F.lit(1)).alias("n"), F.sum("n_shingles").alias("s"))
+    blocks = F.greatest(F.ceil(F.col("n") / BLOCK), F.ceil(F.col("s") / BLOCK_SHINGLES)).cast("int")
+    members = cut(family.join(totals, "component").select("node", F.col("component").alias("family"), blocks.alias("blocks"), F.col("doc").alias("its_doc"), F.col("mark").alias("its_mark"), F.col("n_shingles").alias("its_size")))
+
+    def sets(wanted: DataFrame) -> DataFrame:
+        own = (F.col("mark") == F.col("its_mark")) & F.col("doc").eqNullSafe(F.col("its_doc"))
+        found = plain.join(_few(wanted), own).select("node", "family", "blocks", "its_size", "text")
+        found = found.mapInArrow(lean(_with_sets("text")), "node long, family long, blocks int, its_size long, shingles binary")
+        return found.where(F.length("shingles") == F.col("its_size") * 8).drop("its_size")
+
+    large = members.where("blocks > 1")
+    linked = components(group_links(sets(members.where("blocks = 1")), None if large.isEmpty() else sets(large), "family", _match(bar), BLOCK))
+    placed = classes.select(*shape, F.struct(F.col("doc").isNull().alias("unnamed"), "doc", "mark").alias("own"), "node").join(linked, "node", "left")
+    placed = cut(placed.select(*shape, "own", F.coalesce("component", "node").alias("class")))
+    first = cut(placed.groupBy("class").agg(F.min("own").alias("first")))  # a table of its own, so that its join may split a large class
+    final = placed.join(first, "class").select(*shape, "first")
+    return sketched.select("doc", "mark", *shape).join(final, shape, "left").select("doc", "mark", "n_shingles", "first")
+
+
+def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", percent: int = PERCENT) -> DataFrame:
+    """(id, n_shingles, component_id, kept) of each row; texts whose similarity is `percent` or more are linked."""
+    rows = _linked_rows(docs, id_col, text_col, percent)
+    component = F.when(F.col("first").isNull(), F.col("doc")).otherwise(F.col("first.doc"))
+    out = rows.select(F.col("doc").alias(id_col), "n_shingles", component.alias("component_id"))
     return out.withColumn("kept", F.coalesce(F.col(id_col) == F.col("component_id"), F.lit(False)))
 
 
 def deduplicate(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", percent: int = PERCENT) -> DataFrame:
-    """The rows whose id is the smallest of its component (rows without id go), all columns."""
-    kept = near_duplicates(docs, id_col, text_col, percent).where("kept").select(F.col(id_col).alias("_kept_id")).distinct()
-    return docs.join(kept, F.col(id_col) == F.col("_kept_id"), "left_semi")
+    """One row of each component and all rows without words, all columns.
+
+    The row with the smallest id stays (one without id only where no other has one). Rows that go are found by id
+    and hash of their text; where a row that stays occurs several times, one of its occurrences does.
+    """
+    rows = _linked_rows(docs, id_col, text_col, percent).where("first is not null").groupBy("doc", "mark", "first").agg(F.count(F.lit(1)).alias("n"))
+    judged = rows.withColumn("stays", (F.col("mark") == F.col("first.mark")) & F.col("doc").eqNullSafe(F.col("first.doc")))
+    judged = cut(judged.where("not stays or n > 1").select(F.col("doc").alias("_doc"), F.col("mark").alias("_mark"), "stays"))
+    own = (F.xxhash64(text_col) == F.col("_mark")) & F.col(id_col).cast("long").eqNullSafe(F.col("_doc"))
+    kept = docs.join(_few(judged.select("_doc", "_mark")), own, "left_anti")
+    repeated = judged.where("stays").select("_doc", "_mark")
+    if repeated.isEmpty():
+        return kept
+    again = docs.join(_few(repeated), own).dropDuplicates(["_doc", "_mark"]).drop("_doc", "_mark")
+    return kept.unionByName(again)
