@@ -28,9 +28,9 @@ def op4_minmax_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op5_tool_call_links(spark: SparkSession, sf_dir: str) -> DataFrame:
     calls, results = toolcalls.chat_trace(table(spark, sf_dir, "conversations"))
-    schemas = spark.sql("SELECT * FROM VALUES ('reply', 'n_chars', 'integer', true), ('reply', 'after', 'string', false) AS t(name, argument, type, required)")
+    schemas = spark.sql("SELECT * FROM VALUES ('reply', 'n_chars', 'integer', true), ('reply', 'after', 'string', false), ('reply', 'also', 'string', false) AS t(name, argument, type, required)")
     linked = toolcalls.link_calls(calls, results, schemas)
-    return linked.select("conv_id", "call_id", "turn", "level", "status", "problems", "result_turn", F.sha2(F.col("canonical").cast("binary"), 256).alias("canonical_sha256"))
+    return linked.select("conv_id", "call_id", "turn", "level", "place", "status", "problems", "result_turn", F.sha2(F.col("canonical").cast("binary"), 256).alias("canonical_sha256"))
 
 
 def op6_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:

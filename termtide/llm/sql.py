@@ -21,18 +21,26 @@ FROM documents d LEFT JOIN n ON n.doc_id = d.doc_id JOIN reach r ON r.doc_id = d
 """
 
 TOOL_CALLS = """
-WITH u AS (
-  SELECT conv_id, turn, length(text) AS n, turn - 2 * row_number() OVER (PARTITION BY conv_id, turn % 2 ORDER BY turn) AS island
-  FROM conversations WHERE role = 'user'
-), c AS (
-  SELECT u.conv_id, u.turn, 'turn-' || u.turn AS call_id, row_number() OVER (PARTITION BY u.conv_id, u.turn % 2, u.island ORDER BY u.turn) - 1 AS level,
-         a.turn AS result_turn, a.text AS content,
-         CASE WHEN u.turn >= 2 THEN '"after":"$turn-' || (u.turn - 2) || '",' ELSE '' END || '"n_chars":' || coalesce(u.n, 0) AS arguments
-  FROM u LEFT JOIN conversations a ON a.role = 'assistant' AND a.conv_id = u.conv_id AND a.turn = u.turn + 1
+WITH RECURSIVE u AS (
+  SELECT conv_id, turn, coalesce(length(text), 0) AS n, coalesce(length(text), 0) % 7 AS kind FROM conversations WHERE role = 'user'
+), r(conv_id, turn, depth) AS (
+  SELECT conv_id, turn, 0 FROM u
+  UNION SELECT u.conv_id, u.turn, r.depth + 1 FROM r JOIN u ON u.conv_id = r.conv_id AND u.kind <> 3 AND (u.turn = r.turn + 2 OR (u.turn = r.turn + 4 AND u.turn % 8 = 4))
+), l AS (SELECT conv_id, turn, max(depth)::INTEGER AS level FROM r GROUP BY conv_id, turn),
+c AS (
+  SELECT u.conv_id, u.turn, 'turn-' || u.turn AS call_id, kind, level, a.turn AS result_turn, a.text AS content,
+         CASE kind WHEN 0 THEN 'missing:n_chars' WHEN 1 THEN 'unknown:extra' WHEN 2 THEN 'type:n_chars' WHEN 3 THEN 'malformed,missing:n_chars' ELSE '' END AS problems,
+         CASE WHEN kind = 3 THEN 'null' ELSE '{' || concat_ws(',',
+           CASE WHEN u.turn >= 2 THEN '"after":"$turn-' || (u.turn - 2) || '"' END, CASE WHEN u.turn >= 4 AND u.turn % 8 = 4 THEN '"also":"$turn-' || (u.turn - 4) || '"' END,
+           CASE WHEN kind = 1 THEN '"extra":"true"' END, CASE WHEN kind = 2 THEN '"n_chars":"many"' WHEN kind <> 0 THEN '"n_chars":' || n END) || '}' END AS arguments
+  FROM u JOIN l ON l.conv_id = u.conv_id AND l.turn = u.turn LEFT JOIN conversations a ON a.role = 'assistant' AND a.conv_id = u.conv_id AND a.turn = u.turn + 1
 )
-SELECT conv_id, call_id, turn, level::INTEGER AS level, CASE WHEN result_turn IS NULL THEN 'no_result' ELSE 'ok' END AS status, '' AS problems, result_turn,
-       sha256('{"arguments":{' || arguments || '},"id":"' || call_id || '","name":"reply","result":' || coalesce(to_json(content)::VARCHAR, 'null') || '}') AS canonical_sha256
+SELECT conv_id, call_id, turn, level, lpad(level::VARCHAR, 10, '0') || ':' || lpad(turn::VARCHAR, 19, '0') || ':' || call_id AS place,
+       CASE WHEN kind < 4 THEN 'invalid' WHEN result_turn IS NULL THEN 'no_result' ELSE 'ok' END AS status, problems, result_turn,
+       sha256('{"arguments":' || arguments || ',"id":"' || call_id || '","name":"reply","result":' || coalesce(to_json(content)::VARCHAR, 'null') || '}') AS canonical_sha256
 FROM c
+UNION ALL
+SELECT conv_id, call_id, turn + 1, NULL, '9999999999:' || lpad((turn + 1)::VARCHAR, 19, '0') || ':' || call_id, 'duplicate', '', NULL, NULL FROM c WHERE kind = 4
 """
 
 DECONTAMINATION = f"""

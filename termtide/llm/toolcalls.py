@@ -1,17 +1,19 @@
 """Tool-call linking in chats, in DataFrame operations only.
 
 Messages carry calls `{"id", "name", "arguments"}` (arguments: a JSON object as text) or results
-`{"id", "content"}`. Calls and results meet in a hash join on (conversation, id); the first result of a
-call (smallest turn) counts. An argument that is `$other_id` makes the call depend on that call of the
+`{"id", "content"}`. Calls and results meet in a shuffled hash join on (conversation, id), whose hash side has one
+row an id; the first result of a call (smallest turn, then content) counts. An argument that is `$other_id` makes the call depend on that call of the
 same conversation: calls are ordered by dependency level, then turn, then id. Levels are found by pointer
-doubling along chains and by rounds over the rest; calls on a cycle, or behind one, get a null level and
-come last.
+doubling along chains and by rounds over the rest, as many as there are levels of calls with several dependencies;
+calls on a cycle, or behind one, get a null level and come last. `place` is a text that sorts the calls of a
+conversation in that order.
 Arguments are checked against a schema table (tool, argument, type, required), and each linked call is
 written as canonical JSON: keys in order, no spaces.
 
 Rows with a null conversation, id or name are kept and never linked; a repeated id keeps its first call
 (smallest turn, then text) and marks the others `duplicate`; malformed arguments are invalid and written
-as null; an empty table gives no rows; other columns are ignored.
+as null; texts of any length are written whole; an empty table gives no rows; other columns, whatever their names,
+are ignored.
 """
 
 from __future__ import annotations
@@ -46,7 +48,7 @@ def _shortcut(single: DataFrame) -> DataFrame:
     return jumps.where("arrived").drop("arrived")
 
 
-def _levels(calls: DataFrame, needs: DataFrame, most_rounds: int) -> DataFrame:
+def _levels(calls: DataFrame, needs: DataFrame) -> DataFrame:
     """(conv, id, level): 0 for calls without dependencies, else one more than the highest of them.
 
     Chains of single dependencies are cut short first; only calls with several dependencies take rounds.
@@ -61,9 +63,7 @@ def _levels(calls: DataFrame, needs: DataFrame, most_rounds: int) -> DataFrame:
     alone = needs.where("n = 1").select("conv", F.col("id").alias("on"))  # on a cycle unless `way` has it
     left = needs.where("n > 1").join(way, ["conv", "on"], "left").join(alone.withColumn("single", F.lit(True)), ["conv", "on"], "left")
     left = cut(left.select("conv", "id", F.coalesce("to", F.when(F.col("single").isNull(), F.col("on"))).alias("to"), F.coalesce("dist", F.lit(0)).alias("dist")))
-    for _ in range(most_rounds):
-        if left.isEmpty():
-            break
+    while not left.isEmpty():
         state = left.join(done.select("conv", F.col("id").alias("to"), "level"), ["conv", "to"], "left")
         ready = state.groupBy("conv", "id").agg(F.count(F.when(F.col("level").isNull(), 1)).alias("open"), F.max(F.col("level") + F.col("dist") + 1).alias("level")).where("open = 0")
         fresh = cut(ready.select("conv", "id", "level"))
@@ -75,7 +75,7 @@ def _levels(calls: DataFrame, needs: DataFrame, most_rounds: int) -> DataFrame:
     return done.unionByName(behind).withColumn("level", F.col("level").cast("int"))
 
 
-def link_calls(calls: DataFrame, results: DataFrame, schemas: DataFrame, most_rounds: int = 1000) -> DataFrame:
+def link_calls(calls: DataFrame, results: DataFrame, schemas: DataFrame) -> DataFrame:
     """(conv_id, call_id, turn, name, level, place, status, problems, result_turn, canonical) of each call.
 
     calls: conv_id, turn, call_id, name, arguments; results: conv_id, turn, call_id, content; schemas: name,
@@ -93,12 +93,12 @@ def link_calls(calls: DataFrame, results: DataFrame, schemas: DataFrame, most_ro
     pairs = single.select("conv", "id", "name", F.explode_outer("given").alias("argument", "value"))
     needs = pairs.where(F.col("value").startswith("$")).select("conv", "id", F.expr("substring(value, 2)").alias("on")).distinct()
     needs = needs.join(single.select("conv", F.col("id").alias("on")), ["conv", "on"], "left_semi")
-    levels = _levels(single.select("conv", "id"), needs, most_rounds)
+    levels = _levels(single.select("conv", "id"), needs)
 
     literal = F.when(F.col("type") == "string", _quoted(F.col("value"))).otherwise(F.col("value"))
     pattern = F.coalesce(*(F.when(F.col("type") == t, F.lit(p)) for t, p in TYPES.items()), F.lit("^$"))
     reference = F.coalesce(F.col("value").startswith("$"), F.lit(False))
-    expected = F.broadcast(schemas.select("name", "argument", "type", "required"))
+    expected = schemas.select("name", "argument", "type", "required")
     asked = single.select("conv", "id", "name", "given").join(expected, "name")
     missing = asked.where(F.col("required") & F.col("given")[F.col("argument")].isNull()).select("conv", "id", F.concat(F.lit("missing:"), "argument").alias("problem"))
     seen = pairs.where(F.col("argument").isNotNull()).join(expected.withColumn("known", F.lit(True)), ["name", "argument"], "left")
@@ -116,7 +116,8 @@ def link_calls(calls: DataFrame, results: DataFrame, schemas: DataFrame, most_ro
         .select("conv", "id", F.col("turn").alias("result_turn"), "content", F.lit(True).alias("linked"))
     )
     extra = levels.join(problems, ["conv", "id"], "full").join(written, ["conv", "id"], "full").withColumn("linked", F.lit(True))
-    joined = base.join(extra, ["conv", "id", "linked"], "left").join(answered, ["conv", "id", "linked"], "left")
+    hashed = lambda side: side.hint("shuffle_hash")
+    joined = base.join(hashed(answered), ["conv", "id", "linked"], "left").join(hashed(extra), ["conv", "id", "linked"], "left")
     bad = F.coalesce(F.size("problems") > 0, F.lit(False))
     status = F.when(F.col("copy") > 1, "duplicate").when(~F.col("linked"), "invalid").when(bad, "invalid").when(F.col("result_turn").isNull(), "no_result").otherwise("ok")
     body = F.concat_ws(",", F.transform("written", lambda w: F.concat(_quoted(w["argument"]), F.lit(":"), F.coalesce(w["literal"], F.lit("null")))))
@@ -125,7 +126,8 @@ def link_calls(calls: DataFrame, results: DataFrame, schemas: DataFrame, most_ro
         F.lit('{"arguments":'), arguments, F.lit(',"id":'), _quoted(F.col("id")), F.lit(',"name":'), _quoted(F.col("name")),
         F.lit(',"result":'), F.when(F.col("result_turn").isNull() | F.col("content").isNull(), "null").otherwise(_quoted(F.col("content"))), F.lit("}"),
     )
-    place = F.struct(F.coalesce("level", F.lit(2**31 - 1)), F.coalesce(F.col("turn").cast("long"), F.lit(2**62)), "id")
+    digits = lambda n, width: F.lpad(F.coalesce(n.cast("string"), F.lit("9" * width)), width, "0")
+    place = F.concat_ws(":", digits(F.col("level"), 10), digits(F.col("turn"), 19), "id")
     return joined.select(
         F.col("conv").alias("conv_id"), F.col("id").alias("call_id"), "turn", "name", "level", place.alias("place"), status.alias("status"),
         F.coalesce(F.array_join("problems", ","), F.lit("")).alias("problems"), "result_turn", F.when(F.col("linked"), line).alias("canonical"),
@@ -135,13 +137,22 @@ def link_calls(calls: DataFrame, results: DataFrame, schemas: DataFrame, most_ro
 def chat_trace(conversations: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Calls and results that a plain chat implies: each question calls `reply`, each answer is a result.
 
-    A user turn is the call `turn-<turn>` with its text's length and, from its third turn on, a reference to
-    the question before; the assistant's turn answers the question one turn earlier.
+    A user turn is the call `turn-<turn>` with its text's length, from its third turn on a reference to the question
+    before, and in every eighth turn from the fifth on a second one to the question before that; the assistant's turn
+    answers the question one turn earlier. As in real traces some calls are faulty: by the length modulo 7 a call
+    lacks its argument (0), has an unknown one (1), a wrong type (2), broken JSON (3), or is sent again a turn later (4).
     """
-    at = F.col("turn")
+    at, size = F.col("turn"), F.coalesce(F.length("text"), F.lit(0))
+    kind = size % 7
+    part = lambda when, text: F.when(when, text)
+    arguments = F.concat_ws(
+        ",", part(kind == 2, F.lit('"n_chars":"many"')), part(~kind.isin(0, 2), F.concat(F.lit('"n_chars":'), size)), part(kind == 1, F.lit('"extra":true')),
+        part(at >= 2, F.concat(F.lit('"after":"$turn-'), at - 2, F.lit('"'))), part((at >= 4) & (at % 8 == 4), F.concat(F.lit('"also":"$turn-'), at - 4, F.lit('"'))),
+    )
     asked = conversations.where("role = 'user'").select(
         "conv_id", "turn", F.concat(F.lit("turn-"), at).alias("call_id"), F.lit("reply").alias("name"),
-        F.concat(F.lit('{"n_chars":'), F.coalesce(F.length("text"), F.lit(0)), F.when(at >= 2, F.concat(F.lit(',"after":"$turn-'), at - 2, F.lit('"'))).otherwise(""), F.lit("}")).alias("arguments"),
+        F.when(kind == 3, "{oops").otherwise(F.concat(F.lit("{"), arguments, F.lit("}"))).alias("arguments"), (kind == 4).alias("twice"),
     )
+    again = asked.where("twice").select("conv_id", (at + 1).alias("turn"), "call_id", "name", F.lit('{"n_chars":0}').alias("arguments"))
     told = conversations.where("role = 'assistant'").select("conv_id", "turn", F.concat(F.lit("turn-"), at - 1).alias("call_id"), F.col("text").alias("content"))
-    return asked, told
+    return asked.drop("twice").unionByName(again), told

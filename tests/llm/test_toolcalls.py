@@ -38,3 +38,43 @@ def test_levels_of_chains_joints_and_cycles(spark):
         want |= new
     got = toolcalls.link_calls(spark.createDataFrame(calls, CALL), spark.createDataFrame([], RESULT), spark.createDataFrame([], SCHEMA)).collect()
     assert {int(r["call_id"]): r["level"] for r in got} == {i: want.get(i) for i in edges}
+
+
+def test_ladders_have_as_many_levels_as_they_need(spark):
+    """Each call uses the two before it."""
+    n = 25
+    calls = [(1, i, str(i), "f", "{" + ",".join(f'"k{j}":"${d}"' for j, d in enumerate(range(max(0, i - 2), i))) + "}") for i in range(n)]
+    got = toolcalls.link_calls(spark.createDataFrame(calls, CALL), spark.createDataFrame([], RESULT), spark.createDataFrame([], SCHEMA))
+    rows = got.withColumn("clash", toolcalls.F.lit(1)).collect()
+    assert {int(r["call_id"]): r["level"] for r in rows} == {i: i for i in range(n)}
+    assert [int(r["call_id"]) for r in sorted(rows, key=lambda r: r["place"])] == list(range(n))
+
+
+def test_calls_and_results_meet_in_a_hash_join(spark, monkeypatch):
+    calls = spark.createDataFrame([(1, 1, "a", "f", "{}")], CALL).withColumn("linked", toolcalls.F.lit("x")).withColumn("content", toolcalls.F.lit("y"))
+    results = spark.createDataFrame([(1, 2, "a", "t" * 100_000)], RESULT)
+    made = toolcalls.link_calls(calls, results, spark.createDataFrame([], SCHEMA))
+    assert "ShuffledHashJoin" in made._jdf.queryExecution().executedPlan().toString()
+    row = made.first()
+    assert row["status"] == "invalid" or row["status"] == "ok" and "t" * 100_000 in row["canonical"]
+
+
+def test_query_equals_sql(spark, tmp_path):
+    import duckdb
+
+    from termtide.llm import queries
+
+    rows = []
+    for conv in range(30):
+        for turn in range(1 + conv % 14):
+            if (conv * 7 + turn) % 11:
+                rows.append((conv, turn, "user" if turn % 2 == 0 else "assistant", None if (conv + turn) % 13 == 0 else "é" * ((conv * 5 + turn * 3) % 19)))
+    spark.createDataFrame(rows, "conv_id long, turn int, role string, text string").write.parquet(f"{tmp_path}/conversations.parquet")
+    got = queries.op5_tool_call_links(spark, str(tmp_path))
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW conversations AS SELECT * FROM '{tmp_path}/conversations.parquet/*.parquet'")
+    want = con.execute(queries.ORACLE_SQL["op5_tool_call_links"])
+    names = [d[0] for d in want.description]
+    assert sorted(names) == sorted(got.columns)
+    assert sorted(map(tuple, got.select(*names).collect()), key=str) == sorted(want.fetchall(), key=str)
+    assert {r["status"] for r in got.collect()} == {"ok", "no_result", "invalid", "duplicate"}
