@@ -219,27 +219,70 @@ def _shuffled(spark) -> int:
     return sum(executors.apply(i).totalShuffleWrite() for i in range(executors.size()))
 
 
-def test_vector_recall_and_components(spark, monkeypatch):
-    rnd = np.random.default_rng(6)
-    base = rnd.normal(size=(400, 32))
-    x = np.concatenate([base, *(base[:60] + rnd.normal(size=(60, 32)) * s for s in (0.1, 0.2, 0.3)), np.repeat(base[5:6], 300, 0) + rnd.normal(size=(300, 32)) * 0.12, base[:10]]).astype(np.float32)
+def vectors_brute(x):
+    """(links of each vector, its component) by all cosines."""
     u = x.astype(float) / np.linalg.norm(x.astype(float), axis=1, keepdims=True)
     links = u @ u.T >= 0.95
     np.fill_diagonal(links, False)
-    rows = [(i, [float(a) for a in v]) for i, v in enumerate(x)] + [(9001, None), (9002, [0.0] * 32), (9003, [float("nan")] + [1.0] * 31), (9004, [None] + [1.0] * 31), (9005, [1.0])]
-    monkeypatch.setattr(vectors, "PER_LIST", 64)
-    monkeypatch.setattr(vectors, "BLOCK", 100)
-    df = spark.createDataFrame(rows, "vec_id long, embedding array<float>").withColumn("list", F.lit(0))
-    got = {r["vec_id"]: r for r in vectors.near_vectors(df).collect()}
-    assert len(got) == len(rows)
-    found = sum(got[i]["n_links"] for i in range(len(x)))
-    assert 0.97 * links.sum() <= found <= links.sum()
     label = np.arange(len(x))
     while True:
         new = np.array([min([label[i], *label[links[i]]]) for i in range(len(x))])
         if (new == label).all():
-            break
+            return links.sum(1), label
         label = new
-    assert np.mean([got[i]["component_id"] == label[i] for i in range(len(x))]) > 0.97
-    assert all((got[i]["n_links"], got[i]["component_id"], got[i]["kept"]) == (0, i, True) for i in range(9001, 9006))
-    assert vectors.near_vectors(df.limit(0)).count() == 0
+
+
+def test_vector_recall_and_components(spark, monkeypatch):
+    rnd = np.random.default_rng(6)
+    base = rnd.normal(size=(400, 32))
+    x = np.concatenate([base, *(base[:60] + rnd.normal(size=(60, 32)) * s for s in (0.1, 0.2, 0.3)), np.repeat(base[5:6], 300, 0) + rnd.normal(size=(300, 32)) * 0.12, base[:10]]).astype(np.float32)
+    n_links, label = vectors_brute(x)
+    rows = [(i, [float(a) for a in v]) for i, v in enumerate(x)] + [(9001, None), (9002, [0.0] * 32), (9003, [float("nan")] + [1.0] * 31), (9004, [None] + [1.0] * 31), (9005, [1.0]), (9006, []), (None, rows_of(x)[0])]
+    clash = {"list": F.lit(0), "own": F.lit(1), "probes": F.lit("x"), "d": F.lit(2)}
+    for per_list, block, kind in ((64, 100, "float"), (16, 7, "float"), (64, 1024, "double")):
+        monkeypatch.setattr(vectors, "PER_LIST", per_list)
+        monkeypatch.setattr(vectors, "BLOCK", block)
+        df = spark.createDataFrame(rows, f"vec_id long, embedding array<{kind}>").withColumns(clash)
+        got = {r["vec_id"]: r for r in vectors.near_vectors(df).collect()}
+        assert len(got) == len(rows)
+        found = np.array([got[i]["n_links"] for i in range(len(x))]) - [int((x[i] == x[0]).all()) for i in range(len(x))]  # the row without id is a copy of the first
+        assert all(found <= n_links + 1) and 0.97 * n_links.sum() <= found.sum() <= n_links.sum() + (n_links[0] + 1), (per_list, found.sum(), n_links.sum())
+        assert np.mean([got[i]["component_id"] == label[i] for i in range(len(x))]) > 0.97
+        assert all((got[i]["n_links"], got[i]["component_id"], got[i]["kept"]) == (0, i, True) for i in range(9001, 9007))
+        assert got[None]["component_id"] == 0 and not got[None]["kept"]
+        assert vectors.near_vectors(df.limit(0)).count() == 0
+
+
+def rows_of(x):
+    return [[float(a) for a in v] for v in x]
+
+
+def test_vectors_of_several_lengths_link_among_themselves(spark):
+    rnd = np.random.default_rng(7)
+    sets = {3: rnd.normal(size=(200, 3)), 2: rnd.normal(size=(40, 2)), 5: rnd.normal(size=(1, 5))}
+    rows, want = [], {}
+    for d, x in sets.items():
+        x = np.concatenate([x, x[:1]])
+        n, label = vectors_brute(x)
+        first = len(rows)
+        for i, v in enumerate(rows_of(x)):
+            want[len(rows)] = (n[i], first + label[i])
+            rows.append((len(rows), v))
+    got = {r["vec_id"]: (r["n_links"], r["component_id"]) for r in vectors.near_vectors(spark.createDataFrame(rows, "vec_id long, embedding array<double>")).collect()}
+    assert got == want
+
+
+def test_probes_suffice_without_clusters(spark, monkeypatch):
+    """Vectors in no clusters, each with a partner at just over the threshold, in many lists: recall against brute force."""
+    rnd = np.random.default_rng(8)
+    x = rnd.normal(size=(3000, 48))
+    x /= np.linalg.norm(x, axis=1, keepdims=True)
+    away = rnd.normal(size=x.shape)
+    away -= (away * x).sum(1, keepdims=True) * x
+    y = 0.955 * x + np.sqrt(1 - 0.955**2) * away / np.linalg.norm(away, axis=1, keepdims=True)
+    monkeypatch.setattr(vectors, "PER_LIST", 100)
+    both = np.concatenate([x, y])
+    got = {r["vec_id"]: r["n_links"] for r in vectors.near_vectors(spark.createDataFrame(list(enumerate(rows_of(both))), "vec_id long, embedding array<double>")).collect()}
+    n, _ = vectors_brute(both)
+    found = np.array([got[i] for i in range(len(both))])
+    assert (found <= n).all() and found.sum() >= 0.98 * n.sum()
