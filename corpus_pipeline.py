@@ -1,10 +1,16 @@
 """A training corpus from `documents` in five stages, each written as Parquet and read again by the next.
 
 1. language ID keeps documents whose language is recognised;
-2. min-max near-dedup keeps the smallest id of each group of near copies;
+2. min-max near-dedup keeps one row of each group of near copies, the one with the smallest id;
 3. decontamination drops documents that share a window with a benchmark item;
 4. the secret scan replaces secrets in the texts by their kind;
 5. BPE encodes the texts, and decodes them again as a check.
+
+Null texts and texts without a letter go in the first stage. Rows without id go through all stages like others: one
+stays where no near copy of it has an id. Repeated rows, and rows that share an id or a text, leave one row for each
+text. Texts of any length go through whole. An empty table gives an empty corpus. Other columns of `documents` are
+kept, but for those named `token_ids`, `round_trip` or `n_tokens`, which the last stage replaces by its own. Each run
+writes a folder of its own under the shared folder; the caller removes it with the others there.
 """
 
 from __future__ import annotations
