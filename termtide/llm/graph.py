@@ -13,14 +13,19 @@ from pyspark.sql import functions as F
 from termtide.llm.common import cut, lean, shared_dir
 
 
+#: Most links that one task joins by itself (16 bytes each).
+LOCAL_LINKS = 250_000
+
+
 def components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
     """(node, component): the smallest node that each node of the links reaches, itself included.
 
-    Alternating large and small stars: each round points every neighbour of a node at the smallest one,
-    until nothing moves. The smallest neighbours are a checkpointed table with one row a node, so that its join
-    with the links has an exchange of its own and Spark may split the links of a hub among tasks. A round's links are
-    written as a table (in two folders in turn), so that Spark plans each round by their real size: the size that it
-    expects of a join is a product, which would grow without bound from round to round.
+    Alternating large and small stars: each round points every neighbour of a node at the smallest one, until
+    nothing moves or so few links are left (`LOCAL_LINKS`, a bound on memory) that one task can follow them all. The
+    smallest neighbours are a checkpointed table with one row a node, so that its join with the links has an exchange
+    of its own and Spark may split the links of a hub among tasks. A round's links are written as a table (in two
+    folders in turn), so that Spark plans each round by their real size: the size that it expects of a join is a
+    product, which would grow without bound from round to round.
     """
     spark, folder = edges.sparkSession, f"{shared_dir(edges.sparkSession).rstrip('/')}/components-{uuid.uuid4().hex}"
 
@@ -31,6 +36,13 @@ def components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
     low, high = F.least(a, b), F.greatest(a, b)
     edges, seen, turn = written(edges.select(high.alias("u"), low.alias("v")).where("u > v"), 0), None, 0
     while True:
+        now = tuple(edges.agg(F.count(F.lit(1)), F.sum(F.xxhash64("u", "v") % 1_000_003)).first())
+        if now[0] <= LOCAL_LINKS:
+            edges = cut(edges.coalesce(1).mapInArrow(_followed, "u long, v long"))
+            break
+        if now == seen:
+            break
+        seen = now
         both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
         near = cut(both.groupBy("u").agg(F.min("v").alias("m")))
         large = both.where("v > u").join(near, "u").select(F.col("v").alias("u"), F.least("m", "u").alias("v"))
@@ -39,25 +51,29 @@ def components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
         small = large.join(least, "u").where("v > m").select(F.col("v").alias("u"), F.col("m").alias("v"))
         turn += 1
         edges = written(small.unionByName(least.select("u", F.col("m").alias("v"))), turn)
-        now = tuple(edges.agg(F.count(F.lit(1)), F.sum(F.xxhash64("u", "v") % 1_000_003)).first())
-        if now == seen:
-            break
-        seen = now
     return edges.select(F.col("u").alias("node"), F.col("v").alias("component")).unionByName(edges.select(F.col("v").alias("node"), F.col("v").alias("component")).distinct())
 
 
-def forest(links: np.ndarray, left: np.ndarray, right: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Links (node, smallest node of its part) that join what a matrix of links joins; left, right: ids of rows and columns."""
-    ids, at = np.unique(np.concatenate([left, right]), return_inverse=True)
-    a, b = np.nonzero(links)
-    a, b = at[: len(left)][a], at[len(left) :][b]
+def _followed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The links of one task as stars."""
+    parts = [(b.column("u").to_numpy(), b.column("v").to_numpy()) for b in batches]
+    if parts:
+        u, v = stars(*(np.concatenate(side) for side in zip(*parts, strict=True)))
+        yield pa.RecordBatch.from_arrays([pa.array(u), pa.array(v)], ["u", "v"])
+
+
+def stars(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(node, smallest node of its part) of the links from a to b, without the smallest nodes themselves."""
+    ids, at = np.unique(np.concatenate([a, b]), return_inverse=True)
+    a, b = at[: len(a)], at[len(a) :]
     label = np.arange(len(ids))
     while True:
-        low = np.minimum(label[a], label[b])
+        # joined at their smallest nodes so far, then every node jumps on as far as it can
+        low, high = np.minimum(label[a], label[b]), np.maximum(label[a], label[b])
         new = label.copy()
-        np.minimum.at(new, a, low)
-        np.minimum.at(new, b, low)
-        new = new[new]
+        np.minimum.at(new, high, low)
+        while not (new[new] == new).all():
+            new = new[new]
         if (new == label).all():
             break
         label = new
@@ -65,6 +81,12 @@ def forest(links: np.ndarray, left: np.ndarray, right: np.ndarray) -> tuple[np.n
     return ids[moved], ids[label[moved]]
 
 
+def forest(links: np.ndarray, left: np.ndarray, right: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Links (node, smallest node of its part) that join what a matrix of links joins; left, right: ids of rows and columns."""
+    a, b = np.nonzero(links)
+    return stars(left[a], right[b])
+
+
 def by_group(df: DataFrame, keys: list[str], work: Callable[[dict[str, np.ndarray | list]], list[pa.RecordBatch]], schema: str) -> DataFrame:
     """Rows with equal keys together, each group handed to `work` as a dict of columns.
 
@@ -113,13 +135,14 @@ def group_links(small: DataFrame, large: DataFrame | None, key: str, match: Matc
     if large is None:
         return by_group(small.withColumn("is_head", F.lit(False)), [key], _first(key, match), "a long, b long, rest long").select("a", "b")
     large = cut(large.withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int")))
-    heads = large.groupBy(key).agg(F.min("node").alias("head"))
-    head = large.join(heads, key).where(F.col("node") == F.col("head")).select(*large.columns)
+    head = large.groupBy(key).agg(F.min_by(F.struct(*large.columns), "node").alias("head")).select("head.*")
     spread = head.withColumn("block", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).withColumn("is_head", F.lit(True))
     members = small.withColumn("block", F.lit(0)).unionByName(large).withColumn("is_head", F.lit(False)).unionByName(spread)
     first = cut(by_group(members, [key, "block"], _first(key, match), "a long, b long, rest long"))
     links = first.where("b is not null").select("a", "b")
     rest = first.where("rest is not null").select(F.col("rest").alias(key), F.col("a").alias("node")).distinct()
+    if rest.isEmpty():
+        return links
     counts = rest.groupBy(key).agg(F.ceil(F.count(F.lit(1)) / size).cast("int").alias("rest_blocks"))
     open_ = large.join(counts, key).join(rest.withColumn("is_rest", F.lit(True)), [key, "node"], "left").withColumn("is_rest", F.coalesce("is_rest", F.lit(False)))
     upto = lambda n: F.sequence(F.lit(0), F.col(n) - 1)

@@ -41,7 +41,7 @@ ROWS = 5
 #: Greatest chance of a pair at the bar to meet in no band.
 MISSED = 1e-6
 #: Documents of a block, and shingles of a block of full sets.
-BLOCK, BLOCK_SHINGLES = 512, 2_000_000
+BLOCK, BLOCK_SHINGLES = 128, 1_000_000
 #: Rows of a few numbers (under 100 bytes each) that may be broadcast; beyond it both sides shuffle.
 BROADCAST_ROWS = 250_000
 PERCENT = 85

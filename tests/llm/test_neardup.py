@@ -97,9 +97,13 @@ def test_very_long_texts(spark):
     assert got[1]["n_shingles"] == len({tuple(long[i : i + 5]) for i in range(len(long) - 4)})
 
 
-def test_components_of_a_chain_and_a_hub(spark):
-    from termtide.llm.graph import components
+def test_components_of_a_chain_and_a_hub(spark, monkeypatch):
+    from termtide.llm import graph
 
     edges = [(i, i + 1) for i in range(200)] + [(1000, 1001 + i) for i in range(500)] + [(3000 - i, 3000) for i in range(1, 300)] + [(5, 5)]
-    got = {r["node"]: r["component"] for r in components(spark.createDataFrame(edges, "a long, b long")).collect()}
-    assert got == {**{i: 0 for i in range(201)}, **{i: 1000 for i in range(1000, 1501)}, **{i: 2701 for i in range(2701, 3001)}}
+    want = {**{i: 0 for i in range(201)}, **{i: 1000 for i in range(1000, 1501)}, **{i: 2701 for i in range(2701, 3001)}}
+    for most in (graph.LOCAL_LINKS, 10):  # followed in one task, and in rounds of joins
+        monkeypatch.setattr(graph, "LOCAL_LINKS", most)
+        got = {r["node"]: r["component"] for r in graph.components(spark.createDataFrame(edges, "a long, b long")).collect()}
+        assert got == want
+    assert graph.components(spark.createDataFrame([], "a long, b long")).count() == 0
