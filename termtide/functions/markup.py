@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import itertools
 import re
 from html.parser import HTMLParser
 from urllib.parse import urljoin
@@ -12,6 +13,7 @@ VOID = frozenset("area base br col embed hr img input link meta source track wbr
 PAIR, INTEGER = re.compile(r"(\d+)\s*/\s*(\d+)"), re.compile(r"-?\d+")
 MEETING = re.compile(r"([월화수목금토일])\((\d{1,2}:\d{2})~(\d{1,2}:\d{2})\)")
 DAYS = "월화수목금토일"
+TAG = re.compile(r"\[([^\]]+)\]")
 
 
 #: What the end of a tag leaves in the text (fixed values); any other tag leaves a blank.
@@ -150,13 +152,31 @@ class _Node:
         self.tag, self.attrs, self.parent, self.items = tag, attrs, parent, []
 
     def all(self):
-        for item in self.items:
-            if isinstance(item, _Node):
+        """All nodes below in order, however deep."""
+        stack = [iter(self.items)]
+        while stack:
+            for item in stack[-1]:
+                if isinstance(item, _Node):
+                    yield item
+                    stack.append(iter(item.items))
+                    break
+            else:
+                stack.pop()
+
+    def words(self):
+        """All pieces of text below in order."""
+        stack = [iter(self.items)]
+        while stack:
+            for item in stack[-1]:
+                if isinstance(item, _Node):
+                    stack.append(iter(item.items))
+                    break
                 yield item
-                yield from item.all()
+            else:
+                stack.pop()
 
     def text(self, gap=""):
-        return gap.join(i.text(gap) if isinstance(i, _Node) else i for i in self.items)
+        return gap.join(self.words())
 
     def has(self, tag, *classes):
         return self.tag == tag and set(classes) <= set((self.attrs.get("class") or "").split())
@@ -208,36 +228,71 @@ def cards(markup: str) -> tuple[int, list[dict]]:
     return total, [_card(n, inputs.get("srchOpenSchyy", ""), term) for n in tree.root.all() if n.has("div", "course-info-item")]
 
 
+def _hidden(name: str):
+    return lambda card: next((v for n in card.all() if n.tag == "input" and n.attrs.get("name") == name and (v := (n.attrs.get("value") or "").strip())), "")
+
+
+def _title(card: _Node) -> _Node | None:
+    return next((n for n in card.all() if "course-name" in (n.attrs.get("class") or "").split()), None)
+
+
+def _shown_name(card: _Node) -> str:
+    title = _title(card)
+    strong = title.first("strong") if title else None
+    return BLANKS.sub(" ", strong.text(" ")).strip() if strong else ""
+
+
+def _line(card: _Node, number: int) -> _Node | None:
+    return next(itertools.islice((n for n in card.all() if n.has("li", "txt")), number, None), None)
+
+
+def _person(number: int):
+    """One of the first spans of the first line, if it has three or more."""
+
+    def read(card: _Node) -> str:
+        spans = [n.text().strip() for n in line.all() if n.tag == "span"] if (line := _line(card, 0)) else []
+        return spans[number] if len(spans) >= 3 else ""
+
+    return read
+
+
+def _labelled(label: str, before: tuple[str, ...], pattern: re.Pattern, group: int = 0):
+    """The last figure of the second line that stands under a label and under none of those that go before it."""
+
+    def read(card: _Node) -> int | None:
+        found, line = None, _line(card, 1)
+        for span in line.items if line else []:
+            if isinstance(span, _Node) and span.tag == "span" and label in (shown := span.text(" ")) and not any(b in shown for b in before):
+                value = span.first("em")
+                m = pattern.search(value.text().strip() if value else "")
+                found = int(m[group]) if m else (None if pattern is INTEGER else found)
+        return found
+
+    return read
+
+
+def _cart(card: _Node) -> int | None:
+    icon = card.first("span", "carts")
+    return _number(icon.text(" ")) if icon else _labelled(LABELS[2], LABELS[:2], INTEGER)(card)
+
+
+def _vacancy(card: _Node) -> int | None:
+    badge = card.first("li", "state")
+    return int("취소여석" in badge.text()) if badge else None
+
+
+#: Labels of figures (fixed values), in the order in which they are looked for.
+LABELS = ("정원", "총수강인원", "장바구니", "학점")
+#: The fields of a card and how each is read.
+CARD_FIELDS = {
+    "year": _hidden("openSchyy"), "shtm_fg": _hidden("openShtmFg"), "deta_shtm_fg": _hidden("openDetaShtmFg"), "sbjt_cd": _hidden("sbjtCd"), "lt_no": _hidden("ltNo"), "subh_cd": _hidden("sbjtSubhCd"),
+    "name": lambda card: _shown_name(card) or _hidden("sbjtNm")(card), "classification": lambda card: TAG.findall(title.text()) if (title := _title(card)) else [],
+    "professor": _person(0), "department": _person(1), "applied": _labelled(LABELS[0], (), PAIR, 1), "quota": _labelled(LABELS[0], (), PAIR, 2),
+    "enrolled": _labelled(LABELS[1], LABELS[:1], INTEGER), "credits": _labelled(LABELS[3], LABELS[:3], INTEGER), "cart": _cart, "cancel_vacancy": _vacancy,
+    "slots": lambda card: [{"day_index": DAYS.index(d), "period": max(0, int(s.split(":")[0]) - 8), "start_time": s, "end_time": e} for d, s, e in MEETING.findall(card.text(" "))],
+}
+
+
 def _card(card: _Node, year: str, term: tuple[str, str]) -> dict:
-    hidden = {n.attrs.get("name"): (n.attrs.get("value") or "").strip() for n in card.all() if n.tag == "input"}
-    out = {
-        "year": year or hidden.get("openSchyy", ""), "shtm_fg": term[0] or hidden.get("openShtmFg", ""), "deta_shtm_fg": term[1] or hidden.get("openDetaShtmFg", ""),
-        "sbjt_cd": hidden.get("sbjtCd", ""), "lt_no": hidden.get("ltNo", ""), "subh_cd": hidden.get("sbjtSubhCd", ""), "name": hidden.get("sbjtNm", ""),
-        "classification": [], "professor": "", "department": "", "applied": None, "quota": None, "enrolled": None, "credits": None, "cart": None, "cancel_vacancy": None,
-    }
-    if title := next((n for n in card.all() if "course-name" in (n.attrs.get("class") or "").split()), None):
-        out["classification"] = re.findall(r"\[([^\]]+)\]", title.text())
-        if strong := title.first("strong"):
-            out["name"] = BLANKS.sub(" ", strong.text(" ")).strip() or out["name"]
-    lines = [n for n in card.all() if n.has("li", "txt")]
-    if lines:
-        spans = [n.text().strip() for n in lines[0].all() if n.tag == "span"]
-        if len(spans) >= 3:
-            out["professor"], out["department"] = spans[:2]
-    for span in (n for n in (lines[1].items if len(lines) > 1 else []) if isinstance(n, _Node) and n.tag == "span"):
-        label, em = span.text(" "), span.first("em")
-        value = em.text().strip() if em else ""
-        if "정원" in label:
-            if m := PAIR.search(value):
-                out["applied"], out["quota"] = int(m[1]), int(m[2])
-        else:
-            for word, field in (("총수강인원", "enrolled"), ("장바구니", "cart"), ("학점", "credits")):
-                if word in label:
-                    out[field] = _number(value)
-                    break
-    if icon := card.first("span", "carts"):
-        out["cart"] = _number(icon.text(" "))
-    if badge := card.first("li", "state"):
-        out["cancel_vacancy"] = int("취소여석" in badge.text())
-    out["slots"] = [{"day_index": DAYS.index(d), "period": max(0, int(s.split(":")[0]) - 8), "start_time": s, "end_time": e} for d, s, e in MEETING.findall(card.text(" "))]
-    return out
+    out = {field: read(card) for field, read in CARD_FIELDS.items()}
+    return out | {f: v for f, v in (("year", year), ("shtm_fg", term[0]), ("deta_shtm_fg", term[1])) if v}

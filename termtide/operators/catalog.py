@@ -279,11 +279,26 @@ def time_stats(classes: DataFrame, slots: DataFrame, terms: DataFrame) -> DataFr
     return out.select("year", "term", F.coalesce("label", F.concat_ws(" ", "year", "term")).alias("label"), "classes", "timed", (F.col("classes") - F.col("timed")).alias("timeless"))
 
 
-def term_index(classes: DataFrame, year: int, term: str) -> DataFrame:
-    """Per term its row count, status, and vocabularies as ordered lists."""
-    n = classes.groupBy("year", "term").agg(
-        F.count(F.lit(1)).alias("n"), F.array_sort(F.collect_set("department")).alias("departments"), F.array_sort(F.collect_set("grade")).alias("grades"))
-    return term_status(n, year, term)
+def term_index(classes: DataFrame, year: int, term: str, chunks: DataFrame | None = None) -> DataFrame:
+    """Per term its row count, status, and vocabularies as ordered lists.
+
+    With `chunks` (`series.chunk_axis` by year and term) also where the live slice starts, how many complete chunks are
+    before it, and the times at which chunks start; null, 0 and none for terms without a series.
+    """
+    listed = lambda c: F.array_sort(F.collect_set(F.when(F.trim(F.coalesce(F.col(c), F.lit(""))) != "", F.col(c)))).alias(f"{c}s")
+    out = term_status(classes.groupBy("year", "term").agg(F.count(F.lit(1)).alias("n"), listed("department"), listed("grade"), listed("grading")), year, term)
+    if chunks is None:
+        return out
+    starts = F.transform(F.array_sort(F.collect_list(F.struct("chunk", "start_ts"))), lambda c: c["start_ts"])
+    live = chunks.groupBy("year", "term").agg(F.max("live_from").alias("live_from"), F.max("exposed").alias("exposed"), starts.alias("chunk_starts"))
+    out = out.join(live, ["year", "term"], "left")
+    return out.withColumns({"exposed": F.coalesce("exposed", F.lit(0)), "chunk_starts": F.coalesce("chunk_starts", F.array().cast(live.schema["chunk_starts"].dataType))})
+
+
+def untagged(classes: DataFrame, methods: DataFrame, key: Sequence[str] = ("sbjt_cd", "lt_no", "subh_cd")) -> DataFrame:
+    """One row: classes, and those that no sweep holds."""
+    held = methods.select(*key).distinct().withColumn("_held", F.lit(1))
+    return classes.join(held, list(key), "left").agg(F.count(F.lit(1)).alias("classes"), F.count(F.when(F.col("_held").isNull(), 1)).alias("untagged"))
 
 
 def nest_slots(classes: DataFrame, slots: DataFrame) -> DataFrame:

@@ -6,16 +6,23 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from termtide.sources.durable import narrow
+
 MAJOR = ("전선", "전필")  # fixed values: tags of major courses
 
 
+#: What pages say of minimums, and how years are written (fixed patterns).
+FIGURES, SELECTED, APPROVED = r"\b(\d{2,3})\b", r"(\d+)\s*과목\s*이상", r"최대\s*(\d+)\s*학점"
+ENGLISH, YEARS = "영어진행강좌|외국어진행강좌|영어강의", r"(20\d{2})"
+
+
 def requirement_numbers(rows: DataFrame, texts: DataFrame) -> DataFrame:
     """Per page the figures of its first row with five integers or more that starts with 120 to 140, and text minimums.
 
     rows: page_id, table, row, cells (array); texts: page_id, text. Six integers give all figures, five only
     the total; minimums fall back to 5 courses and 9 credits; figures out of range are flagged.
     """
-    numbers = F.transform(F.flatten(F.transform("cells", lambda c: F.regexp_extract_all(c, F.lit(r"\b(\d{2,3})\b"), F.lit(1)))), lambda x: x.cast("int"))
+    numbers = F.transform(F.flatten(F.transform("cells", lambda c: F.regexp_extract_all(c, F.lit(FIGURES), F.lit(1)))), lambda x: x.cast("int"))
     hits = rows.withColumn("n", numbers).where((F.size("n") >= 5) & F.get("n", 0).between(120, 140))
     first = hits.groupBy("page_id").agg(F.min_by("n", F.struct("table", "row")).alias("n"))
     six = F.size("n") >= 6
@@ -23,8 +30,8 @@ def requirement_numbers(rows: DataFrame, texts: DataFrame) -> DataFrame:
     grab = lambda p, default: F.coalesce(F.regexp_extract("text", p, 1).try_cast("int"), F.lit(default))
     out = texts.join(first, "page_id", "left").select(
         "page_id", F.get("n", 0).alias("total"), pick(1).alias("general"), pick(2).alias("major_single"), pick(5).alias("minor"),
-        grab(r"(\d+)\s*과목\s*이상", 5).alias("select_min"), grab(r"최대\s*(\d+)\s*학점", 9).alias("approval_max"),
-        F.when(F.col("text").rlike("영어진행강좌|외국어진행강좌|영어강의"), 1).otherwise(0).alias("english_min"),
+        grab(SELECTED, 5).alias("select_min"), grab(APPROVED, 9).alias("approval_max"),
+        F.when(F.col("text").rlike(ENGLISH), 1).otherwise(0).alias("english_min"),
     )
     return out.withColumn("total_ok", F.coalesce("total", F.lit(130)).between(100, 140)).withColumn("major_ok", F.coalesce("major_single", F.lit(60)).between(30, 90))
 
@@ -32,7 +39,7 @@ def requirement_numbers(rows: DataFrame, texts: DataFrame) -> DataFrame:
 def batch_years(label: Column | str) -> Column:
     """`2023~2024...` to all its years, else the first year."""
     text = F.coalesce(F.col(label) if isinstance(label, str) else label, F.lit(""))
-    years = F.transform(F.regexp_extract_all(text, F.lit(r"(20\d{2})"), F.lit(1)), lambda y: y.cast("int"))
+    years = F.transform(F.regexp_extract_all(text, F.lit(YEARS), F.lit(1)), lambda y: y.cast("int"))
     span = F.contains(text, F.lit("~")) & (F.size(years) == 2) & (F.get(years, 0) <= F.get(years, 1))
     return F.when(span, F.sequence(F.get(years, 0), F.get(years, 1))).otherwise(F.slice(years, 1, 1))
 
@@ -61,8 +68,8 @@ def recognized(rows: DataFrame, specs: DataFrame, canonical: DataFrame | None =
     course, by any department, college, or a department whose name (without a final 부) its own contains.
     """
     if canonical is not None:
-        rows = rows.join(F.broadcast(canonical.select("code", F.col("canonical").alias("_c"))), "code", "left").withColumn("code", F.coalesce("_c", "code")).drop("_c")
-    both = rows.join(F.broadcast(specs), "spec_id")
+        rows = rows.join(narrow(canonical.select("code", F.col("canonical").alias("_c"))), "code", "left").withColumn("code", F.coalesce("_c", "code")).drop("_c")
+    both = rows.join(narrow(specs), "spec_id")
     dept = F.coalesce("dept", F.lit(""))
     own = F.contains(dept, F.col("own")) & (F.col("own") != "")
     major = F.arrays_overlap("cls", F.array(*map(F.lit, MAJOR)))
@@ -73,8 +80,8 @@ def recognized(rows: DataFrame, specs: DataFrame, canonical: DataFrame | None =
 
 def elective_credits(rows: DataFrame, specs: DataFrame, tracks: DataFrame) -> DataFrame:
     """(student, spec_id, track, credits): own electives plus recognised credits up to the track's cap (null: none)."""
-    owned = rows.join(F.broadcast(specs.select("spec_id", "own")), "spec_id").where(F.contains(F.coalesce("dept", F.lit("")), F.col("own")) & F.array_contains("cls", MAJOR[0]))
+    owned = rows.join(narrow(specs.select("spec_id", "own")), "spec_id").where(F.contains(F.coalesce("dept", F.lit("")), F.col("own")) & F.array_contains("cls", MAJOR[0]))
     both = owned.select("student", "spec_id", F.col("credits").alias("own_credits"), F.lit(0).alias("other")).unionByName(
         recognized(rows, specs).select("student", "spec_id", F.lit(0).alias("own_credits"), F.col("credits").alias("other")))
     sums = both.groupBy("student", "spec_id").agg(F.sum("own_credits").alias("own_credits"), F.sum("other").alias("other"))
-    return sums.join(F.broadcast(tracks), "spec_id").select("student", "spec_id", "track", (F.col("own_credits") + F.least("other", F.coalesce("recog_max", "other"))).alias("credits"))
+    return sums.join(narrow(tracks), "spec_id").select("student", "spec_id", "track", (F.col("own_credits") + F.least("other", F.coalesce("recog_max", "other"))).alias("credits"))

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from termtide.functions import scalars
+from termtide.sources.durable import by_size
 
 
 def rooms_index(classes: DataFrame, slots: DataFrame) -> DataFrame:
@@ -27,30 +28,38 @@ def room_meetings(slots: DataFrame) -> DataFrame:
     return one.withColumn("r", scalars.normalize_room("raw")).where("r is not null").select("class_id", "day_index", "start_time", "end_time", "r.*", others.alias("others"))
 
 
-def free_rooms(meetings: DataFrame, index: DataFrame, queries: DataFrame, other_terms: bool = False) -> DataFrame:
-    """(query_id, campus, building, name, next_start, last_term): rooms without a meeting in [start, end).
+def free_rooms(meetings: DataFrame, index: DataFrame, queries: DataFrame, other_terms: bool = False, scope: Sequence[str] = ()) -> DataFrame:
+    """(scope, query_id, campus, building, name, next_start, last_term): rooms without a meeting in [start, end).
 
-    queries: query_id, day_index, start, end, campus, building (a name, `name-*` for its parts, or null).
-    With `other_terms` rooms known only from the index are free as well, and carry their last term.
+    queries: query_id, day_index, start, end, campus, building (a name, `name-*` for its parts, or null), and the
+    columns of `scope`, within which meetings count. With `other_terms` rooms known only from the index are free as
+    well, and carry their last term.
     """
-    here = meetings.select("campus", "building", "name").distinct().withColumn("here", F.lit(True))
-    pool = index.select("campus", "building", "name", F.concat_ws("-", "year", "term").alias("last_term")).join(here, ["campus", "building", "name"], "left" if other_terms else "inner")
+    room = [*scope, "campus", "building", "name"]
+    asked = queries.withColumnRenamed("building", "q_building")
     stem = F.regexp_replace("q_building", r"-\*$", "")
     within = F.col("q_building").isNull() | F.when(F.col("q_building").endswith("-*"), (F.col("building") == stem) | F.startswith("building", F.concat(stem, F.lit("-")))).otherwise(F.col("building") == F.col("q_building"))
-    asked = F.broadcast(queries.withColumnRenamed("building", "q_building"))
-    offered = pool.join(asked, "campus").where(within)
-    day = meetings.select("campus", "building", "name", "day_index", F.col("start_time").alias("m_start"), F.col("end_time").alias("m_end"))
-    met = offered.join(day, ["campus", "building", "name", "day_index"], "left")
+    offered = index.select("campus", "building", "name", F.concat_ws("-", "year", "term").alias("last_term")).join(by_size(asked)(asked), "campus").where(within)
+    here = meetings.select(*room).distinct().withColumn("here", F.lit(True))
+    offered = offered.join(here, room, "left" if other_terms else "inner")
+    day = meetings.select(*room, "day_index", F.col("start_time").alias("m_start"), F.col("end_time").alias("m_end"))
+    met = offered.join(day, [*room, "day_index"], "left")
     clash = (F.col("m_start") < F.col("end")) & (F.col("m_end") > F.col("start"))
-    out = met.groupBy("query_id", "campus", "building", "name").agg(
+    out = met.groupBy(*scope, "query_id", "campus", "building", "name").agg(
         F.max(F.coalesce(clash.cast("int"), F.lit(0))).alias("busy"), F.min(F.when(F.col("m_start") >= F.col("end"), F.col("m_start"))).alias("next_start"),
         F.first(F.when(F.col("here").isNull(), F.col("last_term"))).alias("last_term"))
     return out.where("busy = 0").drop("busy")
 
 
 def meeting_conflicts(meetings: DataFrame, by: Sequence[str], id_col: str = "class_id") -> DataFrame:
-    """Pairs of meetings of different classes that overlap on the same day and the same `by` columns."""
+    """Pairs of meetings of different classes that overlap on the same day and the same `by` columns.
+
+    Meetings join only within the hours that they touch; a pair counts in the hour in which its later one starts.
+    """
     cols = [id_col, "start_time", "end_time"]
-    side = lambda p: meetings.select(*by, "day_index", *(F.col(c).alias(f"{p}_{c}") for c in cols)).distinct()
-    both = side("a").join(side("b"), [*by, "day_index"])
-    return both.where((F.col(f"a_{id_col}") < F.col(f"b_{id_col}")) & (F.col("a_start_time") < F.col("b_end_time")) & (F.col("a_end_time") > F.col("b_start_time")))
+    hour = lambda c: F.substring(c, 1, 2).cast("int")
+    one = meetings.select(*by, "day_index", *cols).distinct().where("start_time < end_time").withColumn("hour", F.explode(F.sequence(hour("start_time"), hour("end_time"))))
+    side = lambda p: one.select(*by, "day_index", "hour", *(F.col(c).alias(f"{p}_{c}") for c in cols))
+    both = side("a").join(side("b"), [*by, "day_index", "hour"])
+    overlap = (F.col(f"a_{id_col}") < F.col(f"b_{id_col}")) & (F.col("a_start_time") < F.col("b_end_time")) & (F.col("a_end_time") > F.col("b_start_time"))
+    return both.where(overlap & (F.col("hour") == hour(F.greatest("a_start_time", "b_start_time")))).drop("hour")

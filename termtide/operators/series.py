@@ -11,6 +11,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from termtide.sources.durable import by_size, cut
+
 METRICS = ("applied", "cart", "enrolled", "quota")
 MASKED = ("applied", "cart", "enrolled")
 
@@ -49,12 +51,13 @@ def delta_encode(obs: DataFrame, axis: DataFrame, key: list[str], scope: list[st
     A row is kept when a collected metric differs from the last known value of its episode; a series absent
     from the next pass of the axis closes with a row of nulls, and starts anew when it returns.
     """
+    near = by_size(axis)
     extra = ["full"] if keyframes else []
     # a pass that collects neither of the windowed metrics is not recorded at all
     axis = axis.where(F.greatest(*(F.col(m) for m in masked if m != "applied"), F.lit(False)))
     axis = axis.withColumn("pass_idx", F.row_number().over(Window.partitionBy(*scope).orderBy("ts")) - 1)
     held = obs.select(*key, "ts", *metrics).join(
-        F.broadcast(axis.select(*scope, "ts", "pass_idx", *extra, *(F.col(m).alias(f"_{m}") for m in masked))), [*scope, "ts"])
+        near(axis.select(*scope, "ts", "pass_idx", *extra, *(F.col(m).alias(f"_{m}") for m in masked))), [*scope, "ts"])
     for m in masked:
         held = held.withColumn(m, F.when(F.col(f"_{m}"), F.col(m)))
     by_key = Window.partitionBy(*key).orderBy("pass_idx")
@@ -72,20 +75,25 @@ def delta_encode(obs: DataFrame, axis: DataFrame, key: list[str], scope: list[st
     wanted = F.col("moved") | (F.col("full") & observed if keyframes else F.lit(False))
     last = axis.groupBy(*scope).agg(F.max("pass_idx").alias("last_idx"))
     ends = (
-        held.join(F.broadcast(last), scope)
+        held.join(near(last), scope)
         .where((F.coalesce("next_idx", F.lit(2**31 - 1)) > F.col("pass_idx") + 1) & (F.col("pass_idx") < F.col("last_idx")))
         .select(*key, (F.col("pass_idx") + 1).alias("pass_idx"))
-        .join(F.broadcast(axis.select(*scope, "pass_idx", "ts")), [*scope, "pass_idx"])
+        .join(near(axis.select(*scope, "pass_idx", "ts")), [*scope, "pass_idx"])
         .select(*key, "ts", *(F.lit(None).cast(obs.schema[m].dataType).alias(m) for m in metrics), F.lit(True).alias("moved"))
     )
     return held.where(wanted).select(*key, "ts", *metrics, "moved").unionByName(ends)
 
 
 def fold_latest(samples: DataFrame, key: list[str], metrics=METRICS) -> DataFrame:
-    """Per series its newest sample time and last non-null metrics since its last tombstone; none if closed."""
-    tomb = F.max(F.when(_gone(metrics), F.col("ts"))).over(Window.partitionBy(*key))
-    live = samples.withColumn("tomb", tomb).where(F.col("tomb").isNull() | (F.col("ts") > F.col("tomb")))
-    return live.groupBy(*key).agg(F.max("ts").alias("ts"), *(F.max_by(m, F.when(F.col(m).isNotNull(), F.col("ts"))).alias(m) for m in metrics))
+    """Per series its newest sample time and last non-null metrics since its last tombstone; none if closed.
+
+    One aggregate that combines before the shuffle: each metric's last value and its time, and the last tombstone's.
+    """
+    ts = F.col("ts")
+    held = [c for m in metrics for c in (F.max_by(m, F.when(F.col(m).isNotNull(), ts)).alias(m), F.max(F.when(F.col(m).isNotNull(), ts)).alias(f"_{m}"))]
+    last = samples.groupBy(*key).agg(F.max("ts").alias("ts"), F.max(F.when(_gone(metrics), ts)).alias("_tomb"), *held)
+    since = lambda t: F.col("_tomb").isNull() | (F.col(t) > F.col("_tomb"))
+    return last.where(since("ts")).select(*key, "ts", *(F.when(since(f"_{m}"), F.col(m)).alias(m) for m in metrics))
 
 
 def fold_incremental(latest: DataFrame, batch: DataFrame, key: list[str], metrics=METRICS) -> DataFrame:
@@ -110,11 +118,15 @@ def merge_passes(store: DataFrame, source: DataFrame, scope: list[str]) -> DataF
     return source.unionByName(store.join(source.select(*scope, "ts"), [*scope, "ts"], "left_anti"))
 
 
-def merge_report(store: DataFrame, source: DataFrame, key: list[str]) -> DataFrame:
-    """One row: rows read, rows inserted, and the new cursor."""
+def merge_report(store: DataFrame, source: DataFrame, key: list[str], passes: DataFrame | None = None, scope: list[str] | None = None) -> DataFrame:
+    """One row: rows read, rows inserted, the new cursor, and with `passes` how many there are, those without samples too."""
     own = store.select(*key, "ts").withColumn("_old", F.lit(1))
-    return source.dropDuplicates([*key, "ts"]).join(own, [*key, "ts"], "left").agg(
+    out = source.dropDuplicates([*key, "ts"]).join(own, [*key, "ts"], "left").agg(
         F.count(F.lit(1)).alias("rows"), F.count(F.when(F.col("_old").isNull(), 1)).alias("inserted"), F.max("ts").alias("cursor"))
+    if passes is None:
+        return out
+    n = passes.select(*(scope or []), "ts").distinct().count()
+    return out.withColumn("passes", F.lit(n).cast("long"))
 
 
 def dedupe_or_raise(samples: DataFrame, key: list[str]) -> DataFrame:
@@ -130,7 +142,7 @@ def backfill_dense(samples: DataFrame, key: list[str], scope: list[str], metrics
     """Tombstones for a dense history: a series that ends before the newest pass closes at the first pass after it."""
     axis = load_axis(None, samples, scope, metrics)
     following = axis.select(*scope, "ts", F.lead("ts").over(Window.partitionBy(*scope).orderBy("ts")).alias("next_ts"))
-    ends = samples.groupBy(*key).agg(F.max("ts").alias("ts")).join(F.broadcast(following), [*scope, "ts"]).where("next_ts is not null")
+    ends = samples.groupBy(*key).agg(F.max("ts").alias("ts")).join(following, [*scope, "ts"]).where("next_ts is not null")
     return ends.select(*key, F.col("next_ts").alias("ts"), *(F.lit(None).cast(samples.schema[m].dataType).alias(m) for m in metrics))
 
 
@@ -140,14 +152,15 @@ def at_pass(samples: DataFrame, axis: DataFrame, scope: list[str]) -> DataFrame:
     Passes become intervals split by day, so the as-of join is an equality on (scope, day) with at most a
     day's passes behind each sample.
     """
+    near = by_size(axis)
     before = F.lag("ts").over(Window.partitionBy(*scope).orderBy("ts"))
     spans = axis.select(*scope, "pass_idx", F.col("ts").alias("to_ts"), before.alias("from_ts"))
     first = spans.where("from_ts is null").select(*scope, F.col("to_ts").alias("first_ts"))
     days = F.sequence(F.to_date(F.coalesce("from_ts", "to_ts")), F.to_date("to_ts"))
     spans = spans.withColumn("day", F.explode(days))
-    held = samples.join(F.broadcast(first), scope).withColumn("eff_ts", F.greatest("ts", "first_ts")).withColumn("day", F.to_date("eff_ts"))
+    held = samples.join(near(first), scope).withColumn("eff_ts", F.greatest("ts", "first_ts")).withColumn("day", F.to_date("eff_ts"))
     within = (F.col("eff_ts") <= F.col("to_ts")) & (F.col("from_ts").isNull() | (F.col("eff_ts") > F.col("from_ts")))
-    return held.join(F.broadcast(spans), [*scope, "day"]).where(within).drop("day", "eff_ts", "first_ts", "to_ts", "from_ts")
+    return held.join(near(spans), [*scope, "day"]).where(within).drop("day", "eff_ts", "first_ts", "to_ts", "from_ts")
 
 
 def _states(samples: DataFrame, axis: DataFrame, key: list[str], scope: list[str], metrics) -> DataFrame:
@@ -161,18 +174,25 @@ def _states(samples: DataFrame, axis: DataFrame, key: list[str], scope: list[str
 
 
 def replay(samples: DataFrame, axis: DataFrame, key: list[str], scope: list[str], lo: int = 0, hi: int | None = None, metrics=METRICS, masked=MASKED) -> DataFrame:
-    """(key, pass_idx, metrics) for every pass of [lo, hi) and every series alive in it; null where dead or not collected."""
+    """(key, pass_idx, metrics) for every pass of [lo, hi) and every series alive in it; null where dead or not collected.
+
+    States of a series, dead ones too, are spans of passes; the first reaches back to `lo`. One window finds their
+    ends and whether the series is ever alive, and each span is exploded once.
+    """
+    near = by_size(axis)
     states = _states(samples, axis, key, scope, metrics)
     ends = axis.groupBy(*scope).agg((F.max("pass_idx") + 1).alias("n_passes"))
     top = F.col("n_passes") if hi is None else F.least("n_passes", F.lit(hi))
-    following = F.lead("pass_idx").over(Window.partitionBy(*key).orderBy("pass_idx"))
-    spans = states.withColumn("to", following).join(F.broadcast(ends), scope).withColumn("from", F.greatest("pass_idx", F.lit(lo))).withColumn("to", F.least(F.coalesce("to", top), top))
-    spans = spans.where(F.col("from") < F.col("to"))
-    live = spans.where("alive").select(*key, F.explode(F.sequence(F.col("from"), F.col("to") - 1)).alias("pass_idx"), *metrics)
-    live = live.join(F.broadcast(axis.select(*scope, "pass_idx", *(F.col(m).alias(f"_{m}") for m in masked))), [*scope, "pass_idx"])
-    live = live.select(*key, "pass_idx", *(F.when(F.col(f"_{m}"), F.col(m)).alias(m) if m in masked else F.col(m) for m in metrics))
-    members = spans.where("alive").select(*key).distinct().join(F.broadcast(axis.where(F.col("pass_idx") >= lo).where(F.lit(hi is None) | (F.col("pass_idx") < F.lit(hi or 0))).select(*scope, "pass_idx")), scope)
-    return members.join(live, [*key, "pass_idx"], "left").select(*key, "pass_idx", *metrics)
+    order, all_ = Window.partitionBy(*key).orderBy("pass_idx"), Window.partitionBy(*key)
+    spans = states.withColumn("next", F.lead("pass_idx").over(order)).withColumn("first", F.lag("pass_idx").over(order).isNull()).join(near(ends), scope)
+    spans = spans.withColumn("from", F.greatest("pass_idx", F.lit(lo))).withColumn("to", F.least(F.coalesce("next", top), top))
+    spans = spans.withColumn("ever", F.max(F.col("alive") & (F.col("from") < F.col("to"))).over(all_)).where("ever")
+    begin = F.when(F.col("first"), F.lit(lo)).otherwise(F.col("from"))
+    rows = spans.withColumn("begin", begin).where(F.col("begin") < F.col("to"))
+    rows = rows.select(*key, F.col("pass_idx").alias("since"), "alive", *metrics, F.explode(F.sequence("begin", F.col("to") - 1)).alias("pass_idx"))
+    rows = rows.join(near(axis.select(*scope, "pass_idx", *(F.col(m).alias(f"_{m}") for m in masked))), [*scope, "pass_idx"])
+    known = F.col("alive") & (F.col("pass_idx") >= F.col("since"))
+    return rows.select(*key, "pass_idx", *(F.when(known & F.col(f"_{m}") if m in masked else known, F.col(m)).alias(m) for m in metrics))
 
 
 def cp_encode(samples: DataFrame, axis: DataFrame, key: list[str], scope: list[str], window: int | None = None, metrics=METRICS, masked=MASKED) -> DataFrame:
@@ -182,6 +202,7 @@ def cp_encode(samples: DataFrame, axis: DataFrame, key: list[str], scope: list[s
     metric (a lookup on the axis), and equal neighbours fall away. A constant is `[0, v]`. Metrics that no
     pass of a window collects are left out; without `window` the whole axis is one window.
     """
+    near = by_size(axis)
     size = F.lit(window) if window else F.lit(2**31 - 1)
     states = _states(samples, axis, key, scope, metrics)
     base = axis.withColumn("window", F.floor(F.col("pass_idx") / size).cast("int"))
@@ -191,16 +212,16 @@ def cp_encode(samples: DataFrame, axis: DataFrame, key: list[str], scope: list[s
     effect = base.withColumn("effects", F.array(*effects)).select(*scope, "window", "pass_idx", F.explode("effects").alias("e")).select(*scope, "window", "pass_idx", "e.metric", "e.eff").where("eff is not null")
     following = F.lead("pass_idx").over(Window.partitionBy(*key).orderBy("pass_idx"))
     spans = states.withColumn("until", F.coalesce(following, F.lit(2**31 - 1)))
-    placed = spans.join(F.broadcast(bounds), scope).where((F.col("pass_idx") <= F.col("hi")) & (F.col("until") > F.col("lo")))
+    placed = spans.join(near(bounds), scope).where((F.col("pass_idx") <= F.col("hi")) & (F.col("until") > F.col("lo")))
     placed = placed.withColumn("at", F.greatest("pass_idx", "lo"))
     alive = placed.where("alive").select(*key, "window").distinct()
     values = placed.select(*key, "window", "lo", F.col("at").alias("pass_idx"), F.explode(F.array(*(F.struct(F.lit(m).alias("metric"), F.col(m).alias("value")) for m in metrics))).alias("v"))
-    values = values.select(*key, "window", "lo", "pass_idx", "v.metric", "v.value").join(F.broadcast(effect), [*scope, "window", "pass_idx", "metric"])
+    values = values.select(*key, "window", "lo", "pass_idx", "v.metric", "v.value").join(near(effect), [*scope, "window", "pass_idx", "metric"])
     last = values.groupBy(*key, "window", "metric", (F.col("eff") - F.col("lo")).alias("pos")).agg(F.max_by(F.struct("value"), "pass_idx").alias("s"))
     last = last.select(*key, "window", "metric", "pos", F.col("s.value").alias("value"))
     # every metric that some pass of the window collects starts with a point at 0: null unless a state is there
     covered = effect.select(*scope, "window", "metric").distinct()
-    starts = alive.join(F.broadcast(covered), [*scope, "window"]).select(*key, "window", "metric", F.lit(0).alias("pos"), F.lit(None).cast(last.schema["value"].dataType).alias("value"))
+    starts = alive.join(near(covered), [*scope, "window"]).select(*key, "window", "metric", F.lit(0).alias("pos"), F.lit(None).cast(last.schema["value"].dataType).alias("value"))
     points = last.join(alive, [*key, "window"], "left_semi").withColumn("own", F.lit(1)).unionByName(starts.withColumn("own", F.lit(0)))
     points = points.groupBy(*key, "window", "metric", "pos").agg(F.max_by(F.struct("value"), "own").alias("s")).select(*key, "window", "metric", "pos", F.col("s.value").alias("value"))
     order = Window.partitionBy(*key, "window", "metric").orderBy("pos")
@@ -211,16 +232,17 @@ def cp_encode(samples: DataFrame, axis: DataFrame, key: list[str], scope: list[s
 
 def cp_decode(encoded: DataFrame, axis: DataFrame, key: list[str], scope: list[str], window: int | None = None, masked=MASKED) -> DataFrame:
     """(key, window, metric, pos, value): dense rows again, null at passes that did not collect the metric."""
+    near = by_size(axis)
     size = F.lit(window) if window else F.lit(2**31 - 1)
     points = encoded.withColumn("i", F.explode(F.sequence(F.lit(0), F.size("cp") - 2, F.lit(2))))
     points = points.select(*key, "window", "metric", F.get("cp", F.col("i")).alias("pos"), F.get("cp", F.col("i") + 1).alias("value"), F.get("cp", F.col("i") + 2).alias("to"))
     base = axis.withColumn("window", F.floor(F.col("pass_idx") / size).cast("int"))
     base = base.withColumn("pos", F.col("pass_idx") - F.min("pass_idx").over(Window.partitionBy(*scope, "window")))
     n = base.groupBy(*scope, "window").agg(F.count(F.lit(1)).alias("n"))
-    dense = points.join(F.broadcast(n), [*scope, "window"]).select(*key, "window", "metric", F.explode(F.sequence(F.col("pos"), F.coalesce("to", "n") - 1)).alias("pos"), "value")
+    dense = points.join(near(n), [*scope, "window"]).select(*key, "window", "metric", F.explode(F.sequence(F.col("pos"), F.coalesce("to", "n") - 1)).alias("pos"), "value")
     flags = base.select(*scope, "window", F.col("pos").cast("long").alias("pos"), *(F.col(m).alias(f"_{m}") for m in masked))
     on = F.coalesce(*(F.when(F.col("metric") == m, F.col(f"_{m}")) for m in masked), F.lit(True))
-    return dense.join(F.broadcast(flags), [*scope, "window", "pos"]).select(*key, "window", "metric", "pos", F.when(on, F.col("value")).alias("value"))
+    return dense.join(near(flags), [*scope, "window", "pos"]).select(*key, "window", "metric", "pos", F.when(on, F.col("value")).alias("value"))
 
 
 def chunk_axis(axis: DataFrame, scope: list[str], window: int) -> DataFrame:
@@ -252,29 +274,39 @@ def export_trend(samples: DataFrame, passes: DataFrame | None, state: DataFrame,
     n = Window.partitionBy(*scope)
     complete = F.floor(F.count(F.lit(1)).over(n) / window)
     live = axis.withColumn("lo", F.greatest(complete - 1, F.lit(0)) * window).withColumn("updated", F.max("ts").over(n)).where(F.col("pass_idx") >= F.col("lo"))
+    live = cut(live)
     slim = live.select(*scope, "ts", *MASKED, (F.col("pass_idx") - F.col("lo")).cast("int").alias("pass_idx"))
     encoded = cp_encode(samples, slim, key, scope)
     times = live.groupBy(*scope).agg(F.max("updated").alias("updated"))
-    return encoded.join(F.broadcast(times), scope).join(F.broadcast(state), scope, "left")
+    near = by_size(times)
+    return encoded.join(near(times), scope).join(by_size(state)(state), scope, "left")
 
 
-def change_feed(replayed: DataFrame, key: list[str], kind: str = "open", since: int = 0, limit: int | None = None) -> DataFrame:
-    """Per series its newest qualifying step of free seats (quota less applied, 0 at least), newest first."""
-    by_key = Window.partitionBy(*key).orderBy("pass_idx")
-    seats = F.when(F.col("quota").isNotNull() & F.col("applied").isNotNull(), F.greatest(F.col("quota") - F.col("applied"), F.lit(0)))
-    steps = replayed.withColumn("after", seats).withColumn("before", F.lag("after").over(by_key))
+def seat_steps(samples: DataFrame, axis: DataFrame, key: list[str], scope: list[str], metrics=METRICS) -> DataFrame:
+    """(key, pass_idx, before, after): free seats (quota less applied, 0 at least) at neighbouring passes where a state changes.
+
+    Free seats can only change where a state does, so the passes between are never built: a state is compared with
+    the one before it, if the passes at its start and just before both collected what they need.
+    """
+    near = by_size(axis)
+    states = _states(samples, axis, key, scope, metrics)
+    seats = F.when(F.col("alive") & F.col("quota").isNotNull() & F.col("applied").isNotNull(), F.greatest(F.col("quota") - F.col("applied"), F.lit(0)))
+    steps = states.withColumn("after", seats).withColumn("before", F.lag("after").over(Window.partitionBy(*key).orderBy("pass_idx"))).where("before is not null and after is not null")
+    both = axis.withColumn("_was", F.lag("applied").over(Window.partitionBy(*scope).orderBy("pass_idx"))).where(F.col("applied") & F.col("_was"))
+    return steps.join(near(both.select(*scope, "pass_idx")), [*scope, "pass_idx"]).select(*key, "pass_idx", "before", "after")
+
+
+def change_feed(steps: DataFrame, key: list[str], kind: str = "open", since: int = 0, limit: int | None = None) -> DataFrame:
+    """Per series its newest qualifying step of free seats, newest first."""
     moved = (F.col("after") > F.col("before")) & (F.col("after") > 0) if kind == "open" else F.col("after") != F.col("before")
-    steps = steps.where(moved & (F.col("pass_idx") >= since)).withColumn("rank", F.row_number().over(by_key.orderBy(F.desc("pass_idx")))).where("rank = 1")
-    out = steps.select(*key, "pass_idx", "before", "after")
-    return out.orderBy(F.desc("pass_idx"), *key).limit(limit) if limit else out
+    last = steps.where(moved & (F.col("pass_idx") >= since)).groupBy(*key).agg(
+        F.max("pass_idx").alias("pass_idx"), F.max_by("before", "pass_idx").alias("before"), F.max_by("after", "pass_idx").alias("after"))
+    return last.orderBy(F.desc("pass_idx"), *key).limit(limit) if limit else last
 
 
-def vacancy_alerts(replayed: DataFrame, watch: DataFrame, key: list[str]) -> DataFrame:
+def vacancy_alerts(steps: DataFrame, watch: DataFrame, key: list[str]) -> DataFrame:
     """One row each time a watched series goes from no free seat to some."""
-    seats = F.when(F.col("quota").isNotNull() & F.col("applied").isNotNull(), F.greatest(F.col("quota") - F.col("applied"), F.lit(0)))
-    steps = replayed.join(watch, key, "left_semi").withColumn("seats", seats)
-    steps = steps.withColumn("before", F.lag("seats").over(Window.partitionBy(*key).orderBy("pass_idx")))
-    return steps.where("before = 0 and seats > 0").select(*key, "pass_idx", "seats")
+    return steps.where("before = 0 and after > 0").join(watch, key, "left_semi").select(*key, "pass_idx", F.col("after").alias("seats"))
 
 
 def segment_axis(axis: DataFrame, scope: list[str], gap: str = "3 hours") -> DataFrame:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from termtide.operators import catalog
+from termtide.operators import catalog, series
 from termtide.plans.model import CLASSES_SQL, classes, slots, table
 from termtide.sources import tables
 
@@ -48,20 +48,20 @@ def cart_ratios(spark: SparkSession, d: str) -> DataFrame:
 
 
 def _live(spark: SparkSession, d: str) -> DataFrame:
-    """Line items of 1997 as live records; a section differs where the supplier is odd, and the name is blank at times."""
+    """All line items as live records: the section differs where the supplier is odd, the code where it has remainder 1 by 3."""
     from termtide.plans.model import class_rows
 
-    rows = class_rows(spark, d).where("year = 1997").select("year", "term", "sbjt_cd", "lt_no", "subh_cd", "name", "professor", "department", "applied", "cart", "quota", "l_orderkey", "l_suppkey")
+    rows = class_rows(spark, d).withColumn("sbjt_cd", F.when(F.col("l_suppkey") % 3 == 1, F.concat("sbjt_cd", F.lit("X"))).otherwise(F.col("sbjt_cd"))).select("year", "term", "sbjt_cd", "lt_no", "subh_cd", "name", "professor", "department", "applied", "cart", "quota", "l_orderkey", "l_suppkey")
     first = rows.groupBy("year", "term", "sbjt_cd", "lt_no", "l_orderkey", "l_suppkey").agg(*(F.min(c).alias(c) for c in ("subh_cd", "name", "professor", "department", "applied", "cart", "quota")))
     live_id = F.concat_ws("/", "year", "term", "sbjt_cd", "lt_no", "l_orderkey", "l_suppkey")
     return first.withColumn("live_id", live_id).withColumn("subh_cd", F.when(F.col("l_suppkey") % 2 == 1, "777").otherwise(F.col("subh_cd")))
 
 
 def _sections(spark: SparkSession, d: str) -> DataFrame:
-    """The catalogue with every section of 1997 that a line item names (so codes can have several)."""
+    """The catalogue with every section that a line item names (so codes can have several)."""
     from termtide.plans.model import class_rows
 
-    rows = class_rows(spark, d).where("year = 1997 and l_suppkey % 3 = 0")
+    rows = class_rows(spark, d)
     key = ["year", "term", "sbjt_cd", "lt_no", "subh_cd", "professor"]
     out = rows.groupBy(*key).agg(F.min("name").alias("name"), F.min("department").alias("department"), F.min("cart").alias("cart"), F.min("applied").alias("applied"), F.min("quota").alias("quota"))
     return out.withColumn("class_id", F.concat_ws("/", *key))
@@ -102,33 +102,48 @@ def carts_restored(spark: SparkSession, d: str) -> DataFrame:
 
 
 def grading_tags(spark: SparkSession, d: str) -> DataFrame:
-    c = classes(spark, d).where("year = 1996")
+    """Sweeps of the classes with even quotas; the section codes of all years together."""
+    c = classes(spark, d)
     sweeps = c.where("quota % 2 = 0").select("sbjt_cd", "lt_no", "subh_cd", F.concat(F.lit("G"), "quota", "term").alias("grading"), F.concat("class_id", F.lit("")).alias("sweep"))
     return catalog.tag_grading(c, sweeps, c.where("quota > 40")).select("class_id", "grading", "grading_switch")
 
 
 def timing_recovered(spark: SparkSession, d: str) -> DataFrame:
     """Only the slots of early hours are known (under half); the rest come from any class of the code and lecture."""
-    c, s = classes(spark, d).where("year = 1996"), slots(spark, d)
-    found = classes(spark, d).where("year = 1997").join(s, "class_id").select("sbjt_cd", "lt_no", s["day_index"], s["period"], s["start_time"], s["end_time"], s["room"])
-    own = s.join(c.select("class_id"), "class_id", "left_semi").where("period <= 2")
-    return catalog.recover_timing(c, own, found)
+    c, s = classes(spark, d), slots(spark, d)
+    found = c.join(s, "class_id").select("sbjt_cd", "lt_no", s["day_index"], s["period"], s["start_time"], s["end_time"], s["room"])
+    return catalog.recover_timing(c, s.where("period <= 2"), found)
 
 
-def rooms_backfilled(spark: SparkSession, d: str) -> DataFrame:
-    """Records of 1997 give rooms to the classes of one 1996 term with equal times; the status of each record."""
+def _backfill(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame]:
+    """Records of each year give rooms to the classes of the year before with the same code, lecture and times."""
     c, s = classes(spark, d), slots(spark, d)
-    own = c.where("year = 1996 and term = 'Q1'")
-    theirs = c.where("year = 1997").withColumnRenamed("class_id", "rec_id").select("rec_id", "sbjt_cd", "lt_no", "room")
-    rec_slots = s.withColumnRenamed("class_id", "rec_id").join(theirs.select("rec_id"), "rec_id", "left_semi")
-    return catalog.backfill_rooms(own, s.join(own.select("class_id"), "class_id", "left_semi"), theirs, rec_slots)[1]
+    own = c.withColumn("sbjt_cd", F.concat_ws(":", "year", "sbjt_cd"))
+    theirs = c.select(F.col("class_id").alias("rec_id"), F.concat_ws(":", F.col("year") - 1, "sbjt_cd").alias("sbjt_cd"), "lt_no", "room")
+    known = s.withColumn("room", F.lit(""))
+    return catalog.backfill_rooms(own, known.distinct(), theirs, s.withColumnRenamed("class_id", "rec_id"))
+
+
+def rooms_backfilled(spark: SparkSession, d: str) -> DataFrame:
+    """The status of each record."""
+    return _backfill(spark, d)[1]
+
+
+def slots_backfilled(spark: SparkSession, d: str) -> DataFrame:
+    """The slots with the rooms that records gave."""
+    return _backfill(spark, d)[0].select("class_id", "day_index", "period", "start_time", "end_time", "room")
+
+
+def freshness(spark: SparkSession, d: str) -> DataFrame:
+    """The newer of the newest order and the newest shipping."""
+    return catalog.freshness(table(spark, d, "orders").select(F.col("o_orderdate").alias("ts")), table(spark, d, "lineitem").select(F.col("l_shipdate").alias("ts")))
 
 
 def saved_classes(spark: SparkSession, d: str) -> DataFrame:
-    """Sections saved in 1996 looked up in 1997: same, changed or cancelled."""
+    """Sections saved in each year looked up in the next: same, changed or cancelled."""
     c, s = classes(spark, d), slots(spark, d)
-    saved = catalog.nest_slots(c.where("year = 1996"), s).withColumn("year", F.lit(1997)).select("year", "term", "sbjt_cd", "lt_no", "slots")
-    return catalog.reconcile(saved, c.where("year = 1997"), s)
+    saved = catalog.nest_slots(c, s).withColumn("year", F.col("year") + 1).select("year", "term", "sbjt_cd", "lt_no", "slots")
+    return catalog.reconcile(saved, c, s)
 
 
 def open_work(spark: SparkSession, d: str) -> DataFrame:
@@ -153,8 +168,18 @@ def term_times(spark: SparkSession, d: str) -> DataFrame:
 
 
 def term_overview(spark: SparkSession, d: str) -> DataFrame:
-    out = catalog.term_index(classes(spark, d), 1998, "Q2")
-    return out.select("year", "term", "n", "status", F.array_join("departments", ",").alias("departments"), F.array_join("grades", ",").alias("grades"))
+    """Terms with their vocabularies, and the chunks of eight shipping days of a term."""
+    c = classes(spark, d)
+    days = table(spark, d, "lineitem").select(F.year("l_shipdate").alias("year"), F.concat(F.lit("Q"), F.quarter("l_shipdate")).alias("term"), F.col("l_shipdate").cast("timestamp").alias("ts"), F.lit(True).alias("applied"))
+    axis = series.load_axis(None, days, ["year", "term"], ["applied"])
+    out = catalog.term_index(c, 1998, "Q2", series.chunk_axis(axis, ["year", "term"], 8))
+    text = lambda col: F.array_join(col, ",").alias(col)
+    return out.select("year", "term", "n", "status", text("departments"), text("grades"), text("gradings"), "live_from", "exposed", F.array_join(F.transform("chunk_starts", lambda t: F.date_format(t, "yyyy-MM-dd")), ",").alias("chunk_starts"))
+
+
+def classes_untagged(spark: SparkSession, d: str) -> DataFrame:
+    c = classes(spark, d)
+    return catalog.untagged(c, c.where("quota % 2 = 0"))
 
 
 def nested_slots(spark: SparkSession, d: str) -> DataFrame:
@@ -164,23 +189,25 @@ def nested_slots(spark: SparkSession, d: str) -> DataFrame:
 
 
 def flat_export(spark: SparkSession, d: str) -> DataFrame:
-    c = classes(spark, d).withColumn("quota_returning", F.when(F.col("cart").isNotNull(), F.col("quota") - 1))
+    c = classes(spark, d).withColumns({"quota_returning": F.when(F.col("cart").isNotNull(), F.col("quota") - 1), "college": F.concat(F.lit("C"), F.col("credits") % 5)})
+    code = F.create_map(*(F.lit(x) for quarter, alias in (("Q1", "spring"), ("Q2", "summer"), ("Q3", "fall")) for x in (quarter, tables.ALIASES[alias])))
+    c = c.withColumns({"term": F.coalesce(code[F.col("term")], "term"), "grading_switch": F.when(F.col("quota") > 40, "Y")})
     return tables.export_flat(catalog.nest_slots(c, slots(spark, d)))
 
 
 QUERIES = {f.__name__: f for f in (
     class_search, class_page, class_count, window_orders, pass_flags, term_states, cart_ratios, live_resolution, live_overlay, live_report, null_audit, null_figures,
-    latest_overlay, carts_restored, grading_tags, timing_recovered, rooms_backfilled, saved_classes, open_work, tag_counts, departments, term_times, term_overview, nested_slots, flat_export,
+    latest_overlay, carts_restored, grading_tags, timing_recovered, rooms_backfilled, slots_backfilled, freshness, classes_untagged, saved_classes, open_work, tag_counts, departments, term_times, term_overview, nested_slots, flat_export,
 )}
 
 _LIVE = CLASSES_SQL + """, live AS (
-  SELECT year, term, sbjt_cd, lt_no, l_suppkey, CASE WHEN l_suppkey % 2 = 1 THEN '777' ELSE min(subh_cd) END AS subh_cd, min(name) AS name, min(professor) AS professor, min(department) AS department,
-         min(applied) AS applied, min(cart) AS cart, min(quota) AS quota, year || '/' || term || '/' || sbjt_cd || '/' || lt_no || '/' || l_orderkey || '/' || l_suppkey AS live_id
-  FROM class_rows WHERE year = 1997 GROUP BY year, term, sbjt_cd, lt_no, l_orderkey, l_suppkey
+  SELECT year, term, sbjt_cd || CASE WHEN l_suppkey % 3 = 1 THEN 'X' ELSE '' END AS sbjt_cd, lt_no, l_suppkey, CASE WHEN l_suppkey % 2 = 1 THEN '777' ELSE min(subh_cd) END AS subh_cd, min(name) AS name, min(professor) AS professor, min(department) AS department,
+         min(applied) AS applied, min(cart) AS cart, min(quota) AS quota, year || '/' || term || '/' || sbjt_cd || CASE WHEN l_suppkey % 3 = 1 THEN 'X' ELSE '' END || '/' || lt_no || '/' || l_orderkey || '/' || l_suppkey AS live_id
+  FROM class_rows r GROUP BY year, term, r.sbjt_cd, lt_no, l_orderkey, l_suppkey
 ), cat AS (
   SELECT year, term, sbjt_cd, lt_no, subh_cd, professor, min(name) AS name, min(department) AS department, min(cart) AS cart, min(applied) AS applied, min(quota) AS quota,
          year || '/' || term || '/' || sbjt_cd || '/' || lt_no || '/' || subh_cd || '/' || professor AS class_id
-  FROM class_rows WHERE year = 1997 AND l_suppkey % 3 = 0 GROUP BY ALL
+  FROM class_rows GROUP BY ALL
 ), pairs AS (
   SELECT l.live_id, c.class_id, l.subh_cd = c.subh_cd AS exact, lower(l.name) = lower(c.name) AND lower(l.professor) = lower(c.professor) AND lower(l.department) = lower(c.department) AS fits
   FROM live l LEFT JOIN cat c USING (year, term, sbjt_cd, lt_no)
@@ -190,6 +217,11 @@ _LIVE = CLASSES_SQL + """, live AS (
   SELECT live_id, CASE WHEN e IS NOT NULL THEN e WHEN n = 1 THEN one WHEN n > 1 AND m = 1 THEN f END AS class_id,
          CASE WHEN e IS NOT NULL THEN 'exact' WHEN n = 0 THEN 'missing' WHEN n = 1 THEN 'code+lecture' WHEN m = 1 THEN 'metadata' ELSE 'ambiguous' END AS method FROM agg
 )"""
+_BACKFILL = CLASSES_SQL + """, n_ AS (SELECT year, sbjt_cd, lt_no, count(*) AS n, min(class_id) AS class_id FROM classes GROUP BY ALL),
+sig AS (SELECT class_id, list_sort(list(DISTINCT day_index || start_time || end_time)) AS g FROM slots GROUP BY class_id),
+st AS (SELECT r.class_id AS rec_id, CASE WHEN n = 1 THEN o.class_id END AS class_id, CASE WHEN n IS NULL THEN 'unmatched' WHEN n > 1 THEN 'ambiguous' ELSE 'matched' END AS status,
+       coalesce(n = 1, false) AND a.g IS DISTINCT FROM b.g AS timing_differs, CASE WHEN n = 1 THEN room END AS room
+  FROM classes r LEFT JOIN n_ o ON o.year = r.year - 1 AND o.sbjt_cd = r.sbjt_cd AND o.lt_no = r.lt_no LEFT JOIN sig a ON a.class_id = o.class_id LEFT JOIN sig b ON b.class_id = r.class_id)"""
 _NESTED = CLASSES_SQL + """, one AS (
   SELECT class_id, day_index, start_time, end_time, period, string_agg(DISTINCT room, '/' ORDER BY room) AS room FROM slots GROUP BY ALL
 )"""
@@ -212,25 +244,30 @@ FROM miss m LEFT JOIN seen s ON s.class_id = m.class_id LEFT JOIN amb a ON a.yea
     "null_figures": f"WITH {CLASSES_SQL} SELECT year, term, subh_cd, count(*) AS n, count(*) FILTER (cart IS NULL) AS n_null FROM classes GROUP BY ALL",
     "latest_overlay": f"WITH {CLASSES_SQL}, l AS (SELECT term, sbjt_cd, lt_no, arg_max_null(applied, year) AS a, arg_max_null(cart, year) AS k FROM classes WHERE year < 1998 GROUP BY ALL) SELECT c.class_id, coalesce(a, applied) AS applied, coalesce(k, cart) AS cart FROM classes c LEFT JOIN l USING (term, sbjt_cd, lt_no) WHERE year = 1998",
     "carts_restored": f"WITH {CLASSES_SQL} SELECT c.class_id, coalesce(o.cart, c.cart) AS cart FROM classes c LEFT JOIN (SELECT * FROM classes WHERE year = 1997) o USING (term, sbjt_cd, lt_no) WHERE c.year = 1998",
-    "grading_tags": f"WITH {CLASSES_SQL}, c AS (SELECT * FROM classes WHERE year = 1996), s AS (SELECT sbjt_cd, lt_no, subh_cd, arg_max('G' || quota || term, class_id) AS g FROM c WHERE quota % 2 = 0 GROUP BY ALL) SELECT class_id, coalesce(g, grading) AS grading, CASE WHEN (sbjt_cd, lt_no, subh_cd) IN (SELECT (sbjt_cd, lt_no, subh_cd) FROM c WHERE quota > 40) THEN 'Y' ELSE 'N' END AS grading_switch FROM c LEFT JOIN s USING (sbjt_cd, lt_no, subh_cd)",
-    "timing_recovered": f"""WITH {CLASSES_SQL}, c AS (SELECT * FROM classes WHERE year = 1996), own AS (SELECT * FROM slots WHERE period <= 2 AND class_id IN (SELECT class_id FROM c)),
-found AS (SELECT DISTINCT sbjt_cd, lt_no, s.day_index, s.period, s.start_time, s.end_time, s.room FROM classes k JOIN slots s USING (class_id) WHERE year = 1997)
-SELECT * FROM own UNION ALL SELECT c.class_id, f.day_index, f.period, f.start_time, f.end_time, f.room FROM c JOIN found f USING (sbjt_cd, lt_no) WHERE class_id NOT IN (SELECT class_id FROM own)""",
-    "rooms_backfilled": f"""WITH {CLASSES_SQL}, own AS (SELECT sbjt_cd, lt_no, count(*) AS n, min(class_id) AS class_id FROM classes WHERE year = 1996 AND term = 'Q1' GROUP BY ALL),
-sig AS (SELECT class_id, list_sort(list(DISTINCT day_index || start_time || end_time)) AS g FROM slots GROUP BY class_id)
-SELECT r.class_id AS rec_id, CASE WHEN n = 1 THEN own.class_id END AS class_id, CASE WHEN n IS NULL THEN 'unmatched' WHEN n > 1 THEN 'ambiguous' ELSE 'matched' END AS status,
-       coalesce(n = 1, false) AND a.g IS DISTINCT FROM b.g AS timing_differs, CASE WHEN n = 1 THEN room END AS room
-FROM classes r LEFT JOIN own USING (sbjt_cd, lt_no) LEFT JOIN sig a ON a.class_id = own.class_id LEFT JOIN sig b ON b.class_id = r.class_id WHERE r.year = 1997""",
+    "grading_tags": f"WITH {CLASSES_SQL}, c AS (SELECT * FROM classes), s AS (SELECT sbjt_cd, lt_no, subh_cd, arg_max('G' || quota || term, class_id) AS g FROM c WHERE quota % 2 = 0 GROUP BY ALL) SELECT class_id, coalesce(g, grading) AS grading, CASE WHEN (sbjt_cd, lt_no, subh_cd) IN (SELECT (sbjt_cd, lt_no, subh_cd) FROM c WHERE quota > 40) THEN 'Y' ELSE 'N' END AS grading_switch FROM c LEFT JOIN s USING (sbjt_cd, lt_no, subh_cd)",
+    "timing_recovered": f"""WITH {CLASSES_SQL}, own AS (SELECT * FROM slots WHERE period <= 2),
+found AS (SELECT DISTINCT sbjt_cd, lt_no, s.day_index, s.period, s.start_time, s.end_time, s.room FROM classes k JOIN slots s USING (class_id))
+SELECT * FROM own UNION ALL SELECT c.class_id, f.day_index, f.period, f.start_time, f.end_time, f.room FROM classes c JOIN found f USING (sbjt_cd, lt_no) WHERE class_id NOT IN (SELECT class_id FROM own)""",
+    "rooms_backfilled": f"WITH {_BACKFILL} SELECT rec_id, class_id, status, timing_differs, room FROM st",
+    "slots_backfilled": f"""WITH {_BACKFILL}, good AS (SELECT rec_id, class_id FROM st WHERE status = 'matched' AND NOT timing_differs)
+SELECT class_id, day_index, period, start_time, end_time, '' AS room FROM (SELECT DISTINCT class_id, day_index, period, start_time, end_time FROM slots) WHERE class_id NOT IN (SELECT class_id FROM good)
+UNION ALL SELECT good.class_id, day_index, period, start_time, end_time, room FROM good JOIN slots ON slots.class_id = good.rec_id""",
+    "freshness": "SELECT max(ts) AS fresh_at FROM (SELECT o_orderdate AS ts FROM orders UNION ALL SELECT l_shipdate FROM lineitem)",
     "saved_classes": f"""WITH {CLASSES_SQL}, sig AS (SELECT class_id, list_sort(list(DISTINCT day_index || start_time || end_time)) AS g FROM slots GROUP BY class_id)
-SELECT 1997 AS year, s.term, s.sbjt_cd, s.lt_no, CASE WHEN n.class_id IS NULL THEN 'cancelled' WHEN a.g = b.g THEN 'same' ELSE 'changed' END AS status
-FROM classes s LEFT JOIN (SELECT * FROM classes WHERE year = 1997) n USING (term, sbjt_cd, lt_no) LEFT JOIN sig a ON a.class_id = s.class_id LEFT JOIN sig b ON b.class_id = n.class_id WHERE s.year = 1996""",
+SELECT s.year + 1 AS year, s.term, s.sbjt_cd, s.lt_no, CASE WHEN n.class_id IS NULL THEN 'cancelled' WHEN a.g = b.g THEN 'same' ELSE 'changed' END AS status
+FROM classes s LEFT JOIN classes n ON n.year = s.year + 1 AND n.term = s.term AND n.sbjt_cd = s.sbjt_cd AND n.lt_no = s.lt_no LEFT JOIN sig a ON a.class_id = s.class_id LEFT JOIN sig b ON b.class_id = n.class_id""",
     "open_work": f"WITH {CLASSES_SQL} SELECT DISTINCT sbjt_cd, lt_no FROM classes WHERE (sbjt_cd, lt_no) NOT IN (SELECT (sbjt_cd, lt_no) FROM classes WHERE year <= 1997 GROUP BY sbjt_cd, lt_no HAVING min(quota) > 10)",
     "tag_counts": f"WITH {CLASSES_SQL} SELECT token, count(*) AS n FROM (SELECT unnest(classification) AS token FROM classes) GROUP BY token",
     "departments": f"WITH {CLASSES_SQL} SELECT department AS value, count(*) AS n FROM classes GROUP BY department",
     "term_times": f"WITH {CLASSES_SQL}, t AS (SELECT year, term, count(*) AS classes, count(*) FILTER (class_id IN (SELECT class_id FROM slots WHERE period > 3)) AS timed FROM classes GROUP BY ALL) SELECT year, term, CASE WHEN term <> 'Q3' THEN term || '-' || year ELSE year || ' ' || term END AS label, classes, timed, classes - timed AS timeless FROM t",
-    "term_overview": f"WITH {CLASSES_SQL} SELECT year, term, count(*) AS n, CASE WHEN (year, term) < (1998, 'Q2') THEN 'past' WHEN (year, term) = (1998, 'Q2') THEN 'current' ELSE 'upcoming' END AS status, string_agg(DISTINCT department, ',' ORDER BY department) AS departments, string_agg(DISTINCT grade, ',' ORDER BY grade) AS grades FROM classes GROUP BY year, term",
+    "term_overview": f"""WITH {CLASSES_SQL}, v AS (SELECT year, term, count(*) AS n, CASE WHEN (year, term) < (1998, 'Q2') THEN 'past' WHEN (year, term) = (1998, 'Q2') THEN 'current' ELSE 'upcoming' END AS status, string_agg(DISTINCT department, ',' ORDER BY department) AS departments,
+  string_agg(DISTINCT grade, ',' ORDER BY grade) AS grades, string_agg(DISTINCT grading, ',' ORDER BY grading) AS gradings FROM classes GROUP BY year, term),
+p AS (SELECT *, row_number() OVER (PARTITION BY year, term ORDER BY ts) - 1 AS i, count(*) OVER (PARTITION BY year, term) // 8 AS complete FROM (SELECT DISTINCT year(l_shipdate)::INTEGER AS year, 'Q' || quarter(l_shipdate) AS term, l_shipdate AS ts FROM lineitem)),
+k AS (SELECT year, term, any_value((complete - 1) * 8) AS live_from, any_value(complete - 1) AS exposed, string_agg(strftime(ts, '%Y-%m-%d'), ',' ORDER BY ts) AS chunk_starts FROM p WHERE i % 8 = 0 AND i // 8 < complete GROUP BY year, term)
+SELECT v.*, live_from, coalesce(exposed, 0) AS exposed, coalesce(chunk_starts, '') AS chunk_starts FROM v LEFT JOIN k USING (year, term)""",
+    "classes_untagged": f"WITH {CLASSES_SQL} SELECT count(*) AS classes, count(*) FILTER ((sbjt_cd, lt_no, subh_cd) NOT IN (SELECT (sbjt_cd, lt_no, subh_cd) FROM classes WHERE quota % 2 = 0)) AS untagged FROM classes",
     "nested_slots": f"WITH {_NESTED} SELECT c.class_id, string_agg(o.day_index || ' ' || o.start_time || ' ' || o.end_time || ' ' || o.room, ';' ORDER BY o.day_index, o.start_time, o.end_time) AS slots FROM classes c LEFT JOIN one o USING (class_id) GROUP BY c.class_id",
     "flat_export": f"""WITH {_NESTED}, t AS (SELECT class_id, string_agg(substr('월화수목금토일', day_index + 1, 1) || '(' || start_time || '~' || end_time || ')', '/' ORDER BY day_index, start_time, end_time) AS times FROM one GROUP BY class_id)
-SELECT year, year || ' ' || term AS term_label, sbjt_cd, lt_no, name, array_to_string(classification, ' ') AS classification, department, grade, credits, professor, quota,
-       CASE WHEN cart IS NOT NULL THEN quota - 1 END AS quota_returning, CASE WHEN cart IS NOT NULL THEN 1 END AS quota_new, applied, cart, NULL::INTEGER AS enrolled, grading, times FROM classes JOIN t USING (class_id)""",
+SELECT year, CASE term WHEN 'Q1' THEN '1학기' WHEN 'Q2' THEN '여름학기' WHEN 'Q3' THEN '2학기' ELSE term END AS term_label, name, professor, 'C' || (credits % 5) AS college, department, sbjt_cd, lt_no, credits, grade, array_to_string(classification, ' ') AS classification,
+       quota, CASE WHEN cart IS NOT NULL THEN quota - 1 END AS quota_returning, CASE WHEN cart IS NOT NULL THEN 1 END AS quota_new, applied, grading, CASE WHEN quota > 40 THEN 'Y' ELSE '' END AS grading_switch, times FROM classes JOIN t USING (class_id)""",
 }

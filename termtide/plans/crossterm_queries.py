@@ -8,79 +8,91 @@ from pyspark.sql import functions as F
 from termtide.functions import scalars
 from termtide.operators import crossterm, requirements, rooms
 from termtide.plans.model import CLASSES_SQL, classes, slots, table
+from termtide.sources.durable import cut
 
 SPACE = scalars.IDENTITY_SPACE.hex
 
 
-def _offerings(spark: SparkSession, d: str) -> DataFrame:
+def _offerings(c: DataFrame) -> DataFrame:
     """Classes with one or two professors, and an address for the representative of some suppliers."""
-    c = classes(spark, d)
     pair = F.when(F.col("l_suppkey") % 10 == 0, F.concat("professor", F.lit(" / "), F.lit("Guest "), F.col("credits").cast("string"), F.lit("; "), "professor")).otherwise(F.col("professor"))
     email = F.when(F.col("l_suppkey") % 4 == 1, F.concat(F.lit("S"), F.col("l_suppkey") % 9, F.lit("@Example.org ")))
     return c.select("year", "term", "sbjt_cd", "lt_no", pair.alias("professor"), "department", email.alias("email"))
 
 
-def _rules(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame]:
+def _rules(c: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Merges of suppliers 2 and 6 (mod 40) within a brand; splits of suppliers 3 (mod 40) at the end of 1996."""
-    own = classes(spark, d).where("department like '%1'").select(F.col("l_suppkey").alias("s_suppkey"), F.col("professor").alias("s_name"), F.col("department").alias("dept")).distinct()
+    own = c.where("department like '%1'").select(F.col("l_suppkey").alias("s_suppkey"), F.col("professor").alias("s_name"), F.col("department").alias("dept")).distinct()
     a = own.where("s_suppkey % 40 = 2").select(F.floor(F.col("s_suppkey") / 40).alias("g"), "dept", scalars.name_id("s_name", "dept").alias("canonical"))
     b = own.where("s_suppkey % 40 = 6").select(F.floor(F.col("s_suppkey") / 40).alias("g"), "dept", scalars.name_id("s_name", "dept").alias("member"))
     splits = own.where("s_suppkey % 40 = 3").select(F.col("s_name").alias("name"), "dept", F.lit(1).alias("rule"), F.lit(1996).alias("year"), F.lit("Q4").alias("term"), F.concat(F.lit("old-"), "s_name").alias("before"), F.concat(F.lit("new-"), "s_name").alias("after"))
     return a.join(b, ["g", "dept"]).select("member", "canonical"), splits
 
 
-def _resolved(spark: SparkSession, d: str) -> DataFrame:
-    return crossterm.resolve_identity(_offerings(spark, d), *_rules(spark, d))
+def _resolved(c: DataFrame) -> DataFrame:
+    return crossterm.resolve_identity(_offerings(c), *_rules(c))
+
+
+def _written(spark: SparkSession, d: str) -> DataFrame:
+    """The classes, derived once for queries that read them several times."""
+    return cut(classes(spark, d).select("year", "term", "sbjt_cd", "lt_no", "name", "professor", "department", "credits", "subh_cd", "l_suppkey", "class_id"))
 
 
 def professor_ids(spark: SparkSession, d: str) -> DataFrame:
-    return _resolved(spark, d).groupBy("prof", "department", "prof_id").agg(F.count(F.lit(1)).alias("n"), F.min("year").alias("first_year"))
+    return _resolved(_written(spark, d)).groupBy("prof", "department", "prof_id").agg(F.count(F.lit(1)).alias("n"), F.min("year").alias("first_year"))
 
 
 def professor_offerings(spark: SparkSession, d: str) -> DataFrame:
-    c = classes(spark, d)
-    out = crossterm.professor_history(_resolved(spark, d), c)
+    c = _written(spark, d)
+    out = crossterm.professor_history(_resolved(c), c)
     return out.select("prof_id", F.size("offerings").alias("n"), F.get("offerings", 0)["sbjt_cd"].alias("first_code"), F.get("offerings", 0)["term_idx"].alias("newest"), F.array_join("departments", ",").alias("departments"))
 
 
 def homonyms(spark: SparkSession, d: str) -> DataFrame:
-    return crossterm.homonym_groups(_resolved(spark, d))
+    return crossterm.homonym_groups(_resolved(_written(spark, d)))
 
 
 def name_dictionary(spark: SparkSession, d: str) -> DataFrame:
     """Dense ids of codes by first appearance in term order, then search order."""
-    c = classes(spark, d).join(crossterm.term_order(classes(spark, d)), ["year", "term"])
+    own = _written(spark, d)
+    c = own.join(crossterm.term_order(own), ["year", "term"])
     return crossterm.dictionary_encode(c, "sbjt_cd", ["term_idx", "name", "lt_no", "sbjt_cd"])
 
 
-def _short_lived(spark: SparkSession, d: str) -> DataFrame:
-    """Each code only in one year (and the last quarter before it), so that codes of one name can follow each other."""
-    c = classes(spark, d)
-    own = 1995 + F.substring("sbjt_cd", 2, 20).cast("int") % 4
-    return c.where((F.col("year") == own) | ((F.col("year") == own - 1) & (F.col("term") == "Q4")))
+def _by_year(c: DataFrame) -> DataFrame:
+    """Each year's classes of a code as a code of its own, so that codes of one name follow each other."""
+    return c.withColumn("sbjt_cd", F.concat_ws("-", "sbjt_cd", "year"))
 
 
 def course_history(spark: SparkSession, d: str) -> DataFrame:
-    out = crossterm.course_history(classes(spark, d), classes(spark, d))
+    c = _written(spark, d)
+    out = crossterm.course_history(c, c)
     text = F.array_join(F.transform("offerings", lambda o: F.concat_ws(":", o["term_idx"], o["lt_no"], o["professor"], o["credits"])), ",")
     return out.select("sbjt_cd", text.alias("offerings"), F.array_join("names", ",").alias("names"))
 
 
 def code_links(spark: SparkSession, d: str) -> DataFrame:
-    return crossterm.infer_code_links(crossterm.course_history(_short_lived(spark, d), classes(spark, d)))
+    c = _written(spark, d)
+    return crossterm.infer_code_links(crossterm.course_history(_by_year(c), c))
 
 
 def code_links_applied(spark: SparkSession, d: str) -> DataFrame:
     """With every low pair of an even older code suppressed (the other way round), and high pairs confirmed again."""
-    found = code_links(spark, d)
-    even = F.substring("prev", 2, 20).cast("int") % 2 == 0
+    found = cut(code_links(spark, d))
+    even = F.regexp_extract("prev", "^P([0-9]+)", 1).cast("int") % 2 == 0
     suppress = found.where((F.col("conf") == "low") & even).select(F.col("next").alias("a"), F.col("prev").alias("b"))
     links = found.where((F.col("conf") == "high") & even).select("prev", "next")
-    codes = classes(spark, d).select(F.col("sbjt_cd").alias("code")).distinct().where("code not like '%7'")
+    codes = _by_year(classes(spark, d)).select(F.col("sbjt_cd").alias("code")).distinct().where("code not like '%7'")
     text = lambda c: F.coalesce(F.array_join(F.transform(c, lambda x: F.concat_ws(":", x["code"], x["conf"])), ","), F.lit(""))
     return crossterm.apply_code_links(found, links, suppress, codes).select("code", text("prev").alias("prev"), text("next").alias("next"))
 
 
+def building_order(spark: SparkSession, d: str) -> DataFrame:
+    """The parts of the rank of each room's building."""
+    rank = F.col("rank.b")
+    return rooms.rooms_index(classes(spark, d), slots(spark, d)).select("campus", "building", "name", rank["kind"].alias("kind"), F.array_join(rank["numbers"].cast("array<string>"), "-").alias("numbers"), rank["text"].alias("text"))
+
+
 def room_index(spark: SparkSession, d: str) -> DataFrame:
     return rooms.rooms_index(classes(spark, d), slots(spark, d)).drop("rank")
 
@@ -91,21 +103,28 @@ def room_names(spark: SparkSession, d: str) -> DataFrame:
 
 
 def _meetings(spark: SparkSession, d: str) -> DataFrame:
-    return rooms.room_meetings(slots(spark, d).where("class_id like '1997/Q1/%'"))
+    part = F.split("class_id", "/")
+    return rooms.room_meetings(slots(spark, d)).withColumns({"year": part[0].cast("int"), "term": part[1]})
 
 
 def meetings_of_rooms(spark: SparkSession, d: str) -> DataFrame:
-    return _meetings(spark, d)
+    return rooms.room_meetings(slots(spark, d))
 
 
 def rooms_free(spark: SparkSession, d: str) -> DataFrame:
-    asked = spark.sql("SELECT * FROM VALUES (1, 2, '09:30', '10:00', '관악', CAST(NULL AS STRING)), (2, 4, '12:00', '14:00', '연건', '5-*'), (3, 1, '10:00', '11:00', '평창', '6') AS t(query_id, day_index, start, end, campus, building)")
-    return rooms.free_rooms(_meetings(spark, d), rooms.rooms_index(classes(spark, d), slots(spark, d)), asked, other_terms=True)
+    """Three questions in each term."""
+    three = ((1, 2, "09:30", "10:00", "관악", None), (2, 4, "12:00", "14:00", "연건", "5-*"), (3, 1, "10:00", "11:00", "평창", "6"))
+    names = ("query_id", "day_index", "start", "end", "campus", "building")
+    asked = F.array(*(F.struct(*(F.lit(v).cast("int" if n in names[:2] else "string").alias(n) for n, v in zip(names, q, strict=True))) for q in three))
+    terms = classes(spark, d).select("year", "term").distinct().select("year", "term", F.explode(asked).alias("q")).select("year", "term", "q.*")
+    met = cut(_meetings(spark, d))
+    index = rooms.rooms_index(classes(spark, d), slots(spark, d))
+    return rooms.free_rooms(met, index, cut(terms), other_terms=True, scope=["year", "term"])
 
 
 def room_clashes(spark: SparkSession, d: str) -> DataFrame:
-    out = rooms.meeting_conflicts(_meetings(spark, d), ["campus", "name"])
-    return out.groupBy("campus", "name", "day_index").agg(F.count(F.lit(1)).alias("n"), F.min("a_class_id").alias("first_class"))
+    out = rooms.meeting_conflicts(_meetings(spark, d), ["year", "term", "campus", "name"])
+    return out.groupBy("year", "term", "campus", "name", "day_index").agg(F.count(F.lit(1)).alias("n"), F.min("a_class_id").alias("first_class"))
 
 
 def _courses(spark: SparkSession, d: str) -> DataFrame:
@@ -152,7 +171,7 @@ def elective_credits(spark: SparkSession, d: str) -> DataFrame:
 
 
 QUERIES = {f.__name__: f for f in (
-    professor_ids, professor_offerings, homonyms, name_dictionary, course_history, code_links, code_links_applied, room_index, room_names, meetings_of_rooms, rooms_free,
+    professor_ids, professor_offerings, homonyms, name_dictionary, course_history, code_links, code_links_applied, room_index, building_order, room_names, meetings_of_rooms, rooms_free,
     room_clashes, transcripts, recognised_courses, elective_credits,
 )}
 
@@ -177,12 +196,14 @@ _HIST = """, rows AS (SELECT c.*, idx FROM {src} c JOIN terms USING (year, term)
 spans AS (SELECT sbjt_cd AS code, arg_min(name, (idx, lt_no)) AS name, arg_min(department, (idx, lt_no)) AS dept, arg_min(credits, (idx, lt_no)) AS credits, list(DISTINCT idx) AS ts, min(idx) AS newest, max(idx) AS oldest FROM rows GROUP BY sbjt_cd),
 links AS (SELECT p.code AS prev, n.code AS next, CASE WHEN p.credits = n.credits AND p.newest - n.oldest = 1 AND len(list_intersect(p.ts, n.ts)) = 0 THEN 'high' ELSE 'low' END AS conf
   FROM spans p JOIN spans n ON p.name = n.name AND p.dept = n.dept AND p.newest > n.newest WHERE p.newest - n.oldest <= 4 AND len(list_intersect(p.ts, n.ts)) <= 1)"""
-_SHORT = CLASSES_SQL + _TERMS + ", short AS (SELECT * FROM classes WHERE year = 1995 + substr(sbjt_cd, 2)::INTEGER % 4 OR (year = 1994 + substr(sbjt_cd, 2)::INTEGER % 4 AND term = 'Q4'))" + _HIST.format(src="short")
+_SHORT = CLASSES_SQL + _TERMS + ", short AS (SELECT * REPLACE (sbjt_cd || '-' || year AS sbjt_cd) FROM classes)" + _HIST.format(src="short")
+_EVEN = "regexp_extract(prev, '^P([0-9]+)', 1)::INTEGER % 2 = 0"
 _ROOMS = CLASSES_SQL + """, raw AS (SELECT DISTINCT room FROM slots), cut AS (
   SELECT room, CASE left(room, 1) WHEN '#' THEN '연건' WHEN '*' THEN '평창' ELSE '관악' END AS campus,
          list_transform(string_split(ltrim(room, '#*'), '-'), lambda p: CASE WHEN ltrim(p, '0') = '' THEN '0' ELSE ltrim(p, '0') END) AS p FROM raw
 ), norm AS (SELECT room, campus, CASE WHEN len(p) >= 3 AND length(p[2]) <= 2 THEN p[1] || '-' || p[2] ELSE p[1] END AS building, array_to_string(p, '-') AS name FROM cut),
-meet AS (SELECT class_id, day_index, start_time, end_time, campus, building, name, '' AS others FROM slots JOIN norm USING (room) WHERE class_id LIKE '1997/Q1/%'),
+meet AS (SELECT class_id, day_index, start_time, end_time, campus, building, name, '' AS others FROM slots JOIN norm USING (room)),
+meet_t AS (SELECT split_part(class_id, '/', 1)::INTEGER AS year, split_part(class_id, '/', 2) AS term, * FROM meet),
 idx AS (SELECT campus, building, norm.name AS name, max(year || '-' || term) AS last, count(DISTINCT (year, term)) AS n_terms FROM slots JOIN norm USING (room) JOIN classes USING (class_id) GROUP BY campus, building, norm.name)"""
 _TAKEN = """picks AS (SELECT o_custkey AS student, year(o_orderdate) || '-' || quarter(o_orderdate) AS semester, max(o_orderkey) AS sheet FROM orders GROUP BY ALL),
 taken AS (SELECT p.student, p.semester, p.sheet, 'P' || l_partkey AS code, lpad(l_linenumber::VARCHAR, 3, '0') AS lt_no FROM picks p JOIN lineitem ON l_orderkey = p.sheet
@@ -202,18 +223,23 @@ ORACLE_SQL = {
     "name_dictionary": f"WITH {CLASSES_SQL}{_TERMS}, f AS (SELECT sbjt_cd AS value, min((idx, name, lt_no, sbjt_cd)) AS pos FROM classes JOIN terms USING (year, term) GROUP BY sbjt_cd) SELECT value, row_number() OVER (ORDER BY pos) - 1 AS id FROM f",
     "course_history": f"WITH {CLASSES_SQL}{_TERMS} SELECT sbjt_cd, string_agg(idx || ':' || lt_no || ':' || professor || ':' || credits, ',' ORDER BY idx, lt_no) AS offerings, any_value(name) AS names FROM classes JOIN terms USING (year, term) GROUP BY sbjt_cd",
     "code_links": f"WITH {_SHORT} SELECT * FROM links",
-    "code_links_applied": f"""WITH {_SHORT}, k AS (SELECT prev, next, CASE WHEN conf = 'high' AND substr(prev, 2)::INTEGER % 2 = 0 THEN 'confirmed' ELSE conf END AS conf FROM links WHERE NOT (conf = 'low' AND substr(prev, 2)::INTEGER % 2 = 0) AND prev NOT LIKE '%7' AND next NOT LIKE '%7'),
+    "code_links_applied": f"""WITH {_SHORT}, k AS (SELECT prev, next, CASE WHEN conf = 'high' AND {_EVEN} THEN 'confirmed' ELSE conf END AS conf FROM links WHERE NOT (conf = 'low' AND {_EVEN}) AND prev NOT LIKE '%7' AND next NOT LIKE '%7'),
 p AS (SELECT next AS code, string_agg(prev || ':' || conf, ',' ORDER BY prev, conf) AS prev FROM k GROUP BY next), n AS (SELECT prev AS code, string_agg(next || ':' || conf, ',' ORDER BY next, conf) AS next FROM k GROUP BY prev)
 SELECT coalesce(p.code, n.code) AS code, coalesce(prev, '') AS prev, coalesce(next, '') AS next FROM p FULL JOIN n ON p.code = n.code""",
     "room_index": f"WITH {_ROOMS} SELECT campus, building, name, left(last, 4)::INTEGER AS year, substr(last, 6) AS term, n_terms FROM idx",
     "room_names": f"WITH {_ROOMS} SELECT * FROM norm",
     "meetings_of_rooms": f"WITH {_ROOMS} SELECT * FROM meet",
+    "building_order": f"""WITH {_ROOMS} SELECT campus, building, name, CASE WHEN regexp_full_match(building, '[0-9]+(-[0-9]+)*') THEN 0 ELSE 1 END AS kind,
+CASE WHEN regexp_full_match(building, '[0-9]+(-[0-9]+)*') THEN building ELSE '' END AS numbers, CASE WHEN regexp_full_match(building, '[0-9]+(-[0-9]+)*') THEN '' ELSE building END AS text FROM idx""",
     "rooms_free": f"""WITH {_ROOMS}, q AS (SELECT * FROM (VALUES (1, 2, '09:30', '10:00', '관악', NULL), (2, 4, '12:00', '14:00', '연건', '5-'), (3, 1, '10:00', '11:00', '평창', '6')) t(query_id, d, s, e, campus, b)),
-pool AS (SELECT i.*, (campus, name) IN (SELECT (campus, name) FROM meet) AS here FROM idx i)
-SELECT q.query_id, p.campus, p.building, p.name, (SELECT min(start_time) FROM meet m WHERE m.campus = p.campus AND m.name = p.name AND m.day_index = q.d AND start_time >= q.e) AS next_start, CASE WHEN NOT here THEN last END AS last_term
-FROM pool p JOIN q ON q.campus = p.campus AND (q.b IS NULL OR (q.query_id = 2 AND (p.building = '5' OR p.building LIKE '5-%')) OR (q.query_id = 3 AND p.building = '6'))
-WHERE NOT EXISTS (SELECT 1 FROM meet m WHERE m.campus = p.campus AND m.name = p.name AND m.day_index = q.d AND m.start_time < q.e AND m.end_time > q.s)""",
-    "room_clashes": f"WITH {_ROOMS}, m AS (SELECT DISTINCT campus, name, day_index, class_id, start_time, end_time FROM meet) SELECT a.campus, a.name, a.day_index, count(*) AS n, min(a.class_id) AS first_class FROM m a JOIN m b ON a.campus = b.campus AND a.name = b.name AND a.day_index = b.day_index AND a.class_id < b.class_id AND a.start_time < b.end_time AND a.end_time > b.start_time GROUP BY ALL",
+pool AS (SELECT t.year, t.term, q.*, i.building, i.name, i.last FROM (SELECT DISTINCT year, term FROM classes) t, idx i JOIN q ON q.campus = i.campus
+  AND (q.b IS NULL OR (q.query_id = 2 AND (i.building = '5' OR i.building LIKE '5-%')) OR (q.query_id = 3 AND i.building = '6'))),
+here AS (SELECT DISTINCT year, term, campus, building, name FROM meet_t),
+met AS (SELECT p.year, p.term, p.query_id, p.campus, p.building, p.name, coalesce(bool_or(m.start_time < p.e AND m.end_time > p.s), false) AS busy, min(m.start_time) FILTER (m.start_time >= p.e) AS next_start
+  FROM pool p LEFT JOIN meet_t m ON m.year = p.year AND m.term = p.term AND m.campus = p.campus AND m.building = p.building AND m.name = p.name AND m.day_index = p.d GROUP BY ALL)
+SELECT met.year, met.term, met.query_id, met.campus, met.building, met.name, next_start, CASE WHEN here.year IS NULL THEN last END AS last_term
+FROM met JOIN pool USING (year, term, query_id, campus, building, name) LEFT JOIN here ON here.year = met.year AND here.term = met.term AND here.campus = met.campus AND here.building = met.building AND here.name = met.name WHERE NOT busy""",
+    "room_clashes": f"WITH {_ROOMS}, m AS (SELECT DISTINCT year, term, campus, name, day_index, class_id, start_time, end_time FROM meet_t) SELECT a.year, a.term, a.campus, a.name, a.day_index, count(*) AS n, min(a.class_id) AS first_class FROM m a JOIN m b ON a.year = b.year AND a.term = b.term AND a.campus = b.campus AND a.name = b.name AND a.day_index = b.day_index AND a.class_id < b.class_id AND a.start_time < b.end_time AND a.end_time > b.start_time GROUP BY ALL",
     "transcripts": f"WITH {_TAKEN} SELECT * FROM taken",
     "recognised_courses": f"WITH {_RECOGNISED} SELECT student, spec_id, code, credits FROM rec",
     "elective_credits": f"""WITH {_RECOGNISED}, tracks AS (SELECT * FROM (VALUES (0, 'single', 40), (0, 'multi', NULL), (1, 'single', 25), (2, 'single', 60)) t(spec_id, track, recog_max)),

@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from termtide.operators import series
+from termtide.sources.durable import cut
 
 SCOPE, KEY = ["term"], ["term", "user_id"]
 #: Event types and the metrics that they stand for; an hour with none of them is a tombstone.
@@ -29,7 +30,8 @@ def samples(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def axis(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return series.load_axis(None, samples(spark, sf_dir), SCOPE)
+    """The passes of each term, written once: they are read several times over."""
+    return cut(series.load_axis(None, samples(spark, sf_dir), SCOPE))
 
 
 SAMPLES_SQL = """samples AS (

@@ -19,16 +19,16 @@ def page_links(spark: SparkSession, d: str) -> DataFrame:
 
 
 def page_tables(spark: SparkSession, d: str) -> DataFrame:
-    """Tables written from each page's id and address, one of them empty, read back as cells."""
+    """Each page with two tables behind it, written from its id and address, one of them empty, read back as cells."""
     p = table(spark, d, "pages")
     row = lambda *c: F.concat(F.lit("<tr>"), *(x for v in c for x in (F.lit("<td> <b>"), v, F.lit("</b>\n</td>"))), F.lit("</tr>"))
-    made = F.concat(F.lit("<table><tr><td> </td></tr></table><TABLE>"), row(F.lit("page &amp; url"), F.lit("")), row(F.col("page_id").cast("string"), F.col("url")), F.lit("</TABLE>"))
+    made = F.concat(F.coalesce("html", F.lit("")), F.lit("<table><tr><td> </td></tr></table><TABLE>"), row(F.lit("page &amp; url"), F.lit("")), row(F.col("page_id").cast("string"), F.col("url")), F.lit("</TABLE>"))
     return pages.html_tables(p.withColumn("html", made)).select("page_id", "table", "row", F.array_join("cells", "|").alias("cells"))
 
 
 def _cards(spark: SparkSession, d: str) -> DataFrame:
-    """Result pages of 1997: one page per code, one card per class."""
-    c = classes(spark, d).where("year = 1997")
+    """Result pages: one page per code and year, one card per class."""
+    c = classes(spark, d)
     hidden = lambda n, v: F.concat(F.lit(f'<input type="hidden" name="{n}" value="'), v, F.lit('">'))
     badge = F.when(F.col("l_suppkey") % 3 == 0, '<li class="state on">취소여석</li>').when(F.col("l_suppkey") % 3 == 1, '<li class="state"></li>').otherwise("")
     card = F.concat(
@@ -40,8 +40,9 @@ def _cards(spark: SparkSession, d: str) -> DataFrame:
         F.when(F.col("cart").isNotNull(), F.concat(F.lit('<span class="carts"><em></em> '), F.col("cart"), F.lit("</span>"))).otherwise(""), F.lit("</div>"),
     )
     body = F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("class_id", card.alias("card")))), lambda x: x["card"]), "\n")
-    head = F.concat(F.lit('<input id="srchOpenSchyy" value="1997"><div class="search-result-con"><small><em>'), F.count(F.lit(1)) + F.max((F.col("l_suppkey") % 50 == 0).cast("int")), F.lit("</em></small>"))
-    return c.groupBy("sbjt_cd").agg(F.concat(head, body).alias("html")).select(F.expr("substring(sbjt_cd, 2)").cast("long").alias("page_id"), "html")
+    head = F.concat(F.lit('<input id="srchOpenSchyy" value="'), F.first("year"), F.lit('"><div class="search-result-con"><small><em>'), F.count(F.lit(1)) + F.max((F.col("l_suppkey") % 50 == 0).cast("int")), F.lit("</em></small>"))
+    page = F.expr("substring(sbjt_cd, 2)").cast("long") * 10_000 + F.col("year")
+    return c.groupBy("sbjt_cd", "year").agg(F.concat(head, body).alias("html")).select(page.alias("page_id"), "html")
 
 
 def result_cards(spark: SparkSession, d: str) -> DataFrame:
@@ -101,9 +102,9 @@ ORACLE_SQL = {
 b AS (SELECT page_id, i, regexp_extract(url, '^[a-z]+://[^/?#]+') || {_UNESCAPE.format('h')} AS href, {_UNESCAPE.format('t')} AS text FROM a WHERE regexp_matches({_UNESCAPE.format('t')}, '^[A-Z]')),
 f AS (SELECT page_id, href, arg_min(text, i) AS text, min(i) AS i FROM b GROUP BY page_id, href) SELECT page_id, (row_number() OVER (PARTITION BY page_id ORDER BY i) - 1)::INTEGER AS place, href, text FROM f""",
     "page_tables": "SELECT page_id, 0 AS \"table\", 0 AS row, 'page & url|' AS cells FROM pages UNION ALL SELECT page_id, 0, 1, page_id || '|' || url FROM pages",
-    "result_cards": f"""WITH {CLASSES_SQL} SELECT substr(sbjt_cd, 2)::BIGINT AS page_id, '1997' AS year, sbjt_cd, lt_no, name, professor, department, applied, quota, credits, coalesce(cart, 1) AS cart,
-CASE l_suppkey % 3 WHEN 0 THEN 1 WHEN 1 THEN 0 END AS cancel_vacancy, grading || ',x' AS tags, day_index || ' ' || period || ' ' || start_time || ' ' || end_time AS slot FROM classes WHERE year = 1997""",
-    "pages_complete": f"WITH {CLASSES_SQL} SELECT substr(sbjt_cd, 2)::BIGINT AS page_id, (count(*) + max((l_suppkey % 50 = 0)::INTEGER))::INTEGER AS total, count(*) AS fetched, max((l_suppkey % 50 = 0)::INTEGER) = 0 AS ok FROM classes WHERE year = 1997 GROUP BY sbjt_cd",
+    "result_cards": f"""WITH {CLASSES_SQL} SELECT substr(sbjt_cd, 2)::BIGINT * 10000 + year AS page_id, year::VARCHAR AS year, sbjt_cd, lt_no, name, professor, department, applied, quota, credits, coalesce(cart, 1) AS cart,
+CASE l_suppkey % 3 WHEN 0 THEN 1 WHEN 1 THEN 0 END AS cancel_vacancy, grading || ',x' AS tags, day_index || ' ' || period || ' ' || start_time || ' ' || end_time AS slot FROM classes""",
+    "pages_complete": f"WITH {CLASSES_SQL} SELECT substr(sbjt_cd, 2)::BIGINT * 10000 + year AS page_id, (count(*) + max((l_suppkey % 50 = 0)::INTEGER))::INTEGER AS total, count(*) AS fetched, max((l_suppkey % 50 = 0)::INTEGER) = 0 AS ok FROM classes GROUP BY sbjt_cd, year",
     "rosters_normalised": f"""WITH {CLASSES_SQL}, m AS (SELECT class_id, string_agg(day_index || ' ' || period || ' ' || start_time || ' ' || end_time || ' ' || room, ';' ORDER BY day_index, start_time, end_time, room) AS slots,
   string_agg(substr('월화수목금토일', day_index + 1, 1) || start_time || '~' || end_time, '/' ORDER BY day_index, start_time, end_time) AS text,
   array_to_string(list_transform(list_sort(list_distinct(list((day_index || start_time || end_time || room, room)))), lambda x: x[2]), '/') AS allrooms, list(room ORDER BY day_index, start_time, end_time, room) AS rs FROM slots GROUP BY class_id)

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from termtide.functions import scalars
 from termtide.operators import series
 from termtide.plans.model import KEY, SAMPLES_SQL, SCOPE, STATES_SQL, axis, samples
+from termtide.sources.durable import cut
 
 W = 48
 
@@ -32,8 +33,8 @@ def latest_incremental(spark: SparkSession, d: str) -> DataFrame:
 
 
 def replay_dense(spark: SparkSession, d: str) -> DataFrame:
-    """The flagship: the value of every live series at every pass of the third window."""
-    return series.replay(samples(spark, d), axis(spark, d), KEY, SCOPE, 2 * W, 3 * W)
+    """The value of every series that is ever alive at every pass."""
+    return series.replay(samples(spark, d), axis(spark, d), KEY, SCOPE)
 
 
 def trend_encoded(spark: SparkSession, d: str) -> DataFrame:
@@ -52,7 +53,7 @@ def delta_round_trip(spark: SparkSession, d: str) -> DataFrame:
     """The dense replay stored as deltas with tombstones again."""
     a = axis(spark, d)
     dense = series.replay(samples(spark, d), a, KEY, SCOPE).where("coalesce(applied, cart, enrolled, quota) is not null")
-    dense = dense.join(F.broadcast(a.select("term", "pass_idx", "ts")), ["term", "pass_idx"])
+    dense = dense.join(a.select("term", "pass_idx", "ts"), ["term", "pass_idx"])
     return series.delta_encode(dense, a, KEY, SCOPE).select(*KEY, "ts", *series.METRICS)
 
 
@@ -68,7 +69,22 @@ def merged_stores(spark: SparkSession, d: str) -> DataFrame:
 
 def merge_figures(spark: SparkSession, d: str) -> DataFrame:
     all_ = samples(spark, d)
-    return series.merge_report(all_.where("user_id % 2 = 0"), all_, KEY)
+    return series.merge_report(all_.where("user_id % 2 = 0"), all_, KEY, axis(spark, d), SCOPE)
+
+
+def passes_merged(spark: SparkSession, d: str) -> DataFrame:
+    """The passes of even hours with all metrics marked, taken over by those of the first twenty days as they are."""
+    a = axis(spark, d).drop("pass_idx")
+    own = a.where("hour(ts) % 2 = 0").withColumns({m: F.lit(True) for m in series.MASKED})
+    return series.merge_passes(own, a.where("ts < '2024-01-21'"), SCOPE)
+
+
+def keyframes_restated(spark: SparkSession, d: str) -> DataFrame:
+    """The dense replay stored as deltas, with every series stated again at full passes."""
+    a = cut(series.mark_keyframes(axis(spark, d), SCOPE, 36))
+    dense = series.replay(samples(spark, d), a, KEY, SCOPE).where("coalesce(applied, cart, enrolled, quota) is not null")
+    dense = dense.join(a.select("term", "pass_idx", "ts"), ["term", "pass_idx"])
+    return series.delta_encode(dense, a, KEY, SCOPE, keyframes=True).select(*KEY, "ts", *series.METRICS, "moved")
 
 
 def unique_samples(spark: SparkSession, d: str) -> DataFrame:
@@ -87,10 +103,10 @@ def chunk_starts(spark: SparkSession, d: str) -> DataFrame:
 
 def checkpointed_state(spark: SparkSession, d: str) -> DataFrame:
     """State before day 8 of each term, rolled forward from a checkpoint of day 4."""
-    shifted = samples(spark, d).where("term = 'T0'")
-    at, cut = F.lit("2024-01-04 00:00:00").cast("timestamp"), F.lit("2024-01-08 00:00:00").cast("timestamp")
-    rows, n = series.state_before(shifted, KEY, at)
-    return series.state_before(shifted, KEY, cut, checkpoint=(rows, n, at))[0]
+    all_ = samples(spark, d)
+    day = lambda n: F.expr(f"TIMESTAMP'2024-01-0{n} 00:00:00' + make_dt_interval(10 * int(substring(term, 2, 9)))")
+    rows, n = series.state_before(all_, KEY, day(4))
+    return series.state_before(all_, KEY, day(8), checkpoint=(rows, n, day(4)))[0]
 
 
 def trend_export(spark: SparkSession, d: str) -> DataFrame:
@@ -104,18 +120,21 @@ def epochs(spark: SparkSession, d: str) -> DataFrame:
     return axis(spark, d).select("term", "pass_idx", scalars.to_epoch("ts", "Asia/Seoul").alias("epoch"))
 
 
+def _steps(spark: SparkSession, d: str) -> DataFrame:
+    return series.seat_steps(samples(spark, d), axis(spark, d), KEY, SCOPE)
+
+
 def seat_changes(spark: SparkSession, d: str) -> DataFrame:
-    return series.change_feed(series.replay(samples(spark, d), axis(spark, d), KEY, SCOPE), KEY, "all", since=24)
+    return series.change_feed(_steps(spark, d), KEY, "all", since=24)
 
 
 def seats_opened(spark: SparkSession, d: str) -> DataFrame:
-    return series.change_feed(series.replay(samples(spark, d), axis(spark, d), KEY, SCOPE), KEY, "open")
+    return series.change_feed(_steps(spark, d), KEY, "open")
 
 
 def vacancy_alerts(spark: SparkSession, d: str) -> DataFrame:
-    all_ = samples(spark, d)
-    watch = all_.where("user_id % 3 = 0").select(*KEY).distinct()
-    return series.vacancy_alerts(series.replay(all_, axis(spark, d), KEY, SCOPE), watch, KEY)
+    watch = samples(spark, d).where("user_id % 3 = 0").select(*KEY).distinct()
+    return series.vacancy_alerts(_steps(spark, d), watch, KEY)
 
 
 def axis_segments(spark: SparkSession, d: str) -> DataFrame:
@@ -129,7 +148,7 @@ def roster_mapped(spark: SparkSession, d: str) -> DataFrame:
 
 
 QUERIES = {f.__name__: f for f in (
-    axis_of_term, latest_fold, latest_incremental, replay_dense, trend_encoded, trend_decoded, delta_round_trip, keyframes, merged_stores, merge_figures,
+    axis_of_term, latest_fold, latest_incremental, replay_dense, trend_encoded, trend_decoded, delta_round_trip, keyframes, keyframes_restated, merged_stores, merge_figures, passes_merged,
     unique_samples, dense_retirements, chunk_starts, checkpointed_state, trend_export, epochs, seat_changes, seats_opened, vacancy_alerts, axis_segments, roster_mapped,
 )}
 
@@ -147,29 +166,37 @@ _SEATS = STATES_SQL + """, alive_users AS (SELECT term, user_id FROM dense GROUP
 seats AS (SELECT term, user_id, pass_idx, CASE WHEN quota IS NOT NULL AND applied IS NOT NULL THEN greatest(quota - applied, 0) END AS s FROM dense JOIN alive_users USING (term, user_id)),
 steps AS (SELECT *, lag(s) OVER (PARTITION BY term, user_id ORDER BY pass_idx) AS b FROM seats)"""
 
+_DELTAS = STATES_SQL + """, rec AS (SELECT term, ts, row_number() OVER (PARTITION BY term ORDER BY ts) AS rp FROM axis WHERE cart OR enrolled),
+obs AS (SELECT term, user_id, rp, ts, applied, cart, enrolled, quota, rp - row_number() OVER (PARTITION BY term, user_id ORDER BY rp) AS island FROM dense JOIN rec USING (term, ts) WHERE coalesce(applied, cart, enrolled, quota) IS NOT NULL),
+prev AS (SELECT *, last_value(applied IGNORE NULLS) OVER w AS pa, last_value(cart IGNORE NULLS) OVER w AS pc, last_value(enrolled IGNORE NULLS) OVER w AS pe, last_value(quota IGNORE NULLS) OVER w AS pq, row_number() OVER (PARTITION BY term, user_id, island ORDER BY rp) AS rn
+  FROM obs WINDOW w AS (PARTITION BY term, user_id, island ORDER BY rp ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING))"""
+_MOVED = """rn = 1 OR (applied IS NOT NULL AND applied IS DISTINCT FROM pa) OR (cart IS NOT NULL AND cart IS DISTINCT FROM pc) OR (enrolled IS NOT NULL AND enrolled IS DISTINCT FROM pe) OR (quota IS NOT NULL AND quota IS DISTINCT FROM pq)"""
 ORACLE_SQL = {
     "axis_of_term": f"WITH {SAMPLES_SQL} SELECT * FROM axis",
     "latest_fold": f"WITH {SAMPLES_SQL} {_LATEST.format(where='')}",
     "latest_incremental": f"WITH {SAMPLES_SQL} {_LATEST.format(where='')}",
-    "replay_dense": f"WITH {STATES_SQL}, w AS (SELECT * FROM dense WHERE pass_idx >= 96 AND pass_idx < 144) SELECT term, user_id, pass_idx, applied, cart, enrolled, quota FROM w WHERE (term, user_id) IN (SELECT (term, user_id) FROM w WHERE alive)",
+    "replay_dense": f"WITH {STATES_SQL}, w AS (SELECT * FROM dense) SELECT term, user_id, pass_idx, applied, cart, enrolled, quota FROM w WHERE (term, user_id) IN (SELECT (term, user_id) FROM w WHERE alive)",
     "trend_encoded": f"WITH {_CP} SELECT term, user_id, win::INTEGER AS \"window\", metric, string_agg(pos || ',' || coalesce(val::VARCHAR, 'null'), ',' ORDER BY pos) AS cp FROM runs WHERE pos = 0 OR val IS DISTINCT FROM prev GROUP BY term, user_id, win, metric",
     "trend_decoded": f"WITH {_CP} SELECT term, user_id, metric, count(value) AS n_values, sum(value)::BIGINT AS total, sum(value * (pos + 1))::BIGINT AS weighted FROM cells JOIN wanted USING (term, user_id, win, metric) GROUP BY term, user_id, metric",
-    "delta_round_trip": f"""WITH {STATES_SQL}, rec AS (SELECT term, ts, row_number() OVER (PARTITION BY term ORDER BY ts) AS rp FROM axis WHERE cart OR enrolled),
-obs AS (SELECT term, user_id, rp, ts, applied, cart, enrolled, quota, rp - row_number() OVER (PARTITION BY term, user_id ORDER BY rp) AS island FROM dense JOIN rec USING (term, ts) WHERE coalesce(applied, cart, enrolled, quota) IS NOT NULL),
-prev AS (SELECT *, last_value(applied IGNORE NULLS) OVER w AS pa, last_value(cart IGNORE NULLS) OVER w AS pc, last_value(enrolled IGNORE NULLS) OVER w AS pe, last_value(quota IGNORE NULLS) OVER w AS pq, row_number() OVER (PARTITION BY term, user_id, island ORDER BY rp) AS rn
-  FROM obs WINDOW w AS (PARTITION BY term, user_id, island ORDER BY rp ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING))
+    "delta_round_trip": f"""WITH {_DELTAS}
 SELECT term, user_id, ts, applied, cart, enrolled, quota FROM prev WHERE rn = 1 OR (applied IS NOT NULL AND applied IS DISTINCT FROM pa) OR (cart IS NOT NULL AND cart IS DISTINCT FROM pc) OR (enrolled IS NOT NULL AND enrolled IS DISTINCT FROM pe) OR (quota IS NOT NULL AND quota IS DISTINCT FROM pq)
 UNION ALL SELECT o.term, user_id, r.ts, NULL, NULL, NULL, NULL FROM (SELECT term, user_id, island, max(rp) AS rp FROM obs GROUP BY ALL) o JOIN rec r ON r.term = o.term AND r.rp = o.rp + 1""",
+    "keyframes_restated": f"""WITH RECURSIVE {_DELTAS}, k(term, ts) AS (
+  SELECT term, min(ts) FROM axis GROUP BY term
+  UNION ALL SELECT k.term, (SELECT min(a.ts) FROM axis a WHERE a.term = k.term AND a.ts >= k.ts + INTERVAL 36 HOURS) FROM k WHERE k.ts IS NOT NULL
+) SELECT term, user_id, ts, applied, cart, enrolled, quota, coalesce({_MOVED}, false) AS moved FROM prev WHERE ({_MOVED}) OR (term, ts) IN (SELECT (term, ts) FROM k WHERE ts IS NOT NULL)
+UNION ALL SELECT o.term, user_id, r.ts, NULL, NULL, NULL, NULL, true FROM (SELECT term, user_id, island, max(rp) AS rp FROM obs GROUP BY ALL) o JOIN rec r ON r.term = o.term AND r.rp = o.rp + 1""",
     "keyframes": f"""WITH RECURSIVE {SAMPLES_SQL}, k(term, ts) AS (
   SELECT term, min(ts) FROM axis GROUP BY term
   UNION ALL SELECT k.term, (SELECT min(a.ts) FROM axis a WHERE a.term = k.term AND a.ts >= k.ts + INTERVAL 36 HOURS) FROM k WHERE k.ts IS NOT NULL
 ) SELECT a.term, a.ts, k.ts IS NOT NULL AS "full" FROM axis a LEFT JOIN k ON k.term = a.term AND k.ts = a.ts""",
     "merged_stores": f"WITH {SAMPLES_SQL} SELECT * FROM samples",
-    "merge_figures": f"WITH {SAMPLES_SQL} SELECT count(*) AS rows, count(*) FILTER (user_id % 2 <> 0) AS inserted, max(ts) AS cursor FROM samples",
+    "merge_figures": f"WITH {SAMPLES_SQL} SELECT count(*) AS rows, count(*) FILTER (user_id % 2 <> 0) AS inserted, max(ts) AS cursor, (SELECT count(*) FROM axis) AS passes FROM samples",
+    "passes_merged": f"WITH {SAMPLES_SQL} SELECT term, ts, applied OR ts >= TIMESTAMP '2024-01-21' AS applied, cart OR ts >= TIMESTAMP '2024-01-21' AS cart, enrolled OR ts >= TIMESTAMP '2024-01-21' AS enrolled FROM axis WHERE ts < TIMESTAMP '2024-01-21' OR hour(ts) % 2 = 0",
     "unique_samples": f"WITH {SAMPLES_SQL} SELECT * FROM samples",
     "dense_retirements": f"WITH {SAMPLES_SQL}, l AS (SELECT term, user_id, max(ts) AS ts FROM samples GROUP BY ALL) SELECT l.term, user_id, min(a.ts) AS ts FROM l JOIN axis a ON a.term = l.term AND a.ts > l.ts GROUP BY l.term, user_id",
     "chunk_starts": f"WITH {SAMPLES_SQL}, n AS (SELECT *, count(*) OVER (PARTITION BY term) // 48 AS complete FROM axis) SELECT term, pass_idx // 48 AS chunk, min(ts) AS start_ts, (any_value(complete) - 1) * 48 AS live_from, greatest(any_value(complete) - 1, 0) AS exposed FROM n WHERE pass_idx // 48 < complete GROUP BY term, pass_idx // 48",
-    "checkpointed_state": f"WITH {SAMPLES_SQL} {_LATEST.format(where=chr(32).join(['WHERE term =', repr('T0'), 'AND ts <= TIMESTAMP', repr('2024-01-08 00:00:00')]))}",
+    "checkpointed_state": f"WITH {SAMPLES_SQL} {_LATEST.format(where='WHERE ts <= TIMESTAMP \'2024-01-08 00:00:00\' + to_days(10 * substr(term, 2)::INTEGER)')}",
     "trend_export": f"""WITH {STATES_SQL}, lo AS (SELECT term, greatest(count(*) // 48 - 1, 0) * 48 AS lo, max(ts) AS updated FROM axis GROUP BY term),
 cells AS (SELECT d.term, user_id, updated, pass_idx AS pos, unnest(['applied', 'cart', 'enrolled', 'quota']) AS metric, unnest([applied, cart, enrolled, quota]) AS value, unnest([ona, onc, one, true]) AS is_on, alive FROM dense d JOIN lo ON lo.term = d.term AND pass_idx >= lo.lo),
 wanted AS (SELECT term, user_id, metric FROM cells GROUP BY ALL HAVING bool_or(alive) AND bool_or(is_on)),

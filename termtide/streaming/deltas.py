@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Iterator, Sequence
 
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
@@ -65,24 +65,32 @@ def stream_deltas(observations: DataFrame, key: Sequence[str], metrics: Sequence
 def merge_batch(batch: DataFrame, batch_id: int, path: str, key: Sequence[str], metrics: Sequence[str] = series.METRICS) -> None:
     """Store the samples of a micro-batch once per (series, time), and advance the latest table.
 
-    Each batch is its own part of the store, overwritten if the batch is tried again, and so is each version
-    of the latest table. A late row is stored; it leaves latest as it is, and any checkpoint taken after its
-    time no longer counts the right number of samples, so `state_before` rebuilds it.
+    Each batch is its own part of the store, split by day and overwritten if the batch is tried again; only earlier
+    parts of the days that the batch holds are read. The latest table has two versions in turn: the one that a batch
+    starts from stays until the next batch is done. A late row is stored; it leaves latest as it is, and any
+    checkpoint taken after its time no longer counts the right number of samples, so `state_before` rebuilds it.
     """
     spark, key = batch.sparkSession, list(key)
     fresh = batch.select(*key, "ts", *metrics).dropDuplicates([*key, "ts"])
-    earlier = _stored(spark, path, batch_id, fresh.schema)
-    fresh = fresh.join(earlier.select(*key, "ts"), [*key, "ts"], "left_anti")
-    fresh.write.mode("overwrite").parquet(f"{path}/samples/batch={batch_id}")
-    fresh = spark.read.schema(fresh.schema).parquet(f"{path}/samples/batch={batch_id}")
-    latest = spark.read.schema(fresh.schema).parquet(f"{path}/latest/version={batch_id - 1}") if batch_id else fresh.limit(0)
-    series.fold_incremental(latest, fresh, key, metrics).write.mode("overwrite").parquet(f"{path}/latest/version={batch_id}")
-
-
-def _stored(spark, path: str, before: int, schema: T.StructType) -> DataFrame:
-    if not before:
-        return spark.createDataFrame([], schema)
-    return spark.read.schema(T.StructType([*schema.fields, T.StructField("batch", T.IntegerType())])).parquet(f"{path}/samples").where(F.col("batch") < before).drop("batch")
+    if batch_id:
+        days = [r["day"] for r in fresh.select(F.to_date("ts").alias("day")).distinct().collect()]
+        earlier = stored_samples(spark, path, fresh.schema).where((F.col("batch") < batch_id) & F.col("day").isin(days))
+        fresh = fresh.join(earlier.select(*key, "ts"), [*key, "ts"], "left_anti")
+    fresh.withColumn("day", F.to_date("ts")).write.mode("overwrite").partitionBy("day").parquet(f"{path}/samples/batch={batch_id}")
+    fresh = stored_samples(spark, path, fresh.schema).where(F.col("batch") == batch_id).drop("batch", "day")
+    latest = latest_samples(spark, path, batch_id - 1, fresh.schema) if batch_id else fresh.limit(0)
+    series.fold_incremental(latest, fresh, key, metrics).write.mode("overwrite").parquet(f"{path}/latest/version={batch_id % 2}")
+
+
+def stored_samples(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
+    """The samples of all batches with their `batch` and `day`."""
+    whole = T.StructType([*schema.fields, T.StructField("batch", T.IntegerType()), T.StructField("day", T.DateType())])
+    return spark.read.schema(whole).parquet(f"{path}/samples")
+
+
+def latest_samples(spark: SparkSession, path: str, batch_id: int, schema: T.StructType) -> DataFrame:
+    """The latest table as a batch left it (the last two batches have one)."""
+    return spark.read.schema(schema).parquet(f"{path}/latest/version={batch_id % 2}")
 
 
 def stream_merge(samples: DataFrame, path: str, checkpoint: str, key: Sequence[str], metrics: Sequence[str] = series.METRICS):

@@ -49,13 +49,13 @@ def test_term_tables_are_pruned_guarded_and_replaced_alone(spark, tmp_path):
     rows = [(2026, "1", i) for i in range(20)] + [(2026, "2", i) for i in range(20)]
     make = lambda r: spark.createDataFrame(r, "year int, term string, v int")
     tables.write_terms(make(rows), path)
-    assert tables.read_terms(spark, path, ["2026-fall", "2026-2"]).count() == 20
+    assert tables.read_terms(spark, path, ["2026-fall", "2026-2"], {"fall": "2"}).count() == 20
     with pytest.raises(ValueError, match="shrink"):
         tables.replace_terms(make(rows[:10]), path)
     with pytest.raises(ValueError, match="nothing"):
         tables.replace_terms(make([]), path)
     tables.replace_terms(make([(2026, "1", 99)]), path, force=True)
-    assert sorted(r["v"] for r in tables.read_terms(spark, path, "2026-spring").collect()) == [99] and spark.read.parquet(path).count() == 21
+    assert sorted(r["v"] for r in tables.read_terms(spark, path, "2026-spring", {"spring": "1"}).collect()) == [99] and spark.read.parquet(path).count() == 21
 
 
 def test_diff_of_equals_is_empty_and_blank_is_null(spark):
@@ -69,6 +69,20 @@ def test_diff_of_equals_is_empty_and_blank_is_null(spark):
     assert got == [("a", "PROF", "A", "p → q"), ("a", "TCHG", "A", "월09:00~10:00 → 화09:00~10:00"), ("c", "DEL", "C", "시간미정"), ("d", "NEW", "D", "시간미정")]
 
 
+def test_diff_codes_of_all_fields(spark):
+    fields = [f for f, _ in snapshots.FIELDS]
+    row = lambda tag: ("k", *(f"{f}-{tag}" for f in fields), [], None)
+    schema = "k string, " + ", ".join(f"{f} string" for f in fields) + ", classification array<string>, slots array<struct<day_index:int,start_time:string,end_time:string>>"
+    got = snapshots.catalog_diff(spark.createDataFrame([row("a")], schema), spark.createDataFrame([row("b")], schema), ["k"]).collect()
+    assert [r["code"] for r in got] == ["NAME", "PROF", "DEPT", "COLL", "GRADE", "CRED", "QUOTA", "QRET", "APPL", "ENRL", "GRD", "GRDSW"]
+    assert {r["code"]: r["detail"] for r in got}["APPL"] == "applied-a → applied-b"
+
+
+def test_deep_markup_does_not_overflow():
+    total, found = markup.cards("<p>" * 5000 + '<div class="search-result-con"><small><em>1</em></small></div><div class="course-info-item"><input name="sbjtCd" value="A">' + "<b>" * 5000 + "화(10:00~11:00)")
+    assert total == 1 and found[0]["sbjt_cd"] == "A" and found[0]["slots"][0]["day_index"] == 1
+
+
 def test_cards_text_and_requirement_figures(spark):
     card = '<div class="course-info-item"><input name="sbjtCd" value="M1"><a class="course-name">[전필][영어]<strong>Name  <i>two</i></strong></a><ul><li class="txt"><span>P</span><span>D</span><span>x</span></li>'
     card += "<li class=txt><span>정원 <em>12 / 30</em></span><span>총수강인원<em>7</em></span></li><li class='state'></li><li>수(9:00~10:15)</li></ul></div>"

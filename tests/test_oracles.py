@@ -9,7 +9,7 @@ from termtide.plans import registry
 
 DIR = "/root/testdata/sf0.001"
 TABLES = "region nation customer supplier part orders lineitem events documents embeddings pages benchmark labels conversations".split()
-NAMES = ["latest_fold", "replay_dense", "trend_encoded", "delta_round_trip", "keyframes", "seat_changes", "live_resolution", "nested_slots", "catalogue_diff", "drift_decisions", "digest_pull", "professor_ids", "code_links", "rooms_free", "elective_credits", "result_cards"]
+NAMES = ["latest_fold", "trend_encoded", "keyframes_restated", "seat_changes", "live_resolution", "catalogue_diff", "flat_export", "drift_decisions", "digest_pull", "professor_ids", "code_links_applied", "rooms_free", "elective_credits", "result_cards", "terms_replaced", "requirement_figures", "stream_encoded", "stream_latest"]
 
 
 def _plain(rows):

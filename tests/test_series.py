@@ -60,6 +60,39 @@ def test_fold_replay_encode_and_decode_agree(spark):
     assert latest == [("T", "A", at(20), 6, 2, 1, 30), ("T", "B", at(30), 2, None, None, 9), ("T", "Z", at(50), 1, 1, 1, 1)]
 
 
+def test_feeds_and_folds_equal_the_dense_replay(spark):
+    """Random series with tombstones and holes: steps of free seats, newest steps and latest rows against brute force."""
+    import random
+
+    rnd = random.Random(3)
+    data, times = [], [at(5 * i) for i in range(12)]
+    for code in "ABCDEFGH":
+        for i in sorted(rnd.sample(range(12), 8)):
+            data.append(("T", code, times[i], *((None,) * 4 if rnd.random() < 0.15 else (rnd.choice([None, 1, 2, 3]), rnd.choice([None, 4]), rnd.choice([None, 5]), rnd.choice([2, 3, None])))))
+    samples = spark.createDataFrame(data, SAMPLE)
+    a = axis(spark, [(t, rnd.random() < 0.8, True, True) for t in times])
+    dense = {}
+    for r in series.replay(samples, a, KEY, SCOPE).collect():
+        dense.setdefault(r["code"], {})[r["pass_idx"]] = None if r["quota"] is None or r["applied"] is None else max(r["quota"] - r["applied"], 0)
+    assert all(sorted(v) == list(range(12)) for v in dense.values()) and len(dense) > 5
+    want = {(c, p, v[p - 1], v[p]) for c, v in dense.items() for p in range(1, 12) if v[p] is not None and v[p - 1] is not None and v[p] != v[p - 1]}
+    steps = series.seat_steps(samples, a, KEY, SCOPE)
+    assert {(r["code"], r["pass_idx"], r["before"], r["after"]) for r in steps.where("before <> after").collect()} == want and want
+    newest = {c: max((w for w in want if w[0] == c and w[3] > w[2]), key=lambda w: w[1], default=None) for c in dense}
+    assert {(r["code"], r["pass_idx"], r["before"], r["after"]) for r in series.change_feed(steps, KEY).collect()} == {w for w in newest.values() if w}
+    watch = spark.createDataFrame([("T", "A"), ("T", "B")], "term string, code string")
+    assert {(r["code"], r["pass_idx"], r["seats"]) for r in series.vacancy_alerts(steps, watch, KEY).collect()} == {(c, p, x) for c, p, b, x in want if b == 0 and x > 0 and c in "AB"}
+    latest = {r["code"]: tuple(r)[2:] for r in series.fold_latest(samples, KEY).collect()}
+    for code in "ABCDEFGH":
+        own = [d for d in data if d[1] == code]
+        dead = max((d[2] for d in own if d[3:] == (None,) * 4), default=None)
+        live = [d for d in own if dead is None or d[2] > dead]
+        known = tuple(next((d[i] for d in reversed(live) if d[i] is not None), None) for i in range(3, 7))
+        assert latest.get(code) == ((live[-1][2], *known) if live else None)
+    plan = series.change_feed(steps, KEY)._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("sequence(") == 1  # the days between passes; no series x passes grid
+
+
 def test_checkpoint_rolls_forward_and_late_rows_invalidate_it(spark):
     early = [("T", "A", at(0), 5, None, None, 30), ("T", "B", at(1), 1, 1, 1, 1)]
     later = [("T", "A", at(20), None, 3, None, None), ("T", "B", at(25), None, None, None, None)]

@@ -9,10 +9,25 @@ SLOT = "class_id string, day_index int, period int, start_time string, end_time
 
 
 def test_scopes_keep_order_and_drop_repeats():
-    assert tables.scope_list(["2026-fall", "2025-winter", "2026-2"]) == [(2026, "2"), (2025, "W")]
+    fall, winter = tables.ALIASES["fall"], tables.ALIASES["winter"]
+    assert tables.scope_list(["2026-fall", "2025-winter", f"2026-{fall}"]) == [(2026, fall), (2025, winter)]
     assert tables.scope_list("all") is None
 
 
+def test_flat_export_has_the_columns_of_the_listing_in_order(spark):
+    slot = "array<struct<day_index:int,start_time:string,end_time:string>>"
+    schema = f"year int, term string, name string, professor string, department string, sbjt_cd string, lt_no string, credits int, grade string, classification array<string>, quota int, quota_returning int, applied int, grading string, college string, slots {slot}"
+    rows = [
+        (2026, tables.ALIASES["fall"], "N", "P", "D", "C1", "001", 3, "1", ["a", "b"], 30, 25, 7, None, "K", [(0, "09:00", "10:15"), (None, "1", "2"), (9, "13:00", None), (2, None, None)]),
+        (2026, "X", "N", "P", "D", "C1", "002", 3, "1", None, 30, None, 7, "G", None, []),
+    ]
+    out = tables.export_flat(spark.createDataFrame(rows, schema))
+    assert tuple(out.columns) == tables.FLAT and len(out.columns) == 18
+    got = {r["lt_no"]: r for r in out.collect()}
+    assert (got["001"]["term_label"], got["001"]["quota_new"], got["001"]["times"], got["001"]["grading"], got["001"]["college"], got["001"]["classification"]) == ("2학기", 5, "월(09:00~10:15)/?(13:00~)", "", "K", "a b")
+    assert (got["002"]["term_label"], got["002"]["quota_new"], got["002"]["times"], got["002"]["grading_switch"]) == ("X", None, "", "")
+
+
 def test_json_export_nests_ordered_slots(spark, tmp_path):
     classes = spark.createDataFrame([("a", 2026, "1", "N", "001", "C"), ("b", 2026, "2", "M", "001", "D")], "class_id string, year int, term string, name string, lt_no string, sbjt_cd string")
     slots = spark.createDataFrame([("a", 1, 2, "10:00", "11:00", "2-1"), ("a", 1, 2, "10:00", "11:00", "1-1"), ("a", 0, 1, "09:00", "10:00", "")], SLOT)
@@ -51,6 +66,20 @@ def test_drift_digest_and_carry_forward(spark):
     assert sorted(map(tuple, kept.collect())) == [("a", 1), ("b", 8)] and [r["k"] for r in missing.collect()] == ["c"]
 
 
+def test_conflicts_equal_brute_force_over_hours(spark):
+    import random
+
+    rnd = random.Random(6)
+    time = lambda m: f"{m // 60:02}:{m % 60:02}"
+    rows = []
+    for i in range(120):
+        start = rnd.randrange(480, 1200, 15)
+        rows.append((f"c{i % 90:02}", rnd.randrange(3), time(start), time(start + rnd.choice([15, 60, 75, 180, 300])), rnd.choice("RS")))
+    got = rooms.meeting_conflicts(spark.createDataFrame(rows, "class_id string, day_index int, start_time string, end_time string, name string"), ["name"]).collect()
+    want = {(a, b) for a in rows for b in rows if a[0] < b[0] and a[1] == b[1] and a[4] == b[4] and a[2] < b[3] and b[2] < a[3]}
+    assert len(got) == len(want) and {(r["a_class_id"], r["b_class_id"], r["a_start_time"], r["b_start_time"]) for r in got} == {(a[0], b[0], a[2], b[2]) for a, b in want}
+
+
 def test_free_rooms_against_brute_force(spark):
     import random
 
