@@ -121,6 +121,43 @@ def test_shards_are_even_and_gapless(spark):
     assert shards_of([], spark) == [] and len(shards_of([(1, "one")], spark)) == 1
 
 
+def test_every_splitter_is_the_exact_cut_or_within_its_tolerance(spark):
+    """Boundaries between shards against all cuts between rows in key order; long texts, repeats, clashing columns."""
+    rnd = np.random.default_rng(22)
+    rows = [(int(rnd.integers(-500, 500)), "x" * int(rnd.integers(0, 300))) for _ in range(2000)] + [(3, "y" * 20_000), (3, "y" * 20_000), (None, None), (4, "")]
+    for tolerance in (0.0005, 0.0):
+        docs = spark.createDataFrame(rows, "doc_id long, text string").withColumns({"size": F.lit("x"), "key": F.lit(1), "shard": F.lit(2), "part": F.lit(3)})
+        got = sorted(sharding.histogram_shards(docs, tolerance=tolerance).collect(), key=lambda r: (r["shard"], r["slot"]))
+        assert [-(2**63) if r["doc_id"] is None else r["doc_id"] for r in got] == sorted(-(2**63) if i is None else i for i, _ in rows)
+        ends = np.concatenate([[0], np.cumsum([r["size"] for r in got])])
+        shard = np.array([r["shard"] for r in got])
+        ideal = ends[-1] / 24
+        for j in range(1, 24):
+            cut = ends[np.searchsorted(shard, j)]
+            nearest = np.abs(ends - ideal * j).min()
+            assert abs(cut - ideal * j) <= max(nearest, tolerance * ideal) + 1e-6, (j, cut, ideal * j, nearest)
+
+
+def test_url_parts_and_rules_equal_plain_reading(spark):
+    rnd = np.random.default_rng(23)
+    hosts, paths = ["a.com", "Example.com", "www.example.com", "x.NET", "net", "com.net", "example.com.net", "é.org", "1.2.3.4", ""], ["", "/", "/en/", "/en", "/es/x", "/fr/", "/EN/", "/a/b.c-d"]
+    made = ["".join(rnd.choice(part) for part in (["http://", "https://", "", "x", "ftp://http://"], hosts, paths, ["", "?q=/en/", "#/es/", "?a=1&b=://"])) for _ in range(1500)]
+    rows = [*enumerate(made), (9000, "http://long.net/es/" + "a" * 200_000)]
+    pages = spark.createDataFrame(rows, "page_id long, url string").withColumns({"host": F.lit("x"), "length": F.lit(1), "features": F.lit(2), "prediction": F.lit(3), "label": F.lit(4)})
+    got = {r["page_id"]: r for r in urls.filter_urls(pages).collect()}
+    assert len(got) == len(rows)
+    lower = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
+    for i, url in rows:
+        rest = url.split("://", 1)[1] if "://" in url else ""
+        end = min((rest.find(c) for c in "/?#" if c in rest), default=len(rest))
+        host, tail = rest[:end].translate(lower), rest[end:]
+        path = tail[: min((tail.find(c) for c in "?#" if c in tail), default=len(tail))]
+        fit = [r for r in urls.RULES if (host == r.host or host.endswith("." + r.host)) and path.startswith(r.path)]
+        best = max(fit, key=lambda r: len(r.name), default=None)
+        assert (got[i]["host"], got[i]["path"], got[i]["rule"]) == (host, path, best and best.name)
+        assert got[i]["verdict"] in (("allow", "block") if best is None else (best.verdict,))
+
+
 def test_url_rules_and_verdicts(spark):
     cases = {
         "https://a.b.com/x": ("a.b.com", "/x", "com/", "allow"), "http://EXAMPLE.com/en/1?q=/#x": ("example.com", "/en/1", "example.com/en/", "block"),
