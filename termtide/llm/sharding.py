@@ -5,6 +5,9 @@ allow. The key is a fixed-width hexadecimal string (id, content hash, position),
 candidate boundaries in key order. Each round counts the exact bytes and rows under every next prefix of
 the ranges that hold a target, moves each splitter to the boundary nearest its target, and stops when it
 is within the tolerance or a single row is left. One exchange then brings each range together.
+
+Texts of any length count with all their bytes; rows with one id are ordered by content, wholly equal rows by position;
+columns besides id and text are ignored, whatever their names.
 """
 
 from __future__ import annotations

@@ -5,7 +5,8 @@ the trees learn from at most `sample` of them (the bound on training, in hash or
 that no rule fits. Suffix statistics are taken over all labelled rows.
 
 Null URLs and URLs without `://` have an empty host and path and are judged by the trees like any other;
-repeated rows get equal verdicts; an empty table gives no rows; other columns are ignored. Where the
+URLs of any length are read whole; of rules that fit with names of one length the first by name counts; repeated rows
+get equal verdicts; an empty table gives no rows; other columns, whatever their names, are ignored. Where the
 labelled rows hold a single verdict (or none), the rest get that verdict (or `allow`).
 """
 

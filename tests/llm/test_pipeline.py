@@ -39,7 +39,7 @@ def test_pipeline_equals_brute_force(spark, tmp_path):
     docs, items = fixture(str(tmp_path), spark)
     got = {r["doc_id"]: r for r in corpus_pipeline.run(spark, str(tmp_path)).collect()}
     known = [(d[0], d[1]) for d in docs if re.search(r"[^\W\d_]", d[1] or "")]
-    kept = {r[0] for r in brute(known) if r[3]}
+    kept = {r[0] for r in brute(known, corpus_pipeline.NEAR_PERCENT) if r[3]}
     left = [d for d in known if d[0] in kept]
     dirty = {r[0] for r in windows_brute(left, items) if r[4]}
     want = {i: t for i, t in left if i not in dirty}
@@ -58,3 +58,20 @@ def test_stages_keep_the_columns(spark, tmp_path):
     for _, stage in corpus_pipeline.STAGES[:-1]:
         assert stage(spark, docs, str(tmp_path)).schema == docs.schema
         assert stage(spark, docs.limit(0), str(tmp_path)).count() == 0
+    last = corpus_pipeline.STAGES[-1][1]
+    assert last(spark, docs.limit(0), str(tmp_path)).count() == 0
+    own = docs.limit(3).selectExpr("*", "1 AS token_ids", "'x' AS round_trip", "'y' AS n_tokens", "2 AS word")
+    assert sorted(last(spark, own, str(tmp_path)).columns) == sorted(own.columns)
+
+
+def test_each_text_is_left_once_whatever_its_id(spark, tmp_path):
+    """Rows without ids, ids of several texts, repeated rows and a very long text go through all stages."""
+    rnd = random.Random(9)
+    text = lambda lang, n: " ".join(rnd.choice(WORDS[lang]) + str(rnd.randrange(40)) for _ in range(n))
+    a, b, c, long = text("en", 30), text("de", 30), text("en", 40), text("en", 60_000)
+    rows = [(None, a), (None, a), (1, b), (1, b), (1, c), (2, long), (3, a + " tail"), (None, None), (4, "")]
+    docs = [(i, t, None, "src", 0) for i, t in rows] + [(100 + i, text(lang, 25), lang, "src", 0) for i, lang in enumerate(("en", "de") * 15)]
+    spark.createDataFrame(docs, "doc_id long, text string, lang string, source string, n_chars long").write.parquet(f"{tmp_path}/documents.parquet")
+    spark.createDataFrame([(1, "nothing of this is anywhere in the texts of this corpus")], "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+    got = sorted(((r["doc_id"] or 0, r["text"]) for r in corpus_pipeline.run(spark, str(tmp_path)).collect() if (r["doc_id"] or 0) < 100))
+    assert got == sorted([(1, b), (1, c), (2, long), (3, a + " tail")])
