@@ -40,7 +40,7 @@ BLANK, QUOTE = ord(" "), ord("'")
 #: Words of more bytes are merged one by one.
 LONG_WORD = 48
 #: Characters of texts that are encoded at a time, and most characters of a piece or word that may enter the lexicon.
-RUN, LEXICON_CHARS = 1_500_000, 16
+RUN, LEXICON_CHARS = 700_000, 16
 #: Masks of the first bytes of eight.
 FIRST = np.array([(1 << 8 * k) - 1 for k in range(9)], np.uint64)
 
