@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from termtide.llm import bpe, decontaminate, language, neardup, pii, secrets, sharding, sql, toolcalls, urls, vectors
+from termtide.llm import alignment, bpe, decontaminate, language, neardup, negatives, pii, secrets, sharding, sql, toolcalls, urls, vectors
 from termtide.llm.common import table
 
 
@@ -53,13 +53,23 @@ def op10_vector_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return vectors.near_vectors(table(spark, sf_dir, "embeddings"))
 
 
+def op11_four_russians_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return negatives.hard_negatives(table(spark, sf_dir, "embeddings"), label, F.col("vec_id") % 50 == 0)
+
+
+def op13_tokenizer_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return alignment.alignment_figures(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("piece_bpe_32k.model"))
+
+
 QUERIES = {f.__name__: f for f in (
     op1_secret_scan, op2_personal_data, op3_histogram_shards, op4_minmax_near_duplicates, op5_tool_call_links, op6_language_id, op7_url_filter,
-    op8_winnowing_decontamination, op9_bpe_round_trip, op10_vector_near_duplicates,
+    op8_winnowing_decontamination, op9_bpe_round_trip, op10_vector_near_duplicates, op11_four_russians_negatives, op13_tokenizer_alignment,
 )}
 ORACLE_SQL = {
     "op4_minmax_near_duplicates": sql.NEAR_DUPLICATES,
     "op5_tool_call_links": sql.TOOL_CALLS,
     "op8_winnowing_decontamination": sql.DECONTAMINATION,
     "op10_vector_near_duplicates": sql.VECTORS,
+    "op11_four_russians_negatives": sql.NEGATIVES,
 }
