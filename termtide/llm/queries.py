@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from termtide.llm import alignment, bpe, decontaminate, language, neardup, negatives, pii, secrets, sharding, sql, toolcalls, urls, vectors
+from termtide.llm import alignment, bpe, decontaminate, language, neardup, negatives, pii, secrets, sharding, sql, suffixes, toolcalls, urls, vectors
 from termtide.llm.common import table
 
 
@@ -58,13 +58,19 @@ def op11_four_russians_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
     return negatives.hard_negatives(table(spark, sf_dir, "embeddings"), label, F.col("vec_id") % 50 == 0)
 
 
+def op12_induced_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = suffixes.repeated_passages(table(spark, sf_dir, "documents"))
+    removed = F.aggregate(F.zip_with("ends", "begins", lambda e, b: e - b), F.lit(0).cast("long"), lambda a, x: a + x)
+    return found.select("doc_id", "n_bytes", removed.alias("n_removed"), F.size("begins").cast("long").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256"))
+
+
 def op13_tokenizer_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
     return alignment.alignment_figures(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("piece_bpe_32k.model"))
 
 
 QUERIES = {f.__name__: f for f in (
     op1_secret_scan, op2_personal_data, op3_histogram_shards, op4_minmax_near_duplicates, op5_tool_call_links, op6_language_id, op7_url_filter,
-    op8_winnowing_decontamination, op9_bpe_round_trip, op10_vector_near_duplicates, op11_four_russians_negatives, op13_tokenizer_alignment,
+    op8_winnowing_decontamination, op9_bpe_round_trip, op10_vector_near_duplicates, op11_four_russians_negatives, op12_induced_suffix_dedup, op13_tokenizer_alignment,
 )}
 ORACLE_SQL = {
     "op4_minmax_near_duplicates": sql.NEAR_DUPLICATES,
