@@ -1,99 +1,102 @@
-"""Streams of observations and samples: stateful delta encoding, and exactly-once merging into a store."""
+"""Streams of observations and samples: stateful delta encoding, and merging into a store."""
 
 from __future__ import annotations
 
+import dataclasses
+import datetime as dt
 from collections.abc import Iterator, Sequence
 
 import pandas as pd
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
-from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
+from pyspark.sql.streaming.stateful_processor import StatefulProcessor, StatefulProcessorHandle
 
 from termtide.operators import series
-
-
-def _batch_rows(key: tuple, rows: pd.DataFrame, known: list | None, last_ts, metrics: Sequence[str]) -> tuple[list[tuple], list | None, object]:
-    """Samples of one series' new observations, its new baseline and the newest time that it has seen."""
-    out = []
-    for row in rows.sort_values("ts", kind="stable").itertuples(index=False):
-        ts, values = row.ts, [None if pd.isna(getattr(row, m)) else int(getattr(row, m)) for m in metrics]
-        late = last_ts is not None and ts < last_ts
-        if row.gone:
-            if known is not None and not late:
-                out.append((*key, ts, *[None] * len(metrics)))
-                known, last_ts = None, ts
-            continue
-        if all(v is None for v in values):
-            continue
-        if late:
-            out.append((*key, ts, *values))  # stored, but the baseline stays
-            continue
-        if known is None or any(v is not None and v != k for v, k in zip(values, known, strict=True)):
-            out.append((*key, ts, *values))
-            known = values if known is None else [k if v is None else v for v, k in zip(values, known, strict=True)]
-        last_ts = ts
-    return out, known, last_ts
-
-
-def stream_deltas(observations: DataFrame, key: Sequence[str], metrics: Sequence[str] = series.METRICS) -> DataFrame:
+from termtide.streaming.store import Store, writer_of
+
+ROCKS = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+
+
+class _Deltas(StatefulProcessor):
+    """One series: its newest time and baseline while it lives, and for a while the time at which it closed."""
+
+    def __init__(self, key: Sequence[str], metrics: Sequence[str], names: list[str], closed_ms: int):
+        self.key, self.metrics, self.names, self.closed_ms = list(key), list(metrics), names, closed_ms
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.live = handle.getValueState("live", T.StructType([T.StructField("ts", T.TimestampType()), *(T.StructField(m, T.LongType()) for m in self.metrics)]))
+        closed = T.StructType([T.StructField("ts", T.TimestampType())])
+        self.closed = handle.getValueState("closed", closed, ttlDurationMs=self.closed_ms) if self.closed_ms else None
+
+    def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
+        held = self.live.get()
+        known, last = (list(held[1:]), pd.Timestamp(held[0])) if held else (None, None)
+        ended = None if held or self.closed is None else self.closed.get()
+        was_live, was_ended = known is not None, ended is not None
+        last = pd.Timestamp(ended[0]) if ended else last
+        out = []
+        batch = pd.concat(list(rows), ignore_index=True).sort_values("ts", kind="stable")
+        table = batch[self.metrics].astype(object).where(batch[self.metrics].notna(), None).to_numpy()
+        for ts, gone, values in zip(batch["ts"], batch["gone"], table, strict=True):
+            late = last is not None and ts < last
+            if gone:
+                if known is not None and not late:
+                    out.append((*key, ts, *[None] * len(self.metrics)))
+                    known, last = None, ts
+                continue
+            values = [None if v is None else int(v) for v in values]
+            if all(v is None for v in values):
+                continue
+            if late:
+                out.append((*key, ts, *values))  # passed on, but the baseline stays
+                continue
+            if known is None or any(v is not None and v != k for v, k in zip(values, known, strict=True)):
+                out.append((*key, ts, *values))
+                known = values if known is None else [k if v is None else v for v, k in zip(values, known, strict=True)]
+            last = ts
+        if known is not None:
+            self.live.update((last.to_pydatetime(), *known))
+            if was_ended:
+                self.closed.clear()
+        elif was_live:
+            self.live.clear()
+        if known is None and self.closed is not None and last is not None and (was_live or not was_ended):
+            self.closed.update((last.to_pydatetime(),))
+        if out:
+            yield pd.DataFrame(out, columns=self.names).astype(dict.fromkeys(self.metrics, "Int64"))
+
+    def close(self) -> None:
+        pass
+
+
+def stream_deltas(observations: DataFrame, key: Sequence[str], metrics: Sequence[str] = series.METRICS, closed_for: dt.timedelta = dt.timedelta(days=1)) -> DataFrame:
     """Samples (key, ts, metrics) of a stream of observations with a boolean `gone`.
 
-    One state row per live series: the baseline and the newest time. A `gone` row closes the series with a
-    row of nulls and drops its baseline. A row older than the state is passed on without changing it.
+    A live series has one row of state: its baseline and its newest time. A `gone` row closes it with a row of nulls and
+    deletes that state; its time is kept for `closed_for` more, so that rows older than the end don't open the series
+    anew, and then expires (with zero nothing is kept). A row older than the state is passed on without changing it.
+    State is in RocksDB, so that it may outgrow memory.
     """
+    observations.sparkSession.conf.set("spark.sql.streaming.stateStore.providerClass", ROCKS)
     fields = [observations.schema[k] for k in key]
     out_schema = T.StructType([*fields, observations.schema["ts"], *(T.StructField(m, T.LongType()) for m in metrics)])
-    state_schema = T.StructType([T.StructField("ts", T.TimestampType()), T.StructField("live", T.BooleanType()), *(T.StructField(m, T.LongType()) for m in metrics)])
-
-    def step(group: tuple, frames: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        known, last_ts = None, None
-        if state.exists:
-            stored = state.get
-            last_ts, known = pd.Timestamp(stored[0]), list(stored[2:]) if stored[1] else None
-        rows = pd.concat(list(frames), ignore_index=True)
-        out, known, last_ts = _batch_rows(group, rows, known, last_ts, metrics)
-        if last_ts is not None:
-            state.update((last_ts.to_pydatetime(), known is not None, *(known or [None] * len(metrics))))
-        frame = pd.DataFrame(out, columns=out_schema.names)
-        yield frame.astype({m: "Int64" for m in metrics})
-
-    grouped = observations.select(*key, "ts", *metrics, "gone").groupBy(*key)
-    return grouped.applyInPandasWithState(step, out_schema, state_schema, "append", GroupStateTimeout.NoTimeout)
-
-
-def merge_batch(batch: DataFrame, batch_id: int, path: str, key: Sequence[str], metrics: Sequence[str] = series.METRICS) -> None:
-    """Store the samples of a micro-batch once per (series, time), and advance the latest table.
-
-    Each batch is its own part of the store, split by day and overwritten if the batch is tried again; only earlier
-    parts of the days that the batch holds are read. The latest table has two versions in turn: the one that a batch
-    starts from stays until the next batch is done. A late row is stored; it leaves latest as it is, and any
-    checkpoint taken after its time no longer counts the right number of samples, so `state_before` rebuilds it.
-    """
-    spark, key = batch.sparkSession, list(key)
-    fresh = batch.select(*key, "ts", *metrics).dropDuplicates([*key, "ts"])
-    if batch_id:
-        days = [r["day"] for r in fresh.select(F.to_date("ts").alias("day")).distinct().collect()]
-        earlier = stored_samples(spark, path, fresh.schema).where((F.col("batch") < batch_id) & F.col("day").isin(days))
-        fresh = fresh.join(earlier.select(*key, "ts"), [*key, "ts"], "left_anti")
-    fresh.withColumn("day", F.to_date("ts")).write.mode("overwrite").partitionBy("day").parquet(f"{path}/samples/batch={batch_id}")
-    fresh = stored_samples(spark, path, fresh.schema).where(F.col("batch") == batch_id).drop("batch", "day")
-    latest = latest_samples(spark, path, batch_id - 1, fresh.schema) if batch_id else fresh.limit(0)
-    series.fold_incremental(latest, fresh, key, metrics).write.mode("overwrite").parquet(f"{path}/latest/version={batch_id % 2}")
+    gone = F.coalesce("gone", F.lit(False)).alias("gone")
+    rows = observations.where("ts is not null").select(*key, "ts", *(F.col(m).cast("long").alias(m) for m in metrics), gone)
+    processor = _Deltas(key, metrics, out_schema.names, int(closed_for.total_seconds() * 1000))
+    return rows.groupBy(*key).transformWithStateInPandas(processor, out_schema, "Append", "ProcessingTime")
 
 
-def stored_samples(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
-    """The samples of all batches with their `batch` and `day`."""
-    whole = T.StructType([*schema.fields, T.StructField("batch", T.IntegerType()), T.StructField("day", T.DateType())])
-    return spark.read.schema(whole).parquet(f"{path}/samples")
+def stream_merge(samples: DataFrame, path: str, checkpoint: str, key: Sequence[str], metrics: Sequence[str] = series.METRICS, buckets: int = 64, delay: dt.timedelta | None = None):
+    """Start the merge of a stream of samples into the store at `path`; returns the streaming query.
 
+    Each micro-batch is one merge of the store (see `Store.merge`), known by the checkpoint's own id and the batch's
+    number: a repeated batch is skipped, and a new checkpoint, or another one, goes on from what the store holds.
+    delay: rows more than this behind the newest time go to the store's late table, which `merge_late` takes in.
+    """
+    store = Store(samples.sparkSession, path, samples.schema, key, metrics, buckets)
 
-def latest_samples(spark: SparkSession, path: str, batch_id: int, schema: T.StructType) -> DataFrame:
-    """The latest table as a batch left it (the last two batches have one)."""
-    return spark.read.schema(schema).parquet(f"{path}/latest/version={batch_id % 2}")
-
+    def work(batch: DataFrame, number: int) -> None:
+        dataclasses.replace(store, spark=batch.sparkSession).merge(batch, writer_of(batch.sparkSession, checkpoint), number, delay)
 
-def stream_merge(samples: DataFrame, path: str, checkpoint: str, key: Sequence[str], metrics: Sequence[str] = series.METRICS):
-    """Start the merge of a stream of samples into the store at `path`; returns the streaming query."""
-    work = lambda batch, batch_id: merge_batch(batch, batch_id, path, key, metrics)
     return samples.writeStream.foreachBatch(work).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
