@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import datetime as dt
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -12,6 +13,8 @@ from termtide.plans.model import CLASSES_SQL, KEY, SAMPLES_SQL, classes, samples
 from termtide.sources import tables
 from termtide.sources.durable import cut, shared_dir
 from termtide.streaming import deltas
+from termtide.streaming.states import States
+from termtide.streaming.store import Store, writer_of
 
 SCOPES = ["1996-spring", "1997-fall", "1996-Q1", "1994-Q2", "1996-spring"]
 CODES = {"spring": "Q1", "fall": "Q3"}
@@ -86,30 +89,80 @@ def stream_encoded(spark: SparkSession, d: str) -> DataFrame:
     return spark.read.schema(encoded.schema).parquet(out)
 
 
-def _merged(spark: SparkSession, d: str) -> tuple[str, DataFrame]:
-    """Samples merged in three batches: the second repeats rows of the first, the third has only late ones."""
+def _early():
+    return F.pmod(F.dayofmonth("ts") - 1, F.lit(10)) < 5, F.hour("ts") == 5
+
+
+def _merged(spark: SparkSession, d: str) -> Store:
+    """Samples merged in three batches from two checkpoints: the second repeats rows of the first, the third has only late ones, and the first comes again."""
     all_ = samples(spark, d)
-    day, hour = F.pmod(F.dayofmonth("ts") - 1, F.lit(10)), F.hour("ts")
-    late = hour == 5
-    path, stream = _written(spark, all_, [(day < 5) & ~late, ((day >= 5) | (F.col("user_id") % 2 == 0)) & ~late, late])
-    store = path.removesuffix("/in") + "/store"
-    deltas.stream_merge(stream, store, path.removesuffix("/in") + "/state", KEY).awaitTermination()
-    return store, all_
+    early, late = _early()
+    store = Store(spark, f"{_folder(spark)}/store", all_.schema, KEY)
+    for parts in ([early & ~late], [(~early | (F.col("user_id") % 2 == 0)) & ~late, late]):
+        path, stream = _written(spark, all_, parts)
+        state = path.removesuffix("/in") + "/state"
+        deltas.stream_merge(stream, store.path, state, KEY).awaitTermination()
+        store.merge(all_.where(parts[0]), writer_of(spark, state), 0)
+    return store
 
 
 def stream_stored(spark: SparkSession, d: str) -> DataFrame:
     """Each sample once, repeated and late ones too."""
-    store, all_ = _merged(spark, d)
-    return deltas.stored_samples(spark, store, all_.schema).drop("batch", "day")
+    return _merged(spark, d).samples().drop("day")
 
 
 def stream_latest(spark: SparkSession, d: str) -> DataFrame:
     """The latest rows, which samples older than a series' newest leave as they are."""
-    store, all_ = _merged(spark, d)
-    return deltas.latest_samples(spark, store, 2, all_.schema)
+    return _merged(spark, d).latest()
+
+
+def stream_batches(spark: SparkSession, d: str) -> DataFrame:
+    """What the manifest says of each merge, and once more after all parts were put together."""
+    store = _merged(spark, d)
+    rows = store.manifest()
+    store.compact()
+    schema = "seq int, n_read long, n_inserted long, n_older long, cursor timestamp, n_days int"
+    return spark.createDataFrame([(r["seq"], r["n_read"], r["n_inserted"], r["n_older"], r["cursor"], len(r["days"])) for r in [*rows, *store.manifest()]], schema)
+
+
+def _behind(spark: SparkSession, d: str) -> Store:
+    """The rows of hour 5 come last, those more than three days behind the newest by way of the late table."""
+    all_ = samples(spark, d)
+    late = F.hour("ts") == 5
+    store = Store(spark, f"{_folder(spark)}/store", all_.schema, KEY)
+    path, stream = _written(spark, all_.unionByName(all_.where("user_id % 5 = 0")), [~late, late])
+    deltas.stream_merge(stream, store.path, path.removesuffix("/in") + "/state", KEY, delay=dt.timedelta(days=3)).awaitTermination()
+    return store
+
+
+def stream_late(spark: SparkSession, d: str) -> DataFrame:
+    """The late table, each row once."""
+    return _behind(spark, d).late()
+
+
+def stream_days(spark: SparkSession, d: str) -> DataFrame:
+    """Samples a day by the manifest, after the late rows were taken in."""
+    store = _behind(spark, d)
+    was = store.day_counts()
+    store.merge_late()
+    return spark.createDataFrame([(day, was.get(day, 0), n) for day, n in store.day_counts().items()], "day date, n_before long, n long")
+
+
+def states_kept(spark: SparkSession, d: str) -> DataFrame:
+    """The state before January 25 from states cut at three days, of which rows of the 14th that come late leave the oldest two."""
+    all_ = samples(spark, d)
+    gap = F.to_date("ts") == F.lit("2024-01-14")
+    store = Store(spark, f"{_folder(spark)}/store", all_.schema, KEY)
+    store.merge(all_.where(~gap), "collector", 0)
+    states = States(store, f"{_folder(spark)}/states")
+    for day in (6, 12, 18):
+        states.write(dt.date(2024, 1, day))
+    store.merge(all_, "recovered", 0)
+    rows, start = states.before(dt.date(2024, 1, 25))
+    return rows.withColumn("from_cut", F.lit(str(start)))
 
 
-QUERIES = {f.__name__: f for f in (terms_read, terms_replaced, terms_exported, requirement_figures, requirement_years, stream_encoded, stream_stored, stream_latest)}
+QUERIES = {f.__name__: f for f in (terms_read, terms_replaced, terms_exported, requirement_figures, requirement_years, stream_encoded, stream_stored, stream_latest, stream_batches, stream_late, stream_days, states_kept)}
 
 _LATEST = """{name} AS (SELECT term, user_id, max(ts) AS ts, arg_max(applied, ts) FILTER (applied IS NOT NULL) AS applied, arg_max(cart, ts) FILTER (cart IS NOT NULL) AS cart,
   arg_max(enrolled, ts) FILTER (enrolled IS NOT NULL) AS enrolled, arg_max(quota, ts) FILTER (quota IS NOT NULL) AS quota
@@ -134,4 +187,12 @@ SELECT term, user_id, ts, applied, cart, enrolled, quota FROM k WHERE (gone AND
     "stream_latest": f"""WITH {SAMPLES_SQL}, {_LATEST.format(name='was', rows='SELECT * FROM samples WHERE hour(ts) <> 5')},
 late AS (SELECT s.* FROM samples s LEFT JOIN was USING (term, user_id) WHERE hour(s.ts) = 5 AND (was.ts IS NULL OR s.ts >= was.ts)),
 both_ AS (SELECT term, user_id, ts, applied, cart, enrolled, quota FROM was UNION ALL SELECT * FROM late), {_LATEST.format(name='l', rows='SELECT * FROM both_')} SELECT * FROM l""",
+    "stream_batches": f"""WITH {SAMPLES_SQL}, {_LATEST.format(name='was', rows='SELECT * FROM samples WHERE hour(ts) <> 5')}, s AS (SELECT *, (day(ts) - 1) % 10 < 5 AS early, hour(ts) = 5 AS late, max(ts) FILTER (hour(ts) <> 5) OVER () AS top, ts::DATE AS d FROM samples)
+SELECT 0::INTEGER AS seq, count(*) AS n_read, count(*) AS n_inserted, 0::BIGINT AS n_older, max(ts) AS cursor, count(DISTINCT d)::INTEGER AS n_days FROM s WHERE early AND NOT late
+UNION ALL SELECT 1, count(*), count(*) FILTER (NOT early), 0, max(top), (count(DISTINCT d) FILTER (NOT early))::INTEGER FROM s WHERE (NOT early OR user_id % 2 = 0) AND NOT late
+UNION ALL SELECT 2, count(*), count(*), count(*) FILTER (s.ts < was.ts), greatest(max(s.ts), max(top)), count(DISTINCT d)::INTEGER FROM s LEFT JOIN was USING (term, user_id) WHERE late
+UNION ALL SELECT 3, 0, 0, 0, max(ts), count(DISTINCT d)::INTEGER FROM s""",
+    "stream_late": f"WITH {SAMPLES_SQL} SELECT * FROM samples WHERE hour(ts) = 5 AND ts < (SELECT max(ts) FROM samples WHERE hour(ts) <> 5) - INTERVAL 3 DAYS",
+    "stream_days": f"WITH {SAMPLES_SQL} SELECT ts::DATE AS day, count(*) FILTER (hour(ts) <> 5 OR ts >= (SELECT max(ts) FROM samples WHERE hour(ts) <> 5) - INTERVAL 3 DAYS) AS n_before, count(*) AS n FROM samples GROUP BY ALL",
+    "states_kept": f"WITH {SAMPLES_SQL}, {_LATEST.format(name='l', rows='SELECT * FROM samples WHERE ts < TIMESTAMP \'2024-01-25\'')} SELECT *, '2024-01-12' AS from_cut FROM l",
 }

@@ -76,15 +76,18 @@ def stream_deltas(observations: DataFrame, key: Sequence[str], metrics: Sequence
     A live series has one row of state: its baseline and its newest time. A `gone` row closes it with a row of nulls and
     deletes that state; its time is kept for `closed_for` more, so that rows older than the end don't open the series
     anew, and then expires (with zero nothing is kept). A row older than the state is passed on without changing it.
-    State is in RocksDB, so that it may outgrow memory.
+    State is in RocksDB, so that it may outgrow memory. Expired state goes when the next rows come: batches without rows
+    are turned off in the session, since with a time to live they would follow one another for ever.
     """
-    observations.sparkSession.conf.set("spark.sql.streaming.stateStore.providerClass", ROCKS)
+    conf = observations.sparkSession.conf
+    conf.set("spark.sql.streaming.stateStore.providerClass", ROCKS)
+    conf.set("spark.sql.streaming.noDataMicroBatches.enabled", "false")
     fields = [observations.schema[k] for k in key]
     out_schema = T.StructType([*fields, observations.schema["ts"], *(T.StructField(m, T.LongType()) for m in metrics)])
     gone = F.coalesce("gone", F.lit(False)).alias("gone")
     rows = observations.where("ts is not null").select(*key, "ts", *(F.col(m).cast("long").alias(m) for m in metrics), gone)
     processor = _Deltas(key, metrics, out_schema.names, int(closed_for.total_seconds() * 1000))
-    return rows.groupBy(*key).transformWithStateInPandas(processor, out_schema, "Append", "ProcessingTime")
+    return rows.groupBy(*key).transformWithStateInPandas(processor, out_schema, "Append", "ProcessingTime" if closed_for else "None")
 
 
 def stream_merge(samples: DataFrame, path: str, checkpoint: str, key: Sequence[str], metrics: Sequence[str] = series.METRICS, buckets: int = 64, delay: dt.timedelta | None = None):
