@@ -8,7 +8,9 @@ place. A shard's strings, one behind another, get a suffix array: suffixes are c
 their successors, leftmost S substrings are sorted and named, the string of names is sorted the same way recursively,
 and from these all L and then all S suffixes are induced. Common prefixes are computed in text order, where all but
 those at a change of the preceding byte follow from their predecessor's. Neighbours that share `length` bytes are one
-class of windows; only its first place stays. A gram whose strings would overfill a shard has its windows dealt singly.
+class of windows; only its first place stays. A gram whose strings would overfill a shard has each of them cut in two, at
+most, by the bytes some way before or behind the gram, which part the texts that a common line stands in; where even
+these are the same in very many strings, their windows are dealt singly.
 
 Null texts count as empty; texts shorter than `length` bytes have no window. Documents come in order of id, null last,
 then of a hash of their texts; of equal rows one, no matter which, comes first. Texts of any length are read whole. An
@@ -17,6 +19,7 @@ empty table gives no rows; other columns, whatever their names, are ignored.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Iterator
 
 import numpy as np
@@ -25,12 +28,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from termtide.llm.common import cut, lean
+from termtide.llm.common import cut, lean, shared_dir
 from termtide.llm.shingles import BASE, BYTE_WEIGHT, INVERSE, mix
 
 U = np.uint64
 #: Bytes of text hashed at a time; windows of one string at most; bytes of a shard, and of one gram's strings in it.
-BATCH_BYTES, RUN, SHARD_BYTES, HOT_BYTES = 500_000, 4096, 1_000_000, 500_000
+BATCH_BYTES, RUN, SHARD_BYTES, HOT_BYTES = 500_000, 4096, 1_000_000, 2_000_000
 #: Bits of the filter a gram, bits of one block of it, and most blocks (32 MB).
 BITS_A_GRAM, BLOCK_BITS, MOST_BLOCKS = 16, 19, 512
 
@@ -377,20 +380,69 @@ def _firsts(length: int):
     return work
 
 
-def first_places(found: DataFrame, length: int) -> DataFrame:
-    """(DOC, ranges): the windows among the strings' that come first of their equals, as begins and ends one after another."""
-    found = cut(found.select("key", "string", "first.*"))
+def cut_by_context(found: DataFrame, length: int, gram: int) -> DataFrame:
+    """The same windows as (key, string, first), keyed by their gram and the bytes half a window's rest away from it.
+
+    A window has its gram's first place p in it; what lies before p is compared where there is enough of it, else what
+    lies behind. Both are the same for neighbouring windows, so a string gives two pieces for each place of its gram.
+    """
+    half = (length - gram) // 2
+    width = min(16, half)
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for i, part in _slices(batch, "string"):
+                runs, context = Runs(part, length, gram), Runs(part, max(width, 1), max(width, 1)).grams
+                window = np.flatnonzero(runs.valid)
+                own = np.searchsorted(runs.begins, window, side="right") - 1
+                value = np.repeat(runs.smallest[runs.begins], runs.sizes)[: len(runs.grams)]
+                places = np.flatnonzero(runs.grams == value)
+                at = places[np.searchsorted(places, window)]
+                left = window <= at - half
+                seen = context[np.where(left, at - half, at + gram + half - width)] if width else np.zeros(len(window), np.uint64)
+                key = keyed(mix(seen + left.astype(np.uint64)) ^ runs.smallest[window])
+                new = np.concatenate([[True], (key[1:] != key[:-1]) | (own[1:] != own[:-1])])
+                head = np.flatnonzero(new)
+                start, size, own = window[head], np.diff(np.append(head, len(window))) + length - 1, own[head]
+                offsets = np.concatenate([[0], np.cumsum(size)])
+                flat = runs.raw[np.repeat(start - offsets[:-1], size) + np.arange(offsets[-1])]
+                string = pa.Array.from_buffers(pa.binary(), len(head), [None, pa.py_buffer(offsets.astype(np.int32)), pa.py_buffer(flat)])
+                rows = pa.array(own + i)
+                first = pa.array(batch.column("start").to_numpy()[own + i] + start - runs.begins[own])
+                yield pa.RecordBatch.from_arrays([pa.array(key[head].view(np.int64)), string, *(batch.column(c).take(rows) for c in DOC), first], names=["key", "string", *DOC, "start"])
+
+    pieces = found.select("string", *DOC, "start").mapInArrow(lean(work, 2000), "key long, string binary, no_id boolean, id long, hash long, start long")
+    return pieces.groupBy("key", "string").agg(F.min(F.struct(*DOC, "start")).alias("first")).select("key", "string", "first.*")
+
+
+def _heavy(found: DataFrame) -> tuple[DataFrame, int]:
+    """Keys whose strings hold more than HOT_BYTES, and the bytes of all strings."""
     sizes = found.groupBy("key").agg(F.sum(F.length("string")).alias("n"))
-    total = sizes.agg(F.sum("n")).first()[0] or 0
-    shards = max(1, -(-total // SHARD_BYTES))
-    hot = sizes.where(F.col("n") > HOT_BYTES).select("key")
-    usual = found.join(hot, "key", "left_anti").select(F.pmod(F.xxhash64("key"), F.lit(shards)).alias("shard"), "string", *DOC, "start")
-    single = found.join(hot, "key", "left_semi").select("string", *DOC, "start", F.explode(F.sequence(F.lit(0), F.length("string") - length)).alias("at"))
+    return sizes.where(F.col("n") > HOT_BYTES).select("key"), sizes.agg(F.sum("n")).first()[0] or 0
+
+
+def first_places(found: DataFrame, length: int, gram: int) -> DataFrame:
+    """(DOC, ranges): the windows among the strings' that come first of their equals, as begins and ends one after another."""
+    spark = found.sparkSession
+    folder = f"{shared_dir(spark).rstrip('/')}/passages-{uuid.uuid4().hex}"
+
+    def kept(df: DataFrame, name: str) -> DataFrame:
+        df.write.option("compression", "zstd").parquet(f"{folder}/{name}")
+        return spark.read.parquet(f"{folder}/{name}")
+
+    found = kept(found.select("key", "string", "first.*"), "strings")
+    hot, total = _heavy(found)
+    pieces = kept(cut_by_context(found.join(hot, "key", "left_semi"), length, gram), "pieces")
+    still, more = _heavy(pieces)
+    shards = max(1, -(-(total + more) // SHARD_BYTES))
+    own = ["string", *DOC, "start"]
+    by_key = found.join(hot, "key", "left_anti").unionByName(pieces.join(still, "key", "left_anti")).select(F.pmod(F.xxhash64("key"), F.lit(shards)).alias("shard"), *own)
+    single = pieces.join(still, "key", "left_semi").select(*own, F.explode(F.sequence(F.lit(0), F.length("string") - length)).alias("at"))
     single = single.select(F.expr(f"substring(string, at + 1, {length})").alias("string"), F.struct(*DOC, (F.col("start") + F.col("at")).alias("start")).alias("first"))
     single = single.groupBy("string").agg(F.min("first").alias("first")).select(F.pmod(F.xxhash64("string"), F.lit(shards)).alias("shard"), "string", "first.*")
-    dealt = usual.unionByName(single).repartition(int(min(shards, 100_000)), "shard")
+    dealt = by_key.unionByName(single).repartition(int(min(shards, 100_000)), "shard")
     out = dealt.groupBy("shard").applyInArrow(_firsts(length), "no_id boolean, id long, hash long, ranges array<long>")
-    return out.groupBy(*DOC).agg(F.flatten(F.collect_list("ranges")).alias("ranges"))
+    return kept(out.groupBy(*DOC).agg(F.flatten(F.collect_list("ranges")).alias("ranges")), "firsts")
 
 
 def spans_of(raw: bytes, repeated: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray]:
@@ -414,7 +466,7 @@ def repeated_passages(docs: DataFrame, length: int = 100, gram: int = 30, id_col
         "doc_id", F.octet_length("raw").cast("long").alias("n_bytes"), *(F.array().cast("array<long>").alias(c) for c in ("begins", "ends")), F.col("raw").alias("kept"))
     rows = rows.where(F.octet_length("raw") >= length).withColumn("hash", F.xxhash64("raw"))
     bits = docs.sparkSession.sparkContext.broadcast(gram_filter(rows, length, gram))
-    first = cut(first_places(strings(rows, bits, length, gram), length))
+    first = first_places(strings(rows, bits, length, gram), length, gram)
     copy = F.row_number().over(Window.partitionBy(*DOC).orderBy(*DOC))
     held = rows.withColumn("copy", copy).join(first, DOC, "left").select("doc_id", "raw", F.when(F.col("copy") == 1, F.col("ranges")).alias("ranges"))
 

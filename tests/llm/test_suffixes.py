@@ -63,7 +63,7 @@ def test_common_prefixes():
             assert got[b] == min(n, rest[b])
 
 
-@pytest.mark.parametrize(("hot", "run"), [(500_000, 4096), (40, 7)])
+@pytest.mark.parametrize(("hot", "run"), [(2_000_000, 4096), (40, 7), (600, 4096)])
 def test_equals_plain_windows(spark, hot, run, monkeypatch):
     monkeypatch.setattr(suffixes, "HOT_BYTES", hot)
     monkeypatch.setattr(suffixes, "RUN", run)
