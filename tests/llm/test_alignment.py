@@ -71,3 +71,14 @@ def test_long_text_repeated_rows_and_empty_table(spark):
     got = figures(spark, rows)
     assert len(got) == 3 and got[0] == got[1] and "(2, " in got[2]
     assert figures(spark, []) == []
+
+
+def test_ranks_give_the_library_ids():
+    pair, rnd = alignment.tokenizers(A, B), random.Random(9)
+    assert pair.quick
+    settled = [chr(c) for c in [*range(0x250), *range(0x2010, 0x2028)]]
+    common = ["'s", "'ll", "'T", " ", "  ", "\n", "\t ", "\u00a0", "ab", "é", "1", "²", "½", "--", "_", "<|endoftext|>"]
+    texts = ["".join(rnd.choice(settled if rnd.random() < 0.5 else common) for _ in range(rnd.randrange(1, 80))) for _ in range(4000)] + [a + b + a for a in settled for b in (" ", "x", "7", "!")]
+    texts += [" " * 5000 + "x", "x" * 5000, "ab" * 4000 + "!" * 3000]
+    assert all(alignment.SETTLED.fullmatch(t) for t in texts) and not alignment.SETTLED.fullmatch("日本")
+    assert [ids.tolist() for ids in pair.a_ids(texts)] == [e.ids for e in pair.a.encode_batch_fast(texts, add_special_tokens=False)]
