@@ -4,11 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from termtide.functions import scalars
-from termtide.sources.durable import by_size
 
 
 def rooms_index(classes: DataFrame, slots: DataFrame) -> DataFrame:
@@ -28,27 +28,63 @@ def room_meetings(slots: DataFrame) -> DataFrame:
     return one.withColumn("r", scalars.normalize_room("raw")).where("r is not null").select("class_id", "day_index", "start_time", "end_time", "r.*", others.alias("others"))
 
 
+#: Hours of a band of the day by which gaps and questions meet, and a time after all times of a day.
+BAND, DAY_END = 4, "~"
+
+
+def _band(time: Column) -> Column:
+    return F.coalesce(F.floor(F.substring(time, 1, 2).try_cast("int") / BAND), F.when(time == DAY_END, 23 // BAND).otherwise(0)).cast("int")
+
+
+def _places(building: Column) -> Column:
+    """What a question may ask for to get a building: everything, its name, or the stem of its parts."""
+    parts = F.split(F.coalesce(building, F.lit("")), "-")
+    stems = F.transform(F.sequence(F.lit(1), F.size(parts)), lambda i: F.concat(F.lit("~"), F.array_join(F.slice(parts, 1, i), "-")))
+    return F.concat(F.array(F.lit("*"), F.concat(F.lit("="), building)), stems)
+
+
+def room_gaps(meetings: DataFrame, scope: Sequence[str] = ()) -> DataFrame:
+    """(scope, campus, building, name, day_index, gap_start, gap_end): when each room that has meetings is free, on days 0 to 6.
+
+    Meetings of a room and day are swept by their start: a gap lies before each one that starts no earlier than all
+    before it have ended, and after the last. The day's first gap starts at '' and its last ends at DAY_END. Meetings
+    without a start or end, or that end before they start, hold no room.
+    """
+    room = [*scope, "campus", "building", "name"]
+    held = meetings.where("start_time <= end_time").select(*room, "day_index", "start_time", "end_time")
+    days = meetings.select(*room).distinct().select(*room, F.explode(F.sequence(F.lit(0), F.lit(6))).alias("day_index"))
+    rows = held.unionByName(days.select(*room, "day_index", F.lit(DAY_END).alias("start_time"), F.lit(DAY_END).alias("end_time")))
+    before = Window.partitionBy(*room, "day_index").orderBy("start_time", "end_time").rowsBetween(Window.unboundedPreceding, -1)
+    rows = rows.withColumn("gap_start", F.coalesce(F.max("end_time").over(before), F.lit("")))
+    return rows.where("start_time >= gap_start and day_index between 0 and 6").select(*room, "day_index", "gap_start", F.col("start_time").alias("gap_end"))
+
+
 def free_rooms(meetings: DataFrame, index: DataFrame, queries: DataFrame, other_terms: bool = False, scope: Sequence[str] = ()) -> DataFrame:
     """(scope, query_id, campus, building, name, next_start, last_term): rooms without a meeting in [start, end).
 
     queries: query_id, day_index, start, end, campus, building (a name, `name-*` for its parts, or null), and the
     columns of `scope`, within which meetings count. With `other_terms` rooms known only from the index are free as
-    well, and carry their last term.
+    well, and carry their last term. A question whose end is not after its start gets no room.
+
+    A question meets the one gap of each room that may hold it: gaps are keyed by what may be asked for (all, a name, a
+    stem) and the bands of hours that they touch, questions by the band of their start.
     """
-    room = [*scope, "campus", "building", "name"]
-    asked = queries.withColumnRenamed("building", "q_building")
-    stem = F.regexp_replace("q_building", r"-\*$", "")
-    within = F.col("q_building").isNull() | F.when(F.col("q_building").endswith("-*"), (F.col("building") == stem) | F.startswith("building", F.concat(stem, F.lit("-")))).otherwise(F.col("building") == F.col("q_building"))
-    offered = index.select("campus", "building", "name", F.concat_ws("-", "year", "term").alias("last_term")).join(by_size(asked)(asked), "campus").where(within)
-    here = meetings.select(*room).distinct().withColumn("here", F.lit(True))
-    offered = offered.join(here, room, "left" if other_terms else "inner")
-    day = meetings.select(*room, "day_index", F.col("start_time").alias("m_start"), F.col("end_time").alias("m_end"))
-    met = offered.join(day, [*room, "day_index"], "left")
-    clash = (F.col("m_start") < F.col("end")) & (F.col("m_end") > F.col("start"))
-    out = met.groupBy(*scope, "query_id", "campus", "building", "name").agg(
-        F.max(F.coalesce(clash.cast("int"), F.lit(0))).alias("busy"), F.min(F.when(F.col("m_start") >= F.col("end"), F.col("m_start"))).alias("next_start"),
-        F.first(F.when(F.col("here").isNull(), F.col("last_term"))).alias("last_term"))
-    return out.where("busy = 0").drop("busy")
+    room = ["campus", "building", "name"]
+    stem = F.regexp_replace("building", r"-\*$", "")
+    place = F.when(F.col("building").isNull(), "*").when(F.endswith("building", F.lit("-*")), F.concat(F.lit("~"), stem)).otherwise(F.concat(F.lit("="), F.col("building")))
+    asked = queries.where("start < end").select(*scope, "query_id", "day_index", "start", "end", "campus", place.alias("place"), _band(F.col("start")).alias("band"))
+    gaps = room_gaps(meetings.join(index.select(*room), room, "left_semi"), scope)
+    bands = F.explode(F.sequence(_band(F.col("gap_start")), _band(F.col("gap_end"))))
+    keyed = gaps.withColumn("band", bands).withColumn("place", F.explode(_places(F.col("building"))))
+    fits = (F.col("gap_start") <= F.col("start")) & (F.col("gap_end") >= F.col("end"))
+    found = keyed.join(asked, [*scope, "campus", "day_index", "place", "band"]).where(fits)
+    later = F.when(F.col("gap_end") != DAY_END, F.col("gap_end"))
+    out = found.select(*scope, "query_id", *room, later.alias("next_start"), F.lit(None).cast("string").alias("last_term"))
+    if not other_terms:
+        return out
+    known = index.select(*room, F.concat_ws("-", "year", "term").alias("last_term"), F.explode(_places(F.col("building"))).alias("place"))
+    rest = known.join(asked.drop("band"), ["campus", "place"]).join(meetings.select(*scope, *room).distinct(), [*scope, *room], "left_anti")
+    return out.unionByName(rest.select(*scope, "query_id", *room, F.lit(None).cast("string").alias("next_start"), "last_term"))
 
 
 def meeting_conflicts(meetings: DataFrame, by: Sequence[str], id_col: str = "class_id") -> DataFrame:
