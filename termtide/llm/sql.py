@@ -32,7 +32,7 @@ c AS (
          CASE kind WHEN 0 THEN 'missing:n_chars' WHEN 1 THEN 'unknown:extra' WHEN 2 THEN 'type:n_chars' WHEN 3 THEN 'malformed,missing:n_chars' ELSE '' END AS problems,
          CASE WHEN kind = 3 THEN 'null' ELSE '{' || concat_ws(',',
            CASE WHEN u.turn >= 2 THEN '"after":"$turn-' || (u.turn - 2) || '"' END, CASE WHEN u.turn >= 4 AND u.turn % 8 = 4 THEN '"also":"$turn-' || (u.turn - 4) || '"' END,
-           CASE WHEN kind = 1 THEN '"extra":"true"' END, CASE WHEN kind = 2 THEN '"n_chars":"many"' WHEN kind <> 0 THEN '"n_chars":' || n END) || '}' END AS arguments
+           CASE WHEN kind = 1 THEN '"extra":true' END, CASE WHEN kind = 2 THEN '"n_chars":"many"' WHEN kind <> 0 THEN '"n_chars":' || n END) || '}' END AS arguments
   FROM u JOIN l ON l.conv_id = u.conv_id AND l.turn = u.turn LEFT JOIN conversations a ON a.role = 'assistant' AND a.conv_id = u.conv_id AND a.turn = u.turn + 1
 )
 SELECT conv_id, call_id, turn, level, lpad(level::VARCHAR, 10, '0') || ':' || lpad(turn::VARCHAR, 19, '0') || ':' || call_id AS place,

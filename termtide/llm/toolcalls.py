@@ -4,16 +4,18 @@ Messages carry calls `{"id", "name", "arguments"}` (arguments: a JSON object as
 `{"id", "content"}`. Calls and results meet in a shuffled hash join on (conversation, id), whose hash side has one
 row an id; the first result of a call (smallest turn, then content) counts. An argument that is `$other_id` makes the call depend on that call of the
 same conversation: calls are ordered by dependency level, then turn, then id. Levels are found by pointer
-doubling along chains and by rounds over the rest, as many as there are levels of calls with several dependencies;
-calls on a cycle, or behind one, get a null level and come last. `place` is a text that sorts the calls of a
+doubling along chains and by rounds over the rest, of which each follows up to CHUNK calls of a conversation in the order
+of their turns, forward and backward by turns; calls on a cycle, or behind one, get a null level and come last. `place` is a text that sorts the calls of a
 conversation in that order.
-Arguments are checked against a schema table (tool, argument, type, required), and each linked call is
-written as canonical JSON: keys in order, no spaces.
+Arguments are parsed to variants, so that values keep their kinds: `"5"` is a string and 5 a number. They are checked
+against a schema table (tool, argument, type, required); types are string, integer (written without point or exponent),
+number, boolean, object, array, null, and `enum:a,b` for one of these strings. A null value is of type null only. Each
+linked call is written as canonical JSON: keys in order at every depth, no spaces.
 
 Rows with a null conversation, id or name are kept and never linked; a repeated id keeps its first call
-(smallest turn, then text) and marks the others `duplicate`; malformed arguments are invalid and written
-as null; texts of any length are written whole; an empty table gives no rows; other columns, whatever their names,
-are ignored.
+(smallest turn, then text) and marks the others `duplicate`. Arguments that are no JSON object, that name one key twice,
+or that are longer than a variant (16 MB) are `malformed`, and written as null. Other texts are written whole, whatever
+their length; an empty table gives no rows; other columns, whatever their names, are ignored.
 """
 
 from __future__ import annotations
@@ -24,7 +26,13 @@ from pyspark.sql.window import Window
 
 from termtide.llm.common import cut
 
-TYPES = {"string": r'^".*"$', "integer": r"^-?[0-9]+$", "number": r"^-?[0-9]+([.][0-9]+)?([eE][-+]?[0-9]+)?$", "boolean": r"^(true|false)$"}
+#: What `schema_of_variant` says of values of each type.
+TYPES = {
+    "string": "^STRING$", "integer": r"^(TINYINT|SMALLINT|INT|BIGINT|DECIMAL\(\d+,0\))$", "number": r"^(TINYINT|SMALLINT|INT|BIGINT|DECIMAL.*|FLOAT|DOUBLE)$", "boolean": "^BOOLEAN$",
+    "object": "^OBJECT<", "array": "^ARRAY<", "null": "^VOID$",
+}
+#: Calls of one conversation that a round follows.
+CHUNK = 256
 
 
 def _quoted(text: Column) -> Column:
@@ -48,8 +56,28 @@ def _shortcut(single: DataFrame) -> DataFrame:
     return jumps.where("arrived").drop("arrived")
 
 
+def _resolved(state: DataFrame, forward: bool) -> DataFrame:
+    """(conv, id, level) of the calls that wait for nothing, and of those that follow from them among CHUNK neighbours by turn.
+
+    state: conv, id, turn, known (the level by what is known), open (`to` and `dist` of what is not).
+    """
+    ready = state.where(F.size("open") == 0).select("conv", "id", F.col("known").alias("level"))
+    turn = F.col("turn").asc_nulls_last() if forward else F.col("turn").desc_nulls_last()
+    near = state.withColumn("n", F.row_number().over(Window.partitionBy("conv").orderBy(turn, "id"))).where(F.col("n") <= CHUNK)
+    near = near.groupBy("conv").agg(F.sort_array(F.collect_list(F.struct("n", "id", "known", "open"))).alias("calls"))
+
+    def step(found: Column, call: Column) -> Column:
+        met = F.transform(call["open"], lambda o: F.element_at(found, o["to"]) + o["dist"] + 1)
+        level = F.greatest(call["known"], F.array_max(met))
+        return F.when(F.exists(met, lambda m: m.isNull()), found).otherwise(F.map_concat(found, F.create_map(call["id"], level)))
+
+    found = F.aggregate("calls", F.create_map().cast("map<string,bigint>"), step)
+    follow = near.select("conv", F.explode(found).alias("id", "level"))
+    return follow.unionByName(ready.join(near.select("conv", F.explode("calls.id").alias("id")), ["conv", "id"], "left_anti"))
+
+
 def _levels(calls: DataFrame, needs: DataFrame) -> DataFrame:
-    """(conv, id, level): 0 for calls without dependencies, else one more than the highest of them.
+    """(conv, id, level) of calls (conv, id, turn): 0 for calls without dependencies, else one more than the highest of them.
 
     Chains of single dependencies are cut short first; only calls with several dependencies take rounds.
     """
@@ -61,16 +89,24 @@ def _levels(calls: DataFrame, needs: DataFrame) -> DataFrame:
     chains = cut(_shortcut(needs.where("n = 1")))
     way = chains.select("conv", F.col("id").alias("on"), "to", "dist")
     alone = needs.where("n = 1").select("conv", F.col("id").alias("on"))  # on a cycle unless `way` has it
-    left = needs.where("n > 1").join(way, ["conv", "on"], "left").join(alone.withColumn("single", F.lit(True)), ["conv", "on"], "left")
-    left = cut(left.select("conv", "id", F.coalesce("to", F.when(F.col("single").isNull(), F.col("on"))).alias("to"), F.coalesce("dist", F.lit(0)).alias("dist")))
-    while not left.isEmpty():
-        state = left.join(done.select("conv", F.col("id").alias("to"), "level"), ["conv", "to"], "left")
-        ready = state.groupBy("conv", "id").agg(F.count(F.when(F.col("level").isNull(), 1)).alias("open"), F.max(F.col("level") + F.col("dist") + 1).alias("level")).where("open = 0")
-        fresh = cut(ready.select("conv", "id", "level"))
+    edges = needs.where("n > 1").join(way, ["conv", "on"], "left").join(alone.withColumn("single", F.lit(True)), ["conv", "on"], "left")
+    edges = cut(edges.select("conv", "id", F.coalesce("to", F.when(F.col("single").isNull(), F.col("on"))).alias("to"), F.coalesce("dist", F.lit(0)).alias("dist")))
+    left = edges.select("conv", "id").distinct().join(calls, ["conv", "id"]).withColumn("known", F.lit(None).cast("long"))
+    parts, fresh, forward = [done], done, True
+    while True:
+        told = edges.join(fresh.select("conv", F.col("id").alias("to"), "level"), ["conv", "to"], "left")
+        state = told.groupBy("conv", "id").agg(F.max(F.col("level") + F.col("dist") + 1).alias("now"), F.collect_list(F.when(F.col("level").isNull(), F.struct("to", "dist"))).alias("open"))
+        state = cut(left.join(state, ["conv", "id"]).select("conv", "id", "turn", F.greatest("known", "now").alias("known"), "open"))
+        fresh = cut(_resolved(state, forward))
         if fresh.isEmpty():
             break
-        done = cut(done.unionByName(fresh))
-        left = cut(left.join(fresh.select("conv", "id"), ["conv", "id"], "left_anti"))
+        parts, forward = [*parts, fresh], not forward
+        left = state.join(fresh.select("conv", "id"), ["conv", "id"], "left_anti")
+        edges = left.select("conv", "id", F.explode("open").alias("e")).select("conv", "id", "e.*")
+        left = left.drop("open")
+    done = parts[0]
+    for part in parts[1:]:
+        done = done.unionByName(part)
     behind = chains.join(done.select("conv", F.col("id").alias("to"), "level"), ["conv", "to"]).select("conv", "id", (F.col("level") + F.col("dist")).alias("level"))
     return done.unionByName(behind).withColumn("level", F.col("level").cast("int"))
 
@@ -85,29 +121,32 @@ def link_calls(calls: DataFrame, results: DataFrame, schemas: DataFrame) -> Data
     known = F.col("conv").isNotNull() & F.col("id").isNotNull() & F.col("name").isNotNull()
     base = cut(
         calls.select(F.col("conv_id").alias("conv"), F.col("call_id").alias("id"), "turn", "name", "arguments")
-        .withColumn("given", F.from_json("arguments", "map<string,string>"))
+        .withColumn("whole", F.try_parse_json(F.concat(F.lit("["), "arguments", F.lit("]"))))  # in brackets, so that nothing may follow the object
+        .withColumn("given", F.when(F.try_variant_get("whole", "$[1]", "variant").isNull(), F.try_variant_get("whole", "$[0]", "variant")))
+        .withColumn("given", F.when(F.schema_of_variant("given").startswith("OBJECT<"), F.col("given"))).drop("whole")
         .withColumn("copy", F.when(known, F.row_number().over(first)).otherwise(1))
         .withColumn("linked", known & (F.col("copy") == 1))
     )
     single = base.where("linked")
-    pairs = single.select("conv", "id", "name", F.explode_outer("given").alias("argument", "value"))
-    needs = pairs.where(F.col("value").startswith("$")).select("conv", "id", F.expr("substring(value, 2)").alias("on")).distinct()
+    fields = F.map_entries(F.variant_get("given", "$", "map<string,variant>"))
+    pairs = single.select("conv", "id", "name", F.explode(fields).alias("e")).select("conv", "id", "name", F.col("e.key").alias("argument"), F.col("e.value").alias("value"))
+    kind, text = F.coalesce(F.schema_of_variant("value"), F.lit("VOID")), F.try_variant_get("value", "$", "string")
+    pairs = pairs.select("conv", "id", "name", "argument", kind.alias("kind"), F.when(kind == "STRING", text).alias("text"))
+    needs = pairs.where(F.startswith("text", F.lit("$"))).select("conv", "id", F.expr("substring(text, 2)").alias("on")).distinct()
     needs = needs.join(single.select("conv", F.col("id").alias("on")), ["conv", "on"], "left_semi")
-    levels = _levels(single.select("conv", "id"), needs)
+    levels = _levels(single.select("conv", "id", "turn"), needs)
 
-    literal = F.when(F.col("type") == "string", _quoted(F.col("value"))).otherwise(F.col("value"))
     pattern = F.coalesce(*(F.when(F.col("type") == t, F.lit(p)) for t, p in TYPES.items()), F.lit("^$"))
-    reference = F.coalesce(F.col("value").startswith("$"), F.lit(False))
+    listed = F.when(F.startswith("type", F.lit("enum:")), F.array_contains(F.split(F.expr("substring(type, 6)"), ","), F.col("text")))
+    fits = F.coalesce(listed, F.rlike("kind", pattern)) | F.startswith("text", F.lit("$"))
     expected = schemas.select("name", "argument", "type", "required")
-    asked = single.select("conv", "id", "name", "given").join(expected, "name")
-    missing = asked.where(F.col("required") & F.col("given")[F.col("argument")].isNull()).select("conv", "id", F.concat(F.lit("missing:"), "argument").alias("problem"))
-    seen = pairs.where(F.col("argument").isNotNull()).join(expected.withColumn("known", F.lit(True)), ["name", "argument"], "left")
-    wrong = seen.where(F.col("known").isNull()).select("conv", "id", F.concat(F.lit("unknown:"), "argument").alias("problem"))
-    wrong = wrong.unionByName(seen.where(F.col("known") & ~reference & ~F.coalesce(F.rlike(literal, pattern), F.lit(False))).select("conv", "id", F.concat(F.lit("type:"), "argument").alias("problem")))
+    asked = single.select("conv", "id", "name").join(expected.where("required"), "name")
+    missing = asked.join(pairs.select("conv", "id", "argument"), ["conv", "id", "argument"], "left_anti").select("conv", "id", F.concat(F.lit("missing:"), "argument").alias("problem"))
+    seen = pairs.join(expected.withColumn("known", F.lit(True)), ["name", "argument"], "left")
+    wrong = seen.where(F.col("known").isNull() | ~F.coalesce(fits, F.lit(False)))
+    wrong = wrong.select("conv", "id", F.concat(F.when(F.col("known"), "type:").otherwise("unknown:"), "argument").alias("problem"))
     broken = single.where("given is null").select("conv", "id", F.lit("malformed").alias("problem"))
     problems = missing.unionByName(wrong).unionByName(broken).groupBy("conv", "id").agg(F.array_sort(F.collect_set("problem")).alias("problems"))
-    written = seen.groupBy("conv", "id").agg(F.array_sort(F.collect_list(F.struct(
-        "argument", F.when(reference | F.col("known").isNull() | ~F.coalesce(F.rlike(literal, pattern), F.lit(False)), _quoted(F.col("value"))).otherwise(literal).alias("literal")))).alias("written"))
 
     answer = Window.partitionBy("conv", "id").orderBy(F.col("turn").asc_nulls_last(), "content")
     answered = (
@@ -115,13 +154,12 @@ def link_calls(calls: DataFrame, results: DataFrame, schemas: DataFrame) -> Data
         .where("conv is not null and id is not null").withColumn("n", F.row_number().over(answer)).where("n = 1")
         .select("conv", "id", F.col("turn").alias("result_turn"), "content", F.lit(True).alias("linked"))
     )
-    extra = levels.join(problems, ["conv", "id"], "full").join(written, ["conv", "id"], "full").withColumn("linked", F.lit(True))
+    extra = levels.join(problems, ["conv", "id"], "full").withColumn("linked", F.lit(True))
     hashed = lambda side: side.hint("shuffle_hash")
     joined = base.join(hashed(answered), ["conv", "id", "linked"], "left").join(hashed(extra), ["conv", "id", "linked"], "left")
     bad = F.coalesce(F.size("problems") > 0, F.lit(False))
     status = F.when(F.col("copy") > 1, "duplicate").when(~F.col("linked"), "invalid").when(bad, "invalid").when(F.col("result_turn").isNull(), "no_result").otherwise("ok")
-    body = F.concat_ws(",", F.transform("written", lambda w: F.concat(_quoted(w["argument"]), F.lit(":"), F.coalesce(w["literal"], F.lit("null")))))
-    arguments = F.when(F.col("given").isNull(), "null").otherwise(F.concat(F.lit("{"), F.coalesce(body, F.lit("")), F.lit("}")))
+    arguments = F.coalesce(F.to_json("given"), F.lit("null"))
     line = F.concat(
         F.lit('{"arguments":'), arguments, F.lit(',"id":'), _quoted(F.col("id")), F.lit(',"name":'), _quoted(F.col("name")),
         F.lit(',"result":'), F.when(F.col("result_turn").isNull() | F.col("content").isNull(), "null").otherwise(_quoted(F.col("content"))), F.lit("}"),

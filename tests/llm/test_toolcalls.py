@@ -42,7 +42,7 @@ def test_levels_of_chains_joints_and_cycles(spark):
 
 def test_ladders_have_as_many_levels_as_they_need(spark):
     """Each call uses the two before it."""
-    n = 25
+    n = 600
     calls = [(1, i, str(i), "f", "{" + ",".join(f'"k{j}":"${d}"' for j, d in enumerate(range(max(0, i - 2), i))) + "}") for i in range(n)]
     got = toolcalls.link_calls(spark.createDataFrame(calls, CALL), spark.createDataFrame([], RESULT), spark.createDataFrame([], SCHEMA))
     rows = got.withColumn("clash", toolcalls.F.lit(1)).collect()
@@ -78,3 +78,33 @@ def test_query_equals_sql(spark, tmp_path):
     assert sorted(names) == sorted(got.columns)
     assert sorted(map(tuple, got.select(*names).collect()), key=str) == sorted(want.fetchall(), key=str)
     assert {r["status"] for r in got.collect()} == {"ok", "no_result", "invalid", "duplicate"}
+
+
+def test_backward_ladder_and_wide_joints(spark):
+    """Each call uses two that come after it; one uses all others."""
+    n = 300
+    edges = {i: [d for d in (i + 1, i + 2) if d < n] for i in range(n)} | {n: list(range(n))}
+    calls = [(1, i, str(i), "f", json.dumps({f"k{d}": f"${d}" for d in on})) for i, on in edges.items()]
+    got = toolcalls.link_calls(spark.createDataFrame(calls, CALL), spark.createDataFrame([], RESULT), spark.createDataFrame([], SCHEMA)).collect()
+    assert {int(r["call_id"]): r["level"] for r in got} == {i: n - 1 - i for i in range(n)} | {n: n}
+
+
+def test_values_keep_their_kinds(spark):
+    types = ["string", "integer", "number", "boolean", "object", "array", "null", "enum:fast,slow"]
+    values = {
+        '"5"': {"string"}, '"fast"': {"string", "enum:fast,slow"}, "5": {"integer", "number"}, "-7": {"integer", "number"}, "123456789012345678901234567890": {"integer", "number"}, "2.5": {"number"}, "1e3": {"number"},
+        "true": {"boolean"}, "null": {"null"}, '{"b":1,"a":[1,{"z":null,"y":"é\\n"}]}': {"object"}, '[1,"x",null]': {"array"}, "{}": {"object"}, "[]": {"array"}, '""': {"string"},
+    }
+    calls = [(1, i, f"{i}-{t}", t, f'{{"v": {v}}}') for i, v in enumerate(values) for t in types]
+    schemas = [(t, "v", t, True) for t in types]
+    broken = ['{"n":1,"n":2}', "[1]", "5", '"x"', "{oops", "", None, '{"v":1}}']
+    calls += [(2, i, str(i), "string", b) for i, b in enumerate(broken)]
+    got = {(r["conv_id"], r["call_id"]): r for r in toolcalls.link_calls(spark.createDataFrame(calls, CALL), spark.createDataFrame([], RESULT), spark.createDataFrame(schemas, SCHEMA)).collect()}
+    for i, (v, fitting) in enumerate(values.items()):
+        for t in types:
+            row = got[1, f"{i}-{t}"]
+            assert row["problems"] == ("" if t in fitting else "type:v"), (v, t, row)
+            assert json.loads(row["canonical"])["arguments"] == {"v": json.loads(v)} and type(json.loads(row["canonical"])["arguments"]["v"]) is not str or v.startswith('"')
+    nested = got[1, "9-object"]["canonical"]
+    assert nested.startswith('{"arguments":{"v":{"a":[1,{"y":"é\\n","z":null}],"b":1}},"id"')
+    assert all(got[2, str(i)]["problems"] == "malformed,missing:v" and json.loads(got[2, str(i)]["canonical"])["arguments"] is None for i in range(len(broken)))
