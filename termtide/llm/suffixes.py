@@ -63,26 +63,36 @@ def induce(t: np.ndarray, own: np.ndarray, seed_rank: np.ndarray, seeds_after: b
     if not len(items):
         return items
     following = np.minimum.accumulate(np.where(own, n, np.arange(n))[::-1])[::-1]
-    depth = following[items] - items
+    ends = following[items]
+    depth = ends - items
     symbol = t.astype(np.int64) * 2 + (own ^ seeds_after)
     low, wide = n.bit_length(), int(symbol.max()).bit_length()
     many = max(1, (63 - low) // wide)
+    packed, upto = pack_symbols(symbol, wide, many)
     block = depth // many
     by_block = np.argsort(block.astype(np.uint16) if block.max() < 2**16 else block, kind="stable")
     bounds = np.searchsorted(block[by_block], np.arange(block.max() + 2))
     held = items[:0]
     for b in range(int(block.max()), -1, -1):
-        new = by_block[bounds[b] : bounds[b + 1]]
-        at, last = np.concatenate([held, items[new]]), np.concatenate([np.full(len(held), n), following[items[new]]])
-        key = np.zeros(len(at), np.int64)
-        for j in range(b * many, (b + 1) * many):
-            place = at + j
-            key = (key << wide) + np.where(place <= last, symbol[np.minimum(place, n - 1)], 0)
-        key = (key << low) + np.concatenate([np.arange(len(held)), seed_rank[following[items[new]]]])
-        held = at[np.argsort(key)]
+        new, skip = by_block[bounds[b] : bounds[b + 1]], b * many
+        # deeper suffixes go on past this block; others end in it, at a suffix of the other type
+        deeper = (packed[held + skip] << low) + np.arange(len(held))
+        ending = ((packed[items[new] + skip] & upto[depth[new] - skip + 1]) << low) + seed_rank[ends[new]]
+        at = np.concatenate([held, items[new]])
+        held = at[np.argsort(np.concatenate([deeper, ending]))]
     return held
 
 
+def pack_symbols(symbol: np.ndarray, wide: int, many: int) -> tuple[np.ndarray, np.ndarray]:
+    """`many` symbols of `wide` bits from each place on in one number, and masks of the first 0, 1, ... of them."""
+    packed = np.zeros(len(symbol), np.int64)
+    for j in range(many):
+        packed <<= wide
+        packed[: max(len(symbol) - j, 0)] += symbol[j:]
+    full = (1 << wide * many) - 1
+    return packed, np.array([full ^ ((1 << wide * (many - v)) - 1) for v in range(many + 1)], np.int64)
+
+
 def _merged(t: np.ndarray, larger: np.ndarray, smaller: np.ndarray) -> np.ndarray:
     """Both types in one order: by first symbol, L before S."""
     k = int(t.max()) + 1
@@ -97,14 +107,19 @@ def names(t: np.ndarray, lms: np.ndarray, ordered: np.ndarray) -> np.ndarray:
     """Numbers of the leftmost S substrings in text order, equal for equal ones; `ordered` has them sorted."""
     size = np.zeros(len(t), np.int64)
     size[lms] = np.concatenate([np.diff(lms) + 1, [1]])
-    a, b = ordered[:-1], ordered[1:]
-    same = size[a] == size[b]
-    open_, j = np.flatnonzero(same), 0
+    wide = int(t.max()).bit_length()
+    many = 63 // wide
+    packed, upto = pack_symbols(t.astype(np.int64), wide, many)
+    sizes = size[ordered]
+    word = packed[ordered] & upto[np.minimum(sizes, many)]
+    same = (sizes[1:] == sizes[:-1]) & (word[1:] == word[:-1])
+    open_, j = np.flatnonzero(same & (sizes[1:] > many)), many
     while len(open_):
-        equal = t[a[open_] + j] == t[b[open_] + j]
+        mask = upto[np.minimum(sizes[open_] - j, many)]
+        equal = (packed[ordered[open_] + j] & mask) == (packed[ordered[open_ + 1] + j] & mask)
         same[open_[~equal]] = False
-        open_, j = open_[equal], j + 1
-        open_ = open_[size[a[open_]] > j]
+        open_, j = open_[equal], j + many
+        open_ = open_[sizes[open_] > j]
     number = np.zeros(len(t), np.int64)
     number[ordered] = np.concatenate([[0], np.cumsum(~same)])
     return number[lms]
