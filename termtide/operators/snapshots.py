@@ -81,20 +81,20 @@ def _shown(value: Column) -> Column:
 def catalog_diff(old: DataFrame, new: DataFrame, key: Sequence[str], fields: Sequence[tuple[str, str]] = FIELDS) -> DataFrame:
     """(key, code, name, detail) between two catalogues: NEW, DEL, field codes, CLS, TADD, TDEL, TCHG.
 
-    Rows are hashed first, so fields are compared only where something differs. '' and null are equal, tags
-    are compared without order, meetings by day and time only.
+    Each side hashes its rows before they meet, and fields are compared only where the hashes differ. '' and null are
+    equal; tags are compared without order and shown in the order they are stored in; meetings count by day and time only.
     """
     present = [(f, c) for f, c in fields if f in old.columns and f in new.columns]
 
     def packed(df: DataFrame, name: str) -> DataFrame:
         cols = [F.nullif(F.col(f).cast("string"), F.lit("")).alias(f) for f, _ in present]
-        tags = F.array_sort(F.coalesce("classification", F.array().cast("array<string>")))
+        tags = F.coalesce("classification", F.array().cast("array<string>"))
         row = F.struct(*cols, F.col("name").alias("label"), tags.alias("tags"), scalars.slot_signature("slots").alias("sig"), scalars.slot_text("slots").alias("times"))
-        return df.select(*key, row.alias(name))
+        mark = F.xxhash64(*(F.col(f"{name}.{f}") for f, _ in present), F.array_sort(f"{name}.tags"), F.col(f"{name}.sig"))
+        return df.select(*key, row.alias(name)).withColumn(f"{name}_mark", mark)
 
     both = packed(old, "o").join(packed(new, "n"), list(key), "full")
-    mark = lambda r: F.xxhash64(*(F.col(f"{r}.{f}") for f, _ in present), F.col(f"{r}.tags"), F.col(f"{r}.sig"))
-    both = both.where(F.col("o").isNull() | F.col("n").isNull() | (mark("o") != mark("n")))
+    both = both.where(~F.col("o_mark").eqNullSafe(F.col("n_mark")))
     change = lambda code, when, detail: F.when(when, F.struct(F.lit(code).alias("code"), detail.alias("detail")))
     old_tags, new_tags = (F.when(F.size(f"{r}.tags") == 0, "(none)").otherwise(F.array_join(f"{r}.tags", ",")) for r in "on")
     same_sig = F.col("o.sig").eqNullSafe(F.col("n.sig"))
@@ -102,7 +102,7 @@ def catalog_diff(old: DataFrame, new: DataFrame, key: Sequence[str], fields: Seq
     arrow = lambda a, b: F.concat(a, F.lit(" → "), b)
     changes = [change(c, ~F.col(f"o.{f}").eqNullSafe(F.col(f"n.{f}")), arrow(_shown(F.col(f"o.{f}")), _shown(F.col(f"n.{f}")))) for f, c in present]
     changes += [
-        change("CLS", ~F.col("o.tags").eqNullSafe(F.col("n.tags")), arrow(old_tags, new_tags)),
+        change("CLS", F.array_sort("o.tags") != F.array_sort("n.tags"), arrow(old_tags, new_tags)),
         change("TADD", ~same_sig & none_before, F.col("n.times")), change("TDEL", ~same_sig & ~none_before & none_after, F.col("o.times")),
         change("TCHG", ~same_sig & ~none_before & ~none_after, arrow(F.col("o.times"), F.col("n.times"))),
     ]

@@ -188,11 +188,15 @@ def nested_slots(spark: SparkSession, d: str) -> DataFrame:
     return out.select("class_id", text.alias("slots"))
 
 
-def flat_export(spark: SparkSession, d: str) -> DataFrame:
+def flat_classes(spark: SparkSession, d: str) -> DataFrame:
     c = classes(spark, d).withColumns({"quota_returning": F.when(F.col("cart").isNotNull(), F.col("quota") - 1), "college": F.concat(F.lit("C"), F.col("credits") % 5)})
     code = F.create_map(*(F.lit(x) for quarter, alias in (("Q1", "spring"), ("Q2", "summer"), ("Q3", "fall")) for x in (quarter, tables.ALIASES[alias])))
     c = c.withColumns({"term": F.coalesce(code[F.col("term")], "term"), "grading_switch": F.when(F.col("quota") > 40, "Y")})
-    return tables.export_flat(catalog.nest_slots(c, slots(spark, d)))
+    return catalog.nest_slots(c, slots(spark, d))
+
+
+def flat_export(spark: SparkSession, d: str) -> DataFrame:
+    return tables.export_flat(flat_classes(spark, d))
 
 
 QUERIES = {f.__name__: f for f in (

@@ -16,19 +16,19 @@ def _label():
     return F.concat("sbjt_cd", F.lit("("), "lt_no", F.lit(")"))
 
 
-YEARLY = ["year", *STABLE]
+YEARLY = ["year", "term", *STABLE]
 
 
 def _years(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame]:
-    """Sections of each year (one class each) with all their meetings, and the same as those of the year after."""
+    """All sections with their meetings, and the same as those of the year after, their tags the other way round in some."""
     c, s = classes(spark, d), slots(spark, d)
-    first = c.groupBy(*YEARLY).agg(F.min("class_id").alias("class_id"))
-    own = c.join(first.select("class_id"), "class_id", "left_semi").withColumns({
+    own = c.withColumns({
         "college": F.concat(F.lit("C"), F.col("credits") % 5), "enrolled": F.least("applied", "quota"),
         "quota_returning": F.when(F.col("cart").isNotNull(), F.col("quota") - 1), "grading_switch": F.when(F.col("cart").isNotNull(), "Y").otherwise(""),
     })
     new = cut(catalog.nest_slots(own, s))
-    return new.withColumn("year", F.col("year") + 1), new
+    turned = F.when(F.col("quota") % 2 == 0, F.reverse("classification")).otherwise(F.col("classification"))
+    return new.withColumns({"year": F.col("year") + 1, "classification": turned}), new
 
 
 def coverage(spark: SparkSession, d: str) -> DataFrame:
@@ -57,7 +57,7 @@ def keys_reported(spark: SparkSession, d: str) -> DataFrame:
 
 
 def catalogue_diff(spark: SparkSession, d: str) -> DataFrame:
-    """Each year against the one before: all sections are new in the first and gone after the last."""
+    """Each term against the one a year before: all sections are new in the first year and gone after the last."""
     return snapshots.catalog_diff(*_years(spark, d), YEARLY)
 
 
@@ -98,7 +98,7 @@ def drift_decisions(spark: SparkSession, d: str) -> DataFrame:
 
 
 def digest_status(spark: SparkSession, d: str) -> DataFrame:
-    """Terms of 1996 against 1997 with one term made equal: new, changed or unchanged."""
+    """All terms against an older state that lacks one quarter and differs in another: new, changed or unchanged."""
     c = classes(spark, d).drop("class_id")
     old = snapshots.term_digest(c.where("term <> 'Q4'"), ["year", "term"])
     edited = c.withColumn("quota", F.when((F.col("term") == "Q2") & (F.col("quota") == 7), 8).otherwise(F.col("quota")))
@@ -144,18 +144,18 @@ QUERIES = {f.__name__: f for f in (
     digest_status, digest_pull, carried_forward, attachments_exported, rosters_collected, earlier_terms,
 )}
 
-_YEARS = CLASSES_SQL + """, ids AS (SELECT year, sbjt_cd, lt_no, min(class_id) AS class_id FROM classes GROUP BY ALL),
+_YEARS = CLASSES_SQL + """,
 one AS (SELECT DISTINCT class_id, day_index, start_time, end_time FROM slots),
 sig AS (SELECT class_id, string_agg(substr('월화수목금토일', day_index + 1, 1) || start_time || '~' || end_time, '/' ORDER BY day_index, start_time, end_time) AS times FROM one GROUP BY class_id),
-y AS (SELECT c.*, list_sort(c.classification) AS tags, times, 'C' || (credits % 5) AS college, least(applied, quota) AS enrolled, CASE WHEN cart IS NOT NULL THEN quota - 1 END AS returning_, CASE WHEN cart IS NOT NULL THEN 'Y' END AS switch
-  FROM classes c JOIN ids USING (class_id) JOIN sig USING (class_id)),
-b AS (SELECT coalesce(n.year, o.year + 1) AS year, coalesce(o.sbjt_cd, n.sbjt_cd) AS sbjt_cd, coalesce(o.lt_no, n.lt_no) AS lt_no, o, n FROM y o FULL JOIN y n ON o.sbjt_cd = n.sbjt_cd AND o.lt_no = n.lt_no AND o.year + 1 = n.year),
-e AS (SELECT year, sbjt_cd, lt_no, coalesce(n.name, o.name) AS name, o.class_id IS NULL AS is_new, n.class_id IS NULL AS is_gone,
+y AS (SELECT c.*, c.classification AS tags, CASE WHEN quota % 2 = 0 THEN list_reverse(c.classification) ELSE c.classification END AS old_tags, times, 'C' || (credits % 5) AS college, least(applied, quota) AS enrolled, CASE WHEN cart IS NOT NULL THEN quota - 1 END AS returning_, CASE WHEN cart IS NOT NULL THEN 'Y' END AS switch
+  FROM classes c JOIN sig USING (class_id)),
+b AS (SELECT coalesce(n.year, o.year + 1) AS year, coalesce(n.term, o.term) AS term, coalesce(o.sbjt_cd, n.sbjt_cd) AS sbjt_cd, coalesce(o.lt_no, n.lt_no) AS lt_no, o, n FROM y o FULL JOIN y n ON o.term = n.term AND o.sbjt_cd = n.sbjt_cd AND o.lt_no = n.lt_no AND o.year + 1 = n.year),
+e AS (SELECT year, term, sbjt_cd, lt_no, coalesce(n.name, o.name) AS name, o.class_id IS NULL AS is_new, n.class_id IS NULL AS is_gone,
   unnest(['NAME', 'PROF', 'DEPT', 'COLL', 'GRADE', 'CRED', 'QUOTA', 'QRET', 'APPL', 'ENRL', 'GRD', 'GRDSW', 'CLS', 'TCHG']) AS code,
-  unnest([o.name, o.professor, o.department, o.college, o.grade, o.credits::VARCHAR, o.quota::VARCHAR, o.returning_::VARCHAR, o.applied::VARCHAR, o.enrolled::VARCHAR, o.grading, o.switch, array_to_string(o.tags, ','), o.times]) AS ov,
-  unnest([n.name, n.professor, n.department, n.college, n.grade, n.credits::VARCHAR, n.quota::VARCHAR, n.returning_::VARCHAR, n.applied::VARCHAR, n.enrolled::VARCHAR, n.grading, n.switch, array_to_string(n.tags, ','), n.times]) AS nv FROM b),
-diff AS (SELECT year, sbjt_cd, lt_no, code, name, coalesce(ov, '(none)') || ' → ' || coalesce(nv, '(none)') AS detail FROM e WHERE NOT is_new AND NOT is_gone AND ov IS DISTINCT FROM nv
-  UNION ALL SELECT year, sbjt_cd, lt_no, CASE WHEN o.class_id IS NULL THEN 'NEW' ELSE 'DEL' END, coalesce(n.name, o.name), coalesce(n.times, o.times) FROM b WHERE o.class_id IS NULL OR n.class_id IS NULL)"""
+  unnest([o.name, o.professor, o.department, o.college, o.grade, o.credits::VARCHAR, o.quota::VARCHAR, o.returning_::VARCHAR, o.applied::VARCHAR, o.enrolled::VARCHAR, o.grading, o.switch, CASE WHEN o.class_id IS NULL OR n.class_id IS NULL OR list_sort(o.old_tags) <> list_sort(n.tags) THEN array_to_string(o.old_tags, ',') END, o.times]) AS ov,
+  unnest([n.name, n.professor, n.department, n.college, n.grade, n.credits::VARCHAR, n.quota::VARCHAR, n.returning_::VARCHAR, n.applied::VARCHAR, n.enrolled::VARCHAR, n.grading, n.switch, CASE WHEN o.class_id IS NULL OR n.class_id IS NULL OR list_sort(o.old_tags) <> list_sort(n.tags) THEN array_to_string(n.tags, ',') END, n.times]) AS nv FROM b),
+diff AS (SELECT year, term, sbjt_cd, lt_no, code, name, coalesce(ov, '(none)') || ' → ' || coalesce(nv, '(none)') AS detail FROM e WHERE NOT is_new AND NOT is_gone AND ov IS DISTINCT FROM nv
+  UNION ALL SELECT year, term, sbjt_cd, lt_no, CASE WHEN o.class_id IS NULL THEN 'NEW' ELSE 'DEL' END, coalesce(n.name, o.name), coalesce(n.times, o.times) FROM b WHERE o.class_id IS NULL OR n.class_id IS NULL)"""
 _DRIFT = """d AS (SELECT o_orderpriority AS term, o_orderdate AS ts, CASE WHEN o_custkey % 3 > 0 THEN '["C' || (o_custkey % 7) || '"]' ELSE '[]' END AS a, CASE WHEN o_custkey % 5 = 0 THEN '["R"]' ELSE '[]' END AS r FROM orders),
 s AS (SELECT *, substr(sha1('[' || a || ',' || r || ']'), 1, 16) AS signature FROM d WHERE a <> '[]' OR r <> '[]')"""
 ORACLE_SQL = {
@@ -166,7 +166,7 @@ SELECT n.year, n.term, CASE WHEN n.c = 0 THEN 'empty' WHEN n.t = 0 THEN 'no_tags
     "tables_compared": f"WITH {_YEARS} SELECT count(*) FILTER (o.class_id IS NOT NULL AND n.class_id IS NOT NULL AND o.quota = n.quota AND o.department = n.department) AS matching, count(*) FILTER (o.class_id IS NOT NULL AND n.class_id IS NOT NULL AND NOT (o.quota = n.quota AND o.department = n.department)) AS different, count(*) FILTER (n.class_id IS NULL) AS only_left, count(*) FILTER (o.class_id IS NULL) AS only_right FROM b",
     "keys_reported": "WITH n AS (SELECT count(*) AS n FROM lineitem GROUP BY l_orderkey, l_linenumber) SELECT sum(n)::BIGINT AS rows, count(*) AS keys, count(*) FILTER (n > 1) AS repeated FROM n",
     "catalogue_diff": f"WITH {_YEARS} SELECT * FROM diff",
-    "catalogue_diff_summary": f"WITH {_YEARS} SELECT code, count(*) AS n, count(DISTINCT (year, sbjt_cd, lt_no)) AS keys FROM diff GROUP BY code UNION ALL SELECT '*', count(*), count(DISTINCT (year, sbjt_cd, lt_no)) FROM diff WHERE code NOT IN ('NEW', 'DEL')",
+    "catalogue_diff_summary": f"WITH {_YEARS} SELECT code, count(*) AS n, count(DISTINCT (year, term, sbjt_cd, lt_no)) AS keys FROM diff GROUP BY code UNION ALL SELECT '*', count(*), count(DISTINCT (year, term, sbjt_cd, lt_no)) FROM diff WHERE code NOT IN ('NEW', 'DEL')",
     "roster_drifts": f"""WITH {CLASSES_SQL}, u AS (SELECT year, term, sbjt_cd || '(' || lt_no || ')' AS l, false AS old FROM classes UNION ALL SELECT year + 1, term, sbjt_cd || '(' || lt_no || ')', true FROM classes),
 k AS (SELECT year, term, l, bool_or(old) AS old, bool_or(NOT old) AS new FROM u GROUP BY ALL),
 g AS (SELECT year, term, coalesce(list(l ORDER BY l) FILTER (NOT old), []) AS a, coalesce(list(l ORDER BY l) FILTER (NOT new), []) AS r FROM k WHERE old <> new GROUP BY ALL)
@@ -178,7 +178,7 @@ p AS (SELECT term, max(ts) AS newest FROM d WHERE a <> '[]' OR r <> '[]' OR term
 SELECT n.term, passes, CASE WHEN last_seen < newest THEN 'gone' WHEN n.term = '1-URGENT' THEN 'handled' WHEN passes < 3 THEN 'too_few' ELSE 'act' END AS decision FROM n JOIN p USING (term)""",
     "digest_status": f"WITH {CLASSES_SQL} SELECT year, term, CASE WHEN term = 'Q4' THEN 'new' WHEN term = 'Q2' AND count(*) FILTER (quota = 7) > 0 THEN 'changed' ELSE 'unchanged' END AS status FROM classes GROUP BY year, term",
     "digest_pull": f"WITH {CLASSES_SQL} SELECT year, term, CASE WHEN term = 'Q4' THEN 'uncollected' WHEN term = 'Q1' OR (term = 'Q2' AND count(*) FILTER (quota = 7) > 0) THEN 'apply' ELSE 'same' END AS action, term <> 'Q4' AND year < 1997 AS stale FROM classes GROUP BY year, term",
-    "carried_forward": f"WITH {_YEARS} SELECT n.year, n.sbjt_cd, n.lt_no, CASE WHEN n.quota > 20 THEN n.quota ELSE o.quota END AS quota, n.quota <= 20 AND o.class_id IS NULL AS missing FROM y n LEFT JOIN y o ON o.year + 1 = n.year AND o.sbjt_cd = n.sbjt_cd AND o.lt_no = n.lt_no",
+    "carried_forward": f"WITH {_YEARS} SELECT n.year, n.term, n.sbjt_cd, n.lt_no, CASE WHEN n.quota > 20 THEN n.quota ELSE o.quota END AS quota, n.quota <= 20 AND o.class_id IS NULL AS missing FROM y n LEFT JOIN y o ON o.year + 1 = n.year AND o.term = n.term AND o.sbjt_cd = n.sbjt_cd AND o.lt_no = n.lt_no",
     "attachments_exported": f"""WITH {CLASSES_SQL}, r AS (SELECT year, term, sbjt_cd, lt_no, subh_cd, min(name) AS file FROM class_rows WHERE year < 1997 OR subh_cd = '000' GROUP BY ALL), k AS (SELECT * FROM r WHERE file NOT LIKE 'blue%')
 SELECT year, term, file, sbjt_cd || '|' || lt_no AS short FROM k WHERE (year, term) NOT IN (SELECT (year, term) FROM k GROUP BY year, term, sbjt_cd, lt_no HAVING count(DISTINCT subh_cd) > 1)""",
     "rosters_collected": f"WITH {CLASSES_SQL} SELECT DISTINCT year, term, sbjt_cd, lt_no, CASE WHEN term <> 'Q2' AND subh_cd = '001' THEN '000' ELSE subh_cd END AS subh_cd FROM classes WHERE year = 1997",

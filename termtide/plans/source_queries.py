@@ -9,9 +9,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from termtide.operators import requirements, series
+from termtide.plans.catalog_queries import ORACLE_SQL as CATALOG_SQL
+from termtide.plans.catalog_queries import flat_classes
 from termtide.plans.model import CLASSES_SQL, KEY, SAMPLES_SQL, classes, samples, slots, table
 from termtide.sources import tables
 from termtide.sources.durable import cut, shared_dir
+from termtide.sources.terms import TermStore
 from termtide.streaming import deltas
 from termtide.streaming.states import States
 from termtide.streaming.store import Store, writer_of
@@ -36,10 +39,11 @@ def terms_read(spark: SparkSession, d: str) -> DataFrame:
 
 
 def terms_replaced(spark: SparkSession, d: str) -> DataFrame:
-    """All terms, of which the second quarters were written anew with other quotas."""
+    """All terms, of which the second quarters, asked for by name, were written anew with other quotas."""
     path, c = _folder(spark), _offered(spark, d)
     tables.write_terms(c, path)
-    tables.replace_terms(cut(c.where("term = 'Q2' and quota > 1").withColumn("quota", -F.col("quota"))), path)
+    years = sorted(r["year"] for r in c.where("term = 'Q2'").select("year").distinct().collect())
+    tables.replace_terms(cut(c.where("term = 'Q1' or quota > 1").withColumn("quota", -F.col("quota"))), path, scopes=[f"{y}-Q2" for y in years], aliases={})
     return tables.read_terms(spark, path)
 
 
@@ -52,6 +56,25 @@ def terms_exported(spark: SparkSession, d: str) -> DataFrame:
     return out.select("class_id", "year", "term", "name", "quota", text.alias("slots"))
 
 
+def flat_csv(spark: SparkSession, d: str) -> DataFrame:
+    """The flat export written as one CSV file and read again."""
+    path = _folder(spark)
+    tables.write_flat_csv(flat_classes(spark, d), path)
+    return tables.read_flat_csv(spark, path)
+
+
+def digest_applied(spark: SparkSession, d: str) -> DataFrame:
+    """Local terms, of which one quarter is missing and another lacks rows, after a pull from a remote that was pushed twice."""
+    c = _offered(spark, d)
+    at = lambda text: F.lit(text).cast("timestamp")
+    local, remote = (TermStore(spark, _folder(spark), c.schema) for _ in range(2))
+    local.push(c.where("term <> 'Q1' and not (term = 'Q2' and quota = 7)"), at("2024-01-01 00:00:00"))
+    for day in ("2024-01-02 00:00:00", "2024-01-03 00:00:00"):
+        remote.push(c.where("term <> 'Q4'"), at(day))
+    local.pull(remote, at("2024-01-03 12:00:00"), 24, c.select("year", "term").distinct())
+    return local.rows().join(local.digests().select("year", "term", "n", "fetched_at", "checked_at"), ["year", "term"])
+
+
 def requirement_figures(spark: SparkSession, d: str) -> DataFrame:
     """A requirement page for each part, with a table of two rows and a text."""
     p = table(spark, d, "part").select(F.col("p_partkey").alias("page_id"), F.col("p_size").alias("size"))
@@ -162,7 +185,7 @@ def states_kept(spark: SparkSession, d: str) -> DataFrame:
     return rows.withColumn("from_cut", F.lit(str(start)))
 
 
-QUERIES = {f.__name__: f for f in (terms_read, terms_replaced, terms_exported, requirement_figures, requirement_years, stream_encoded, stream_stored, stream_latest, stream_batches, stream_late, stream_days, states_kept)}
+QUERIES = {f.__name__: f for f in (terms_read, terms_replaced, terms_exported, flat_csv, digest_applied, requirement_figures, requirement_years, stream_encoded, stream_stored, stream_latest, stream_batches, stream_late, stream_days, states_kept)}
 
 _LATEST = """{name} AS (SELECT term, user_id, max(ts) AS ts, arg_max(applied, ts) FILTER (applied IS NOT NULL) AS applied, arg_max(cart, ts) FILTER (cart IS NOT NULL) AS cart,
   arg_max(enrolled, ts) FILTER (enrolled IS NOT NULL) AS enrolled, arg_max(quota, ts) FILTER (quota IS NOT NULL) AS quota
@@ -172,6 +195,9 @@ ORACLE_SQL = {
     "terms_replaced": f"WITH {CLASSES_SQL} SELECT class_id, year, term, name, CASE WHEN term = 'Q2' THEN -quota ELSE quota END AS quota FROM classes WHERE term <> 'Q2' OR quota > 1",
     "terms_exported": f"""WITH {CLASSES_SQL}, one AS (SELECT class_id, day_index, start_time, end_time, period, string_agg(DISTINCT room, '/' ORDER BY room) AS room FROM slots GROUP BY ALL)
 SELECT c.class_id, year, term, name, quota, string_agg(o.day_index || ' ' || o.start_time || ' ' || o.end_time || ' ' || o.room, ';' ORDER BY o.day_index, o.start_time, o.end_time) AS slots FROM classes c JOIN one o USING (class_id) GROUP BY ALL""",
+    "flat_csv": f"SELECT * REPLACE (nullif(grading_switch, '') AS grading_switch, nullif(classification, '') AS classification) FROM ({CATALOG_SQL['flat_export']})",
+    "digest_applied": f"""WITH {CLASSES_SQL}, t AS (SELECT year, term, count(*) AS n, term = 'Q1' OR (term = 'Q2' AND count(*) FILTER (quota = 7) > 0) AS pulled FROM classes GROUP BY ALL)
+SELECT class_id, year, term, name, quota, n, CASE WHEN pulled THEN TIMESTAMP '2024-01-02' ELSE TIMESTAMP '2024-01-01' END AS fetched_at, CASE WHEN pulled THEN TIMESTAMP '2024-01-03' ELSE TIMESTAMP '2024-01-01' END AS checked_at FROM classes JOIN t USING (year, term)""",
     "requirement_figures": """WITH p AS (SELECT p_partkey AS page_id, p_size AS s, 120 + p_size % 23 AS t, 3 + p_size % 4 AS k FROM part), n AS (SELECT *, len(list_filter(range(1, k + 1), lambda i: 10 * i + s BETWEEN 10 AND 999)) + 1 AS c FROM p)
 SELECT page_id, CASE WHEN t <= 140 AND c >= 5 THEN t END AS total, CASE WHEN t <= 140 AND c >= 6 THEN 10 + s END AS general, CASE WHEN t <= 140 AND c >= 6 THEN 20 + s END AS major_single, CASE WHEN t <= 140 AND c >= 6 THEN 50 + s END AS minor,
        CASE WHEN s % 2 = 0 THEN s ELSE 5 END AS select_min, CASE WHEN s % 3 = 0 THEN s ELSE 9 END AS approval_max, CASE WHEN s % 5 = 0 THEN 1 ELSE 0 END AS english_min,

@@ -40,9 +40,21 @@ def write_terms(df: DataFrame, path: str, mode: str = "overwrite") -> None:
     df.repartition("year", "term", F.pmod(F.xxhash64(*df.columns), F.lit(8))).write.mode(mode).partitionBy("year", "term").parquet(path)
 
 
-def replace_terms(new: DataFrame, path: str, min_ratio: float = 0.9, force: bool = False) -> None:
-    """Replace only the partitions that `new` holds; refused if it is empty or a term shrinks below `min_ratio`."""
+def replace_terms(new: DataFrame, path: str, min_ratio: float = 0.9, force: bool = False, scopes: list[str] | None = None, aliases: dict[str, str] | None = None) -> None:
+    """Replace only the partitions that `new` holds; refused if it is empty or a term shrinks below `min_ratio`.
+
+    scopes: the terms to replace; other rows of `new` are left out, and a term that it has no row of is refused, even
+    with `force`: an absent term is a failed collection, not an empty one.
+    """
     spark = new.sparkSession
+    pairs = scope_list(scopes, aliases) if scopes is not None else None
+    if pairs is not None:
+        asked = spark.createDataFrame(pairs, "year int, term string")
+        new = new.join(F.broadcast(asked), [new["year"] == asked["year"], new["term"].cast("string") == asked["term"]], "left_semi")
+        there = {(r["year"], r["term"]) for r in new.select("year", F.col("term").cast("string").alias("term")).distinct().collect()}
+        absent = [f"{year}-{term}" for year, term in pairs if (year, term) not in there]
+        if absent:
+            raise ValueError(f"no rows of {', '.join(absent)}")
     counts = new.groupBy("year", "term").agg(F.count(F.lit(1)).alias("n"))
     if not force:
         if counts.isEmpty():
@@ -82,6 +94,30 @@ def export_flat(classes: DataFrame) -> DataFrame:
     return classes.select(*(made[c].alias(c) if c in made else F.col(c) for c in FLAT))
 
 
+#: Headings of the flat export in its order (fixed values).
+HEADINGS = ("연도", "학기", "교과목명", "교수", "단과대학", "학과", "교과목번호", "강좌번호", "학점", "학년", "이수구분", "정원", "재학생정원", "신입생정원", "신청", "평가방식", "평가방식전환가능", "수업시간")
+#: How spreadsheets read and write CSV: quotes doubled, blanks kept, nothing for null and empty.
+CSV = {"escape": '"', "nullValue": "", "emptyValue": "", "ignoreLeadingWhiteSpace": "false", "ignoreTrailingWhiteSpace": "false"}
+
+
+def write_flat_csv(classes: DataFrame, path: str, files: int = 1) -> None:
+    """The flat export as CSV with headings and a byte order mark, in search order.
+
+    One file by default, which one task writes: what a spreadsheet can open. With more, each holds a range of the order
+    and has headings of its own.
+    """
+    flat, order = export_flat(classes), ["year", "term_label", "name", "lt_no", "sbjt_cd"]
+    flat = flat.coalesce(1) if files == 1 else flat.repartitionByRange(files, *order)
+    flat = flat.sortWithinPartitions(*order).toDF("\ufeff" + HEADINGS[0], *HEADINGS[1:])
+    flat.write.mode("overwrite").options(header="true", **CSV).csv(path)
+
+
+def read_flat_csv(spark: SparkSession, path: str) -> DataFrame:
+    """The rows of such files; empty values are null."""
+    kinds = ", ".join(f"{c} {'int' if c in ('year', 'credits', 'quota', 'quota_returning', 'quota_new', 'applied') else 'string'}" for c in FLAT)
+    return spark.read.schema(kinds).options(header="true", multiLine="true", **CSV).csv(path)
+
+
 def normalize_roster(raw: DataFrame) -> DataFrame:
     """Roster rows (code, lecture, name, subtitle, tag_a, tag_b, credits, quota, times, rooms) to class records.
 
