@@ -196,7 +196,7 @@ ORACLE_SQL = {
     "terms_exported": f"""WITH {CLASSES_SQL}, one AS (SELECT class_id, day_index, start_time, end_time, period, string_agg(DISTINCT room, '/' ORDER BY room) AS room FROM slots GROUP BY ALL)
 SELECT c.class_id, year, term, name, quota, string_agg(o.day_index || ' ' || o.start_time || ' ' || o.end_time || ' ' || o.room, ';' ORDER BY o.day_index, o.start_time, o.end_time) AS slots FROM classes c JOIN one o USING (class_id) GROUP BY ALL""",
     "flat_csv": f"SELECT * REPLACE (nullif(grading_switch, '') AS grading_switch, nullif(classification, '') AS classification) FROM ({CATALOG_SQL['flat_export']})",
-    "digest_applied": f"""WITH {CLASSES_SQL}, t AS (SELECT year, term, count(*) AS n, term = 'Q1' OR (term = 'Q2' AND count(*) FILTER (quota = 7) > 0) AS pulled FROM classes GROUP BY ALL)
+    "digest_applied": f"""WITH {CLASSES_SQL}, t AS (SELECT year, term, count(*) AS n, term = 'Q1' OR (term = 'Q2' AND count(*) FILTER (quota = 7) > 0) AS pulled FROM classes GROUP BY year, term)
 SELECT class_id, year, term, name, quota, n, CASE WHEN pulled THEN TIMESTAMP '2024-01-02' ELSE TIMESTAMP '2024-01-01' END AS fetched_at, CASE WHEN pulled THEN TIMESTAMP '2024-01-03' ELSE TIMESTAMP '2024-01-01' END AS checked_at FROM classes JOIN t USING (year, term)""",
     "requirement_figures": """WITH p AS (SELECT p_partkey AS page_id, p_size AS s, 120 + p_size % 23 AS t, 3 + p_size % 4 AS k FROM part), n AS (SELECT *, len(list_filter(range(1, k + 1), lambda i: 10 * i + s BETWEEN 10 AND 999)) + 1 AS c FROM p)
 SELECT page_id, CASE WHEN t <= 140 AND c >= 5 THEN t END AS total, CASE WHEN t <= 140 AND c >= 6 THEN 10 + s END AS general, CASE WHEN t <= 140 AND c >= 6 THEN 20 + s END AS major_single, CASE WHEN t <= 140 AND c >= 6 THEN 50 + s END AS minor,

@@ -37,7 +37,7 @@ def read_terms(spark: SparkSession, path: str, scopes: list[str] | str = "all",
 
 
 def write_terms(df: DataFrame, path: str, mode: str = "overwrite") -> None:
-    df.repartition("year", "term", F.pmod(F.xxhash64(*df.columns), F.lit(8))).write.mode(mode).partitionBy("year", "term").parquet(path)
+    df.hint("rebalance", "year", "term").write.mode(mode).partitionBy("year", "term").parquet(path)
 
 
 def replace_terms(new: DataFrame, path: str, min_ratio: float = 0.9, force: bool = False, scopes: list[str] | None = None, aliases: dict[str, str] | None = None) -> None:
@@ -63,7 +63,7 @@ def replace_terms(new: DataFrame, path: str, min_ratio: float = 0.9, force: bool
         shrunk = counts.join(old, ["year", "term"]).where(F.col("n") < min_ratio * F.col("was")).limit(5).collect()
         if shrunk:
             raise ValueError(f"terms shrink too much: {[r.asDict() for r in shrunk]}")
-    out = new.repartition("year", "term", F.pmod(F.xxhash64(*new.columns), F.lit(8)))
+    out = new.hint("rebalance", "year", "term")
     out.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("year", "term").parquet(path)
 
 

@@ -47,8 +47,8 @@ class TermStore:
         return self._read("digests", T.StructType([*own, *T._parse_datatype_string("digest string, n long, fetched_at timestamp, checked_at timestamp").fields]))
 
     def _swap(self, name: str, df: DataFrame) -> None:
-        parts = df.repartition(*self.scope, F.pmod(F.xxhash64(*df.columns), F.lit(8))) if name == "rows" else df.repartition(*self.scope)
-        parts.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*self.scope).parquet(f"{self.path}/{name}")
+        # a file a term, or several where a term is large
+        df.hint("rebalance", *self.scope).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*self.scope).parquet(f"{self.path}/{name}")
 
     def push(self, new: DataFrame, now: Column, min_keep: float = 0.9, force: bool = False) -> DataFrame:
         """Store the terms of `new` that are new or changed; (scope, status) of all of them.
