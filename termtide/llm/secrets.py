@@ -1,7 +1,8 @@
 """Secret scans: fixed patterns, and a battery of randomness tests over unexplained tokens.
 
-Three fixed kinds (assign, access, hex) are always reported. Every other long token that mixes letters
-and digits is a candidate: its encoding is inferred, and a chi-squared test of alphabet uniformity, a
+Three fixed kinds (assign, access, hex) are always reported. Every other token of 20 symbols or more that mixes letters
+and digits is a candidate (letters alone are names and words, digits alone numbers: neither is ever reported): its encoding is inferred, the smallest of hex,
+base32, base36, base58, base62 and base64 that holds it, and a chi-squared test of alphabet uniformity, a
 runs test and a lag-one serial correlation test ask whether it looks like uniform random symbols. The
 three p-values join by Fisher's method.
 
@@ -44,6 +45,9 @@ TOKEN = re.compile(r"[A-Za-z0-9+/_-]{20,}={0,2}")
 ENCODINGS = (
     ("hex", "0123456789abcdef"),
     ("base32", "ABCDEFGHIJKLMNOPQRSTUVWXYZ234567"),
+    ("base36", "0123456789abcdefghijklmnopqrstuvwxyz"),
+    ("base58", "123456789ABCDEFGHJKLMNPQRSTUVWXYZabcdefghijkmnopqrstuvwxyz"),
+    ("base62", "0123456789ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz"),
     ("base64", "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/"),
 )
 #: Lower ends of the length classes.
@@ -80,13 +84,18 @@ def infer(token: str) -> tuple[list[int], int]:
     """Symbol numbers of the token, and size of the smallest alphabet that holds it."""
     body = token.rstrip("=")
     bare = body.replace("-", "").replace("_", "")
-    for name, alphabet in ENCODINGS[:2]:
-        for form in (bare, bare.lower()) if name == "hex" else (bare,):
-            at = [alphabet.find(c) for c in form]
+    for name, alphabet in ENCODINGS[:-1]:
+        # dashes part groups of the small alphabets, which are written in one case
+        form = bare if len(alphabet) <= 36 else body
+        for text in (form, form.lower()) if name != "base32" and len(alphabet) <= 36 else (form,):
+            at = [alphabet.find(c) for c in text]
             if at and min(at) >= 0:
                 return at, len(alphabet)
-    _, alphabet = ENCODINGS[2]
-    return [alphabet.find({"-": "+", "_": "/"}.get(c, c)) for c in body], len(alphabet)
+    return base64_symbols(body), 64
+
+
+def base64_symbols(body: str) -> list[int]:
+    return [ENCODINGS[-1][1].find({"-": "+", "_": "/"}.get(c, c)) for c in body]
 
 
 def battery(at: list[int], k: int) -> float:

@@ -199,3 +199,52 @@ def test_keys_of_40_symbols_are_found_whatever_else_there_is(spark):
     many = 1_000_000 // len(wordy)
     limit, least = (secrets.first_rejected({b: groups[0].count(b) + many * groups[1].count(b) for b in {*groups[0], *groups[1]}}, 0.01) for groups in (random_bins, text_bins))
     assert sum(r < limit and t >= least for r, t in zip(random_bins[0], text_bins[0], strict=True)) >= 0.97 * len(keys)
+
+
+def test_keys_of_every_alphabet_and_length_are_found(spark):
+    """Alone in their class or among identifiers that are made of no listed word."""
+    own = random.Random(41)
+    low, up, digits = "abcdefghijklmnopqrstuvwxyz", "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "0123456789"
+    alphabets = {"base36": digits + low, "upper": digits + up, "base58": dict(secrets.ENCODINGS)["base58"], "base62": digits + low + up, "base64": B64}
+    syllables = ["tor", "lun", "mek", "sab", "rin", "dol", "vet", "kur", "pon", "fas", "gil", "nep", "hob", "wim", "jat", "zet", "bra", "sto", "cle", "fri"]
+    word = lambda: "".join(own.choices(syllables, k=own.randint(2, 3)))
+    identifiers = [own.choice("-_/").join(word() for _ in range(own.randint(4, 6))) + own.choice(["", "-v2", "_2023", "-17", "3"]) for _ in range(500)]
+    identifiers += ["".join(word().capitalize() for _ in range(own.randint(4, 6))) + own.choice(["", "2", "V1", "2024", "3D"]) for _ in range(500)]
+    keys = [("".join(own.choices(symbols, k=n)), name, n) for name, symbols in alphabets.items() for n in (24, 32, 40, 64, 100, 200) for _ in range(30)]
+    texts = [k for k, _, _ in keys] + identifiers
+    rows = secrets.scan(spark.createDataFrame([(i, f"see {t} ok") for i, t in enumerate(texts)], "doc_id long, text string")).collect()
+    spans = {r["doc_id"]: r["spans"] for r in rows}
+    hit = [bool(spans[i]) for i in range(len(texts))]
+    for name in alphabets:
+        short, longer = ([h for h, (_, a, n) in zip(hit, keys, strict=False) if a == name and (n < 32) == few] for few in (True, False))
+        assert sum(longer) >= 0.97 * len(longer) and sum(short) >= 0.8 * len(short), (name, sum(short), sum(longer))
+    assert sum(hit[len(keys):]) <= 0.05 * len(identifiers), sum(hit[len(keys):])
+
+
+def test_the_battery_gives_the_p_values_of_its_definitions():
+    """Chi-squared, runs and serial correlation by plain formulas, and their spread over random keys."""
+    import math
+
+    own = random.Random(42)
+    ps = []
+    for k in (16, 32, 36, 58, 62, 64):
+        for n in (24, 40, 100):
+            for _ in range(40):
+                at = [own.randrange(k) for _ in range(n)]
+                expected = n / k
+                x = sum((at.count(s) - expected) ** 2 / expected for s in range(k))
+                v = 2 / (9 * (k - 1))
+                chi = 0.5 * math.erfc(((x / (k - 1)) ** (1 / 3) - 1 + v) / math.sqrt(2 * v))
+                high = [2 * a >= k for a in at]
+                n1, n2, runs = high.count(True), high.count(False), 1 + sum(a != b for a, b in zip(high, high[1:]))
+                mean = 2 * n1 * n2 / n + 1
+                sd = math.sqrt((mean - 1) * (mean - 2) / (n - 1))
+                run = math.erfc(abs(runs - mean) / sd / math.sqrt(2))
+                m = sum(at) / n
+                r = sum((a - m) * (b - m) for a, b in zip(at, at[1:])) / sum((a - m) ** 2 for a in at)
+                serial = math.erfc(abs(r + 1 / n) * math.sqrt(n) / math.sqrt(2))
+                h = -math.log(chi * run * serial)
+                assert abs(secrets.battery(at, k) - math.exp(-h) * (1 + h + h * h / 2)) < 1e-9
+                ps.append(secrets.battery(at, k))
+    assert abs(sum(p < 0.1 for p in ps) / len(ps) - 0.1) < 0.05 and sum(p < 0.001 for p in ps) < 8
+    assert secrets.battery([0] * 40, 36) < 1e-9 and secrets.battery([0, 35] * 20, 36) < 1e-9
