@@ -2,14 +2,13 @@
 
 from __future__ import annotations
 
-import itertools
 import re
 from html.parser import HTMLParser
 from urllib.parse import urljoin
 
 BLANKS = re.compile(r"\s+")
 VOID = frozenset("area base br col embed hr img input link meta source track wbr".split())
-#: A number pair such as `12 / 30`, a plain integer, and a meeting block (fixed formats of the cards).
+#: A number pair such as `12 / 30`, a plain integer, a meeting block, the days of a week and a tag (fixed formats of the cards).
 PAIR, INTEGER = re.compile(r"(\d+)\s*/\s*(\d+)"), re.compile(r"-?\d+")
 MEETING = re.compile(r"([월화수목금토일])\((\d{1,2}:\d{2})~(\d{1,2}:\d{2})\)")
 DAYS = "월화수목금토일"
@@ -147,67 +146,78 @@ def links(markup: str, base: str, pattern: str) -> list[tuple[str, str]]:
     return list(out.items())
 
 
-class _Node:
-    def __init__(self, tag, attrs, parent):
-        self.tag, self.attrs, self.parent, self.items = tag, attrs, parent, []
-
-    def all(self):
-        """All nodes below in order, however deep."""
-        stack = [iter(self.items)]
-        while stack:
-            for item in stack[-1]:
-                if isinstance(item, _Node):
-                    yield item
-                    stack.append(iter(item.items))
-                    break
-            else:
-                stack.pop()
-
-    def words(self):
-        """All pieces of text below in order."""
-        stack = [iter(self.items)]
-        while stack:
-            for item in stack[-1]:
-                if isinstance(item, _Node):
-                    stack.append(iter(item.items))
-                    break
-                yield item
-            else:
-                stack.pop()
-
-    def text(self, gap=""):
-        return gap.join(self.words())
-
-    def has(self, tag, *classes):
-        return self.tag == tag and set(classes) <= set((self.attrs.get("class") or "").split())
-
-    def first(self, tag, *classes):
-        return next((n for n in self.all() if n.has(tag, *classes)), None)
-
-
-class _Tree(HTMLParser):
-    def __init__(self):
+class _Page(HTMLParser):
+    """The elements of a page in the order of their starts, each with the elements and pieces of text that it spans.
+
+    Element i holds elements i + 1 to `end[i]` and pieces `begins[i]` to `stops[i]`. A closing tag ends the innermost
+    open element of its name and all in it; one without such an element is ignored.
+    """
+
+    def __init__(self, markup: str):
         super().__init__(convert_charrefs=True)
-        self.root = self.at = _Node("", {}, None)
+        self.tags: list[str] = []
+        self.attrs: list[dict[str, str | None]] = []
+        self.end: list[int] = []
+        self.begins: list[int] = []
+        self.stops: list[int] = []
+        self.pieces: list[str] = []
+        self.opened: list[int] = []
+        self.n_open: dict[str, int] = {}
+        self.feed(markup)
+        self.close()
+        self._shut(0)
+
+    def _shut(self, depth: int) -> None:
+        n, m = len(self.tags), len(self.pieces)
+        for i in self.opened[depth:]:
+            self.end[i], self.stops[i] = n, m
+            self.n_open[self.tags[i]] -= 1
+        del self.opened[depth:]
+
+    def handle_startendtag(self, tag, attrs):
+        self.tags.append(tag)
+        self.attrs.append(dict(attrs))
+        self.end.append(len(self.tags))
+        self.begins.append(len(self.pieces))
+        self.stops.append(len(self.pieces))
 
     def handle_starttag(self, tag, attrs):
-        node = _Node(tag, dict(attrs), self.at)
-        self.at.items.append(node)
+        self.handle_startendtag(tag, attrs)
         if tag not in VOID:
-            self.at = node
-
-    def handle_startendtag(self, tag, attrs):
-        self.at.items.append(_Node(tag, dict(attrs), self.at))
+            self.opened.append(len(self.tags) - 1)
+            self.n_open[tag] = self.n_open.get(tag, 0) + 1
 
     def handle_endtag(self, tag):
-        node = self.at
-        while node.parent is not None and node.tag != tag:
-            node = node.parent
-        if node.parent is not None:
-            self.at = node.parent
+        if self.n_open.get(tag):
+            depth = len(self.opened) - 1
+            while self.tags[self.opened[depth]] != tag:
+                depth -= 1
+            self._shut(depth)
 
     def handle_data(self, data):
-        self.at.items.append(data)
+        self.pieces.append(data)
+
+    def text(self, i: int, gap: str = "") -> str:
+        return gap.join(self.pieces[self.begins[i] : self.stops[i]])
+
+    def classes(self, i: int) -> list[str]:
+        return (self.attrs[i].get("class") or "").split()
+
+    def value(self, i: int) -> str:
+        return (self.attrs[i].get("value") or "").strip()
+
+    def inside(self, i: int, tag: str) -> list[int]:
+        """The elements of a name in an element, however deep."""
+        return [j for j in range(i + 1, self.end[i]) if self.tags[j] == tag]
+
+    def children(self, i: int, tag: str) -> list[int]:
+        """The elements of a name right in an element."""
+        out, j = [], i + 1
+        while j < self.end[i]:
+            if self.tags[j] == tag:
+                out.append(j)
+            j = self.end[j]
+        return out
 
 
 def _number(text: str | None) -> int | None:
@@ -217,82 +227,74 @@ def _number(text: str | None) -> int | None:
 
 def cards(markup: str) -> tuple[int, list[dict]]:
     """(reported total, one record per result card) of a result page; the page's year and term go before a card's."""
-    tree = _Tree()
-    tree.feed(markup)
-    tree.close()
-    inputs = {n.attrs.get("id"): (n.attrs.get("value") or "").strip() for n in tree.root.all() if n.tag == "input" and n.attrs.get("id")}
+    page = _Page(markup)
+    inputs: dict[str | None, str] = {}
+    found, result = [], None
+    for i, tag in enumerate(page.tags):
+        if tag == "input" and page.attrs[i].get("id"):
+            inputs[page.attrs[i]["id"]] = page.value(i)
+        elif tag == "div" and "class" in page.attrs[i]:
+            names = page.classes(i)
+            if "course-info-item" in names:
+                found.append(i)
+            if result is None and "search-result-con" in names:
+                result = i
     combined = inputs.get("srchOpenShtm", "")
     term = (combined[:10], combined[10:]) if len(combined) == 20 else ("", "")
-    result = tree.root.first("div", "search-result-con") or tree.root
-    total = next((int(e.text().strip()) for s in result.all() if s.tag == "small" for e in s.all() if e.tag == "em" and e.text().strip().isdigit()), 0)
-    return total, [_card(n, inputs.get("srchOpenSchyy", ""), term) for n in tree.root.all() if n.has("div", "course-info-item")]
-
-
-def _hidden(name: str):
-    return lambda card: next((v for n in card.all() if n.tag == "input" and n.attrs.get("name") == name and (v := (n.attrs.get("value") or "").strip())), "")
-
-
-def _title(card: _Node) -> _Node | None:
-    return next((n for n in card.all() if "course-name" in (n.attrs.get("class") or "").split()), None)
-
-
-def _shown_name(card: _Node) -> str:
-    title = _title(card)
-    strong = title.first("strong") if title else None
-    return BLANKS.sub(" ", strong.text(" ")).strip() if strong else ""
-
-
-def _line(card: _Node, number: int) -> _Node | None:
-    return next(itertools.islice((n for n in card.all() if n.has("li", "txt")), number, None), None)
-
-
-def _person(number: int):
-    """One of the first spans of the first line, if it has three or more."""
-
-    def read(card: _Node) -> str:
-        spans = [n.text().strip() for n in line.all() if n.tag == "span"] if (line := _line(card, 0)) else []
-        return spans[number] if len(spans) >= 3 else ""
-
-    return read
-
-
-def _labelled(label: str, before: tuple[str, ...], pattern: re.Pattern, group: int = 0):
-    """The last figure of the second line that stands under a label and under none of those that go before it."""
-
-    def read(card: _Node) -> int | None:
-        found, line = None, _line(card, 1)
-        for span in line.items if line else []:
-            if isinstance(span, _Node) and span.tag == "span" and label in (shown := span.text(" ")) and not any(b in shown for b in before):
-                value = span.first("em")
-                m = pattern.search(value.text().strip() if value else "")
-                found = int(m[group]) if m else (None if pattern is INTEGER else found)
-        return found
-
-    return read
-
-
-def _cart(card: _Node) -> int | None:
-    icon = card.first("span", "carts")
-    return _number(icon.text(" ")) if icon else _labelled(LABELS[2], LABELS[:2], INTEGER)(card)
+    span = range(len(page.tags)) if result is None else range(result + 1, page.end[result])
+    shown = (page.text(e).strip() for s in span if page.tags[s] == "small" for e in page.inside(s, "em"))
+    total = next((int(t) for t in shown if t.isdigit()), 0)
+    return total, [_card(page, i, inputs.get("srchOpenSchyy", ""), term) for i in found]
 
 
-def _vacancy(card: _Node) -> int | None:
-    badge = card.first("li", "state")
-    return int("취소여석" in badge.text()) if badge else None
+def _labelled(page: _Page, line: int | None, label: str, before: tuple[str, ...], pattern: re.Pattern, group: int = 0) -> int | None:
+    """The last figure of a line that stands under a label and under none of those that go before it."""
+    found = None
+    for span in page.children(line, "span") if line is not None else []:
+        if label in (shown := page.text(span, " ")) and not any(b in shown for b in before):
+            m = pattern.search(page.text(value[0]).strip() if (value := page.inside(span, "em")) else "")
+            found = int(m[group]) if m else (None if pattern is INTEGER else found)
+    return found
 
 
 #: Labels of figures (fixed values), in the order in which they are looked for.
 LABELS = ("정원", "총수강인원", "장바구니", "학점")
-#: The fields of a card and how each is read.
-CARD_FIELDS = {
-    "year": _hidden("openSchyy"), "shtm_fg": _hidden("openShtmFg"), "deta_shtm_fg": _hidden("openDetaShtmFg"), "sbjt_cd": _hidden("sbjtCd"), "lt_no": _hidden("ltNo"), "subh_cd": _hidden("sbjtSubhCd"),
-    "name": lambda card: _shown_name(card) or _hidden("sbjtNm")(card), "classification": lambda card: TAG.findall(title.text()) if (title := _title(card)) else [],
-    "professor": _person(0), "department": _person(1), "applied": _labelled(LABELS[0], (), PAIR, 1), "quota": _labelled(LABELS[0], (), PAIR, 2),
-    "enrolled": _labelled(LABELS[1], LABELS[:1], INTEGER), "credits": _labelled(LABELS[3], LABELS[:3], INTEGER), "cart": _cart, "cancel_vacancy": _vacancy,
-    "slots": lambda card: [{"day_index": DAYS.index(d), "period": max(0, int(s.split(":")[0]) - 8), "start_time": s, "end_time": e} for d, s, e in MEETING.findall(card.text(" "))],
-}
-
-
-def _card(card: _Node, year: str, term: tuple[str, str]) -> dict:
-    out = {field: read(card) for field, read in CARD_FIELDS.items()}
+#: The hidden inputs of a card by the fields that they fill.
+HIDDEN = {"year": "openSchyy", "shtm_fg": "openShtmFg", "deta_shtm_fg": "openDetaShtmFg", "sbjt_cd": "sbjtCd", "lt_no": "ltNo", "subh_cd": "sbjtSubhCd"}
+
+
+def _card(page: _Page, card: int, year: str, term: tuple[str, str]) -> dict:
+    """One pass over a card's elements finds its parts; fields are read from these."""
+    hidden: dict[str | None, str] = {}
+    lines: list[int] = []
+    title = badge = icon = None
+    for i in range(card + 1, page.end[card]):
+        tag, attrs = page.tags[i], page.attrs[i]
+        if tag == "input":
+            name = attrs.get("name")
+            hidden[name] = hidden.get(name) or page.value(i)
+        if "class" not in attrs:
+            continue
+        names = page.classes(i)
+        if title is None and "course-name" in names:
+            title = i
+        if tag == "li":
+            lines += [i] if "txt" in names else []
+            badge = i if badge is None and "state" in names else badge
+        elif tag == "span" and icon is None and "carts" in names:
+            icon = i
+    strong = page.inside(title, "strong") if title is not None else []
+    name = BLANKS.sub(" ", page.text(strong[0], " ")).strip() if strong else ""
+    people = [page.text(i).strip() for i in page.inside(lines[0], "span")] if lines else []
+    people = people[:2] if len(people) >= 3 else ["", ""]
+    second = lines[1] if len(lines) > 1 else None
+    quota, taken, cart, credits = LABELS
+    out = {field: hidden.get(source, "") for field, source in HIDDEN.items()} | {
+        "name": name or hidden.get("sbjtNm", ""), "classification": TAG.findall(page.text(title)) if title is not None else [], "professor": people[0], "department": people[1],
+        "applied": _labelled(page, second, quota, (), PAIR, 1), "quota": _labelled(page, second, quota, (), PAIR, 2), "enrolled": _labelled(page, second, taken, (quota,), INTEGER),
+        "credits": _labelled(page, second, credits, (quota, taken, cart), INTEGER),
+        "cart": _number(page.text(icon, " ")) if icon is not None else _labelled(page, second, cart, (quota, taken), INTEGER),
+        "cancel_vacancy": int("취소여석" in page.text(badge)) if badge is not None else None,
+        "slots": [{"day_index": DAYS.index(d), "period": max(0, int(s.split(":")[0]) - 8), "start_time": s, "end_time": e} for d, s, e in MEETING.findall(page.text(card, " "))],
+    }
     return out | {f: v for f, v in (("year", year), ("shtm_fg", term[0]), ("deta_shtm_fg", term[1])) if v}
