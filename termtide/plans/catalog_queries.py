@@ -2,12 +2,16 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from termtide.operators import catalog, series
 from termtide.plans.model import CLASSES_SQL, classes, slots, table
 from termtide.sources import tables
+from termtide.sources.durable import cut, shared_dir
+from termtide.sources.postings import Postings
 
 
 
@@ -17,6 +21,15 @@ def class_search(spark: SparkSession, d: str) -> DataFrame:
     return catalog.search(c, slots(spark, d), equal={"year": 1996}, contains=word, any_of=[["R", "A", "N"]], within={"grading": ["R", "A", "N"]}, meets=(2, 3)).select("class_id", "name")
 
 
+def class_search_indexed(spark: SparkSession, d: str) -> DataFrame:
+    """The same words looked up in posting lists of all classes' names and professors."""
+    c = cut(classes(spark, d))
+    index = Postings(spark, f"{shared_dir(spark).rstrip('/')}/termtide-{uuid.uuid4().hex}", c.schema)
+    index.build(c, ["name", "professor"])
+    word = {"name": "RED", "professor": "supplier#0000000"}
+    return index.search(c, slots(spark, d), equal={"year": 1996}, contains=word, any_of=[["R", "A", "N"]], within={"grading": ["R", "A", "N"]}, meets=(2, 3)).select("class_id", "name")
+
+
 def class_page(spark: SparkSession, d: str) -> DataFrame:
     """The paging feature itself: rows 101 to 150 of a term in search order."""
     return catalog.search(classes(spark, d), equal={"year": 1997, "term": "Q2"}, limit=50, offset=100).select("class_id", "name", "lt_no")
@@ -200,7 +213,7 @@ def flat_export(spark: SparkSession, d: str) -> DataFrame:
 
 
 QUERIES = {f.__name__: f for f in (
-    class_search, class_page, class_count, window_orders, pass_flags, term_states, cart_ratios, live_resolution, live_overlay, live_report, null_audit, null_figures,
+    class_search, class_search_indexed, class_page, class_count, window_orders, pass_flags, term_states, cart_ratios, live_resolution, live_overlay, live_report, null_audit, null_figures,
     latest_overlay, carts_restored, grading_tags, timing_recovered, rooms_backfilled, slots_backfilled, freshness, classes_untagged, saved_classes, open_work, tag_counts, departments, term_times, term_overview, nested_slots, flat_export,
 )}
 
@@ -275,3 +288,4 @@ SELECT v.*, live_from, coalesce(exposed, 0) AS exposed, coalesce(chunk_starts, '
 SELECT year, CASE term WHEN 'Q1' THEN '1학기' WHEN 'Q2' THEN '여름학기' WHEN 'Q3' THEN '2학기' ELSE term END AS term_label, name, professor, 'C' || (credits % 5) AS college, department, sbjt_cd, lt_no, credits, grade, array_to_string(classification, ' ') AS classification,
        quota, CASE WHEN cart IS NOT NULL THEN quota - 1 END AS quota_returning, CASE WHEN cart IS NOT NULL THEN 1 END AS quota_new, applied, grading, CASE WHEN quota > 40 THEN 'Y' ELSE '' END AS grading_switch, times FROM classes JOIN t USING (class_id)""",
 }
+ORACLE_SQL["class_search_indexed"] = ORACLE_SQL["class_search"]
