@@ -48,10 +48,12 @@ CALLING = frozenset("20 21 22 23 24 25 26 27 29 30 31 32 33 34 35 36 37 38 39 40
 BEFORE = (
     ("mail", "contact", "write", "reach", "address", "kontakt", "schreib", "adresse", "anschrift", "courriel", "écri", "contacte", "correo", "escrib", "direcci"),
     ("ip", "host", "server", "address", "client", "adresse", "serveur", "hôte", "servidor", "direcci", "rechner"),
-    ("card", "visa", "credit", "payment", "pay ", "karte", "kredit", "zahl", "carte", "paiement", "tarjeta", "pago", "crédit", "crédito"),
-    ("phone", "tel", "call", "mobile", "fax", "cell", "ruf", "handy", "mobil", "appel", "portable", "llam", "móvil"),
+    ("card", "visa", "credit", "payment", "pay ", "karte", "kredit", "zahl", "bezahl", "carte", "paiement", "tarjeta", "pago", "crédit", "crédito"),
+    ("phone", "tel", "call", "mobile", "fax", "cell", "ruf", "anruf", "handy", "mobil", "appel", "portable", "llam", "móvil"),
 )
 OTHER = ("order", "version", "isbn", "sku", "item", "page", "line", "invoice", "bestell", "rechnung", "seite", "zeile", "artikel", "commande", "facture", "pedido", "factura", "página", "línea", "ligne")
+#: The same as beginnings of words: `tel` stands in telephone, not in hotel.
+BEFORE_WORDS, OTHER_WORDS = tuple(re.compile(r"\b(?:" + "|".join(map(re.escape, words)) + ")") for words in BEFORE), re.compile(r"\b(?:" + "|".join(OTHER) + ")")
 VOTES = 5
 SPAN = T.StructType([T.StructField(n, T.IntegerType()) for n in ("kind", "start", "end", "base", "shape")])
 
@@ -95,8 +97,9 @@ def base_spans(text: str) -> list[tuple[int, int, int]]:
 def proposed(text: str, base: list[tuple[int, int, int]]) -> list[tuple[int, int, int]]:
     """Spans of the wider patterns that overlap neither a fixed span nor one another."""
     found = [(2, m.start(), m.end()) for m in CARD.finditer(text) if m.end() - m.start() >= 15 and 15 <= len(d := _digits(m[0])) <= 16 and not luhn(d)]
+    low = text.lower()
     for kind, pattern in WIDE:
-        if kind or "at" in text or "AT" in text:
+        if kind or "at" in low:
             found += [(kind, m.start(), m.end()) for m in pattern.finditer(text)]
     taken, out = Cover((s, e) for _, s, e in base), []
     for kind, start, end in sorted(found, key=lambda f: (f[1], -f[2], f[0])):  # leftmost, then longest, then by kind
@@ -127,7 +130,7 @@ def votes(text: str, kind: int, start: int, end: int) -> tuple[int, ...]:
         form = 2 if len(digits) in (10, 11, 12) else 1
         gazetteer = (2 if digits[0] in "17" or digits[:2] in CALLING else 0) if span[0] == "+" else 1
         check = 2 if "555" not in span or span[0] == "+" else 1
-    context = 2 if any(w in before for w in BEFORE[kind]) else 0 if any(w in before for w in OTHER) else 1
+    context = 2 if BEFORE_WORDS[kind].search(before) else 0 if OTHER_WORDS.search(before) else 1
     around = 0 if edge[0].isalnum() or edge[1].isalnum() else 2 if edge[0].isspace() and not edge[1].isalnum() else 1
     return form, gazetteer, context, around, check
 

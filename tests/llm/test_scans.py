@@ -248,3 +248,11 @@ def test_the_battery_gives_the_p_values_of_its_definitions():
                 ps.append(secrets.battery(at, k))
     assert abs(sum(p < 0.1 for p in ps) / len(ps) - 0.1) < 0.05 and sum(p < 0.001 for p in ps) < 8
     assert secrets.battery([0] * 40, 36) < 1e-9 and secrets.battery([0, 35] * 20, 36) < 1e-9
+
+
+def test_context_words_begin_words_and_addresses_of_any_case_are_proposed():
+    context = lambda before, kind: pii.votes(f"{before} 030 123 4567", kind, len(before) + 1, len(before) + 13)[2]
+    assert [context(b, 3) for b in ("hotel", "excellent", "tel", "Telefon:", "my cell", "Anruf", "order no")] == [1, 1, 2, 2, 2, 2, 0]
+    assert [context(b, 1) for b in ("description", "ip", "server")] == [1, 2, 2]
+    for text in ("jane (At) siTe.org", "JANE (AT) SITE.ORG", "jane (aT) site (dot) org"):
+        assert [p[0] for p in pii.proposed(text, [])] == [0]
