@@ -232,13 +232,14 @@ SELECT coalesce(p.code, n.code) AS code, coalesce(prev, '') AS prev, coalesce(ne
     "building_order": f"""WITH {_ROOMS} SELECT campus, building, name, CASE WHEN regexp_full_match(building, '[0-9]+(-[0-9]+)*') THEN 0 ELSE 1 END AS kind,
 CASE WHEN regexp_full_match(building, '[0-9]+(-[0-9]+)*') THEN building ELSE '' END AS numbers, CASE WHEN regexp_full_match(building, '[0-9]+(-[0-9]+)*') THEN '' ELSE building END AS text FROM idx""",
     "rooms_free": f"""WITH {_ROOMS}, q AS (SELECT * FROM (VALUES (1, 2, '09:30', '10:00', '관악', NULL), (2, 4, '12:00', '14:00', '연건', '5-'), (3, 1, '10:00', '11:00', '평창', '6')) t(query_id, d, s, e, campus, b)),
-pool AS (SELECT t.year, t.term, q.*, i.building, i.name, i.last FROM (SELECT DISTINCT year, term FROM classes) t, idx i JOIN q ON q.campus = i.campus
-  AND (q.b IS NULL OR (q.query_id = 2 AND (i.building = '5' OR i.building LIKE '5-%')) OR (q.query_id = 3 AND i.building = '6'))),
-here AS (SELECT DISTINCT year, term, campus, building, name FROM meet_t),
-met AS (SELECT p.year, p.term, p.query_id, p.campus, p.building, p.name, coalesce(bool_or(m.start_time < p.e AND m.end_time > p.s), false) AS busy, min(m.start_time) FILTER (m.start_time >= p.e) AS next_start
-  FROM pool p LEFT JOIN meet_t m ON m.year = p.year AND m.term = p.term AND m.campus = p.campus AND m.building = p.building AND m.name = p.name AND m.day_index = p.d GROUP BY ALL)
-SELECT met.year, met.term, met.query_id, met.campus, met.building, met.name, next_start, CASE WHEN here.year IS NULL THEN last END AS last_term
-FROM met JOIN pool USING (year, term, query_id, campus, building, name) LEFT JOIN here ON here.year = met.year AND here.term = met.term AND here.campus = met.campus AND here.building = met.building AND here.name = met.name WHERE NOT busy""",
+met AS MATERIALIZED (SELECT year, term, campus, building, name, day_index, start_time, end_time FROM meet_t),
+here AS (SELECT DISTINCT year, term, campus, building, name FROM met),
+pool AS (SELECT t.year, t.term, q.query_id, q.d, q.s, q.e, i.campus, i.building, i.name, i.last FROM (SELECT DISTINCT year, term FROM classes) t CROSS JOIN idx i JOIN q ON q.campus = i.campus
+  WHERE q.query_id = 1 OR (q.query_id = 2 AND (i.building = '5' OR i.building LIKE '5-%')) OR (q.query_id = 3 AND i.building = '6')),
+known AS (SELECT p.*, h.year IS NOT NULL AS own FROM pool p LEFT JOIN here h ON h.year = p.year AND h.term = p.term AND h.campus = p.campus AND h.building = p.building AND h.name = p.name),
+asked AS (SELECT k.year, k.term, k.query_id, k.campus, k.building, k.name, k.own, k.last, coalesce(bool_or(m.start_time < k.e AND m.end_time > k.s), false) AS busy, min(m.start_time) FILTER (m.start_time >= k.e) AS next_start
+  FROM known k LEFT JOIN met m ON m.year = k.year AND m.term = k.term AND m.campus = k.campus AND m.building = k.building AND m.name = k.name AND m.day_index = k.d GROUP BY ALL)
+SELECT year, term, query_id, campus, building, name, next_start, CASE WHEN NOT own THEN last END AS last_term FROM asked WHERE NOT busy""",
     "room_clashes": f"WITH {_ROOMS}, m AS (SELECT DISTINCT year, term, campus, name, day_index, class_id, start_time, end_time FROM meet_t) SELECT a.year, a.term, a.campus, a.name, a.day_index, count(*) AS n, min(a.class_id) AS first_class FROM m a JOIN m b ON a.year = b.year AND a.term = b.term AND a.campus = b.campus AND a.name = b.name AND a.day_index = b.day_index AND a.class_id < b.class_id AND a.start_time < b.end_time AND a.end_time > b.start_time GROUP BY ALL",
     "transcripts": f"WITH {_TAKEN} SELECT * FROM taken",
     "recognised_courses": f"WITH {_RECOGNISED} SELECT student, spec_id, code, credits FROM rec",

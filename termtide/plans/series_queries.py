@@ -175,7 +175,7 @@ ORACLE_SQL = {
     "axis_of_term": f"WITH {SAMPLES_SQL} SELECT * FROM axis",
     "latest_fold": f"WITH {SAMPLES_SQL} {_LATEST.format(where='')}",
     "latest_incremental": f"WITH {SAMPLES_SQL} {_LATEST.format(where='')}",
-    "replay_dense": f"WITH {STATES_SQL}, w AS (SELECT * FROM dense) SELECT term, user_id, pass_idx, applied, cart, enrolled, quota FROM w WHERE (term, user_id) IN (SELECT (term, user_id) FROM w WHERE alive)",
+    "replay_dense": f"WITH {STATES_SQL} SELECT term, user_id, pass_idx, applied, cart, enrolled, quota FROM (SELECT *, bool_or(alive) OVER (PARTITION BY term, user_id) AS ever FROM dense) WHERE ever",
     "trend_encoded": f"WITH {_CP} SELECT term, user_id, win::INTEGER AS \"window\", metric, string_agg(pos || ',' || coalesce(val::VARCHAR, 'null'), ',' ORDER BY pos) AS cp FROM runs WHERE pos = 0 OR val IS DISTINCT FROM prev GROUP BY term, user_id, win, metric",
     "trend_decoded": f"WITH {_CP} SELECT term, user_id, metric, count(value) AS n_values, sum(value)::BIGINT AS total, sum(value * (pos + 1))::BIGINT AS weighted FROM cells JOIN wanted USING (term, user_id, win, metric) GROUP BY term, user_id, metric",
     "delta_round_trip": f"""WITH {_DELTAS}
