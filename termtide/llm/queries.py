@@ -78,4 +78,5 @@ ORACLE_SQL = {
     "op8_winnowing_decontamination": sql.DECONTAMINATION,
     "op10_vector_near_duplicates": sql.VECTORS,
     "op11_four_russians_negatives": sql.NEGATIVES,
+    "op12_induced_suffix_dedup": sql.PASSAGES,
 }

@@ -89,3 +89,24 @@ SELECT p.anchor_id, p.vec_id AS positive_id, (row_number() OVER (PARTITION BY p.
 FROM p JOIN s ON s.anchor_id = p.anchor_id AND s.label <> s.anchor_label AND 50 * p.score <= 100 * s.score AND 100 * s.score <= 95 * p.score
 QUALIFY rank <= 3
 """
+
+#: Bytes as hexadecimal digits; windows are cut from pieces of a thousand, since a cut costs what lies before it.
+PASSAGES = """
+WITH d AS (
+  SELECT doc_id, hex(encode(coalesce(text, ''))) AS h, octet_length(encode(coalesce(text, '')))::BIGINT AS n FROM documents
+), p AS (
+  SELECT doc_id, k, substr(h, 2 * k + 1, 2198) AS c FROM (SELECT doc_id, h, unnest(range(0, n - 99, 1000)) AS k FROM d WHERE n >= 100)
+), w AS (
+  SELECT doc_id, k + j AS i, substr(c, 2 * j + 1, 200) AS s FROM (SELECT doc_id, k, c, unnest(range(least(1000, len(c) // 2 - 99))) AS j FROM p)
+), r AS (
+  SELECT doc_id, i FROM w QUALIFY row_number() OVER (PARTITION BY s ORDER BY doc_id, i) > 1
+), g AS (
+  SELECT doc_id, i, sum(new) OVER (PARTITION BY doc_id ORDER BY i) AS run FROM (SELECT doc_id, i, (i > coalesce(lag(i) OVER (PARTITION BY doc_id ORDER BY i) + 100, -1))::INTEGER AS new FROM r)
+), spans AS (
+  SELECT doc_id, min(i) AS a, max(i) + 100 AS b, lag(max(i) + 100, 1, 0) OVER (PARTITION BY doc_id ORDER BY min(i)) AS was FROM g GROUP BY doc_id, run
+), cut AS (
+  SELECT doc_id, sum(b - a)::BIGINT AS n_removed, count(*) AS n_spans, max(b) AS last, string_agg(substr(h, 2 * was + 1, 2 * (a - was)), '' ORDER BY a) AS kept FROM spans JOIN d USING (doc_id) GROUP BY doc_id
+)
+SELECT doc_id, n AS n_bytes, coalesce(n_removed, 0) AS n_removed, coalesce(n_spans, 0) AS n_spans, sha256(unhex(coalesce(kept, '') || substr(h, 2 * coalesce(last, 0) + 1))) AS kept_sha256
+FROM d LEFT JOIN cut USING (doc_id)
+"""
