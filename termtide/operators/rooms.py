@@ -43,16 +43,23 @@ def _places(building: Column) -> Column:
     return F.concat(F.array(F.lit("*"), F.concat(F.lit("="), building)), stems)
 
 
-def room_gaps(meetings: DataFrame, scope: Sequence[str] = ()) -> DataFrame:
+def room_gaps(meetings: DataFrame, scope: Sequence[str] = (), wanted: DataFrame | None = None) -> DataFrame:
     """(scope, campus, building, name, day_index, gap_start, gap_end): when each room that has meetings is free, on days 0 to 6.
 
+    wanted: (scope, campus, day_index) to which the table is limited.
+
     Meetings of a room and day are swept by their start: a gap lies before each one that starts no earlier than all
     before it have ended, and after the last. The day's first gap starts at '' and its last ends at DAY_END. Meetings
     without a start or end, or that end before they start, hold no room.
     """
     room = [*scope, "campus", "building", "name"]
     held = meetings.where("start_time <= end_time").select(*room, "day_index", "start_time", "end_time")
-    days = meetings.select(*room).distinct().select(*room, F.explode(F.sequence(F.lit(0), F.lit(6))).alias("day_index"))
+    used, week = meetings.select(*room).distinct(), F.explode(F.sequence(F.lit(0), F.lit(6))).alias("day_index")
+    if wanted is None:
+        days = used.select(*room, week)
+    else:
+        wanted = wanted.select(*scope, "campus", "day_index").distinct()
+        held, days = held.join(wanted, [*scope, "campus", "day_index"], "left_semi"), used.join(wanted, [*scope, "campus"]).select(*room, "day_index")
     rows = held.unionByName(days.select(*room, "day_index", F.lit(DAY_END).alias("start_time"), F.lit(DAY_END).alias("end_time")))
     before = Window.partitionBy(*room, "day_index").orderBy("start_time", "end_time").rowsBetween(Window.unboundedPreceding, -1)
     rows = rows.withColumn("gap_start", F.coalesce(F.max("end_time").over(before), F.lit("")))
@@ -73,7 +80,7 @@ def free_rooms(meetings: DataFrame, index: DataFrame, queries: DataFrame, other_
     stem = F.regexp_replace("building", r"-\*$", "")
     place = F.when(F.col("building").isNull(), "*").when(F.endswith("building", F.lit("-*")), F.concat(F.lit("~"), stem)).otherwise(F.concat(F.lit("="), F.col("building")))
     asked = queries.where("start < end").select(*scope, "query_id", "day_index", "start", "end", "campus", place.alias("place"), _band(F.col("start")).alias("band"))
-    gaps = room_gaps(meetings.join(index.select(*room), room, "left_semi"), scope)
+    gaps = room_gaps(meetings.join(index.select(*room), room, "left_semi"), scope, asked)
     bands = F.explode(F.sequence(_band(F.col("gap_start")), _band(F.col("gap_end"))))
     keyed = gaps.withColumn("band", bands).withColumn("place", F.explode(_places(F.col("building"))))
     fits = (F.col("gap_start") <= F.col("start")) & (F.col("gap_end") >= F.col("end"))
