@@ -106,3 +106,8 @@ def test_recognition_needs_major_tags_for_units(spark):
     assert sorted(r["code"] for r in requirements.recognized(df, specs).collect()) == ["P9", "X1", "Y"]
     tracks = spark.createDataFrame([(0, "a", 5), (0, "b", None)], "spec_id int, track string, recog_max int")
     assert {r["track"]: r["credits"] for r in requirements.elective_credits(df, specs, tracks).collect()} == {"a": 8, "b": 12}
+
+
+def test_references_without_a_semicolon_stay_in_texts(spark):
+    df = spark.createDataFrame([(1, "<p>a&amp;b and&amp</p><b>&lt x &#65; &#65 &copy;&nosuch; & &amp;amp;</b>")], "page_id long, html string")
+    assert pages.html_to_text(df).collect()[0]["text"] == "a&b and&amp\n&lt x A &#65 ©&nosuch; & &amp;"
