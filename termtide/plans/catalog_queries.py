@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from termtide.operators import catalog, series
 from termtide.plans.model import CLASSES_SQL, classes, slots, table
 from termtide.sources import tables
-from termtide.sources.durable import cut, shared_dir
+from termtide.sources.durable import shared_dir, stored
 from termtide.sources.postings import Postings
 
 
@@ -23,7 +23,7 @@ def class_search(spark: SparkSession, d: str) -> DataFrame:
 
 def class_search_indexed(spark: SparkSession, d: str) -> DataFrame:
     """The same words looked up in posting lists of all classes' names and professors."""
-    c = cut(classes(spark, d))
+    c = stored(classes(spark, d))
     index = Postings(spark, f"{shared_dir(spark).rstrip('/')}/termtide-{uuid.uuid4().hex}", c.schema)
     index.build(c, ["name", "professor"])
     word = {"name": "RED", "professor": "supplier#0000000"}
@@ -116,7 +116,7 @@ def carts_restored(spark: SparkSession, d: str) -> DataFrame:
 
 def grading_tags(spark: SparkSession, d: str) -> DataFrame:
     """Sweeps of the classes with even quotas; the section codes of all years together."""
-    c = classes(spark, d)
+    c = stored(classes(spark, d).select("class_id", "term", "sbjt_cd", "lt_no", "subh_cd", "quota", "grading"))
     sweeps = c.where("quota % 2 = 0").select("sbjt_cd", "lt_no", "subh_cd", F.concat(F.lit("G"), "quota", "term").alias("grading"), F.concat("class_id", F.lit("")).alias("sweep"))
     return catalog.tag_grading(c, sweeps, c.where("quota > 40")).select("class_id", "grading", "grading_switch")
 

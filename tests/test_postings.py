@@ -32,3 +32,11 @@ def test_an_empty_table_and_words_without_grams(spark, tmp_path):
     index = Postings(spark, str(tmp_path / "index"), df.schema)
     index.build(spark.createDataFrame([("a", 2020, "1", "ab", None, "1", "A", "0")], SCHEMA), ["name"])
     assert index.candidates({"name": "ab"}) is None and index.search(df, contains={"name": "abc"}).count() == 0
+
+
+def test_a_text_of_many_rows_is_indexed_once(spark, tmp_path):
+    df = spark.createDataFrame([(f"c{i}", 2020 + i % 3, "1", "linear algebra", None, "1", "A", "0") for i in range(300)], SCHEMA)
+    index = Postings(spark, str(tmp_path / "index"), df.schema)
+    index.build(df, ["name", "professor"])
+    assert spark.read.parquet(str(tmp_path / "index")).selectExpr("max(size(ids)) as n").first()["n"] == 1
+    assert index.search(df, contains={"name": "AR ALG"}, equal={"year": 2021}).count() == 100
