@@ -302,8 +302,11 @@ def untagged(classes: DataFrame, methods: DataFrame, key: Sequence[str] = ("sbjt
 
 
 def nest_slots(classes: DataFrame, slots: DataFrame) -> DataFrame:
-    """The classes with an array `slots`: one per (day, start, end), its rooms sorted and joined by `/`."""
-    one = slots.groupBy("class_id", "day_index", "period", "start_time", "end_time").agg(
+    """The classes with an array `slots`: one per (day, start, end), its rooms sorted and joined by `/`.
+
+    Slots are dealt out by class once, for both groupings and the join.
+    """
+    one = slots.repartition("class_id").groupBy("class_id", "day_index", "period", "start_time", "end_time").agg(
         F.array_join(F.array_sort(F.collect_set(F.when(F.coalesce("room", F.lit("")) != "", F.col("room")))), "/").alias("room"))
     nested = one.groupBy("class_id").agg(F.array_sort(F.collect_list(F.struct("day_index", "start_time", "end_time", "period", "room"))).alias("slots"))
     out = classes.join(nested, "class_id", "left")

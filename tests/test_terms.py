@@ -112,3 +112,23 @@ def test_tags_are_compared_without_order_and_shown_as_stored(spark):
     df = lambda *r: spark.createDataFrame([(k, "n", tags, []) for k, tags in r], schema)
     old, new = df(("a", ["B", "A"]), ("b", ["B", "A"]), ("c", None)), df(("a", ["C", "A"]), ("b", ["A", "B"]), ("c", []))
     assert [tuple(r) for r in snapshots.catalog_diff(old, new, ["k"]).collect()] == [("a", "CLS", "n", "B,A → C,A")]
+
+
+def test_a_summary_takes_the_diff_once_and_counts_repeated_keys_once(spark):
+    rows = [("a", "NEW"), ("b", "QUOTA"), ("b", "NAME"), ("b", "NAME"), ("c", "NAME")]
+    diff = spark.createDataFrame([(k, c, "n", "d") for k, c in rows], "k string, code string, name string, detail string")
+    out = snapshots.diff_summary(diff, ["k"])
+    assert {tuple(r) for r in out.collect()} == {("NEW", 1, 1), ("QUOTA", 1, 1), ("NAME", 3, 2), ("*", 4, 2)}
+    assert {tuple(r) for r in snapshots.diff_summary(diff.limit(0), ["k"]).collect()} == {("*", 0, 0)}
+    joined = snapshots.diff_summary(diff.join(diff.select("k").distinct(), "k"), ["k"])
+    assert joined._jdf.queryExecution().optimizedPlan().toString().count("Join") == 1
+
+
+def test_a_flat_csv_of_many_rows_is_split_in_search_order(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(tables, "FILE_ROWS", 40, raising=False)
+    schema = "year int, term string, name string, professor string, department string, sbjt_cd string, lt_no string, credits int, grade string, classification array<string>, quota int, applied int, grading string, slots array<struct<day_index:int,start_time:string,end_time:string>>"
+    rows = [(2026, "X", f"n{i % 100:03}", "p", "D", f"C{i}", "001", 3, "1", [], 30, 7, "", []) for i in range(100)]
+    tables.write_flat_csv(spark.createDataFrame(rows, schema), f"{tmp_path}/many")
+    files = sorted((tmp_path / "many").glob("*.csv"))
+    names = [line.split(",")[2] for f in files for line in f.read_text(encoding="utf-8").splitlines()[1:]]
+    assert len(files) > 1 and names == [f"n{i:03}" for i in range(100)]
