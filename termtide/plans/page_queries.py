@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from termtide.functions import scalars
 from termtide.plans.model import CLASSES_SQL, classes, slots, table
 from termtide.sources import pages, tables
+from termtide.sources.durable import stored
 
 
 def page_texts(spark: SparkSession, d: str) -> DataFrame:
@@ -55,7 +56,7 @@ def result_cards(spark: SparkSession, d: str) -> DataFrame:
 
 
 def pages_complete(spark: SparkSession, d: str) -> DataFrame:
-    cards = pages.extract_cards(_cards(spark, d))
+    cards = stored(pages.extract_cards(_cards(spark, d)).select("page_id", "total"))
     return pages.check_complete(cards, cards.select("page_id", "total"), ["page_id"])
 
 

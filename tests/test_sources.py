@@ -111,3 +111,18 @@ def test_recognition_needs_major_tags_for_units(spark):
 def test_references_without_a_semicolon_stay_in_texts(spark):
     df = spark.createDataFrame([(1, "<p>a&amp;b and&amp</p><b>&lt x &#65; &#65 &copy;&nosuch; & &amp;amp;</b>")], "page_id long, html string")
     assert pages.html_to_text(df).collect()[0]["text"] == "a&b and&amp\n&lt x A &#65 ©&nosuch; & &amp;"
+
+
+def test_pages_of_plain_tags_are_read_without_the_parser_and_others_by_it(monkeypatch):
+    from termtide.functions import markup
+
+    plain = '<input id="srchOpenSchyy" value="2026"><div class="search-result-con"><small><em>3</em></small><div class=\'course-info-item\'><br/><a class="course-name">[A]<strong>x &amp; y</strong></a></div>'
+    odd = [plain + tail for tail in ("<!-- c -->", "<p class=x>", "<a href='?a&amp;b'>", "< 3", "<script>if (a<b) '<em>'</script>")]
+    events = lambda text: (lambda p: (p.tags, p.attrs, p.end, p.begins, p.stops, p.pieces))(markup._Page(text))
+    read = {text: events(text) for text in (plain, *odd)}
+    monkeypatch.setattr(markup, "TOKEN", __import__("re").compile("(?!)"))
+    assert all(events(text) == got for text, got in read.items())
+    monkeypatch.undo()
+    monkeypatch.setattr(markup._Page, "feed", lambda self, text: 1 / 0)
+    total, (card,) = markup.cards(plain)
+    assert (total, card["year"], card["name"], card["classification"]) == (3, "2026", "x & y", ["A"])
