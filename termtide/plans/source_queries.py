@@ -13,7 +13,7 @@ from termtide.plans.catalog_queries import ORACLE_SQL as CATALOG_SQL
 from termtide.plans.catalog_queries import flat_classes
 from termtide.plans.model import CLASSES_SQL, KEY, SAMPLES_SQL, classes, samples, slots, table
 from termtide.sources import tables
-from termtide.sources.durable import cut, shared_dir
+from termtide.sources.durable import shared_dir, stored
 from termtide.sources.terms import TermStore
 from termtide.streaming import deltas
 from termtide.streaming.states import States
@@ -40,10 +40,10 @@ def terms_read(spark: SparkSession, d: str) -> DataFrame:
 
 def terms_replaced(spark: SparkSession, d: str) -> DataFrame:
     """All terms, of which the second quarters, asked for by name, were written anew with other quotas."""
-    path, c = _folder(spark), _offered(spark, d)
+    path, c = _folder(spark), stored(_offered(spark, d))
     tables.write_terms(c, path)
     years = sorted(r["year"] for r in c.where("term = 'Q2'").select("year").distinct().collect())
-    tables.replace_terms(cut(c.where("term = 'Q1' or quota > 1").withColumn("quota", -F.col("quota"))), path, scopes=[f"{y}-Q2" for y in years], aliases={})
+    tables.replace_terms(stored(c.where("term = 'Q1' or quota > 1").withColumn("quota", -F.col("quota"))), path, scopes=[f"{y}-Q2" for y in years], aliases={})
     return tables.read_terms(spark, path)
 
 
@@ -57,7 +57,7 @@ def terms_exported(spark: SparkSession, d: str) -> DataFrame:
 
 
 def flat_csv(spark: SparkSession, d: str) -> DataFrame:
-    """The flat export written as one CSV file and read again."""
+    """The flat export written as CSV files that a spreadsheet opens and read again."""
     path = _folder(spark)
     tables.write_flat_csv(flat_classes(spark, d), path)
     return tables.read_flat_csv(spark, path)
@@ -65,7 +65,7 @@ def flat_csv(spark: SparkSession, d: str) -> DataFrame:
 
 def digest_applied(spark: SparkSession, d: str) -> DataFrame:
     """Local terms, of which one quarter is missing and another lacks rows, after a pull from a remote that was pushed twice."""
-    c = _offered(spark, d)
+    c = stored(_offered(spark, d))
     at = lambda text: F.lit(text).cast("timestamp")
     local, remote = (TermStore(spark, _folder(spark), c.schema) for _ in range(2))
     local.push(c.where("term <> 'Q1' and not (term = 'Q2' and quota = 7)"), at("2024-01-01 00:00:00"))
@@ -95,7 +95,7 @@ def requirement_years(spark: SparkSession, d: str) -> DataFrame:
 
 def _written(spark: SparkSession, df: DataFrame, parts: list) -> tuple[str, DataFrame]:
     """A folder with one file for each condition in order, and a stream that reads one file at a time."""
-    path, df = f"{_folder(spark)}/in", cut(df)
+    path, df = f"{_folder(spark)}/in", stored(df)
     for part in parts:
         df.where(part).coalesce(1).write.mode("append").parquet(path)
     return path, spark.readStream.schema(df.schema).option("maxFilesPerTrigger", 1).parquet(path)

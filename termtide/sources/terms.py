@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from termtide.operators.snapshots import pull_changed, snapshot_status, term_digest
-from termtide.sources.durable import cut
+from termtide.sources.durable import cut, stored
 
 
 @dataclass
@@ -80,7 +80,7 @@ class TermStore:
         targets = theirs.select(*self.scope) if targets is None else targets
         out = cut(pull_changed(theirs, self.digests(), targets, now, max_age_hours, self.scope))
         wanted = out.where("action = 'apply'").select(*self.scope)
-        rows = cut(remote.rows(wanted))
+        rows = stored(remote.rows(wanted))
         told = theirs.join(wanted, list(self.scope), "left_semi")
         torn = told.join(term_digest(rows, self.scope).select(*self.scope, F.col("digest").alias("read")), list(self.scope), "left")
         torn = torn.where(~F.col("digest").eqNullSafe(F.col("read"))).limit(5).collect()
