@@ -194,6 +194,54 @@ def replay(samples: DataFrame, axis: DataFrame, key: list[str], scope: list[str]
     known = F.col("alive") & (F.col("pass_idx") >= F.col("since"))
     return rows.select(*key, "pass_idx", *(F.when(known & F.col(f"_{m}") if m in masked else known, F.col(m)).alias(m) for m in metrics))
 
+def restate(samples: DataFrame, axis: DataFrame, key: list[str], scope: list[str], metrics=METRICS, masked=MASKED, keyframes: bool = False) -> DataFrame:
+    """What `delta_encode` stores of the dense replay (key, ts, metrics, moved), without building the grid.
+
+    A state holds over a span of recorded passes, and is seen in runs of passes that collect one of its metrics. Within a run
+    a row can only move at its start and where a metric is first collected again, so these passes and the keyframes are
+    the only rows; a run that does not go on from the one before starts anew. Long runs are cut in chunks of passes.
+    """
+    near, size, free = by_size(axis), F.lit(64), [m for m in metrics if m not in masked]
+    recorded = F.greatest(*(F.col(m) for m in masked if m != "applied"), F.lit(False))
+    by_scope = Window.partitionBy(*scope).orderBy("pass_idx")
+    before = F.sum("rec").over(by_scope.rowsBetween(Window.unboundedPreceding, -1))
+    axis = axis.withColumn("rec", recorded.cast("int")).withColumn("rp", F.coalesce(before, F.lit(0)).cast("int")).withColumn("n_rec", F.sum("rec").over(Window.partitionBy(*scope)).cast("int"))
+    passes = axis.where("rec = 1").withColumn("chunk", F.floor(F.col("rp") / size).cast("int"))
+    # what a state knows: a bit for each metric that only some passes collect, or -1 where others are known as well
+    sets = F.array(*(F.lit(i) for i in [*([-1] if free else []), *range(1, 2 ** len(masked))]))
+    bits = lambda on: sum((F.when(c, 2**i).otherwise(0) for i, c in enumerate(on)), F.lit(0))
+    runs = passes.select(*scope, "chunk", "rp", F.col("full") if keyframes else F.lit(False).alias("full"), bits([F.col(m) for m in masked]).alias("on"), F.explode(sets).alias("known"))
+    runs = runs.where((F.col("known") == -1) | (F.col("known").bitwiseAND(F.col("on")) > 0))
+    runs = runs.withColumn("run", F.col("rp") - F.row_number().over(Window.partitionBy(*scope, "chunk", "known").orderBy("rp")))
+    runs = runs.groupBy(*scope, "chunk", "known", "run").agg(F.min("rp").alias("lo"), (F.max("rp") + 1).alias("hi"), F.collect_list(F.when(F.col("full"), F.col("rp"))).alias("fulls"))
+
+    states = _states(samples, axis, key, scope, metrics).join(near(axis.select(*scope, "pass_idx", "rp", "n_rec")), [*scope, "pass_idx"])
+    spans = states.withColumn("to", F.coalesce(F.lead("rp").over(Window.partitionBy(*key).orderBy("pass_idx")), "n_rec")).where((F.col("rp") < F.col("to")) & F.col("alive"))
+    known = bits([F.col(m).isNotNull() for m in masked])
+    spans = spans.withColumn("known", F.when(~_gone([F.col(m) for m in free]), -1).otherwise(known) if free else known)
+    spans = spans.withColumn("chunk", F.explode(F.sequence(F.floor(F.col("rp") / size).cast("int"), F.floor((F.col("to") - 1) / size).cast("int"))))
+    pieces = spans.join(near(runs), [*scope, "chunk", "known"]).withColumn("lo", F.greatest("rp", "lo")).withColumn("hi", F.least("to", "hi")).where("lo < hi")
+    ahead = by_scope.rowsBetween(0, Window.unboundedFollowing)
+    following = passes.select(*scope, F.col("rp").alias("lo"), F.array(*(F.first(F.when(F.col(m), F.col("rp")), ignorenulls=True).over(ahead) for m in masked)).alias("again"))
+    within = F.filter(F.concat(F.array("lo"), "again", "fulls"), lambda i: (i >= F.col("lo")) & (i < F.col("hi")))
+    rows = pieces.join(near(following), [*scope, "lo"]).select(*key, *metrics, "lo", "hi", "n_rec", F.explode(F.array_distinct(within)).alias("rp"))
+    flags = passes.select(*scope, "rp", "full" if keyframes else F.lit(False).alias("full"), *(F.col(m).alias(f"_{m}") for m in masked))
+    rows = rows.join(near(flags), [*scope, "rp"]).withColumns({m: F.when(F.col(f"_{m}"), F.col(m)) for m in masked})
+
+    by_key = Window.partitionBy(*key).orderBy("rp")
+    rows = rows.withColumn("new", ((F.col("rp") == F.col("lo")) & ~F.col("lo").eqNullSafe(F.lag("hi").over(by_key))).cast("int"))
+    rows = rows.withColumn("episode", F.sum("new").over(by_key.rowsBetween(Window.unboundedPreceding, 0))).withColumn("ends", F.coalesce(F.lead("new").over(by_key), F.lit(1)) == 1)
+    before, moved = by_key.rowsBetween(Window.unboundedPreceding, -1), F.col("new") == 1
+    for m in metrics:
+        was = F.last(F.when(F.col(m).isNotNull(), F.struct("episode", F.col(m).alias("v"))), ignorenulls=True).over(before)
+        moved = moved | (F.col(m).isNotNull() & ~F.col(m).eqNullSafe(F.when(was["episode"] == F.col("episode"), was["v"])))
+    rows = rows.withColumn("moved", moved)
+    row = F.struct("rp", *metrics, "moved")
+    end = F.struct(F.col("hi").alias("rp"), *(F.lit(None).cast(samples.schema[m].dataType).alias(m) for m in metrics), F.lit(True).alias("moved"))
+    kept = F.array(F.when(F.col("moved") | F.col("full"), row), F.when(F.col("ends") & (F.col("hi") < F.col("n_rec")), end))
+    out = rows.select(*key, F.explode(F.array_compact(kept)).alias("r")).select(*key, "r.*")
+    return out.join(near(passes.select(*scope, "rp", "ts")), [*scope, "rp"]).select(*key, "ts", *metrics, "moved")
+
 
 def cp_encode(samples: DataFrame, axis: DataFrame, key: list[str], scope: list[str], window: int | None = None, metrics=METRICS, masked=MASKED) -> DataFrame:
     """(key, window, metric, cp): change points `[0, v0, i1, v1, ...]` of each series in windows of passes.

@@ -1,4 +1,5 @@
 import datetime as dt
+import random
 
 import pytest
 from pyspark.sql import functions as F
@@ -115,3 +116,24 @@ def test_merge_twice_is_merge_once_and_keys_are_checked(spark):
     assert series.dedupe_or_raise(df(a + a), [*KEY, "ts"]).count() == 1
     with pytest.raises(ValueError, match="repeats"):
         series.dedupe_or_raise(df(a + [("T", "A", at(0), 6, None, None, 30)]), [*KEY, "ts"])
+
+
+@pytest.mark.parametrize("keyframes", [False, True])
+def test_restating_spans_equals_encoding_the_dense_replay(spark, keyframes):
+    """Passes that collect only some metrics, gaps within spans, tombstones, a chunk's border."""
+    rng = random.Random(5)
+    t0 = dt.datetime(2024, 1, 1)
+    at = lambda i: t0 + dt.timedelta(hours=i)
+    rows = [("T", u, at(i), *(rng.randint(0, 2) if rng.random() < share else None for share in (0.3, 0.3, 0.3, 0.1 * (u % 2)))) for u in range(12) for i in range(150) if rng.random() < 0.15]
+    passes = [("T", at(i), *(rng.random() < 0.5 for _ in series.MASKED)) for i in range(150)]
+    samples = spark.createDataFrame(rows, "term string, u int, ts timestamp, applied int, cart int, enrolled int, quota int")
+    axis = series.load_axis(spark.createDataFrame(passes, "term string, ts timestamp, applied boolean, cart boolean, enrolled boolean"), samples, ["term"])
+    axis = series.mark_keyframes(axis, ["term"], 20)
+    key = ["term", "u"]
+    dense = series.replay(samples, axis, key, ["term"]).where("coalesce(applied, cart, enrolled, quota) is not null").join(axis.select("term", "pass_idx", "ts"), ["term", "pass_idx"])
+    want = series.delta_encode(dense, axis, key, ["term"], keyframes=keyframes)
+    out = series.restate(samples, axis, key, ["term"], keyframes=keyframes)
+    plain = lambda df: sorted(map(str, df.select(*key, "ts", *series.METRICS, "moved").collect()))
+    assert plain(out) == plain(want) and out.count() > 300
+    plan = out._jdf.queryExecution().optimizedPlan().toString()
+    assert "sequence(begin" not in plan
