@@ -102,3 +102,16 @@ def test_dictionary_ids_are_dense_in_order(spark):
     df = spark.range(5000).select(F.concat(F.lit("v"), F.col("id") % 700).alias("v"), F.col("id").alias("at"))
     got = crossterm.dictionary_encode(df.repartition(7), "v", ["at"]).collect()
     assert sorted(r["id"] for r in got) == list(range(700)) and all(r["value"] == f"v{r['id']}" for r in got)
+
+
+def test_codes_of_the_same_terms_meet_as_lists(spark, monkeypatch):
+    """All pairs of many codes alike, lists cut anywhere, from fewer joined rows than there are codes."""
+    monkeypatch.setattr(crossterm, "CHUNK", 7, raising=False)
+    offer = lambda terms, credits: [(t, "001", "Name", "p", "D", credits) for t in terms]
+    rows = [(f"o{i}", offer([4, 5], i % 2), ["Name"]) for i in range(20)] + [(f"n{i}", offer([2, 3], 0), ["Name"]) for i in range(20)] + [("far", offer([30], 0), ["Name"]), ("mid", offer([3, 4], 0), ["Name"])]
+    history = spark.createDataFrame(rows, "sbjt_cd string, offerings array<struct<term_idx:int,lt_no:string,name:string,professor:string,department:string,credits:int>>, names array<string>")
+    out = crossterm.infer_code_links(history)
+    got = [tuple(r) for r in out.collect()]
+    want = [(f"o{i}", f"n{j}", "low" if i % 2 else "high") for i in range(20) for j in range(20)] + [(f"o{i}", "mid", "low") for i in range(20)] + [("mid", f"n{j}", "low") for j in range(20)]
+    assert sorted(got) == sorted(want)
+    assert out._jdf.queryExecution().optimizedPlan().toString().count("Generate explode") >= 2
