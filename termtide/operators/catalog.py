@@ -115,17 +115,18 @@ EVIDENCE = ("name", "professor", "department")
 def resolve_live(live: DataFrame, catalog: DataFrame, live_id: str = "live_id", catalog_id: str = "class_id") -> DataFrame:
     """(live_id, class_id, method): exact, code+lecture, metadata, ambiguous or missing.
 
-    One join on (year, term, code, lecture). Names are normalised and compared only for records that neither
-    the exact section nor a lone candidate settles.
+    One join on (year, term, code, lecture), by which both are dealt out; records, each of one key, are counted where
+    they met. Names are normalised and compared only for records that neither the exact section nor a lone candidate settles.
     """
     right = catalog.select(*LIVE_KEY, F.col(catalog_id).alias("_id"), F.col("subh_cd").alias("_subh"), *(F.col(c).alias(f"_{c}") for c in EVIDENCE))
     pairs = live.select(*LIVE_KEY, live_id, "subh_cd", *EVIDENCE).join(right, list(LIVE_KEY), "left")
-    w = Window.partitionBy(live_id)
+    record = [*LIVE_KEY, live_id]
+    w = Window.partitionBy(*record)
     pairs = pairs.withColumn("n", F.count("_id").over(w)).withColumn("exact_id", F.min(F.when(F.col("subh_cd") == F.col("_subh"), F.col("_id"))).over(w))
-    plain = pairs.where("exact_id is not null or n <= 1").groupBy(live_id).agg(
+    plain = pairs.where("exact_id is not null or n <= 1").groupBy(*record).agg(
         F.coalesce(F.first("exact_id"), F.first("_id")).alias(catalog_id),
         F.first(F.when(F.col("exact_id").isNotNull(), "exact").when(F.col("n") == 0, "missing").otherwise("code+lecture")).alias("method"),
-    )
+    ).select(live_id, catalog_id, "method")
     open_ = pairs.where("exact_id is null and n > 1")
     agree, compared = F.lit(True), F.lit(0)
     for c in EVIDENCE:
@@ -133,7 +134,7 @@ def resolve_live(live: DataFrame, catalog: DataFrame, live_id: str = "live_id",
         both = (mine != "") & (theirs != "")
         compared = compared + both.cast("int")
         agree = agree & (~both | (mine == theirs))
-    fits = open_.withColumn("fits", agree & (compared > 0)).groupBy(live_id).agg(
+    fits = open_.withColumn("fits", agree & (compared > 0)).groupBy(*record).agg(
         F.count(F.when(F.col("fits"), 1)).alias("m"), F.min(F.when(F.col("fits"), F.col("_id"))).alias("one"))
     hard = fits.select(live_id, F.when(F.col("m") == 1, F.col("one")).alias(catalog_id), F.when(F.col("m") == 1, "metadata").otherwise("ambiguous").alias("method"))
     return plain.unionByName(hard)
