@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from termtide.operators import requirements, series
 from termtide.plans.catalog_queries import ORACLE_SQL as CATALOG_SQL
 from termtide.plans.catalog_queries import flat_classes
-from termtide.plans.model import CLASSES_SQL, KEY, SAMPLES_SQL, classes, samples, slots, table
+from termtide.plans.model import CLASSES_SQL, KEY, SAMPLES_SQL, classes, samples, table
 from termtide.sources import tables
 from termtide.sources.durable import shared_dir, stored
 from termtide.sources.terms import TermStore
@@ -50,7 +50,8 @@ def terms_replaced(spark: SparkSession, d: str) -> DataFrame:
 def terms_exported(spark: SparkSession, d: str) -> DataFrame:
     """The JSON of all terms read again."""
     path = _folder(spark)
-    tables.export_terms_json(_offered(spark, d).withColumns({"sbjt_cd": F.split("class_id", "/")[2], "lt_no": F.split("class_id", "/")[3]}), slots(spark, d), path)
+    c = classes(spark, d, nested=True).select("class_id", "year", "term", "name", "quota", "sbjt_cd", "lt_no", "slots")
+    tables.export_terms_json(c, None, path, compression="gzip")
     out = spark.read.schema("class_id string, name string, quota int, slots array<struct<day_index:int,start_time:string,end_time:string,period:int,room:string>>, year int, term string").json(path)
     text = F.array_join(F.transform("slots", lambda s: F.concat_ws(" ", s["day_index"], s["start_time"], s["end_time"], s["room"])), ";")
     return out.select("class_id", "year", "term", "name", "quota", text.alias("slots"))

@@ -68,10 +68,13 @@ def replace_terms(new: DataFrame, path: str, min_ratio: float = 0.9, force: bool
     out.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("year", "term").parquet(path)
 
 
-def export_terms_json(classes: DataFrame, slots: DataFrame, path: str) -> None:
-    """One JSON folder per term, classes with their nested slots in search order."""
-    nested = nest_slots(classes, slots).repartitionByRange("year", "term", "name", "lt_no", "sbjt_cd")
-    nested.sortWithinPartitions("year", "term", "name", "lt_no", "sbjt_cd").write.mode("overwrite").partitionBy("year", "term").json(path)
+def export_terms_json(classes: DataFrame, slots: DataFrame | None, path: str, compression: str = "none") -> None:
+    """One JSON folder per term, classes with their nested slots in search order.
+
+    slots: None where the classes hold them as an array already. compression: of the files, such as gzip.
+    """
+    nested = (classes if slots is None else nest_slots(classes, slots)).repartitionByRange("year", "term", "name", "lt_no", "sbjt_cd")
+    nested.sortWithinPartitions("year", "term", "name", "lt_no", "sbjt_cd").write.mode("overwrite").partitionBy("year", "term").json(path, compression=compression)
 
 
 #: Columns of the flat export in their order (fixed values): year, term, name, professor, college, department, code,
