@@ -10,7 +10,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
-from pyspark.sql.streaming.stateful_processor import StatefulProcessor, StatefulProcessorHandle
+from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 from termtide.operators import series
 from termtide.streaming.store import Store, writer_of
@@ -18,56 +18,56 @@ from termtide.streaming.store import Store, writer_of
 ROCKS = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
 
-class _Deltas(StatefulProcessor):
-    """One series: its newest time and baseline while it lives, and for a while the time at which it closed."""
+def _encoder(metrics: Sequence[str], names: Sequence[str], closed_ms: int):
+    """The state function of one series: its newest time and baseline while it lives, and for a while the time at which it closed.
 
-    def __init__(self, key: Sequence[str], metrics: Sequence[str], names: list[str], closed_ms: int):
-        self.key, self.metrics, self.names, self.closed_ms = list(key), list(metrics), names, closed_ms
-
-    def init(self, handle: StatefulProcessorHandle) -> None:
-        self.live = handle.getValueState("live", T.StructType([T.StructField("ts", T.TimestampType()), *(T.StructField(m, T.LongType()) for m in self.metrics)]))
-        closed = T.StructType([T.StructField("ts", T.TimestampType())])
-        self.closed = handle.getValueState("closed", closed, ttlDurationMs=self.closed_ms) if self.closed_ms else None
-
-    def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
-        held = self.live.get()
-        known, last = (list(held[1:]), pd.Timestamp(held[0])) if held else (None, None)
-        ended = None if held or self.closed is None else self.closed.get()
-        was_live, was_ended = known is not None, ended is not None
-        last = pd.Timestamp(ended[0]) if ended else last
-        out = []
-        batch = pd.concat(list(rows), ignore_index=True).sort_values("ts", kind="stable")
-        table = batch[self.metrics].astype(object).where(batch[self.metrics].notna(), None).to_numpy()
-        for ts, gone, values in zip(batch["ts"], batch["gone"], table, strict=True):
+    Times are microseconds. State: the newest time, when a closed series expires (null while it lives), and the baseline.
+    It comes and goes with the rows of many series at once, so a series costs no calls of its own.
+    """
+    none = (None,) * len(metrics)
+
+    def encode(_key, frames: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
+        if state.hasTimedOut:
+            state.remove()
+            return
+        last, expires, *known = state.get if state.exists else (None, None, *none)
+        if expires is not None and expires <= state.getCurrentProcessingTimeMs():
+            last = expires = None
+        ended, known = (None, known) if state.exists and expires is None and last is not None else (last, None)
+        frames = list(frames)
+        batch = frames[0] if len(frames) == 1 else pd.concat(frames, ignore_index=True)
+        batch = batch.iloc[batch["ts"].to_numpy().argsort(kind="stable")]
+        columns = [[None if v != v else int(v) for v in batch[m].tolist()] for m in metrics]
+        kept = []
+        for i, (ts, gone, values) in enumerate(zip(batch["ts"].tolist(), batch["gone"].tolist(), zip(*columns, strict=True), strict=True)):
             late = last is not None and ts < last
             if gone:
                 if known is not None and not late:
-                    out.append((*key, ts, *[None] * len(self.metrics)))
+                    kept.append(i)
                     known, last = None, ts
                 continue
-            values = [None if v is None else int(v) for v in values]
-            if all(v is None for v in values):
+            if values == none:
                 continue
             if late:
-                out.append((*key, ts, *values))  # passed on, but the baseline stays
+                kept.append(i)  # passed on, but the baseline stays
                 continue
             if known is None or any(v is not None and v != k for v, k in zip(values, known, strict=True)):
-                out.append((*key, ts, *values))
+                kept.append(i)
                 known = values if known is None else [k if v is None else v for v, k in zip(values, known, strict=True)]
             last = ts
         if known is not None:
-            self.live.update((last.to_pydatetime(), *known))
-            if was_ended:
-                self.closed.clear()
-        elif was_live:
-            self.live.clear()
-        if known is None and self.closed is not None and last is not None and (was_live or not was_ended):
-            self.closed.update((last.to_pydatetime(),))
-        if out:
-            yield pd.DataFrame(out, columns=self.names).astype(dict.fromkeys(self.metrics, "Int64"))
+            state.update((last, None, *known))
+        elif closed_ms and last is not None:
+            now = state.getCurrentProcessingTimeMs()
+            expires = expires if last == ended else now + closed_ms
+            state.update((last, expires, *none))
+            state.setTimeoutDuration(max(expires - now, 1))
+        elif state.exists:
+            state.remove()
+        if kept:
+            yield batch.iloc[kept][list(names)]
 
-    def close(self) -> None:
-        pass
+    return encode
 
 
 def stream_deltas(observations: DataFrame, key: Sequence[str], metrics: Sequence[str] = series.METRICS, closed_for: dt.timedelta = dt.timedelta(days=1)) -> DataFrame:
@@ -82,12 +82,16 @@ def stream_deltas(observations: DataFrame, key: Sequence[str], metrics: Sequence
     conf = observations.sparkSession.conf
     conf.set("spark.sql.streaming.stateStore.providerClass", ROCKS)
     conf.set("spark.sql.streaming.noDataMicroBatches.enabled", "false")
-    fields = [observations.schema[k] for k in key]
-    out_schema = T.StructType([*fields, observations.schema["ts"], *(T.StructField(m, T.LongType()) for m in metrics)])
-    gone = F.coalesce("gone", F.lit(False)).alias("gone")
-    rows = observations.where("ts is not null").select(*key, "ts", *(F.col(m).cast("long").alias(m) for m in metrics), gone)
-    processor = _Deltas(key, metrics, out_schema.names, int(closed_for.total_seconds() * 1000))
-    return rows.groupBy(*key).transformWithStateInPandas(processor, out_schema, "Append", "ProcessingTime" if closed_for else "None")
+    longs = [T.StructField(m, T.LongType()) for m in metrics]
+    out = T.StructType([*(observations.schema[k] for k in key), T.StructField("ts", T.LongType()), *longs])
+    held = T.StructType([T.StructField("ts", T.LongType()), T.StructField("expires", T.LongType()), *longs])
+    gone = F.coalesce("gone", F.lit(False))
+    values = (F.when(~gone, F.col(m).cast("long")).alias(m) for m in metrics)
+    rows = observations.where("ts is not null").select(*key, F.unix_micros("ts").alias("ts"), *values, gone.alias("gone"))
+    closed_ms = int(closed_for.total_seconds() * 1000)
+    timeout = GroupStateTimeout.ProcessingTimeTimeout if closed_ms else GroupStateTimeout.NoTimeout
+    encoded = rows.groupBy(*key).applyInPandasWithState(_encoder(metrics, out.names, closed_ms), out, held, "append", timeout)
+    return encoded.withColumn("ts", F.timestamp_micros("ts"))
 
 
 def stream_merge(samples: DataFrame, path: str, checkpoint: str, key: Sequence[str], metrics: Sequence[str] = series.METRICS, buckets: int = 64, delay: dt.timedelta | None = None):

@@ -158,3 +158,10 @@ def test_an_empty_store_and_an_empty_batch(spark, tmp_path):
     store = Store(spark, str(tmp_path), none.schema, KEY)
     assert store.samples().count() == store.latest().count() == 0 and store.cursor() is None and store.compact() is None and store.merge_late() is None
     assert store.merge(none, "w", 0)["n_inserted"] == 0 and store.samples().count() == 0
+
+
+def test_a_series_that_reopens_and_ends_in_one_batch_has_its_new_end(spark, tmp_path):
+    gone = lambda minute: ("T", 1, at(minute), None, None, None, None, True)
+    row = lambda minute: ("T", 1, at(minute), 5, None, 1, 30, False)
+    got, left = encode(spark, tmp_path, ([row(5), gone(9)], [row(12), gone(15)], [row(13)], [row(16)]))
+    assert [r[1] for r in got] == [at(5), at(9), at(12), at(13), at(15), at(16)] and left == [1, 1, 1, 1]
