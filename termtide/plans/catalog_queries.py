@@ -191,7 +191,7 @@ def term_overview(spark: SparkSession, d: str) -> DataFrame:
 
 
 def classes_untagged(spark: SparkSession, d: str) -> DataFrame:
-    c = classes(spark, d)
+    c = stored(classes(spark, d).select("sbjt_cd", "lt_no", "subh_cd", "quota"))
     return catalog.untagged(c, c.where("quota % 2 = 0"))
 
 
