@@ -210,11 +210,11 @@ def backfill_rooms(classes: DataFrame, slots: DataFrame, records: DataFrame, rec
     unmatched or ambiguous, with `timing_differs`, and the class it matched.
     """
     n = classes.groupBy("sbjt_cd", "lt_no").agg(F.count(F.lit(1)).alias("n"), F.min("class_id").alias("class_id"))
-    matched = records.join(n, ["sbjt_cd", "lt_no"], "left")
-    matched = matched.withColumn("status", F.when(F.col("n").isNull(), "unmatched").when(F.col("n") > 1, "ambiguous").otherwise("matched"))
     signature = lambda t, k: t.groupBy(k).agg(F.array_sort(F.collect_set(F.struct("day_index", "start_time", "end_time"))))
     own, theirs = signature(slots, "class_id").toDF("class_id", "_own"), signature(record_slots, "rec_id").toDF("rec_id", "_theirs")
-    status = matched.join(own, "class_id", "left").join(theirs, "rec_id", "left")
+    # times join the classes before records do: records without a class would all meet under null
+    matched = records.join(n.join(own, "class_id", "left"), ["sbjt_cd", "lt_no"], "left").join(theirs, "rec_id", "left")
+    status = matched.withColumn("status", F.when(F.col("n").isNull(), "unmatched").when(F.col("n") > 1, "ambiguous").otherwise("matched"))
     status = status.withColumn("timing_differs", (F.col("status") == "matched") & ~F.col("_own").eqNullSafe(F.col("_theirs")))
     good = status.where("status = 'matched' and not timing_differs").select("rec_id", "class_id")
     fresh = record_slots.join(good, "rec_id").select(*slots.columns)
