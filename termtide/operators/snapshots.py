@@ -206,11 +206,24 @@ def pull_changed(remote: DataFrame, local: DataFrame, targets: DataFrame, now: C
     return out.select(*scope, action.alias("action"), F.coalesce(age > max_age_hours, F.lit(False)).alias("stale"))
 
 
+def carried(fresh: DataFrame, failed: DataFrame, previous: DataFrame, key: Sequence[str]) -> DataFrame:
+    """The entries of failed keys that are not fresh, with `missing`: their previous ones, or one of nulls if there is none.
+
+    One join: fresh and failed keys are told apart in one aggregate by key, which combines before the shuffle.
+    """
+    whole = F.lit(True)
+    for k in key:
+        whole = whole & F.col(k).isNotNull()
+    keys = failed.select(*key, F.lit(False).alias("_fresh")).unionByName(fresh.select(*key, F.lit(True).alias("_fresh")).where(whole))
+    lacking = keys.groupBy(*key).agg(F.max("_fresh").alias("_fresh")).where("not _fresh").drop("_fresh")
+    out = lacking.join(previous.withColumn("_kept", F.lit(True)), list(key), "left")
+    return out.select(*previous.columns, F.col("_kept").isNull().alias("missing"))
+
+
 def carry_forward(fresh: DataFrame, failed: DataFrame, previous: DataFrame, key: Sequence[str]) -> tuple[DataFrame, DataFrame]:
     """(entries, missing keys): a failed key keeps its previous entry; failed keys without one are missing."""
-    kept = previous.join(failed.select(*key).distinct(), list(key), "left_semi").join(fresh.select(*key), list(key), "left_anti")
-    missing = failed.select(*key).distinct().join(fresh.select(*key), list(key), "left_anti").join(previous.select(*key), list(key), "left_anti")
-    return fresh.unionByName(kept), missing
+    out = carried(fresh, failed, previous, key)
+    return fresh.unionByName(out.where("not missing").drop("missing")), out.where("missing").select(*key)
 
 
 def export_attachments(snapshot: DataFrame, missing: DataFrame, scope: Sequence[str] = ("year", "term")) -> tuple[DataFrame, DataFrame]:
