@@ -69,3 +69,19 @@ def _metrics(plan):
         if p.getClass().getSimpleName().endswith("QueryStageExec"):
             todo.append(p.plan())
     return out
+
+
+def test_links_of_alike_codes_are_gathered_once(spark):
+    """300 codes of three kinds: what joins give out grows with the kinds, not with the pairs of codes."""
+    rows = [(f"P{i}", ["Seminar"], [(i % 3 * 2, "001", "Seminar", "p", "d", i % 2)]) for i in range(300)]
+    history = spark.createDataFrame(rows, "sbjt_cd string, names array<string>, offerings array<struct<term_idx:int,lt_no:string,name:string,professor:string,department:string,credits:int>>")
+    four = F.col("code").endswith("4")
+    found = crossterm.link_lists(history, four, lambda conf, older, newer: F.when(older & ~newer, "confirmed").when(~older, conf))
+    ends = lambda x: tuple(map(tuple, x or []))
+    got = {(c, ends(r["prev"]), ends(r["next"])) for r in found.collect() for c in r["codes"]}
+    pairs = crossterm.infer_code_links(history)
+    old, new = F.col("prev").endswith("4"), F.col("next").endswith("4")
+    suppress, links = pairs.where(old & new).select(F.col("next").alias("a"), F.col("prev").alias("b")), pairs.where(old & ~new).select("prev", "next")
+    want = crossterm.apply_code_links(pairs, links, suppress, history.select(F.col("sbjt_cd").alias("code"))).collect()
+    assert got == {(r["code"], ends(r["prev"]), ends(r["next"])) for r in want} and got
+    assert max(_metrics(found._jdf.queryExecution().executedPlan())) <= 200 < pairs.count()
