@@ -2,11 +2,10 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
 from termtide.functions import scalars
 from termtide.functions.text import identity_text
@@ -112,32 +111,73 @@ LIVE_KEY = ("year", "term", "sbjt_cd", "lt_no")
 EVIDENCE = ("name", "professor", "department")
 
 
+def gather_live(live: DataFrame, catalog: DataFrame, live_row: Sequence[str] = (), catalog_row: Sequence[str] = (), live_id: str = "live_id", catalog_id: str = "class_id") -> DataFrame:
+    """(LIVE_KEY, records, sections): what live records and catalogue have of one (year, term, code, lecture), as arrays.
+
+    Each is struct<id, subh_cd, told: struct<name, professor, department>, row: struct>; `told` is normalised, `row` holds
+    the columns asked for. A key has few of both, and everything below is told within its row, without another shuffle.
+    """
+    def side(df: DataFrame, own_id: str, row: Sequence[str], name: str) -> DataFrame:
+        told = F.struct(*(identity_text(F.col(c)).alias(c) for c in EVIDENCE))
+        one = F.struct(F.col(own_id).alias("id"), "subh_cd", told.alias("told"), F.struct(*row, F.lit(None).alias("_")).alias("row"))
+        return df.select(*LIVE_KEY, one.alias("one")).groupBy(*LIVE_KEY).agg(F.collect_list("one").alias(name))
+
+    out = side(live, live_id, live_row, "records").join(side(catalog, catalog_id, catalog_row, "sections"), list(LIVE_KEY), "full")
+    return out.withColumns({c: F.coalesce(c, F.array().cast(out.schema[c].dataType)) for c in ("records", "sections")})
+
+
+def _let(value: Column, use: Callable[[Column], Column]) -> Column:
+    """`use` of a value that is worked out once."""
+    return F.get(F.transform(F.array(value), use), 0)
+
+
+def resolve_gathered(met: DataFrame) -> DataFrame:
+    """The rows of `gather_live` with `class_id` and `method` in each record.
+
+    Names are compared only for records that neither the exact section nor a lone candidate settles.
+    """
+    result = lambda found, method: F.struct(found.cast("string").alias("class_id"), F.lit(method).alias("method"))
+
+    def fits(mine: Column, theirs: Column) -> Column:
+        agree, compared = F.lit(True), F.lit(False)
+        for c in EVIDENCE:
+            both = (mine[c] != "") & (theirs[c] != "")
+            agree, compared = agree & (~both | (mine[c] == theirs[c])), compared | both
+        return agree & compared
+
+    def settled(r: Column) -> Column:
+        exact = F.array_min(F.transform(F.filter("sections", lambda s: s["subh_cd"] == r["subh_cd"]), lambda s: s["id"]))
+        alike = F.filter("sections", lambda s: fits(r["told"], s["told"]))
+        by_names = _let(alike, lambda a: F.when(F.size(a) == 1, result(F.get(a, 0)["id"], "metadata")).otherwise(result(F.lit(None), "ambiguous")))
+        lone = F.when(F.size("sections") == 1, result(F.get("sections", 0)["id"], "code+lecture")).otherwise(by_names)
+        return F.when(F.size("sections") == 0, result(F.lit(None), "missing")).otherwise(_let(exact, lambda e: F.when(e.isNotNull(), result(e, "exact")).otherwise(lone)))
+
+    known = F.transform("records", lambda r: _let(settled(r), lambda f: F.struct(r["id"].alias("id"), r["row"].alias("row"), f["class_id"].alias("class_id"), f["method"].alias("method"))))
+    return met.withColumn("records", known)
+
+
+def resolution(met: DataFrame, live_id: str = "live_id", catalog_id: str = "class_id") -> DataFrame:
+    """(live_id, class_id, method) of gathered records."""
+    out = resolve_gathered(met).select(F.explode("records").alias("r"))
+    return out.select(F.col("r.id").alias(live_id), F.col("r.class_id").alias(catalog_id), "r.method")
+
+
 def resolve_live(live: DataFrame, catalog: DataFrame, live_id: str = "live_id", catalog_id: str = "class_id") -> DataFrame:
-    """(live_id, class_id, method): exact, code+lecture, metadata, ambiguous or missing.
+    """(live_id, class_id, method): exact, code+lecture, metadata, ambiguous or missing."""
+    return resolution(gather_live(live, catalog, live_id=live_id, catalog_id=catalog_id), live_id, catalog_id)
+
+
+def overlay_gathered(met: DataFrame, chosen: Sequence[str], catalog_id: str = "class_id") -> DataFrame:
+    """The rows of the gathered sections, with the figures `chosen` from the records that resolve to them.
 
-    One join on (year, term, code, lecture), by which both are dealt out; records, each of one key, are counted where
-    they met. Names are normalised and compared only for records that neither the exact section nor a lone candidate settles.
+    Null keeps the old value, 0 overrides; of several records the last one (largest id) with a value counts.
     """
-    right = catalog.select(*LIVE_KEY, F.col(catalog_id).alias("_id"), F.col("subh_cd").alias("_subh"), *(F.col(c).alias(f"_{c}") for c in EVIDENCE))
-    pairs = live.select(*LIVE_KEY, live_id, "subh_cd", *EVIDENCE).join(right, list(LIVE_KEY), "left")
-    record = [*LIVE_KEY, live_id]
-    w = Window.partitionBy(*record)
-    pairs = pairs.withColumn("n", F.count("_id").over(w)).withColumn("exact_id", F.min(F.when(F.col("subh_cd") == F.col("_subh"), F.col("_id"))).over(w))
-    plain = pairs.where("exact_id is not null or n <= 1").groupBy(*record).agg(
-        F.coalesce(F.first("exact_id"), F.first("_id")).alias(catalog_id),
-        F.first(F.when(F.col("exact_id").isNotNull(), "exact").when(F.col("n") == 0, "missing").otherwise("code+lecture")).alias("method"),
-    ).select(live_id, catalog_id, "method")
-    open_ = pairs.where("exact_id is null and n > 1")
-    agree, compared = F.lit(True), F.lit(0)
-    for c in EVIDENCE:
-        mine, theirs = identity_text(F.col(c)), identity_text(F.col(f"_{c}"))
-        both = (mine != "") & (theirs != "")
-        compared = compared + both.cast("int")
-        agree = agree & (~both | (mine == theirs))
-    fits = open_.withColumn("fits", agree & (compared > 0)).groupBy(*record).agg(
-        F.count(F.when(F.col("fits"), 1)).alias("m"), F.min(F.when(F.col("fits"), F.col("_id"))).alias("one"))
-    hard = fits.select(live_id, F.when(F.col("m") == 1, F.col("one")).alias(catalog_id), F.when(F.col("m") == 1, "metadata").otherwise("ambiguous").alias("method"))
-    return plain.unionByName(hard)
+    newest = lambda mine, m: F.array_max(F.transform(F.filter(mine, lambda r: r["row"][m].isNotNull()), lambda r: F.struct(r["id"].alias("id"), r["row"][m].alias("v"))))["v"]
+    over = lambda s, mine: F.struct(s["id"].alias("id"), s["row"].alias("row"), *(F.coalesce(newest(mine, m), s["row"][m]).alias(m) for m in chosen))
+    fresh = lambda s: _let(F.filter("records", lambda r: r["class_id"] == s["id"]), lambda mine: over(s, mine))
+    one = resolve_gathered(met).select(F.explode(F.transform("sections", fresh)).alias("s"))
+    kept = [c for c in one.schema["s"].dataType["row"].dataType.names if c not in (catalog_id, "_")]
+    return one.select(F.col("s.id").alias(catalog_id), *(F.col(f"s.{c}" if c in chosen else f"s.row.{c}").alias(c) for c in kept))
 
 
 def overlay_counts(catalog: DataFrame, live: DataFrame, collect_cart: bool = True, collect_enrollment: bool = True, live_id: str = "live_id") -> DataFrame:
@@ -146,18 +186,20 @@ def overlay_counts(catalog: DataFrame, live: DataFrame, collect_cart: bool = Tru
     Where several live records resolve to one class, the last one (largest id) with a value counts.
     """
     chosen = [m for m in (["cart"] if collect_cart else []) + (["applied", "enrolled", "quota"] if collect_enrollment else []) if m in live.columns and m in catalog.columns]
-    if not chosen:
-        return catalog
-    found = resolve_live(live, catalog, live_id).where("class_id is not null").join(live.select(live_id, *chosen), live_id)
-    fresh = found.groupBy("class_id").agg(*(F.max_by(m, F.when(F.col(m).isNotNull(), F.col(live_id))).alias(f"_{m}") for m in chosen))
-    out = catalog.join(fresh, "class_id", "left")
-    return out.select(*(F.coalesce(f"_{c}", c).alias(c) if c in chosen else F.col(c) for c in catalog.columns))
+    return overlay_gathered(gather_live(live, catalog, chosen, catalog.columns, live_id), chosen).select(*catalog.columns) if chosen else catalog
+
+
+def report_gathered(met: DataFrame) -> DataFrame:
+    """One row: fetched, updated, unmatched live records. A class belongs to one key, so classes are told apart within it."""
+    found = F.filter("records", lambda r: r["class_id"].isNotNull())
+    n = resolve_gathered(met).select(F.size("records").alias("n"), F.transform(found, lambda r: r["class_id"]).alias("found"))
+    total = lambda c: F.coalesce(F.sum(c), F.lit(0)).cast("long")
+    return n.agg(total("n").alias("fetched"), total(F.size(F.array_distinct("found"))).alias("updated"), total(F.col("n") - F.size("found")).alias("unmatched"))
 
 
 def overlay_report(catalog: DataFrame, live: DataFrame, live_id: str = "live_id") -> DataFrame:
     """One row: fetched, updated, unmatched live records."""
-    found = F.col("class_id").isNotNull()
-    return resolve_live(live, catalog, live_id).agg(F.count(F.lit(1)).alias("fetched"), F.count_distinct("class_id").alias("updated"), F.count(F.when(~found, 1)).alias("unmatched"))
+    return report_gathered(gather_live(live, catalog, live_id=live_id))
 
 
 def apply_latest(catalog: DataFrame, latest: DataFrame, key: Sequence[str], metrics: Sequence[str]) -> DataFrame:
@@ -233,15 +275,23 @@ def reconcile(saved: DataFrame, classes: DataFrame, slots: DataFrame, key: Seque
     return out.select(*key, F.when(F.col("_here").isNull(), "cancelled").when(F.col("_was").eqNullSafe(F.col("_now")), "same").otherwise("changed").alias("status"))
 
 
+def audit_gathered(met: DataFrame, col: str) -> DataFrame:
+    """(class_id, verdict) of the gathered sections in which a column is null."""
+    unsure = F.exists("records", lambda r: r["method"] == "ambiguous")
+
+    def verdict(s: Column) -> Column:
+        seen = F.filter("records", lambda r: r["class_id"] == s["id"])
+        good = lambda r: F.coalesce(r["row"][col] >= 0, F.lit(False))
+        said = _let(seen, lambda x: F.when(F.exists(x, good), "recoverable").when(F.size(x) > 0, "site_null").when(unsure, "ambiguous").otherwise("not_seen"))
+        return F.struct(s["id"].alias("class_id"), said.alias("verdict"))
+
+    missing = F.filter("sections", lambda s: s["row"][col].isNull())
+    return resolve_gathered(met).select(F.explode(F.transform(missing, verdict)).alias("s")).select("s.*")
+
+
 def audit_nulls(catalog: DataFrame, live: DataFrame, col: str, live_id: str = "live_id") -> DataFrame:
     """(class_id, verdict) of stored nulls: recoverable, site_null, ambiguous or not_seen."""
-    missing = catalog.where(F.col(col).isNull())
-    found = resolve_live(live, catalog, live_id).join(live.select(live_id, *LIVE_KEY, col), live_id)
-    seen = found.where("class_id is not null").groupBy("class_id").agg(F.max((F.col(col) >= 0).cast("int")).alias("_ok"), F.lit(1).alias("_seen"))
-    unsure = found.where("method = 'ambiguous'").select(*LIVE_KEY).distinct().withColumn("_unsure", F.lit(1))
-    out = missing.join(seen, "class_id", "left").join(unsure, list(LIVE_KEY), "left")
-    verdict = F.when(F.col("_ok") == 1, "recoverable").when(F.col("_seen") == 1, "site_null").when(F.col("_unsure") == 1, "ambiguous").otherwise("not_seen")
-    return out.select("class_id", verdict.alias("verdict"))
+    return audit_gathered(gather_live(live, catalog, [col], [col], live_id), col)
 
 
 def null_summary(catalog: DataFrame, col: str, by: Sequence[str] = ("year", "term", "subh_cd")) -> DataFrame:

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from termtide.operators import catalog, series
-from termtide.plans.model import CLASSES_SQL, classes, slots, table
+from termtide.plans.model import CLASSES_SQL, classes, live_and_sections, slots, table
 from termtide.sources import tables
 from termtide.sources.durable import shared_dir, stored
 from termtide.sources.postings import Postings
@@ -60,40 +60,22 @@ def cart_ratios(spark: SparkSession, d: str) -> DataFrame:
     return catalog.cart_ratio(classes(spark, d)).select("class_id", F.round("cart_ratio", 6).alias("cart_ratio"))
 
 
-def _live(spark: SparkSession, d: str) -> DataFrame:
-    """All line items as live records: the section differs where the supplier is odd, the code where it has remainder 1 by 3."""
-    from termtide.plans.model import class_rows
-
-    rows = class_rows(spark, d).withColumn("sbjt_cd", F.when(F.col("l_suppkey") % 3 == 1, F.concat("sbjt_cd", F.lit("X"))).otherwise(F.col("sbjt_cd"))).select("year", "term", "sbjt_cd", "lt_no", "subh_cd", "name", "professor", "department", "applied", "cart", "quota", "l_orderkey", "l_suppkey")
-    first = rows.groupBy("year", "term", "sbjt_cd", "lt_no", "l_orderkey", "l_suppkey").agg(*(F.min(c).alias(c) for c in ("subh_cd", "name", "professor", "department", "applied", "cart", "quota")))
-    live_id = F.concat_ws("/", "year", "term", "sbjt_cd", "lt_no", "l_orderkey", "l_suppkey")
-    return first.withColumn("live_id", live_id).withColumn("subh_cd", F.when(F.col("l_suppkey") % 2 == 1, "777").otherwise(F.col("subh_cd")))
-
-
-def _sections(spark: SparkSession, d: str) -> DataFrame:
-    """The catalogue with every section that a line item names (so codes can have several)."""
-    from termtide.plans.model import class_rows
-
-    rows = class_rows(spark, d)
-    key = ["year", "term", "sbjt_cd", "lt_no", "subh_cd", "professor"]
-    out = rows.groupBy(*key).agg(F.min("name").alias("name"), F.min("department").alias("department"), F.min("cart").alias("cart"), F.min("applied").alias("applied"), F.min("quota").alias("quota"))
-    return out.withColumn("class_id", F.concat_ws("/", *key))
-
-
 def live_resolution(spark: SparkSession, d: str) -> DataFrame:
-    return catalog.resolve_live(_live(spark, d), _sections(spark, d))
+    return catalog.resolution(live_and_sections(spark, d))
 
 
 def live_overlay(spark: SparkSession, d: str) -> DataFrame:
-    return catalog.overlay_counts(_sections(spark, d), _live(spark, d)).select("class_id", "cart", "applied", "quota")
+    return catalog.overlay_gathered(live_and_sections(spark, d), ["cart", "applied", "quota"])
 
 
 def live_report(spark: SparkSession, d: str) -> DataFrame:
-    return catalog.overlay_report(_sections(spark, d), _live(spark, d))
+    return catalog.report_gathered(live_and_sections(spark, d))
 
 
 def null_audit(spark: SparkSession, d: str) -> DataFrame:
-    return catalog.audit_nulls(_sections(spark, d).withColumn("cart", F.when(F.col("applied") % 2 == 0, F.col("cart"))), _live(spark, d), "cart")
+    met = live_and_sections(spark, d)
+    kept = lambda row: row.withField("cart", F.when(row["applied"] % 2 == 0, row["cart"]))
+    return catalog.audit_gathered(met.withColumn("sections", F.transform("sections", lambda s: s.withField("row", kept(s["row"])))), "cart")
 
 
 def null_figures(spark: SparkSession, d: str) -> DataFrame:
