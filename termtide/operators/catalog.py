@@ -264,6 +264,27 @@ def backfill_rooms(classes: DataFrame, slots: DataFrame, records: DataFrame, rec
     return out, status.select("rec_id", F.when(F.col("status") == "matched", F.col("class_id")).alias("class_id"), "status", "timing_differs", F.when(F.col("status") == "matched", F.col("room")).alias("room"))
 
 
+def backfill_gathered(met: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(slots, status of each record) as `backfill_rooms` has them, from rows that hold all of one (code, lecture).
+
+    met: `classes` and `records`, arrays of struct<id, room, slots: array<struct>>. The classes' own slots lose their rooms
+    and then repeats; nothing is moved.
+    """
+    signature = lambda slots: F.array_sort(F.array_distinct(F.transform(slots, lambda t: F.struct(t["day_index"].alias("day_index"), t["start_time"].alias("start_time"), t["end_time"].alias("end_time")))))
+    n = F.size("classes")
+    status = F.when(n == 0, "unmatched").when(n > 1, "ambiguous").otherwise("matched")
+    only = F.when(n == 1, F.get("classes", 0))
+    own = met.select("classes", "records", status.alias("status"), only["id"].alias("class_id"), signature(only["slots"]).alias("own"))
+    told = F.transform("records", lambda r: F.struct(r["id"].alias("rec_id"), F.when(F.col("class_id").isNotNull(), r["room"]).alias("room"), r["slots"].alias("slots"), (F.col("class_id").isNotNull() & ~signature(r["slots"]).eqNullSafe(F.col("own"))).alias("timing_differs")))
+    known = own.select("classes", "status", "class_id", told.alias("records"))
+    one = known.select(F.explode("records").alias("r"), "class_id", "status")
+    good = F.filter("records", lambda r: (F.col("status") == "matched") & ~r["timing_differs"])
+    blank = lambda c: F.struct(c["id"].alias("class_id"), F.array_distinct(F.transform(c["slots"], lambda t: t.withField("room", F.lit("")))).alias("slots"))
+    given = F.transform("good", lambda r: F.struct(F.col("class_id").alias("class_id"), r["slots"].alias("slots")))
+    lists = known.withColumn("good", good).select(F.explode(F.when(F.size("good") > 0, given).otherwise(F.transform("classes", blank))).alias("c"))
+    return lists.select("c.class_id", F.inline("c.slots")), one.select("r.rec_id", "class_id", "status", "r.timing_differs", "r.room")
+
+
 def lookup(classes: DataFrame, keys: DataFrame, key: Sequence[str] = LIVE_KEY) -> DataFrame:
     return classes.join(keys.select(*key).distinct(), list(key), "left_semi")
 

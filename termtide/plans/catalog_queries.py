@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from termtide.operators import catalog, series
-from termtide.plans.model import CLASSES_SQL, classes, live_and_sections, slots, table
+from termtide.plans.model import CLASSES_SQL, classes, classes_and_records, live_and_sections, slots, table
 from termtide.sources import tables
 from termtide.sources.durable import shared_dir, stored
 from termtide.sources.postings import Postings
@@ -110,23 +110,14 @@ def timing_recovered(spark: SparkSession, d: str) -> DataFrame:
     return catalog.recover_timing(c, s.where("period <= 2"), found)
 
 
-def _backfill(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame]:
-    """Records of each year give rooms to the classes of the year before with the same code, lecture and times."""
-    c, s = classes(spark, d), slots(spark, d)
-    own = c.withColumn("sbjt_cd", F.concat_ws(":", "year", "sbjt_cd"))
-    theirs = c.select(F.col("class_id").alias("rec_id"), F.concat_ws(":", F.col("year") - 1, "sbjt_cd").alias("sbjt_cd"), "lt_no", "room")
-    known = s.withColumn("room", F.lit(""))
-    return catalog.backfill_rooms(own, known.distinct(), theirs, s.withColumnRenamed("class_id", "rec_id"))
-
-
 def rooms_backfilled(spark: SparkSession, d: str) -> DataFrame:
-    """The status of each record."""
-    return _backfill(spark, d)[1]
+    """Records of each year give rooms to the classes of the year before with the same code, lecture and times: each record's status."""
+    return catalog.backfill_gathered(classes_and_records(spark, d))[1]
 
 
 def slots_backfilled(spark: SparkSession, d: str) -> DataFrame:
     """The slots with the rooms that records gave."""
-    return _backfill(spark, d)[0].select("class_id", "day_index", "period", "start_time", "end_time", "room")
+    return catalog.backfill_gathered(classes_and_records(spark, d))[0].select("class_id", "day_index", "period", "start_time", "end_time", "room")
 
 
 def freshness(spark: SparkSession, d: str) -> DataFrame:
