@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -78,24 +78,20 @@ def _shown(value: Column) -> Column:
     return F.when(text.isNull() | (text == ""), "(none)").otherwise(text)
 
 
-def catalog_diff(old: DataFrame, new: DataFrame, key: Sequence[str], fields: Sequence[tuple[str, str]] = FIELDS) -> DataFrame:
-    """(key, code, name, detail) between two catalogues: NEW, DEL, field codes, CLS, TADD, TDEL, TCHG.
+def _packed(get: Callable[[str], Column], present: Sequence[tuple[str, str]], met: Column | None = None) -> tuple[Column, Column]:
+    """(a row's fields, tags and meetings as the diff compares them, their hash); only name and times unless `met`."""
+    only = (lambda c: c) if met is None else (lambda c: F.when(met, c))
+    values = {f: only(F.nullif(get(f).cast("string"), F.lit(""))) for f, _ in present}
+    tags, sig = only(F.coalesce(get("classification"), F.array().cast("array<string>"))), only(scalars.slot_signature(get("slots")))
+    row = F.struct(*(v.alias(f) for f, v in values.items()), get("name").alias("label"), tags.alias("tags"), sig.alias("sig"), scalars.slot_text(get("slots")).alias("times"))
+    return row, F.coalesce(only(F.xxhash64(*values.values(), F.array_sort(tags), sig)), F.lit(0))
 
-    Each side hashes its rows before they meet, and fields are compared only where the hashes differ. '' and null are
-    equal; tags are compared without order and shown in the order they are stored in; meetings count by day and time only.
-    """
-    present = [(f, c) for f, c in fields if f in old.columns and f in new.columns]
-
-    def packed(df: DataFrame, name: str) -> DataFrame:
-        cols = [F.nullif(F.col(f).cast("string"), F.lit("")).alias(f) for f, _ in present]
-        tags = F.coalesce("classification", F.array().cast("array<string>"))
-        row = F.struct(*cols, F.col("name").alias("label"), tags.alias("tags"), scalars.slot_signature("slots").alias("sig"), scalars.slot_text("slots").alias("times"))
-        mark = F.xxhash64(*(F.col(f"{name}.{f}") for f, _ in present), F.array_sort(f"{name}.tags"), F.col(f"{name}.sig"))
-        return df.select(*key, row.alias(name)).withColumn(f"{name}_mark", mark)
 
-    both = packed(old, "o").join(packed(new, "n"), list(key), "full")
+def _changes(both: DataFrame, key: Sequence[str], present: Sequence[tuple[str, str]], detail: bool = True) -> DataFrame:
+    """(key, name, changes) of packed rows `o` and `n` whose hashes `o_mark` and `n_mark` differ; each change with its detail, if asked for."""
+    said = lambda code, text: F.struct(F.lit(code).alias("code"), *([text.alias("detail")] if detail else []))
     both = both.where(~F.col("o_mark").eqNullSafe(F.col("n_mark")))
-    change = lambda code, when, detail: F.when(when, F.struct(F.lit(code).alias("code"), detail.alias("detail")))
+    change = lambda code, when, text: F.when(when, said(code, text))
     old_tags, new_tags = (F.when(F.size(f"{r}.tags") == 0, "(none)").otherwise(F.array_join(f"{r}.tags", ",")) for r in "on")
     same_sig = F.col("o.sig").eqNullSafe(F.col("n.sig"))
     none_before, none_after = F.size("o.sig") <= 0, F.size("n.sig") <= 0
@@ -106,29 +102,68 @@ def catalog_diff(old: DataFrame, new: DataFrame, key: Sequence[str], fields: Seq
         change("TADD", ~same_sig & none_before, F.col("n.times")), change("TDEL", ~same_sig & ~none_before & none_after, F.col("o.times")),
         change("TCHG", ~same_sig & ~none_before & ~none_after, arrow(F.col("o.times"), F.col("n.times"))),
     ]
-    whole = F.when(F.col("o").isNull(), F.array(F.struct(F.lit("NEW").alias("code"), F.col("n.times").alias("detail")))).when(
-        F.col("n").isNull(), F.array(F.struct(F.lit("DEL").alias("code"), F.col("o.times").alias("detail")))).otherwise(F.array_compact(F.array(*changes)))
-    out = both.withColumn("_c", F.explode(whole))
-    return out.select(*key, F.col("_c.code").alias("code"), F.coalesce("n.label", "o.label").alias("name"), F.col("_c.detail").alias("detail"))
+    whole = F.when(F.col("o").isNull(), F.array(said("NEW", F.col("n.times")))).when(
+        F.col("n").isNull(), F.array(said("DEL", F.col("o.times")))).otherwise(F.array_compact(F.array(*changes)))
+    return both.select(*key, F.coalesce("n.label", "o.label").alias("name"), whole.alias("changes"))
 
 
-_TALLY = "struct<code:string,n:bigint,keys:bigint>"
+def _rows(changes: DataFrame, key: Sequence[str]) -> DataFrame:
+    return changes.withColumn("_c", F.explode("changes")).select(*key, F.col("_c.code").alias("code"), "name", F.col("_c.detail").alias("detail"))
 
 
-def diff_summary(diff: DataFrame, key: Sequence[str]) -> DataFrame:
-    """(code, n, keys): tallies per code, and one row `*` with the changed keys that are neither new nor gone.
+def catalog_diff(old: DataFrame, new: DataFrame, key: Sequence[str], fields: Sequence[tuple[str, str]] = FIELDS) -> DataFrame:
+    """(key, code, name, detail) between two catalogues: NEW, DEL, field codes, CLS, TADD, TDEL, TCHG.
 
-    The diff is taken once: the codes of a key meet in one row, which the tallies are counted from.
+    Each side hashes its rows before they meet, and fields are compared only where the hashes differ. '' and null are
+    equal; tags are compared without order and shown in the order they are stored in; meetings count by day and time only.
+    """
+    present = [(f, c) for f, c in fields if f in old.columns and f in new.columns]
+    packed = lambda df, name: df.select(*key, *(c.alias(a) for c, a in zip(_packed(F.col, present), (name, f"{name}_mark"), strict=True)))
+    return _rows(_changes(packed(old, "o").join(packed(new, "n"), list(key), "full"), key, present), key)
+
+
+def paired_changes(pairs: DataFrame, key: Sequence[str], fields: Sequence[tuple[str, str]] = FIELDS, detail: bool = True) -> DataFrame:
+    """(key, name, changes) of rows that hold both states of a key as structs `old` and `new`, null where there is none.
+
+    Rows of one state are not hashed.
     """
-    one = diff.groupBy(*key).agg(F.collect_list("code").alias("codes"))
+    present = [(f, c) for f, c in fields if f in pairs.schema["old"].dataType.names]
+    met = F.col("old").isNotNull() & F.col("new").isNotNull()
+    sides = [F.when(F.col(side).isNotNull(), c).alias(a) for side, names in (("old", ("o", "o_mark")), ("new", ("n", "n_mark"))) for c, a in zip(_packed(F.col(side).getField, present, met), names, strict=True)]
+    return _changes(pairs.select(*key, *sides), key, present, detail)
+
+
+def paired_diff(pairs: DataFrame, key: Sequence[str]) -> DataFrame:
+    """`catalog_diff` of such rows, which are not moved."""
+    return _rows(paired_changes(pairs, key), key)
+
+
+_TALLY = "struct<code:string,n:bigint,keys:bigint>"
+
+
+def _tallies(codes: DataFrame) -> DataFrame:
+    """(code, n, keys) of rows that hold the `codes` of one key each."""
     own = F.transform(F.array_distinct("codes"), lambda c: F.struct(c.alias("code"), F.size(F.filter("codes", lambda x: x == c)).cast("long").alias("n"), F.lit(1).cast("long").alias("keys")))
     changed = F.size(F.filter("codes", lambda x: ~x.isin("NEW", "DEL"))).cast("long")
     any_ = F.struct(F.lit("*").alias("code"), changed.alias("n"), F.lit(1).cast("long").alias("keys"))
-    tallies = one.select(F.explode(F.concat(own, F.when(changed > 0, F.array(any_)).otherwise(F.array().cast(f"array<{_TALLY}>")))).alias("t")).select("t.*")
-    none = diff.sparkSession.createDataFrame([("*", 0, 0)], "code string, n long, keys long")
+    tallies = codes.select(F.explode(F.concat(own, F.when(changed > 0, F.array(any_)).otherwise(F.array().cast(f"array<{_TALLY}>")))).alias("t")).select("t.*")
+    none = codes.sparkSession.createDataFrame([("*", 0, 0)], "code string, n long, keys long")
     return tallies.unionByName(none).groupBy("code").agg(F.sum("n").alias("n"), F.sum("keys").alias("keys"))
 
 
+def diff_summary(diff: DataFrame, key: Sequence[str]) -> DataFrame:
+    """(code, n, keys): tallies per code, and one row `*` with the changed keys that are neither new nor gone.
+
+    The diff is taken once: the codes of a key meet in one row, which the tallies are counted from.
+    """
+    return _tallies(diff.groupBy(*key).agg(F.collect_list("code").alias("codes")))
+
+
+def changes_summary(changes: DataFrame) -> DataFrame:
+    """`diff_summary` of `paired_changes`, in which a key's codes are in one row already."""
+    return _tallies(changes.select(F.transform("changes", lambda c: c["code"]).alias("codes")))
+
+
 # --- drift ----------------------------------------------------------------------------------------------
 
 
