@@ -28,22 +28,23 @@ def page_tables(spark: SparkSession, d: str) -> DataFrame:
 
 
 def _cards(spark: SparkSession, d: str) -> DataFrame:
-    """Result pages: one page per code and year, one card per class."""
-    c = classes(spark, d)
+    """Result pages: one page per code and year, one card per class. The classes of a page meet where they were dealt out by part, before their cards are written."""
+    c = classes(spark, d, dealt=True)
+    held = ["class_id", "sbjt_cd", "lt_no", "subh_cd", "name", "grading", "professor", "department", "applied", "quota", "credits", "day_index", "start_time", "end_time", "cart", "l_suppkey"]
     hidden = lambda n, v: F.concat(F.lit(f'<input type="hidden" name="{n}" value="'), v, F.lit('">'))
-    badge = F.when(F.col("l_suppkey") % 3 == 0, '<li class="state on">취소여석</li>').when(F.col("l_suppkey") % 3 == 1, '<li class="state"></li>').otherwise("")
-    card = F.concat(
-        F.lit('<div class="course-info-item">'), hidden("openSchyy", F.lit("1900")), hidden("sbjtCd", F.col("sbjt_cd")), hidden("ltNo", F.col("lt_no")), hidden("sbjtSubhCd", F.col("subh_cd")), hidden("sbjtNm", F.col("name")),
-        F.lit('<a class="course-name">['), F.col("grading"), F.lit("][x]<strong> "), F.col("name"), F.lit("<br></strong></a>"),
-        F.lit('<ul class="course-info"><li class="txt"><span>'), F.col("professor"), F.lit("</span><span>"), F.col("department"), F.lit("</span><span>z</span></li><li class='txt'><span>정원 <em>"),
-        F.col("applied"), F.lit("/"), F.col("quota"), F.lit("</em></span><span>학점<em>"), F.col("credits"), F.lit("</em></span><span>장바구니<em>1</em></span></li>"), badge, F.lit("<li>"),
-        F.substring(F.lit(scalars.DAYS), F.col("day_index") + 1, F.lit(1)), F.lit("("), F.col("start_time"), F.lit("~"), F.col("end_time"), F.lit(")</li></ul>"),
-        F.when(F.col("cart").isNotNull(), F.concat(F.lit('<span class="carts"><em></em> '), F.col("cart"), F.lit("</span>"))).otherwise(""), F.lit("</div>"),
+    badge = lambda x: F.when(x["l_suppkey"] % 3 == 0, '<li class="state on">취소여석</li>').when(x["l_suppkey"] % 3 == 1, '<li class="state"></li>').otherwise("")
+    card = lambda x: F.concat(
+        F.lit('<div class="course-info-item">'), hidden("openSchyy", F.lit("1900")), hidden("sbjtCd", x["sbjt_cd"]), hidden("ltNo", x["lt_no"]), hidden("sbjtSubhCd", x["subh_cd"]), hidden("sbjtNm", x["name"]),
+        F.lit('<a class="course-name">['), x["grading"], F.lit("][x]<strong> "), x["name"], F.lit("<br></strong></a>"),
+        F.lit('<ul class="course-info"><li class="txt"><span>'), x["professor"], F.lit("</span><span>"), x["department"], F.lit("</span><span>z</span></li><li class='txt'><span>정원 <em>"),
+        x["applied"], F.lit("/"), x["quota"], F.lit("</em></span><span>학점<em>"), x["credits"], F.lit("</em></span><span>장바구니<em>1</em></span></li>"), badge(x), F.lit("<li>"),
+        F.substring(F.lit(scalars.DAYS), x["day_index"] + 1, F.lit(1)), F.lit("("), x["start_time"], F.lit("~"), x["end_time"], F.lit(")</li></ul>"),
+        F.when(x["cart"].isNotNull(), F.concat(F.lit('<span class="carts"><em></em> '), x["cart"], F.lit("</span>"))).otherwise(""), F.lit("</div>"),
     )
-    body = F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("class_id", card.alias("card")))), lambda x: x["card"]), "\n")
-    head = F.concat(F.lit('<input id="srchOpenSchyy" value="'), F.first("year"), F.lit('"><div class="search-result-con"><small><em>'), F.count(F.lit(1)) + F.max((F.col("l_suppkey") % 50 == 0).cast("int")), F.lit("</em></small>"))
+    met = c.groupBy("l_partkey", "sbjt_cd", "year").agg(F.array_sort(F.collect_list(F.struct(*held))).alias("met"), (F.count(F.lit(1)) + F.max((F.col("l_suppkey") % 50 == 0).cast("int"))).alias("total"))
+    head = F.concat(F.lit('<input id="srchOpenSchyy" value="'), "year", F.lit('"><div class="search-result-con"><small><em>'), "total", F.lit("</em></small>"))
     page = F.expr("substring(sbjt_cd, 2)").cast("long") * 10_000 + F.col("year")
-    return c.groupBy("sbjt_cd", "year").agg(F.concat(head, body).alias("html")).select(page.alias("page_id"), "html")
+    return met.select(page.alias("page_id"), F.concat(head, F.array_join(F.transform("met", card), "\n")).alias("html"))
 
 
 def result_cards(spark: SparkSession, d: str) -> DataFrame:

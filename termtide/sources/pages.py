@@ -5,9 +5,11 @@ from __future__ import annotations
 from collections.abc import Callable, Iterator
 
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_schema
 
 from termtide.functions import markup
 
@@ -18,12 +20,16 @@ CARD = (
 )
 
 
-def _each(pages: DataFrame, cols: list[str], work: Callable[..., list[tuple]], schema: str, names: list[str]) -> DataFrame:
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for pdf in batches:
-            yield pd.DataFrame([row for values in pdf[cols].itertuples(index=False) for row in work(*values)], columns=names)
+def _each(pages: DataFrame, cols: list[str], work: Callable[..., list[tuple]], schema: str) -> DataFrame:
+    kinds = to_arrow_schema(T.StructType.fromDDL(schema))
 
-    return pages.select(*cols).mapInPandas(run, schema)
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            rows = [row for values in zip(*(b.column(c).to_pylist() for c in cols)) for row in work(*values)]
+            if rows:
+                yield pa.RecordBatch.from_arrays([pa.array(v, kind) for v, kind in zip(zip(*rows), kinds.types)], schema=kinds)
+
+    return pages.select(*cols).mapInArrow(run, schema)
 
 
 def _text(value) -> str:
@@ -44,26 +50,25 @@ def html_tables(pages: DataFrame, id_col: str = "page_id", html_col: str = "html
     """(id, table, row, cells)."""
     work = lambda i, m: [(i, t, r, cells) for t, rows in enumerate(markup.tables(_text(m))) for r, cells in enumerate(rows)]
     kind = pages.schema[id_col].dataType.simpleString()
-    return _each(pages, [id_col, html_col], work, f"{id_col} {kind}, table int, row int, cells array<string>", [id_col, "table", "row", "cells"])
+    return _each(pages, [id_col, html_col], work, f"{id_col} {kind}, table int, row int, cells array<string>")
 
 
 def html_links(pages: DataFrame, pattern: str = ".", id_col: str = "page_id", html_col: str = "html", base_col: str = "url") -> DataFrame:
     """(id, place, href, text) of links whose text fits, resolved against the page's address."""
     work = lambda i, m, b: [(i, n, h, t) for n, (h, t) in enumerate(markup.links(_text(m), _text(b), pattern))]
     kind = pages.schema[id_col].dataType.simpleString()
-    return _each(pages, [id_col, html_col, base_col], work, f"{id_col} {kind}, place int, href string, text string", [id_col, "place", "href", "text"])
+    return _each(pages, [id_col, html_col, base_col], work, f"{id_col} {kind}, place int, href string, text string")
 
 
-def extract_cards(pages: DataFrame, id_col: str = "page_id", html_col: str = "html") -> DataFrame:
-    """(id, place, reported total, card columns) of every result card; pages without cards give no rows."""
+def extract_cards(pages: DataFrame, id_col: str = "page_id", html_col: str = "html", fields: bool = True) -> DataFrame:
+    """(id, place, reported total, card columns) of every result card; pages without cards give no rows. fields: with the card columns."""
 
     def work(i, m):
-        total, found = markup.cards(_text(m))
+        total, found = markup.cards(_text(m), fields)
         return [(i, n, total, *card.values()) for n, card in enumerate(found)]
 
     kind = pages.schema[id_col].dataType.simpleString()
-    names = [id_col, "place", "total", *(part.split()[0] for part in CARD.split(", "))]
-    return _each(pages, [id_col, html_col], work, f"{id_col} {kind}, place int, total int, {CARD}", names)
+    return _each(pages, [id_col, html_col], work, f"{id_col} {kind}, place int, total int" + (f", {CARD}" if fields else ""))
 
 
 def check_complete(cards: DataFrame, totals: DataFrame, scope: list[str]) -> DataFrame:
