@@ -57,7 +57,7 @@ def result_cards(spark: SparkSession, d: str) -> DataFrame:
 
 
 def pages_complete(spark: SparkSession, d: str) -> DataFrame:
-    cards = stored(pages.extract_cards(_cards(spark, d)).select("page_id", "total"))
+    cards = stored(pages.extract_cards(_cards(spark, d), fields=False).select("page_id", "total"))
     return pages.check_complete(cards, cards.select("page_id", "total"), ["page_id"])
 
 
